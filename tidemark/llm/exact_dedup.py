@@ -70,7 +70,7 @@ def build_index(keyed: DataFrame, texts: DataFrame, bucket_entries: int = BUCKET
     entries = stored(whole.select("hash", "text_sha256", F.col("keep.id").alias("keep_id"), F.col("keep.row").alias("keep_row"), "group_size"), "entries")
 
     chained = keyed.groupBy("hash").count().where("count > 1").select("hash")
-    rows = stored(keyed.join(chained, "hash", "left_semi").where("id is not null").select("id").distinct(), "chained")
+    rows = stored(only_ids(keyed, "hash", stored(chained, "repeated")).where("id is not null").select("id").distinct(), "chained")
     compared = only_ids(texts, "id", rows).select(normalised(F.col("text")).alias("body"))
     compared = compared.select(F.xxhash64("body").alias("hash"), F.sha2("body", 256).alias("text_sha256"), "body")
     compared = compared.groupBy("hash", "text_sha256", "body").count().groupBy("hash", "text_sha256").agg(F.count("*").alias("bodies"))

@@ -9,10 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.decontaminate import contamination
 from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.html_extract import extract_main_text
 from tidemark.llm.ngram_join import ngram_jaccard_groups
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.quality import quality_scores
+from tidemark.llm.suffix_dedup import repeated_spans
 from tidemark.llm.token_counts import token_counts
+from tidemark.llm.token_store import token_store
+from tidemark.llm.warc import deduplicated_archives
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,10 +40,27 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+def op6_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deduplicated_archives(table(spark, sf_dir, "pages"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeated_spans(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -51,7 +72,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_decontamination,
         op3_exact_dedup,
         op4_token_counts,
+        op5_html_extraction,
+        op6_warc_revisits,
         op7_quality_classifier,
+        op8_suffix_dedup,
+        op9_token_store,
         op10_packing,
     )
 }
