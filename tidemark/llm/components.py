@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.llm._common import stored
@@ -15,26 +15,26 @@ def connected_components(edges: DataFrame) -> DataFrame:
     as joins and minima, so no node's neighbours are ever gathered in one place.
     Nulls and loops are ignored.
     """
-    now = stored(
-        edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges"
-    )
-    size = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+    first = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    now, size = _measured(first)
     while size[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
-        small = (
-            small.where("v <> m")
-            .select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .unionByName(small.select("u", F.col("m").alias("v")))
-            .distinct()
-        )
-        now = stored(small, "edges")
-        was, size = size, now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(was) == tuple(size):
+        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        was = size
+        now, size = _measured(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        if was == size:
             break
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )
+
+
+def _measured(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges as a written table, with their number and a digest, both taken while writing."""
+    seen = Observation()
+    measures = F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("digest")
+    table = stored(edges.observe(seen, *measures), "edges")
+    return table, (seen.get["n"], seen.get["digest"])

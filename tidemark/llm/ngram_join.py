@@ -13,9 +13,9 @@ How no link is lost without comparing all pairs:
   probability near one half, independently, so a link is missed with one below 1e-16: the
   scale of two 64-bit shingle hashes colliding, which any comparison by hash accepts.
 * Sets that share a key are candidates. First each is compared with the smallest one of its key;
-  linked sets merge. Keys whose sets are still in several components go on to tiles in which
-  bitmap bounds leave few pairs: one pass that stops at the first possible partner, and one over all
-  remaining pairs. Keys with very many sets are dealt over several tiles.
+  linked sets merge. Sets whose keys are still split over several components go on to tiles, one for
+  each smallest set, in which bitmap bounds leave few pairs: one pass that stops at the first possible
+  partner, and one over all remaining pairs. Very large tiles are dealt over several tasks.
 * A bitmap has a bit for the hash of each shingle. Bits that only one of two bitmaps has count
   shingles that only one set has, which bounds the intersection from above.
 """
@@ -37,8 +37,10 @@ from tidemark.llm.components import connected_components
 #: Words are runs of bytes other than ASCII white space.
 WORD_BYTE = is_word_byte((0x20, 0x20), (0x09, 0x0D), inside=False)
 STRIPES = 64
-MOST_BITS = 8192
-#: Sets of one key that are compared in one task.
+#: Bits of a bitmap for each shingle, and at most: at this load bounds are within a few hundredths of the truth.
+BITS_PER_SHINGLE = 16
+MOST_BITS = 1 << 16
+#: Sets of one tile that are compared in one task.
 TILE_ROWS = 4096
 
 
@@ -83,7 +85,7 @@ def _keys(sorted_set: np.ndarray, bands: Bands) -> np.ndarray:
 
 
 def _bitmap(sorted_set: np.ndarray) -> bytes:
-    bits = min(MOST_BITS, max(64, 1 << int(len(sorted_set)).bit_length()))
+    bits = min(MOST_BITS, max(64, 1 << (BITS_PER_SHINGLE * len(sorted_set) - 1).bit_length()))
     flags = np.zeros(bits, bool)
     flags[(sorted_set & U(bits - 1)).astype(np.int64)] = True
     return np.packbits(flags, bitorder="little").tobytes()
@@ -110,12 +112,11 @@ def _sketch(words: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent)
         for batch in batches:
-            n, one, two, bitmaps, keys = [], [], [], [], []
+            n, one, two, keys = [], [], [], []
             for _, found in _shingle_sets(batch, words):
                 n.append(len(found))
                 one.append(int(mix(found).sum(dtype=U).view(np.int64)))
                 two.append(int(mix(found ^ U(STEP)).sum(dtype=U).view(np.int64)))
-                bitmaps.append(_bitmap(found))
                 keys.append(_keys(found, bands).view(np.int64) if len(found) else np.zeros(0, np.int64))
             at = np.zeros(len(keys) + 1, np.int32)
             np.cumsum([len(k) for k in keys], out=at[1:])
@@ -125,10 +126,9 @@ def _sketch(words: int, percent: int):
                     pa.array(n, pa.int64()),
                     pa.array(one, pa.int64()),
                     pa.array(two, pa.int64()),
-                    pa.array(bitmaps, pa.binary()),
                     pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(keys) if keys else [], pa.int64())),
                 ],
-                names=["id", "n", "one", "two", "bitmap", "keys"],
+                names=["id", "n", "one", "two", "keys"],
             )
 
     return run
@@ -139,8 +139,16 @@ def _sets(words: int):
         for batch in batches:
             for part in range(0, batch.num_rows, 256):
                 piece = batch.slice(part, 256)
-                found = [s.astype("<u8").tobytes() for _, s in _shingle_sets(piece, words)]
-                yield pa.RecordBatch.from_arrays([piece.column("id"), pa.array(found, pa.binary())], names=["id", "shingles"])
+                found = [s for _, s in _shingle_sets(piece, words)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        piece.column("id"),
+                        pa.array([len(s) for s in found], pa.int64()),
+                        pa.array([_bitmap(s) if len(s) else b"" for s in found], pa.binary()),
+                        pa.array([s.astype("<u8").tobytes() for s in found], pa.binary()),
+                    ],
+                    names=["id", "n", "bitmap", "shingles"],
+                )
 
     return run
 
@@ -188,7 +196,7 @@ def _linked_pairs(percent: int):
 
 
 def _tile_pairs(percent: int, every: bool):
-    """Pairs of one tile that are in different components and that bitmaps allow.
+    """Pairs of one tile that share a key, are in different components, and that bitmaps allow; each once.
 
     Rows come sorted by tile. ``every``: all such pairs; else a set that found a possible partner is
     not compared further, so that a tile of m near copies gives m pairs and not their square.
@@ -198,30 +206,38 @@ def _tile_pairs(percent: int, every: bool):
         if len({r[2] for r in rows}) < 2:
             return
         rows.sort(key=lambda r: (r[3], r[1]))
-        ids, sizes = np.array([r[1] for r in rows]), np.array([r[3] for r in rows])
-        names, side = np.array([r[2] for r in rows]), np.array([r[5] for r in rows])
-        maps = np.stack([_folded(r[4], min(len(r[4]) for r in rows)) for r in rows])
+        ids, names, sizes, side = (np.array([r[i] for r in rows]) for i in (1, 2, 3, 6))
+        width = min(len(r[4]) for r in rows)
+        maps = np.stack([_folded(r[4], width) for r in rows])
+        holders: dict[int, list[int]] = {}
+        for i, r in enumerate(rows):
+            for key in r[5]:
+                holders.setdefault(key, []).append(i)
+        held = {key: np.array(found) for key, found in holders.items()}
         free = np.ones(len(rows), bool)
-        for i in range(len(rows) - 1):
+        for i, r in enumerate(rows):
             if not every and not free[i]:
                 continue
+            sharing = np.zeros(len(rows), bool)
+            for key in r[5]:
+                sharing[held[key]] = True
             last = int(np.searchsorted(sizes, sizes[i] * 100 // percent, "right"))
-            j = np.arange(i + 1, max(i + 1, last))
-            j = j[(names[j] != names[i]) & ((side[j] != side[i]) | (side[i] < 0)) & (free[j] if not every else True)]
-            if not len(j):
-                continue
-            only_i = sizes[i] - np.bitwise_count(maps[i] & ~maps[j]).sum(1, dtype=np.int64)
-            only_j = sizes[j] - np.bitwise_count(maps[j] & ~maps[i]).sum(1, dtype=np.int64)
-            hit = j[_enough(np.minimum(only_i, only_j), sizes[i], sizes[j], percent)]
-            free[hit] = False
-            for k in hit:
-                yield int(min(ids[i], ids[k])), int(max(ids[i], ids[k]))
+            sharing[: i + 1] = sharing[last:] = False
+            sharing &= (names != names[i]) & ((side != side[i]) | (side < 0))
+            j = np.flatnonzero(sharing if every else sharing & free)
+            for block in np.array_split(j, len(j) // 512 + 1):
+                only_i = sizes[i] - np.bitwise_count(maps[i] & ~maps[block]).sum(1, dtype=np.int64)
+                only_j = sizes[block] - np.bitwise_count(maps[block] & ~maps[i]).sum(1, dtype=np.int64)
+                hit = block[_enough(np.minimum(only_i, only_j), sizes[i], sizes[block], percent)]
+                free[hit] = False
+                for k in hit:
+                    yield int(min(ids[i], ids[k])), int(max(ids[i], ids[k]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def groups():
             now, rows = None, []
             for batch in batches:
-                for row in zip(*(batch.column(c).to_pylist() for c in ("tile", "id", "component", "n", "bitmap", "side"))):
+                for row in zip(*(batch.column(c).to_pylist() for c in ("tile", "id", "component", "n", "bitmap", "keys", "side"))):
                     if row[0] != now:
                         yield rows
                         now, rows = row[0], []
@@ -260,7 +276,7 @@ def ngram_jaccard_groups(
     """
     texts = id_and_text(docs, id_col, text_col)
     sketches = stored(
-        texts.mapInArrow(_sketch(words, percent), "id long, n long, one long, two long, bitmap binary, keys array<long>"),
+        texts.mapInArrow(_sketch(words, percent), "id long, n long, one long, two long, keys array<long>"),
         "sketches",
     )
     named = sketches.where("id is not null and n > 0")
@@ -269,12 +285,14 @@ def ngram_jaccard_groups(
     of_key = Window.partitionBy("key")
     shared = (
         reps.select(F.explode("keys").alias("key"), F.col("id").alias("rep"))
-        .withColumns({"pivot": F.min("rep").over(of_key), "last": F.max("rep").over(of_key), "rows": F.count("*").over(of_key)})
+        .withColumns({"pivot": F.min("rep").over(of_key), "last": F.max("rep").over(of_key)})
         .where("pivot < last")
     )
-    shared = stored(shared.select("key", "rep", "pivot", "rows").distinct(), "shared_keys")
-    candidates = stored(shared.select("rep").distinct(), "candidates")
-    bitmaps = stored(only_ids(reps.select("id", "n", "bitmap"), "id", candidates).distinct(), "bitmaps")
+    shared = shared.groupBy("pivot", "rep").agg(F.collect_set("key").alias("keys"))
+    shared = stored(shared, "shared_keys")
+    candidates = stored(shared.select("rep").union(shared.select("pivot")).distinct(), "candidates")
+    sets = only_ids(texts, "id", candidates).mapInArrow(_sets(words), "id long, n long, bitmap binary, shingles binary").where("n > 0")
+    sets = stored(sets, "sets")
 
     twice = named.groupBy("id").agg(F.min("one").alias("x"), F.max("one").alias("y")).where("x <> y").select("id")
     edges = (
@@ -283,21 +301,15 @@ def ngram_jaccard_groups(
     components = checked = None
     for every in (None, False, True):
         if every is None:
-            pairs = shared.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
+            pairs = shared.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b"))
         else:
-            known = shared.join(components.select(F.col("node").alias("rep"), "component"), "rep", "left")
-            known = stored(known.withColumn("component", F.coalesce("component", "rep")), "known")
-            mixed = known.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-            mixed = stored(mixed.select("key"), "mixed")
-            if mixed.isEmpty():
+            tiles = _tiles(shared, components)
+            if tiles.isEmpty():
                 break
-            tiles = _tiles(known.join(mixed, "key"), bitmaps)
-            pairs = tiles.mapInArrow(_tile_pairs(percent, every), "a long, b long").distinct().join(checked, ["a", "b"], "left_anti")
-        pairs = pairs.join(_side(bitmaps, "a", "n", "bitmap"), "a").join(_side(bitmaps, "b", "n", "bitmap"), "b")
+            pairs = _dealt(tiles, sets).mapInArrow(_tile_pairs(percent, every), "a long, b long").distinct().join(checked, ["a", "b"], "left_anti")
+        pairs = pairs.join(_side(sets, "a", "n", "bitmap"), "a").join(_side(sets, "b", "n", "bitmap"), "b")
         pairs = stored(pairs.mapInArrow(_bounded_pairs(percent), "a long, b long"), "pairs")
         checked = pairs if checked is None else checked.unionByName(pairs)
-        needed = stored(pairs.select("a").union(pairs.select("b")).distinct(), "needed")
-        sets = stored(only_ids(texts, "id", needed).mapInArrow(_sets(words), "id long, shingles binary").where("length(shingles) > 0"), "sets")
         links = pairs.join(_side(sets, "a", "shingles"), "a").join(_side(sets, "b", "shingles"), "b")
         links = links.mapInArrow(_linked_pairs(percent), "a long, b long")
         components = stored(connected_components(edges.unionByName(links)), "components")
@@ -317,20 +329,29 @@ def ngram_jaccard_groups(
     )
 
 
-def _tiles(rows: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """Rows of each key together, sorted; a key of many rows is dealt over tiles that hold each pair of its parts."""
-    parts = F.ceil(F.col("rows") / TILE_ROWS).cast("int")
+def _tiles(shared: DataFrame, components: DataFrame) -> DataFrame:
+    """(tile, id, component, keys, members) of tiles whose sets are in several components."""
+    known = shared.join(components.select(F.col("node").alias("rep"), "component"), "rep", "left")
+    known = known.select(F.col("pivot").alias("tile"), F.col("rep").alias("id"), F.coalesce("component", "rep").alias("component"), "keys")
+    mixed = known.groupBy("tile").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("members"))
+    return stored(known.join(mixed.where("x < y").select("tile", "members"), "tile"), "tiles")
+
+
+def _dealt(tiles: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rows of each tile together, sorted; a large tile is dealt over several, which hold each pair of its parts."""
+    parts = F.ceil(F.col("members") / TILE_ROWS).cast("int")
     own, other = F.col("own"), F.col("other")
-    dealt = rows.withColumn("own", F.pmod(F.xxhash64("rep"), parts).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    dealt = dealt.join(bitmaps.withColumnRenamed("id", "rep"), "rep").select(
-        F.xxhash64("key", F.least(own, other), F.greatest(own, other)).alias("tile"),
-        F.col("rep").alias("id"),
+    rows = tiles.withColumn("own", F.pmod(F.xxhash64("id"), parts).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    rows = rows.join(sets.select("id", "n", "bitmap"), "id").select(
+        F.xxhash64("tile", F.least(own, other), F.greatest(own, other)).alias("tile"),
+        "id",
         "component",
         "n",
         "bitmap",
+        "keys",
         F.when(own == other, -1).otherwise(own).alias("side"),
     )
-    return dealt.repartition("tile").sortWithinPartitions("tile")
+    return rows.repartition("tile").sortWithinPartitions("tile")
 
 
 def _side(table: DataFrame, name: str, *columns: str) -> DataFrame:
