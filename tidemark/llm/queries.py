@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm import oracle
 from tidemark.llm.decontaminate import contamination
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.html_extract import extract_main_text
@@ -80,4 +81,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_packing,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = oracle.SQL
