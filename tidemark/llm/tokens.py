@@ -1,27 +1,44 @@
 """Token ids of texts, with a memory of the ids of the pieces that white space parts.
 
 A byte-pair tokenizer splits text into words first and merges within each. So the ids of a text are
-those of its pieces one after another, and a worker keeps the ids of pieces it has met. Texts to
+those of its pieces one after another, and a worker keeps the ids of pieces and words it has met. Texts to
 which that might not apply (added tokens, unusual white space) go to the tokenizer whole.
 """
 
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
+from array import array
+from collections.abc import Sequence
 
-import numpy as np
+import regex
 from tokenizers import Tokenizer
 
-#: Pieces that a worker remembers, about 200 bytes each; then it starts anew.
-REMEMBERED = 500_000
+#: Pieces, and words, that a worker remembers, about 150 bytes each; then it starts anew.
+REMEMBERED = 1_200_000
 #: White space and control characters other than blank, tab and line ends: such texts are not cut into pieces.
 _UNUSUAL = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -‍    ⁠　﻿]")
+#: ASCII marks that are no letters, digits, white space or apostrophes: a run of them is one word.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Pieces: the white space before them belongs to them.
 _PIECES = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+").findall
 
 
+# The word patterns of byte-level tokenizers that name none, and of those that drop white space.
+_SPACELESS_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_BYTE_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if it is seen, else one from 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class Encoder:
     """encode(texts) gives the ids of each text as little-endian unsigned 32-bit integers."""
 
@@ -32,6 +49,39 @@ class Encoder:
         spaceless = self.tokenizer.encode("  a", add_special_tokens=False).ids == self.tokenizer.encode("a", add_special_tokens=False).ids
         self.split = str.split if spaceless else _PIECES
         self.known: dict[str, bytes] = {}
+        self.known_words: dict[str, bytes] = {}
+        self.words, self.letters = self._word_pattern(), _byte_letters()
+        self.model = Tokenizer(self.tokenizer.model)
+
+    def _word_pattern(self):
+        """What splits a normalised piece into the words that the model merges; None where that is not a plain pattern."""
+        spec = json.loads(self.tokenizer.to_str())
+        if spec["normalizer"] and [n["type"] for n in spec["normalizer"].get("normalizers", ())] != ["NFC", "Replace", "Lowercase"]:
+            return None
+        steps = spec["pre_tokenizer"]
+        steps = steps["pretokenizers"] if steps and steps["type"] == "Sequence" else [steps]
+        last = steps[-1]
+        if not last or last["type"] != "ByteLevel" or last["add_prefix_space"]:
+            return None
+        if len(steps) == 1 and last["use_regex"]:
+            return regex.compile(_BYTE_LEVEL_WORDS).findall
+        one = steps[0]
+        if len(steps) == 2 and not last["use_regex"] and one == {"type": "Split", "pattern": {"Regex": _SPACELESS_WORDS}, "behavior": "Removed", "invert": True}:
+            return regex.compile(_SPACELESS_WORDS).findall
+        return None
+
+    def _words_of(self, piece: str) -> Sequence[str]:
+        """Letters and then marks, the usual piece, are told without the pattern."""
+        if not piece.isascii() and self.tokenizer.normalizer:
+            piece = self.tokenizer.normalizer.normalize_str(piece)
+        elif self.tokenizer.normalizer:
+            piece = piece.lower()
+        body = piece[1:] if piece[:1] == " " else piece
+        core = body.rstrip(_MARKS)
+        if body and (not core or core.isalpha()):
+            cut = len(piece) - len(body) + len(core)
+            return (piece,) if not core or len(core) == len(body) else (piece[:cut], piece[cut:])
+        return self.words(piece)
 
     def _whole(self, text: str) -> bool:
         if _UNUSUAL.search(text):
@@ -40,26 +90,35 @@ class Encoder:
         return any(t in lower for t in self.added)
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _piece_ids(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces by those of their words, so that marks around a word do not make it new."""
+        if self.words is None:
+            return self._ids(pieces)
+        split = [self._words_of(p) for p in pieces]
+        if len(self.known_words) > REMEMBERED:
+            self.known_words = {}
+        new = list({w for own in split for w in own if w not in self.known_words})
+        spelt = [w.encode().decode("latin-1").translate(self.letters) for w in new]
+        for word, e in zip(new, self.model.encode_batch_fast(spelt, add_special_tokens=False)):
+            self.known_words[word] = array("I", e.ids).tobytes()
+        get = self.known_words.__getitem__
+        return [b"".join(map(get, own)) for own in split]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes | None] = []
-        pieces, new = [], set()
+        pieces: list[list[str] | None] = []
+        new: set[str] = set()
         if len(self.known) > REMEMBERED:
             self.known = {}
         for text in texts:
-            if self._whole(text):
-                pieces.append(None)
-                continue
-            own = self.split(text)
+            own = None if self._whole(text) else self.split(text)
             pieces.append(own)
-            new.update(own)
-        new = [p for p in new if p not in self.known]
-        self.known.update(zip(new, self._ids(new)))
+            new.update(own or ())
+        fresh = [p for p in new if p not in self.known]
+        self.known.update(zip(fresh, self._piece_ids(fresh)))
         get = self.known.__getitem__
-        for text, own in zip(texts, pieces):
-            out.append(self._ids([text])[0] if own is None else b"".join(map(get, own)))
-        return out
+        return [self._ids([text])[0] if own is None else b"".join(map(get, own)) for text, own in zip(texts, pieces)]
 
 
 @functools.cache
