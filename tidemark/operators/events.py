@@ -23,8 +23,13 @@ QUALITY, FRESHNESS = 0.95, 50.0
 
 
 def with_rarity(detections: DataFrame) -> DataFrame:
-    """Rarity of each kept detection: per cent rank of its metric among those of its indicator and pattern."""
-    kept = detections.where("flag").drop("flag")
+    """Rarity of each kept detection: per cent rank of its metric, to eight decimals, among those of its indicator and pattern.
+
+    The rows pass a generator before the filter, so that the optimizer does not copy the detectors'
+    deep expressions into the condition, once for every use of every step.
+    """
+    made = detections.withColumn("metric", F.round("metric", 8)).select(F.inline(F.array(F.struct(*detections.columns))))
+    kept = made.where("flag").drop("flag")
     return kept.withColumn("rarity", percent_rank("metric", ["indicator", "pattern"]))
 
 

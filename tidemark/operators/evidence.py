@@ -25,7 +25,7 @@ def table_evidence(tables: DataFrame) -> DataFrame:
     headers = table.where((F.col("r") < 8) & (F.col("r") < F.col("n_rows") - 1))
     years = F.filter(F.transform("row", lambda c, i: F.struct(year_token(c).alias("year"), i.alias("i"))), lambda y: y["year"].isNotNull())
     headers = headers.withColumn("years", F.array_sort(years)).where(F.size("years") >= 2)
-    left, right = F.element_at("years", -2), F.element_at("years", -1)
+    left, right = F.try_element_at("years", F.lit(-2)), F.try_element_at("years", F.lit(-1))
     heading = F.lower(F.concat_ws(" ", F.array_join("row", " "), F.coalesce("unit_hint", F.lit(""))))
     headers = headers.select(
         "source_url", "location", F.col("r").alias("h"), left.alias("left"), right.alias("right"), heading.rlike(r"%|percentual|percent\b").alias("in_heading")

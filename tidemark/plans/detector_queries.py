@@ -49,7 +49,7 @@ def rolled(spark: SparkSession, sf_dir: str, flow: str, min_count: float, p: D.F
 
 
 def shown(rows: DataFrame, *extra: str) -> DataFrame:
-    return rows.select("entity", "pattern", "flag", "scope", *(F.round(c, 6).alias(c) for c in (*METRICS, *extra)))
+    return rows.select("entity", "pattern", "flag", "scope", *(F.round(c, 8).alias(c) for c in (*METRICS, *extra)))
 
 
 SIX = ANNUAL + """,
@@ -75,9 +75,9 @@ d AS (SELECT *, {median('e0')} AS base, CASE WHEN kk > 0 THEN kt / (sqrt(kk) * s
 e AS (SELECT *, list_transform(e0, lambda q: q - base) AS e, base + slope * 5 AS expected, cur - prev AS delta FROM d),
 f AS (SELECT *, abs(cur - expected) / greatest({mad('e')}, {mad('d')}, 1.0) AS gap, CASE WHEN abs(prev) > 1e-9 THEN delta / abs(prev) ELSE 0 END AS pct FROM e)
 SELECT entity, 'INVERSIONE' AS pattern, med >= {least} AND dominance >= 0.75 AND abs(rho) >= 0.8 AND abs(slope) > 1e-9 AND sign(delta) <> sign(slope) AND gap >= 2
-    AND abs(pct) >= {by(0.03, 0.05, 0.10)} AND abs(delta) >= greatest(5, ({by(0.01, 0.03, 0.10)}) * med) AS flag, scope, round(gap, 6) AS metric,
-  round(0.65 * least(100, 50 + 20 * greatest(gap - 2, 0)) + 0.35 * least(100, abs(pct) * 500), 6) AS strength,
-  round(least(100, 50 + 30 * dominance + 20 * abs(rho)), 6) AS persistence, round(slope, 6) AS slope, round(rho, 6) AS rho, round(expected, 6) AS expected, round(pct, 6) AS pct FROM f"""
+    AND abs(pct) >= {by(0.03, 0.05, 0.10)} AND abs(delta) >= greatest(5, ({by(0.01, 0.03, 0.10)}) * med) AS flag, scope, round(gap, 8) AS metric,
+  round(0.65 * least(100, 50 + 20 * greatest(gap - 2, 0)) + 0.35 * least(100, abs(pct) * 500), 8) AS strength,
+  round(least(100, 50 + 30 * dominance + 20 * abs(rho)), 8) AS persistence, round(slope, 8) AS slope, round(rho, 8) AS rho, round(expected, 8) AS expected, round(pct, 8) AS pct FROM f"""
 
 
 def _divergence_sql(flow: str, least: float) -> str:
@@ -88,11 +88,11 @@ g AS (SELECT entity, list(rate ORDER BY year) AS l, list(rest ORDER BY year) AS
   WHERE rate IS NOT NULL AND rest IS NOT NULL GROUP BY entity HAVING count(*) = (SELECT count(*) FROM years)),
 c AS (SELECT *, list_transform(range(2, 7), lambda i: (l[i] - l[i - 1]) / nullif(l[i - 1], 0)) AS lc, list_transform(range(2, 7), lambda i: (b[i] - b[i - 1]) / nullif(b[i - 1], 0)) AS bc,
   len(list_filter(l[1:5], lambda q: q > 0)) = 5 AND len(list_filter(b[1:5], lambda q: q > 0)) = 5 AS valid, {median('n[1:5]')} AS med FROM g),
-d AS (SELECT *, list_transform(range(1, 6), lambda i: lc[i] - bc[i]) AS gaps, {_scope('med', D.NATURAL)} AS scope FROM c),
+d AS (SELECT *, list_transform(range(1, 8), lambda i: lc[i] - bc[i]) AS gaps, {_scope('med', D.NATURAL)} AS scope FROM c),
 e AS (SELECT *, gaps[5] AS gap, gaps[1:4] AS past, sign(lc[5]) <> sign(bc[5]) AS opposite FROM d),
 f AS (SELECT *, CASE WHEN valid THEN (gap - {median('past')}) / greatest({mad('past')}, 0.03) END AS dz FROM e)
 SELECT entity, 'DIVERGENZA' AS pattern, coalesce(valid AND med >= {least} AND abs(dz) >= 2.5 AND abs(gap) >= CASE WHEN opposite THEN 0.05 ELSE 0.1 END AND scope <> 'LOCALE', false) AS flag, scope,
-  round(abs(dz), 6) AS metric, round(0.6 * least(100, 50 + 20 * greatest(abs(dz) - 2.5, 0)) + 0.4 * least(100, abs(gap) * 500), 6) AS strength, 60.0::DOUBLE AS persistence, round(gap, 6) AS gap FROM f"""
+  round(abs(dz), 8) AS metric, round(0.6 * least(100, 50 + 20 * greatest(abs(dz) - 2.5, 0)) + 0.4 * least(100, abs(gap) * 500), 8) AS strength, 60.0::DOUBLE AS persistence, round(gap, 8) AS gap FROM f"""
 
 
 def _rolled_sql(flow: str, least: float, p: D.Flow) -> str:
@@ -107,8 +107,8 @@ a AS (SELECT *, r[-1] AS cur, list_max(r[:-2]) AS top, list_min(r[:-2]) AS botto
 b AS (SELECT *, CASE WHEN cur > top THEN cur - top WHEN cur < bottom THEN bottom - cur ELSE 0 END AS margin, CASE WHEN cur > top THEN top WHEN cur < bottom THEN bottom ELSE 1 END AS ref,
   CASE WHEN cur > top THEN 'RECORD_MAX' WHEN cur < bottom THEN 'RECORD_MIN' END AS pattern FROM a),
 c AS (SELECT *, margin / greatest(abs(ref), 1) * 100 AS metric0 FROM b)
-SELECT entity, pattern, eligible AND pattern IS NOT NULL AND margin >= greatest({p.record_abs}, {p.record_share} * greatest(ref, 1)) AS flag, scope, round(metric0, 6) AS metric,
-  round(least(100, 55 + metric0 * {p.record_slope}), 6) AS strength, 70.0::DOUBLE AS persistence FROM c"""
+SELECT entity, pattern, eligible AND pattern IS NOT NULL AND margin >= greatest({p.record_abs}, {p.record_share} * greatest(ref, 1)) AS flag, scope, round(metric0, 8) AS metric,
+  round(least(100, 55 + metric0 * {p.record_slope}), 8) AS strength, 70.0::DOUBLE AS persistence FROM c"""
 
 
 def _trend_sql(flow: str, least: float, p: D.Flow, faster: bool) -> str:
@@ -125,7 +125,7 @@ b AS (SELECT *, {theil_sen('o')} AS old_slope, {theil_sen('n')} AS new_slope, {d
 c AS (SELECT *, greatest({mad('dw')}, 1.0) AS vol, len(list_filter(dq, lambda q: sign(q) = sign(new_slope))) AS agreeing, abs(old_slope) AS old_abs, abs(new_slope) AS new_abs FROM b),
 d AS (SELECT *, new_abs / (old_abs + 1e-9) AS ratio, ({step}) / vol AS score FROM c)
 SELECT entity, '{"ACCELERAZIONE" if faster else "RALLENTAMENTO"}' AS pattern, eligible AND sign(old_slope) = sign(new_slope) AND old_abs > 1e-9 AND new_abs > 1e-9 AND agreeing >= 2 AND {step} > 0 AND {test} AS flag,
-  scope, round(score, 6) AS metric, round({strength}, 6) AS strength, 75.0::DOUBLE AS persistence, round(old_slope, 6) AS old_slope, round(new_slope, 6) AS new_slope, round(volatility, 6) AS volatility
+  scope, round(score, 8) AS metric, round({strength}, 8) AS strength, 75.0::DOUBLE AS persistence, round(old_slope, 8) AS old_slope, round(new_slope, 8) AS new_slope, round(volatility, 8) AS volatility
 FROM (SELECT *, vol AS volatility FROM d)"""
 
 
@@ -137,9 +137,9 @@ e AS (SELECT *, list_transform(e0, lambda q: q - base) AS e, base + slope * len(
 f AS (SELECT *, {median('e')} AS centre, {sd('e')} AS dev FROM e),
 g AS (SELECT *, {median("list_transform(e, lambda q: abs(q - centre))")} AS raw FROM f),
 z AS (SELECT *, 0.6745 * ((cur - expected) - centre) / CASE WHEN raw > 1e-9 THEN raw WHEN dev > 1e-9 THEN dev END AS z, (cur - expected) / greatest(abs(expected), 1) * 100 AS gap_pct FROM g)
-SELECT entity, 'ANOMALIA' AS pattern, coalesce(eligible AND abs(z) >= {p.anomaly_z} AND abs(gap_pct) >= {p.anomaly_gap}, false) AS flag, scope, round(abs(z), 6) AS metric,
-  round(0.65 * least(100, 50 + {p.anomaly_z_gain} * greatest(abs(z) - {p.anomaly_z}, 0)) + 0.35 * least(100, abs(gap_pct) * {p.anomaly_gap_gain}), 6) AS strength, 50.0::DOUBLE AS persistence,
-  round(gap_pct, 6) AS gap_pct, round(expected, 6) AS expected FROM z"""
+SELECT entity, 'ANOMALIA' AS pattern, coalesce(eligible AND abs(z) >= {p.anomaly_z} AND abs(gap_pct) >= {p.anomaly_gap}, false) AS flag, scope, round(abs(z), 8) AS metric,
+  round(0.65 * least(100, 50 + {p.anomaly_z_gain} * greatest(abs(z) - {p.anomaly_z}, 0)) + 0.35 * least(100, abs(gap_pct) * {p.anomaly_gap_gain}), 8) AS strength, 50.0::DOUBLE AS persistence,
+  round(gap_pct, 8) AS gap_pct, round(expected, 8) AS expected FROM z"""
 
 
 def _add(name: str, f, sql: str) -> None:

@@ -229,7 +229,7 @@ round(date_diff('second', max(ts), TIMESTAMP '2024-02-15') / 3600.0, 4) AS age_h
 )
 def health_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
     ok = F.count_if(F.col("event_type") == "purchase")
-    age = (F.unix_seconds(F.lit("2024-02-15").cast("timestamp")) - F.unix_seconds(F.max("ts"))) / 3600.0
+    age = (F.unix_seconds(F.lit("2024-02-15").cast("timestamp")) - F.unix_seconds(F.max("ts").cast("timestamp"))) / 3600.0
     return table(spark, sf_dir, "events").agg(ok.alias("verified"), F.count("*").alias("n_all"), F.round(F.try_divide(ok * 100.0, F.count("*")), 6).alias("share_pct"), F.round(age, 4).alias("age_hours"))
 
 
