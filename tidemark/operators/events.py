@@ -28,8 +28,8 @@ def with_rarity(detections: DataFrame) -> DataFrame:
     The rows pass a generator before the filter, so that the optimizer does not copy the detectors'
     deep expressions into the condition, once for every use of every step.
     """
-    made = detections.withColumn("metric", F.round("metric", 8)).select(F.inline(F.array(F.struct(*detections.columns))))
-    kept = made.where("flag").drop("flag")
+    made = detections.select(F.inline(F.array(F.struct(*detections.columns))))
+    kept = made.where("flag").drop("flag").withColumn("metric", F.round("metric", 8))
     return kept.withColumn("rarity", percent_rank("metric", ["indicator", "pattern"]))
 
 
