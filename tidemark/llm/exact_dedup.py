@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm._common import id_and_text, only_ids, stored
+from tidemark.llm._common import col, id_and_text, only_ids, stored
 
 #: Entries that a bucket holds before it splits.
 BUCKET_ENTRIES = 50_000
@@ -104,7 +104,25 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, that are kept, ids being unique; rows without an id go where a copy stays."""
+    """The rows of ``docs``, all columns, that exact_dedup keeps: one of each group, also where rows repeat their id or have none.
+
+    An id whose rows all go is dropped by id. Rows of an id of which some stay, and rows without an
+    id, are told apart by the digest of their text; of rows that have both in common one is taken.
+    """
     found = exact_dedup(docs, id_col, text_col)
-    dropped = stored(found.where("not kept and doc_id is not null").select("doc_id").distinct(), "dropped")
-    return only_ids(docs, id_col, dropped, "left_anti")
+    verdicts = found.groupBy("doc_id").agg(F.bool_or("kept").alias("some"), F.bool_and("kept").alias("every"))
+    verdicts = stored(verdicts.where("not every").select("doc_id", "some"), "verdicts")
+    rest = only_ids(docs, id_col, verdicts.where("doc_id is not null").select("doc_id"), "left_anti").select(*map(col, docs.columns))
+    unnamed = verdicts.where("doc_id is null").first()
+    if unnamed:
+        rest = rest.where(col(id_col).isNotNull())
+    if verdicts.where("some").isEmpty():
+        return rest
+    rows = only_ids(docs, id_col, verdicts.where("some and doc_id is not null").select("doc_id"))
+    if unnamed and unnamed["some"]:
+        rows = rows.unionByName(docs.where(col(id_col).isNull()))
+    digest = F.sha2(normalised(F.coalesce(col(text_col), F.lit(""))), 256)
+    one = rows.groupBy(col(id_col).alias("id"), digest.alias("digest")).agg(F.first(F.struct(*map(col, docs.columns))).alias("whole"))
+    kept = found.where("kept").select("doc_id", "text_sha256")
+    one = one.join(kept, one["id"].eqNullSafe(kept["doc_id"]) & (one["digest"] == kept["text_sha256"]), "left_semi")
+    return rest.unionByName(one.select("whole.*"))
