@@ -1,7 +1,9 @@
 """The stages of the pipeline decide on rows: repeated ids, ids with several texts and rows without an id."""
 
 from tests.llm.conftest import AWKWARD
+from tidemark.llm.decontaminate import without_contaminated
 from tidemark.llm.exact_dedup import without_copies
+from tidemark.llm.quality import quality_scores, without_rejected
 
 
 def test_one_row_of_each_text_stays(spark, awkward):
@@ -24,3 +26,24 @@ def test_all_rows_without_ids(spark):
     docs = spark.createDataFrame([(None, "x")] * 3 + [(None, "z")], "doc_id long, text string").repartition(2)
     assert sorted(r["text"] for r in without_copies(docs).collect()) == ["x", "z"]
     assert without_copies(docs.where("text = 'z'")).count() == 1
+
+
+def test_rows_are_rejected_by_their_own_text(spark):
+    good, bad = "plain words of a calm story " * 4, "$$$ BUY !!! 99 %% NOW $$$ " * 4
+    rows = [(i, good if i % 2 else bad) for i in range(60)] + [(None, good), (None, bad), (None, None), (1, bad), (0, good)]
+    docs = spark.createDataFrame([("x", *r) for r in rows], "lang string, doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(2, 60)], "doc_id long, quality int")
+    kept = without_rejected(docs, labels)
+    found = sorted((-1 if r["doc_id"] is None else r["doc_id"], r["text"]) for r in kept.collect() if r["text"])
+    assert kept.columns == docs.columns and found == sorted([(-1, good), (0, good)] + [(i, good) for i in range(1, 60, 2)])
+    assert kept.count() == quality_scores(docs, labels).where("predicted = 1").count()
+
+
+def test_rows_are_contaminated_by_their_own_text(spark):
+    rows = [(1, "clean text here"), (1, "one two three"), (None, "one two three"), (None, "other words"), (None, None), (2, "ONE, two")]
+    docs = spark.createDataFrame([("x", *r) for r in rows], "text string, doc_id long, body string").repartition(3)
+    items = spark.createDataFrame([(1, "one two"), (2, "two three")], "item_id long, text string")
+    for block_bytes in (8 << 20, 1):
+        kept = without_contaminated(docs, items, text_col="body", block_bytes=block_bytes)
+        found = sorted((r["doc_id"] or 0, r["body"] or "") for r in kept.collect())
+        assert kept.columns == docs.columns and found == [(0, ""), (0, "other words"), (1, "clean text here")]

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm._common import col, id_and_text, stored, text_slices
+from tidemark.llm._common import col, id_and_text, only_ids, stored, text_slices
 from tidemark.llm._hashing import LOWER, U, is_word_byte, prefix_sums, rolled, span_hashes, words_of
 
 #: Words are runs of ASCII letters, digits and all bytes beyond ASCII.
@@ -217,12 +217,13 @@ def _united(spans):
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text is not contaminated; rows without an id stay."""
-    from tidemark.llm._common import only_ids
-
-    found = contamination(docs, benchmark, id_col, text_col, **options)
-    bad = stored(found.where("contaminated and doc_id is not null").select("doc_id").distinct(), "contaminated")
-    return only_ids(docs, id_col, bad, "left_anti")
+    """The rows of ``docs``, all columns, whose own text is not contaminated, with or without an id."""
+    whole = F.struct(*map(col, docs.columns)).alias("whole")
+    rows = stored(docs.select(F.monotonically_increasing_id().alias("row"), whole), "rows")
+    texts = rows.select("row", F.col("whole").getField(text_col).alias("text"))
+    found = contamination(texts, benchmark, "row", "text", **options)
+    bad = stored(found.where("contaminated").select("doc_id"), "contaminated")
+    return only_ids(rows, "row", bad, "left_anti").select("whole.*")
 
 
 def without_spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

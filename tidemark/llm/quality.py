@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm._common import col, id_and_text, only_ids, stored, text_slices
+from tidemark.llm._common import col, id_and_text, stored, text_slices
 from tidemark.llm._hashing import LOWER, STEP, U, mix, prefix_sums, span_hashes, words_of
 
 BITS = 18
@@ -132,13 +132,27 @@ def train_quality(
     return np.frombuffer(model[0], "<f4") if model else np.zeros(1 << bits, "<f4")
 
 
+def _scores(weights: np.ndarray, batch: pa.RecordBatch, bits: int, column: str = "text") -> np.ndarray:
+    dots = [weights[i] @ x for _, _, data, offsets in text_slices(batch, column) for i, x in features(data, offsets, bits)]
+    return 1 / (1 + np.exp(-np.clip(np.array(dots, float), -30, 30)))
+
+
 def _score(broadcast, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = broadcast.value.astype(np.float64)
         for batch in batches:
-            dots = [weights[i] @ x for _, _, data, offsets in text_slices(batch) for i, x in features(data, offsets, bits)]
-            score = 1 / (1 + np.exp(-np.clip(np.array(dots, float), -30, 30)))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(score)], names=["id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(_scores(weights, batch, bits))], names=["id", "score"])
+
+    return run
+
+
+def _accept(broadcast, bits: int, column: str):
+    """Whole rows of a score of 0.5 or more; the slots of null texts are empty."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = broadcast.value.astype(np.float64)
+        for batch in batches:
+            yield batch.filter(pa.array(_scores(weights, batch, bits, column) >= 0.5, pa.bool_()))
 
     return run
 
@@ -157,6 +171,11 @@ def held_out(id_col: str):
     return F.crc32(F.encode(F.coalesce(col(id_col).cast("string"), F.lit("")), "UTF-8")) % 3 == 1
 
 
+def _learnt(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str = "quality", **options) -> np.ndarray:
+    learnt = labels.where(~held_out(id_col)).select(col(id_col).alias("id"), col(label_col).alias("label"))
+    return train_quality(docs, learnt, id_col, text_col, **options)
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", **options) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row of ``docs``.
 
@@ -165,14 +184,13 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     alone. Repeated rows repeat their score; an empty table gives an empty result, and without labels
     every score is 0.5. Other columns are ignored.
     """
-    learnt = labels.where(~held_out(id_col)).select(col(id_col).alias("id"), col(label_col).alias("label"))
-    weights = train_quality(docs, learnt, id_col, text_col, **options)
+    weights = _learnt(docs, labels, id_col, text_col, label_col, **options)
     scored = score_quality(docs, weights, id_col, text_col)
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def without_rejected(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs``, all columns, that score at least 0.5; rows without an id stay."""
-    scored = quality_scores(docs, labels, id_col, text_col, **options)
-    bad = stored(scored.where("predicted = 0 and doc_id is not null").select("doc_id").distinct(), "rejected")
-    return only_ids(docs, id_col, bad, "left_anti")
+    """The rows of ``docs``, all columns, that score at least 0.5, each by its own text, with or without an id."""
+    weights = _learnt(docs, labels, id_col, text_col, **options)
+    broadcast = docs.sparkSession.sparkContext.broadcast(weights)
+    return docs.mapInArrow(_accept(broadcast, len(weights).bit_length() - 1, text_col), docs.schema)
