@@ -129,3 +129,10 @@ def test_archives_of_awkward_pages(spark, awkward_pages):
     small = {r["page_id"]: r["record_type"] for r in deduplicated_archives(rows, min_bytes=12).collect()}
     assert set(small.values()) == {"response"}
     assert deduplicated_archives(awkward_pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("siblings", [63, 64, 200])
+def test_share_of_siblings_with_the_same_tag(siblings):
+    page = parse("<section>" + "<p>text</p>" * (siblings - 1) + "<div>advert</div></section>")
+    share = {page.nodes[i].tag: row[13] for i, row in enumerate(features(page))}
+    assert share["div"] == 1 / siblings and share["p"] == (siblings - 1) / siblings

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 from math import log1p
@@ -212,6 +213,7 @@ def features(page: Page) -> list[list[float]]:
     above: list[list[int]] = [[0] * (len(TOKENS) + 8) for _ in range(n)]
     marks = {"article": 0, "main": 0, "nav": 1, "header": 2, "footer": 3, "aside": 4, "form": 5, "table": 6, "li": 7, "ul": 7}
     place = [0] * n
+    tags_below: dict[int, Counter[str]] = {}
     out = []
     for i, node in enumerate(nodes):
         p = node.parent
@@ -223,7 +225,9 @@ def features(page: Page) -> list[list[float]]:
             if mark is not None:
                 up[len(TOKENS) + mark] = 1
             siblings = nodes[p].children
-            same = sum(nodes[s].tag == node.tag for s in siblings) if len(siblings) < 64 else len(siblings)
+            if p not in tags_below:
+                tags_below[p] = Counter(nodes[s].tag for s in siblings)
+            same = tags_below[p][node.tag]
         else:
             up, siblings, same = above[i], [0], 1
         for k, c in enumerate(node.children):
