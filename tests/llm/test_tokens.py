@@ -32,7 +32,33 @@ def test_pieces_give_the_ids_of_whole_texts(path, texts):
     every = [*odd, *(t or "" for t in texts.values())]
     tokenizer = Tokenizer.from_file(path)
     want = [e.ids for e in tokenizer.encode_batch(every, add_special_tokens=False)]
-    assert [np.frombuffer(b, "<u4").tolist() for b in Encoder(path).encode(every)] == want
+    for memory in (32 << 20, 4096):
+        encoder = Encoder(path, memory)
+        assert [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(every)] == want
+        assert [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(every[::-1])] == want[::-1]
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_every_code_point(path):
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    every = ["\t".join(f"a{c}'d" for c in points[i : i + 256]) for i in range(0, len(points), 256)]
+    encoder = Encoder(path)
+    assert list(encoder.encode(every)) == encoder._library(every)
+
+
+def test_long_texts_in_blocks():
+    encoder = Encoder(BYTE)
+    every = ["x" * 300_000, "ab, C 12\n" * 40_000, "é" * 270_000 + " a", "a " + " " * 280_000]
+    assert list(encoder.encode(every)) == encoder._library(every)
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_memory_is_bounded(path):
+    encoder = Encoder(path, 1 << 20)
+    for i in range(40):
+        list(encoder.encode([" ".join(f"w{i}x{j}" for j in range(2000))] * 2))
+        size = sum(len(p) + len(v) + 120 for held in (encoder.known, encoder.older) for p, v in held.items())
+        assert size <= (1 << 20) + 2 * 120 * 8000
 
 
 def test_counts(spark, docs, texts):

@@ -1,8 +1,9 @@
-"""Token ids of texts, with a memory of the ids of the pieces that white space parts.
+"""Token ids of texts, with a bounded memory of the ids of their words.
 
-A byte-pair tokenizer splits text into words first and merges within each. So the ids of a text are
-those of its pieces one after another, and a worker keeps the ids of pieces and words it has met. Texts to
-which that might not apply (added tokens, unusual white space) go to the tokenizer whole.
+A byte-pair tokenizer splits text into words first and merges within each, so the ids of a text are
+those of its words one after another, and a worker keeps the ids of words it has met. Only pieces of ASCII are
+split into words here, where no two Unicode tables can differ, and merged by the tokenizer's own model. Other
+pieces go to the library as they are, and texts that white space might not part go to it whole.
 """
 
 from __future__ import annotations
@@ -12,49 +13,53 @@ import json
 import os
 import re
 from array import array
-from collections.abc import Sequence
+from collections.abc import Iterator
+from itertools import islice
 
-import regex
 from tokenizers import Tokenizer
 
-#: Pieces, and words, that a worker remembers, about 150 bytes each; then it starts anew.
-REMEMBERED = 1_200_000
-#: White space and control characters other than blank, tab and line ends: such texts are not cut into pieces.
-_UNUSUAL = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -‍    ⁠　﻿]")
-#: ASCII marks that are no letters, digits, white space or apostrophes: a run of them is one word.
-_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-#: Pieces: the white space before them belongs to them.
-_PIECES = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+").findall
-
+#: Bytes of words and ids that a worker remembers, in two generations, at about ``_ENTRY`` bytes beside each.
+MEMORY_BYTES = 32 << 20
+_ENTRY = 120
+#: Characters of texts that are encoded together, and words of a longer text.
+CHUNK_CHARS = 1 << 18
+BLOCK_WORDS = 1 << 16
+#: White space and joiners other than ASCII's own white space: texts with them are not parted.
+_UNUSUAL = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200d\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
 
 # The word patterns of byte-level tokenizers that name none, and of those that drop white space.
-_SPACELESS_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _BYTE_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_SPACELESS_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
+#: The letters that stand for ASCII's white space and control characters in byte-level vocabularies.
+_LETTERS = {byte: chr(256 + i) for i, byte in enumerate([*range(33), 127])}
 
-def _byte_letters() -> dict[int, str]:
-    """The letter that stands for each byte in byte-level vocabularies: itself if it is seen, else one from 256 on."""
-    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    hidden = [b for b in range(256) if b not in seen]
-    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+def _parts(words: str, spaceless: bool) -> re.Pattern:
+    """Parts of a text: pieces that hold more than ASCII, with the white space before them, and words of the others."""
+    for long, short in ((r"[\p{L}]", "[A-Za-z]"), (r"[\p{N}]", "[0-9]"), (r"\p{L}\p{N}", "A-Za-z0-9"), (r"\p{L}", "[A-Za-z]"), (r"\p{N}", "[0-9]")):
+        words = words.replace(long, short)
+    before = "" if spaceless else r"\s*+"
+    return re.compile(rf"{before}[!-~\x00-\x08\x0e-\x1f\x7f]*+[^\x00-\x7f]\S*|" + (f"(?i:{words})" if spaceless else words), re.ASCII)
 
 
 class Encoder:
     """encode(texts) gives the ids of each text as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memory_bytes: int = MEMORY_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = Tokenizer(self.tokenizer.model)
         self.added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        spaceless = self.tokenizer.encode("  a", add_special_tokens=False).ids == self.tokenizer.encode("a", add_special_tokens=False).ids
-        self.split = str.split if spaceless else _PIECES
+        self.parts = self._pattern()
+        self.lowers = bool(self.tokenizer.normalizer)
+        self.generation = memory_bytes // 2
         self.known: dict[str, bytes] = {}
-        self.known_words: dict[str, bytes] = {}
-        self.words, self.letters = self._word_pattern(), _byte_letters()
-        self.model = Tokenizer(self.tokenizer.model)
+        self.older: dict[str, bytes] = {}
+        self.held = 0
 
-    def _word_pattern(self):
-        """What splits a normalised piece into the words that the model merges; None where that is not a plain pattern."""
+    def _pattern(self) -> re.Pattern | None:
+        """What parts a text; None where the tokenizer's words do not come from a plain pattern."""
         spec = json.loads(self.tokenizer.to_str())
         if spec["normalizer"] and [n["type"] for n in spec["normalizer"].get("normalizers", ())] != ["NFC", "Replace", "Lowercase"]:
             return None
@@ -64,61 +69,64 @@ class Encoder:
         if not last or last["type"] != "ByteLevel" or last["add_prefix_space"]:
             return None
         if len(steps) == 1 and last["use_regex"]:
-            return regex.compile(_BYTE_LEVEL_WORDS).findall
+            return _parts(_BYTE_LEVEL_WORDS, spaceless=False)
         one = steps[0]
         if len(steps) == 2 and not last["use_regex"] and one == {"type": "Split", "pattern": {"Regex": _SPACELESS_WORDS}, "behavior": "Removed", "invert": True}:
-            return regex.compile(_SPACELESS_WORDS).findall
+            return _parts(_SPACELESS_WORDS, spaceless=True)
         return None
 
-    def _words_of(self, piece: str) -> Sequence[str]:
-        """Letters and then marks, the usual piece, are told without the pattern."""
-        if not piece.isascii() and self.tokenizer.normalizer:
-            piece = self.tokenizer.normalizer.normalize_str(piece)
-        elif self.tokenizer.normalizer:
-            piece = piece.lower()
-        body = piece[1:] if piece[:1] == " " else piece
-        core = body.rstrip(_MARKS)
-        if body and (not core or core.isalpha()):
-            cut = len(piece) - len(body) + len(core)
-            return (piece,) if not core or len(core) == len(body) else (piece[:cut], piece[cut:])
-        return self.words(piece)
+    def _library(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _merged(self, words: list[str]) -> list[bytes]:
+        """Ids of single words of ASCII, by the model alone."""
+        spelt = [(w.lower() if self.lowers else w).translate(_LETTERS) for w in words]
+        return [array("I", e.ids).tobytes() for e in self.model.encode_batch_fast(spelt, add_special_tokens=False)]
 
     def _whole(self, text: str) -> bool:
-        if _UNUSUAL.search(text):
+        """Whether a text must not be parted."""
+        if self.parts is None or (not text.isascii() and _UNUSUAL.search(text)):
             return True
         lower = text.lower()
         return any(t in lower for t in self.added)
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _piece_ids(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces by those of their words, so that marks around a word do not make it new."""
-        if self.words is None:
-            return self._ids(pieces)
-        split = [self._words_of(p) for p in pieces]
-        if len(self.known_words) > REMEMBERED:
-            self.known_words = {}
-        new = list({w for own in split for w in own if w not in self.known_words})
-        spelt = [w.encode().decode("latin-1").translate(self.letters) for w in new]
-        for word, e in zip(new, self.model.encode_batch_fast(spelt, add_special_tokens=False)):
-            self.known_words[word] = array("I", e.ids).tobytes()
-        get = self.known_words.__getitem__
-        return [b"".join(map(get, own)) for own in split]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        pieces: list[list[str] | None] = []
-        new: set[str] = set()
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        for text in texts:
-            own = None if self._whole(text) else self.split(text)
-            pieces.append(own)
-            new.update(own or ())
-        fresh = [p for p in new if p not in self.known]
-        self.known.update(zip(fresh, self._piece_ids(fresh)))
-        get = self.known.__getitem__
-        return [self._ids([text])[0] if own is None else b"".join(map(get, own)) for text, own in zip(texts, pieces)]
+    def _learn(self, parts: set[str]) -> None:
+        """Puts the ids of the parts into the newer generation."""
+        missing = parts.difference(self.known)
+        new = missing.difference(self.older)
+        words = [p for p in new if p.isascii()]
+        others = [p for p in new if not p.isascii()]
+        found = dict(zip(words, self._merged(words)))
+        found.update(zip(others, self._library(others)))
+        found.update((p, self.older[p]) for p in missing.difference(new))
+        self.known.update(found)
+        self.held += _ENTRY * len(found) + sum(map(len, found)) + sum(map(len, found.values()))
+
+    def _age(self) -> None:
+        if self.held > self.generation:
+            self.older, self.known, self.held = self.known, {}, 0
+
+    def _long(self, text: str) -> bytes:
+        out, parts = [], (m.group() for m in self.parts.finditer(text))
+        while block := list(islice(parts, BLOCK_WORDS)):
+            self._learn(set(block))
+            out.append(b"".join(map(self.known.__getitem__, block)))
+            self._age()
+        return b"".join(out)
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        for _, some in chunks(texts):
+            whole = [self._whole(text) for text in some]
+            parts = [() if alone or len(text) > CHUNK_CHARS else self.parts.findall(text) for text, alone in zip(some, whole)]
+            self._learn(set().union(*parts))
+            ids = [b"".join(map(self.known.__getitem__, own)) for own in parts]
+            self._age()
+            for text, alone, own in zip(some, whole, ids):
+                if alone:
+                    own = self._library([text])[0]
+                elif len(text) > CHUNK_CHARS:
+                    own = self._long(text)
+                yield own
 
 
 @functools.cache
@@ -127,13 +135,13 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def chunks(texts: list[str], most: int = 1 << 20):
+def chunks(texts: list[str], most: int = CHUNK_CHARS) -> Iterator[tuple[int, list[str]]]:
     """(first, rows) of runs of texts of about ``most`` characters."""
     first, size = 0, 0
     for i, text in enumerate(texts):
+        if size and size + len(text) > most:
+            yield first, texts[first:i]
+            first, size = i, 0
         size += len(text)
-        if size >= most:
-            yield first, texts[first : i + 1]
-            first, size = i + 1, 0
     if first < len(texts):
         yield first, texts[first:]
