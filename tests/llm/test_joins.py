@@ -1,5 +1,6 @@
 """N-gram join, decontamination, exact dedup and suffix dedup against plain versions."""
 
+import os
 import random
 
 import numpy as np
@@ -183,6 +184,34 @@ def test_repeated_bytes_of_awkward_rows(spark, awkward, nothing):
     assert sorted((r["n_bytes"], r["n_removed"]) for r in repeated_spans(twice).collect()) == [(399, 0), (400, 400), (400, 400), (500, 500)]
 
 
+@pytest.mark.parametrize("bucket_rows", [4096, 1])
+def test_unequal_texts_of_equal_polynomial_hash_stay(spark, bucket_rows):
+    """Strings whose difference, at a stride of 32 bytes, is (y - 1)^9 (y + 1)^3: equal under any odd base modulo 2^64."""
+    difference = np.poly1d([1])
+    for root, times in ((1, 9), (-1, 3)):
+        for _ in range(times):
+            difference *= np.poly1d([1, -root])
+    one, two = bytearray(b"!" * 400), bytearray(b"!" * 400)
+    for i, c in enumerate(difference.coeffs.astype(int)):
+        (one if c > 0 else two)[32 * i] += abs(c)
+    one, two = one.decode("ascii"), two.decode("ascii")
+    df = spark.createDataFrame([(1, one), (2, two)], "doc_id long, text string")
+    assert sorted((r["doc_id"], r["n_removed"]) for r in repeated_spans(df, bucket_rows=bucket_rows).collect()) == [(1, 0), (2, 0)]
+
+
+def test_multikey_quicksort_orders_and_measures():
+    r = random.Random(11)
+    for letters, most in (("ab", 60), ("a\0", 30), ("abcdefgh", 90)):
+        strings = ["".join(r.choice(letters) for _ in range(r.randrange(most))).encode() for _ in range(400)]
+        strings += [strings[0] + b"x" * 50, b"", b"", strings[1]] + [b"q" * 100 + bytes([i % 3]) for i in range(80)]
+        for width in (40, 33):
+            order, common = suffix_dedup.multikey_quicksort(strings, width)
+            got = [strings[i][:width] for i in order]
+            assert got == sorted(s[:width] for s in strings) and sorted(order) == list(range(len(strings)))
+            assert common[0] == -1
+            assert [len(os.path.commonprefix((a, b))) for a, b in zip(got, got[1:])] == common[1:].tolist()
+
+
 def test_equal_windows_have_equal_anchors():
     r = np.random.default_rng(2)
     data = r.integers(97, 101, 900).astype(np.uint8)

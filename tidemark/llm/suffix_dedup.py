@@ -7,11 +7,14 @@ with the smallest hash. Equal windows have the same anchor at the same place, so
 1. all anchors are counted by gram, and those whose gram occurs once are done: no window of theirs
    repeats;
 2. of the rest, the bytes that their windows cover go to buckets, range-partitioned by the leading
-   bytes of the suffix at the anchor between sampled splitters;
-3. a bucket sorts them by those bytes and, among suffixes with the same beginning, sorts the hashes
-   of all windows and marks those that are not alone. A beginning that very many suffixes share is
-   dealt over several buckets, and the windows that are alone in theirs are compared across buckets;
-4. marked windows are united per document and cut out.
+   bytes of the suffix at the anchor between sampled splitters. Suffixes with the same lead are never
+   parted by a splitter, so that no repeat lies across a boundary;
+3. a bucket sorts the suffixes by multikey quicksort on their bytes, and in the same way what precedes
+   their anchors, read backwards. The common prefixes of neighbours in both orders tell which
+   suffixes agree how far to either side, hence which windows are the same bytes;
+4. a lead that very many suffixes share is dealt over several buckets. Windows that are alone in theirs
+   are compared across those buckets by 128-bit cryptographic digests;
+5. marked windows are united per document and cut out.
 """
 
 from __future__ import annotations
@@ -28,8 +31,10 @@ from tidemark.llm._common import BROADCAST_ROWS, id_and_text, stored, text_slice
 from tidemark.llm._hashing import U, prefix_sums, span_hashes
 
 GRAM = 32
-#: Suffixes with the same beginning that one bucket compares.
+#: Suffixes with the same lead that one bucket compares.
 BUCKET_ROWS = 4096
+#: Suffixes below which the sort compares whole strings instead of partitioning further.
+FEW = 24
 _PLACE = U(0xFFFFFFFF)
 
 
@@ -82,13 +87,13 @@ def _suffixes(length: int, gram: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, out, size = [], ([], [], [], [], []), 0
+            rows, out, size = [], ([], [], [], [], [], []), 0
 
             def made():
-                types = (pa.binary(), pa.int32(), pa.bool_(), pa.list_(pa.int32()), pa.binary())
+                types = (pa.binary(), pa.int32(), pa.bool_(), pa.list_(pa.int32()), pa.int32(), pa.binary())
                 return pa.RecordBatch.from_arrays(
                     [batch.column("id").take(pa.array(rows, pa.int64())), *(pa.array(c, t) for c, t in zip(out, types))],
-                    names=["id", "lead", "salt", "shared", "starts", "body"],
+                    names=["id", "lead", "salt", "shared", "starts", "place", "body"],
                 )
 
             for row, (text, found) in enumerate(zip(batch.column("text"), batch.column("anchors"))):
@@ -99,33 +104,96 @@ def _suffixes(length: int, gram: int):
                     same.setdefault((body, a["place"] - a["low"], a["salt"], a["shared"]), []).append(a["low"])
                 for (body, place, salt, shared), starts in same.items():
                     rows.append(row)
-                    for column, value in zip(out, (body[place : place + gram], salt, shared, starts, body)):
+                    for column, value in zip(out, (body[place : place + gram], salt, shared, starts, place, body)):
                         column.append(value)
                     size += len(body)
                 if size > 8 << 20:
                     yield made()
-                    rows, out, size = [], ([], [], [], [], []), 0
+                    rows, out, size = [], ([], [], [], [], [], []), 0
             yield made()
 
     return run
 
 
+def multikey_quicksort(strings: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order, common) of strings by their first ``width`` bytes: common[i] bytes are those that the i-th
+    string in order shares with the one before it, -1 for the first.
+
+    Keys are words of eight bytes: a part is split in three by the word of a pivot at its depth, and only
+    the middle part, which shares that word, goes on to the next.
+    """
+    words = -(-width // 8)
+    sizes = np.array([min(len(s), width) for s in strings])
+    table = np.zeros((len(strings), 8 * words), np.uint8)
+    for row, string in zip(table, strings):
+        part = string[:width]
+        row[: len(part)] = np.frombuffer(part, np.uint8)
+    keys = table.view(">u8").astype(U)
+    order, todo = np.arange(len(strings)), [(0, len(strings), 0)]
+    while todo:
+        low, high, depth = todo.pop()
+        rows = order[low:high]
+        if high - low <= FEW:
+            if high - low > 1:
+                order[low:high] = sorted(rows.tolist(), key=lambda r: strings[r][:width])
+            continue
+        if depth == words:
+            order[low:high] = rows[np.argsort(sizes[rows], kind="stable")]
+            continue
+        key = keys[rows, depth]
+        pivot = np.sort(key[[0, len(key) // 2, -1]])[1]
+        less, more = key < pivot, key > pivot
+        middle = low + int(less.sum()), high - int(more.sum())
+        if middle == (low, high):
+            same = (keys[rows, depth:] == keys[rows[0], depth:]).all(0)
+            todo.append((low, high, words if same.all() else depth + int(same.argmin())))
+            continue
+        order[low:high] = np.concatenate((rows[less], rows[~(less | more)], rows[more]))
+        todo += [(low, middle[0], depth), (middle[0], middle[1], depth + 1), (middle[1], high, depth)]
+    unlike = table[order[1:]] != table[order[:-1]]
+    common = np.where(unlike.any(1), unlike.argmax(1), width)
+    common = np.minimum(common, np.minimum(sizes[order[1:]], sizes[order[:-1]]))
+    return order, np.concatenate(([-1], common))
+
+
+def repeated_windows(bodies: list[bytes], places: np.ndarray, length: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each offset of anchors in windows: (offset, rows with such a window, the class of each, how many are in a class).
+
+    Windows of a class are the same bytes: their rows agree up to the window's end in the one order and
+    back to its start in the other.
+    """
+    right, after = multikey_quicksort([b[p:] for b, p in zip(bodies, places)], length)
+    left, before = multikey_quicksort([b[:p][::-1] for b, p in zip(bodies, places)], length)
+    of_right, of_left = np.argsort(right), np.argsort(left)
+    least = np.maximum(0, places - (np.array([len(b) for b in bodies]) - length))
+    for offset in range(int(least.min()), int(places.max()) + 1):
+        rows = np.flatnonzero((least <= offset) & (offset <= places))
+        if len(rows):
+            ahead = np.cumsum(after < length - offset)[of_right[rows]]
+            behind = np.cumsum(before < offset)[of_left[rows]]
+            _, of_class, count = np.unique(ahead * len(bodies) + behind, return_inverse=True, return_counts=True)
+            yield offset, rows, of_class, count
+
+
 def _repeats(length: int, id_type: pa.DataType):
-    """Byte ranges of repeated windows; of shared beginnings also a row for each distinct window hash."""
+    """Byte ranges of repeated windows; of shared leads also a row for each distinct window with its digest."""
 
     def compared(rows: list[tuple]) -> pa.RecordBatch:
-        bodies = [r[5] for r in rows]
-        data = np.frombuffer(b"".join(bodies), np.uint8)
-        sizes = np.array([len(b) for b in bodies])
-        begin = np.cumsum(sizes) - sizes
-        n = sizes - length + 1
+        bodies, places = [r[6] for r in rows], np.array([r[5] for r in rows])
+        n = np.array([len(b) for b in bodies]) - length + 1
         first = np.cumsum(n) - n
         row = np.repeat(np.arange(len(rows)), n)
         place = np.arange(n.sum()) - first[row]
-        at = begin[row] + place
-        hashes = span_hashes(prefix_sums(data), at, at + length)
-        _, which, inverse, count = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
-        double = (count[inverse] > 1) | np.array([len(r[4]) > 1 for r in rows])[row]
+        several, shared = np.array([len(r[4]) > 1 for r in rows]), np.array([r[3] for r in rows])
+        double, singles = np.zeros(len(row), bool), []
+        for offset, at, of_class, count in repeated_windows(bodies, places, length):
+            repeats = (count[of_class] > 1) | several[at]
+            double[first[at] + places[at] - offset] = repeats
+            if shared[at].any():
+                in_class = np.zeros(len(count), bool)
+                in_class[of_class[repeats]] = True
+                one = np.unique(of_class, return_index=True)[1]
+                singles += [(at[k], places[at[k]] - offset, in_class[of_class[k]]) for k in one[shared[at[one]]]]
         edge = np.flatnonzero(np.diff(np.concatenate(([0], double.astype(np.int8), [0]))) != 0)
         cut = np.concatenate((edge, first, first + n))
         cut = np.unique(cut[cut < len(double)])
@@ -139,28 +207,28 @@ def _repeats(length: int, id_type: pa.DataType):
                 end.append(s + int(place[b - 1]) + length)
         digest += [None] * len(ids)
         known += [True] * len(ids)
-        for w in which[np.array([r[3] for r in rows])[row[which]]]:
-            r = rows[row[w]]
+        for w, at, in_class in singles:
+            r = rows[w]
             ids.append(r[0])
-            start.append(r[4][0] + int(place[w]))
-            end.append(r[4][0] + int(place[w]) + length)
-            digest.append(int(hashes[w].view(np.int64)))
-            known.append(bool(double[w]))
+            start.append(r[4][0] + int(at))
+            end.append(r[4][0] + int(at) + length)
+            digest.append(hashlib.blake2b(bodies[w][at : at + length], digest_size=16).digest())
+            known.append(bool(in_class))
         return pa.RecordBatch.from_arrays(
-            [pa.array(ids, id_type), pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.array(digest, pa.int64()), pa.array(known)],
+            [pa.array(ids, id_type), pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.array(digest, pa.binary()), pa.array(known, pa.bool_())],
             names=["id", "start", "end", "window", "known"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, size, now = [], 0, None
         for batch in batches:
-            for r in zip(*(batch.column(c).to_pylist() for c in ("id", "lead", "salt", "shared", "starts", "body"))):
+            for r in zip(*(batch.column(c).to_pylist() for c in ("id", "lead", "salt", "shared", "starts", "place", "body"))):
                 if size > 1 << 20 and (r[1], r[2]) != now:
                     yield compared(rows)
                     rows, size = [], 0
                 now = r[1], r[2]
                 rows.append(r)
-                size += len(r[5])
+                size += len(r[6])
         if rows:
             yield compared(rows)
 
@@ -204,7 +272,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Texts are UTF-8 bytes. Every byte in a string of ``length`` bytes that starts at another place too,
     of this or another row, is removed; spans are the maximal removed runs, kept_sha256 digests what
-    is left. Windows are compared by 64-bit hashes.
+    is left. Strings are compared byte by byte, but for those at leads that more than ``bucket_rows``
+    suffixes share, which are also compared by 128-bit digests.
 
     Null text counts as empty. Repeated rows are documents of their own, so long ones repeat each
     other; ids may be null or shared. An empty table gives an empty result. Other columns are ignored.
@@ -222,18 +291,23 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     bodies = texts.select("id", "text")
     found = stored(bodies.mapInArrow(_anchor_rows(length, gram), f"id {name}, gram long, place int, low int, high int"), "anchors")
-    repeated = found.groupBy("gram").count().where("count > 1")
+    repeated = stored(found.groupBy("gram").count().where("count > 1"), "grams")
+    rows = repeated.agg(F.sum("count")).first()[0] or 0
+    # At most BROADCAST_ROWS grams have more than this many rows, and only those are joined by a broadcast.
+    many = max(bucket_rows, rows // BROADCAST_ROWS)
+    hot, rest = repeated.where(F.col("count") > many), repeated.where(F.col("count") <= many)
+    joined = found.join(F.broadcast(hot), "gram", "left_anti").join(rest, "gram").unionByName(found.join(F.broadcast(hot), "gram"))
     parts = F.ceil(F.col("count") / bucket_rows).cast("int")
-    chosen = found.join(repeated, "gram").select(
+    chosen = joined.select(
         "id", F.struct("place", "low", "high", F.pmod(F.xxhash64("id"), parts).cast("int").alias("salt"), (parts > 1).alias("shared")).alias("anchor")
     )
     chosen = stored(chosen.groupBy("id").agg(F.collect_list("anchor").alias("anchors")), "chosen")
 
     suffixes = bodies.join(chosen, "id").mapInArrow(
-        _suffixes(length, gram), f"id {name}, lead binary, salt int, shared boolean, starts array<int>, body binary"
+        _suffixes(length, gram), f"id {name}, lead binary, salt int, shared boolean, starts array<int>, place int, body binary"
     )
     sorted_suffixes = suffixes.repartitionByRange("lead", "salt").sortWithinPartitions("lead", "salt")
-    ranges = sorted_suffixes.mapInArrow(_repeats(length, to_arrow_type(kind)), f"id {name}, start int, end int, window long, known boolean")
+    ranges = sorted_suffixes.mapInArrow(_repeats(length, to_arrow_type(kind)), f"id {name}, start int, end int, window binary, known boolean")
     ranges = stored(ranges, "ranges")
     alone = ranges.where("window is not null")
     across = alone.groupBy("window").count().where("count > 1").select("window")
