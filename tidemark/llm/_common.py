@@ -12,17 +12,18 @@ from pyspark.sql import functions as F
 
 #: Rows of 8-byte keys that may be broadcast (about 40 MB as a hash table); beyond it joins shuffle.
 BROADCAST_ROWS = 500_000
+#: Rows that one key may bring to a task of a join before they are spread, and keys that may be spread that way.
+HOT_ROWS, HOT_KEYS = 1000, 100_000
 #: Bytes of text that a numpy kernel works on at once.
 SLICE_BYTES = 1 << 20
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see.
-
-    ``spark.checkpoint.dir`` where the cluster names one; else a folder beside the warehouse,
-    which every executor of a deployment can reach as well.
-    """
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
+    """The folder that the driver and all executors see, as ``spark.checkpoint.dir`` names it."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return root
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -53,6 +54,19 @@ def only_ids(df: DataFrame, key: str, ids: DataFrame, how: str = "left_semi", bo
     return df.join(F.broadcast(ids) if small else ids, key, how)
 
 
+def spread_join(left: DataFrame, right: DataFrame, keys: list[str], rows: str) -> DataFrame:
+    """Inner join with a written table of one row a key, whose column ``rows`` says how many rows of ``left`` have it.
+
+    Keys of very many rows are joined by a broadcast, wherever their rows lie. No more than HOT_KEYS keys can
+    each have more than the HOT_KEYS-th part of all rows, which bounds it.
+    """
+    most = max(HOT_ROWS, (right.agg(F.sum(rows)).first()[0] or 0) // HOT_KEYS)
+    hot, rest = right.where(F.col(rows) > most), right.where(F.col(rows) <= most)
+    if hot.isEmpty():
+        return left.join(right, keys)
+    return left.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(rest, keys).unionByName(left.join(F.broadcast(hot), keys))
+
+
 def text_slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, row after the last, bytes, offsets into them) of consecutive row ranges.
 

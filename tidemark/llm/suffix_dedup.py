@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm._common import BROADCAST_ROWS, id_and_text, stored, text_slices
+from tidemark.llm._common import BROADCAST_ROWS, id_and_text, spread_join, stored, text_slices
 from tidemark.llm._hashing import U, prefix_sums, span_hashes
 
 GRAM = 32
@@ -292,11 +292,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     bodies = texts.select("id", "text")
     found = stored(bodies.mapInArrow(_anchor_rows(length, gram), f"id {name}, gram long, place int, low int, high int"), "anchors")
     repeated = stored(found.groupBy("gram").count().where("count > 1"), "grams")
-    rows = repeated.agg(F.sum("count")).first()[0] or 0
-    # At most BROADCAST_ROWS grams have more than this many rows, and only those are joined by a broadcast.
-    many = max(bucket_rows, rows // BROADCAST_ROWS)
-    hot, rest = repeated.where(F.col("count") > many), repeated.where(F.col("count") <= many)
-    joined = found.join(F.broadcast(hot), "gram", "left_anti").join(rest, "gram").unionByName(found.join(F.broadcast(hot), "gram"))
+    joined = spread_join(found, repeated, ["gram"], "count")
     parts = F.ceil(F.col("count") / bucket_rows).cast("int")
     chosen = joined.select(
         "id", F.struct("place", "low", "high", F.pmod(F.xxhash64("id"), parts).cast("int").alias("salt"), (parts > 1).alias("shared")).alias("anchor")
