@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from tests.llm import brute
 from tests.llm.conftest import AWKWARD, SF
-from tidemark.llm import ngram_join, suffix_dedup
+from tidemark.llm import _common, ngram_join, suffix_dedup
 from tidemark.llm.components import connected_components
 from tidemark.llm.decontaminate import contamination, without_contaminated, without_spans
-from tidemark.llm.exact_dedup import build_index, directory, exact_dedup, without_copies
+from tidemark.llm.exact_dedup import _told_apart, build_index, directory, exact_dedup, without_copies
 from tidemark.llm.ngram_join import ngram_jaccard_groups, one_of_each_group
 from tidemark.llm.suffix_dedup import repeated_spans
 
@@ -154,7 +154,28 @@ def test_directory_doubles(spark):
 
 def test_index_holds_every_entry(spark, docs):
     assert by_id(exact_dedup(docs, bucket_entries=20), "keep_id", "group_size") == by_id(exact_dedup(docs), "keep_id", "group_size")
-    assert build_index.__doc__
+
+
+def test_index_chains_colliding_hashes(spark):
+    """Hashes that collide make a chain in their bucket, and bodies with equal digests are told apart by their bytes."""
+    rows = [(0, 5, 1, "s"), (1, 3, 1, "t"), (2, 9, 1, "s"), (3, None, 1, "t"), (4, 7, -8, "s")]
+    keyed = spark.createDataFrame(rows, "row long, id long, hash long, text_sha256 string")
+    depth, slots = directory(keyed.select("hash").distinct(), 1)
+    index = build_index(keyed.withColumn("clash", F.lit(0)), depth, slots)
+    found = {(r["hash"], r["text_sha256"]): (r["link"], r["keep_id"], r["group_size"]) for r in index.collect()}
+    assert found == {(1, "s"): (1, 5, 2), (1, "t"): (2, 3, 2), (-8, "s"): (1, 7, 1)} and index.select("bucket").distinct().count() == 2
+    texts = spark.createDataFrame([(0, 5, "x"), (1, 3, "y"), (2, 9, "x")], "row long, id long, body string")
+    same = texts.select("row", "id", F.xxhash64("body").alias("hash"), F.sha2("body", 256).alias("text_sha256"))
+    alike = same.where("row < 2").select("hash", "text_sha256").distinct()
+    assert {r["row"]: r["clash"] for r in _told_apart(same, texts, alike).collect()} == {0: 1, 1: 1, 2: 1}
+
+
+@pytest.mark.parametrize("hot_rows", [1000, 1])
+def test_copies_of_a_third_of_all_rows(spark, monkeypatch, hot_rows):
+    monkeypatch.setattr(_common, "HOT_ROWS", hot_rows)
+    rows = [(i, "copy" if i % 3 == 0 else f"text {i % 50}") for i in range(300)]
+    want = brute.exact_groups(dict(rows))
+    assert by_id(exact_dedup(spark.createDataFrame(rows, "doc_id long, text string")), "keep_id", "group_size", "kept", "text_sha256") == want
 
 
 def test_repeated_bytes_agree(spark, docs, texts):

@@ -1,19 +1,20 @@
 """Exact dedup on DataFrame functions alone: an extendible-hash index in shared files.
 
-The index has one entry for each distinct hash of normalised text. Its directory is addressed by the
-top bits of the hash: a bucket with more entries than fit is split by one bit more, the directory
-doubling until no bucket is overfull. An owner task holds whole buckets, so a range of hashes, and
-writes them sorted. Texts that share a hash form the chain of its entry: only their bytes are fetched
-and compared. Copies collapse before any shuffle, so a text that a third of all rows repeat is one
-entry with a count.
+The directory of the index is addressed by the top bits of the hash of a normalised text. It is laid
+out first, from the number of distinct hashes below each prefix: a bucket with more entries than fit is
+split by one bit more, the directory doubling until no bucket is overfull. Rows then find their bucket
+through their slot. Rows that agree are combined before they are sent, so that a text that a third of
+all rows repeat comes as a few entries with counts. The task that owns a bucket combines the entries of
+each text, chains texts whose hashes collide, and writes its range of hashes sorted. Bodies with equal
+hashes are compared by their bytes. A row is looked up by slot, bucket, hash and place in the chain.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm._common import col, id_and_text, only_ids, stored
+from tidemark.llm._common import BROADCAST_ROWS, col, id_and_text, only_ids, spread_join, stored
 
 #: Entries that a bucket holds before it splits.
 BUCKET_ENTRIES = 50_000
@@ -59,31 +60,54 @@ def directory(hashes: DataFrame, bucket_entries: int = BUCKET_ENTRIES) -> tuple[
     return depth, stored(slots, "directory")
 
 
-def build_index(keyed: DataFrame, texts: DataFrame, bucket_entries: int = BUCKET_ENTRIES) -> DataFrame:
-    """Writes the index and reads it back: (bucket, hash, text_sha256, keep_id, keep_row, group_size) per entry of a chain.
-
-    ``keyed`` is a written table (row, id, hash, text_sha256), ``texts`` has (id, text).
+def _bucketed(rows: DataFrame, depth: int, slots: DataFrame) -> DataFrame:
+    """Rows with the bucket that the directory names for their slot; a directory too large to broadcast is dealt in copies."""
+    rows = rows.withColumn("slot", _leading(depth))
+    slots = slots.select("slot", "bucket")
+    if slots.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(slots), "slot").drop("slot")
+    copies = slots.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(31))))
+    return rows.withColumn("copy", F.pmod(F.xxhash64("row"), F.lit(32)).cast("int")).join(copies, ["slot", "copy"]).drop("slot", "copy")
+
+
+def _numbered(keyed: DataFrame, texts: DataFrame) -> DataFrame:
+    """``keyed`` with ``clash``: 0, but for texts that share both digests with another, whose bodies are numbered."""
+    repeated = stored(keyed.groupBy("hash").count().where("count > 1").select("hash"), "repeated")
+    bodies = texts.select(F.xxhash64("body").alias("hash"), F.sha2("body", 256).alias("text_sha256"), "body")
+    if repeated.count() <= BROADCAST_ROWS:
+        bodies = bodies.join(F.broadcast(repeated), "hash", "left_semi").distinct()
+    else:
+        bodies = bodies.distinct().join(repeated, "hash", "left_semi")
+    alike = bodies.groupBy("hash", "text_sha256").agg(F.count("*").alias("bodies")).where("bodies > 1")
+    alike = stored(alike.select("hash", "text_sha256"), "alike")
+    return _told_apart(keyed, texts, alike)
+
+
+def _told_apart(keyed: DataFrame, texts: DataFrame, alike: DataFrame) -> DataFrame:
+    """Numbers the bodies of each (hash, text_sha256) of ``alike``."""
+    if alike.isEmpty():
+        return keyed.withColumn("clash", F.lit(0))
+    bodies = texts.withColumns({"hash": F.xxhash64("body"), "text_sha256": F.sha2("body", 256)}).join(alike, ["hash", "text_sha256"])
+    numbers = bodies.select("hash", "text_sha256", "body").distinct()
+    numbers = numbers.withColumn("clash", F.row_number().over(Window.partitionBy("hash", "text_sha256").orderBy("body")))
+    of_row = stored(bodies.join(numbers, ["hash", "text_sha256", "body"]).select("row", "clash"), "clashes")
+    return stored(keyed.join(of_row, "row", "left").na.fill(0, ["clash"]), "keyed")
+
+
+def build_index(keyed: DataFrame, depth: int, slots: DataFrame) -> DataFrame:
+    """Writes the index and reads it back: (bucket, hash, link, text_sha256, clash, keep_id, keep_row, group_size) an entry.
+
+    ``keyed`` is a written table (row, id, hash, text_sha256, clash); ``link`` is the place of an entry in
+    the chain of its hash.
     """
-    whole = keyed.groupBy("hash", "text_sha256").agg(
+    key = ["bucket", "hash", "text_sha256", "clash"]
+    sent = _bucketed(keyed, depth, slots).groupBy(*key).agg(
         F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "row")).alias("keep"), F.count("*").alias("group_size")
     )
-    entries = stored(whole.select("hash", "text_sha256", F.col("keep.id").alias("keep_id"), F.col("keep.row").alias("keep_row"), "group_size"), "entries")
-
-    chained = keyed.groupBy("hash").count().where("count > 1").select("hash")
-    rows = stored(only_ids(keyed, "hash", stored(chained, "repeated")).where("id is not null").select("id").distinct(), "chained")
-    compared = only_ids(texts, "id", rows).select(normalised(F.col("text")).alias("body"))
-    compared = compared.select(F.xxhash64("body").alias("hash"), F.sha2("body", 256).alias("text_sha256"), "body")
-    compared = compared.groupBy("hash", "text_sha256", "body").count().groupBy("hash", "text_sha256").agg(F.count("*").alias("bodies"))
-
-    depth, slots = directory(entries.select("hash").distinct(), bucket_entries)
-    index = (
-        entries.join(compared, ["hash", "text_sha256"], "left")
-        .withColumn("group_size", F.when(F.col("bodies") > 1, F.raise_error(F.lit("two texts share both digests"))).otherwise(F.col("group_size")))
-        .withColumn("slot", _leading(depth))
-        .join(slots, "slot")
-        .select("bucket", "hash", "text_sha256", "keep_id", "keep_row", "group_size")
-    )
-    return stored(index.repartition("bucket").sortWithinPartitions("bucket", "hash"), "index")
+    owned = sent.repartition("bucket")
+    chain = Window.partitionBy("bucket", "hash").orderBy("text_sha256", "clash")
+    owned = owned.select(*key, F.col("keep.id").alias("keep_id"), F.col("keep.row").alias("keep_row"), "group_size", F.row_number().over(chain).alias("link"))
+    return stored(owned.sortWithinPartitions("bucket", "hash", "link"), "index")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_entries: int = BUCKET_ENTRIES) -> DataFrame:
@@ -97,10 +121,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     texts = id_and_text(docs, id_col, text_col)
     body = texts.select(F.monotonically_increasing_id().alias("row"), "id", normalised(F.col("text")).alias("body"))
     keyed = stored(body.select("row", "id", F.xxhash64("body").alias("hash"), F.sha2("body", 256).alias("text_sha256")), "keyed")
-    index = build_index(keyed, texts, bucket_entries)
-    return keyed.join(index, ["hash", "text_sha256"]).select(
-        F.col("id").alias("doc_id"), "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "text_sha256"
-    )
+    keyed = _numbered(keyed, body)
+    depth, slots = directory(keyed.select("hash").distinct(), bucket_entries)
+    index = build_index(keyed, depth, slots)
+    found = spread_join(_bucketed(keyed, depth, slots), index, ["bucket", "hash", "text_sha256", "clash"], "group_size")
+    return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "text_sha256")
 
 
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
