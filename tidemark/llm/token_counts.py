@@ -15,7 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm._common import BROADCAST_ROWS, id_and_text, scratch, stored
+from tidemark.llm._common import BROADCAST_ROWS, id_and_text, scratch, spread_join, stored
 from tidemark.llm.tokens import chunks, encoder
 
 SCHEMA = "content binary, tokenizer string, n_tokens long"
@@ -62,12 +62,12 @@ def token_counts(
     texts = id_and_text(docs, id_col, text_col).withColumn("content", F.unhex(F.sha2("text", 256)))
     known = _cache(spark, path).where(F.col("tokenizer") == version).select("content", "n_tokens")
 
-    missing = texts.select("content").distinct()
+    keyed = stored(texts.select("id", F.octet_length("text").cast("long").alias("n_bytes"), "content"), "contents")
+    contents = stored(keyed.groupBy("content").agg(F.count("*").alias("rows")), "distinct_contents")
+    missing = few = None
     if not known.isEmpty():
-        missing = stored(missing.join(known, "content", "left_anti"), "missing")
+        missing = stored(contents.select("content").join(known, "content", "left_anti"), "missing")
         few = missing.count() <= BROADCAST_ROWS
-    else:
-        few = None
     source = texts.join(F.broadcast(missing), "content", "left_semi") if few else texts
     distinct = source.groupBy("content").agg(F.first("text").alias("text"))
     if few is False:
@@ -76,8 +76,7 @@ def token_counts(
     new.select("content", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(path)
 
     counts = _cache(spark, path).where(F.col("tokenizer") == version).groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))
-    return (
-        texts.select("id", F.octet_length("text").cast("long").alias("n_bytes"), "content")
-        .join(counts, "content")
-        .select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    counts = stored(contents.join(counts, "content"), "counts")
+    return spread_join(keyed, counts, ["content"], "rows").select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )
