@@ -20,11 +20,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm._common import col, scratch, stored
+from tidemark.llm._common import col, scratch, spread_join, stored
 from tidemark.llm._files import opened, put
 
-#: Payload bytes after which a task starts another archive.
+#: Payload and header bytes, and records, after which a task starts another archive.
 ARCHIVE_BYTES = 64 << 20
+ARCHIVE_RECORDS = 50_000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HEADERS = "path string, number long, page_id long, url string, type string, digest string, payload_bytes long, record_id string, refers_to_record string"
 _TYPES = [pa.string(), pa.int64(), pa.int64(), *[pa.string()] * 3, pa.int64(), pa.string(), pa.string()]
@@ -124,7 +125,9 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(_TYPES)], names=_NAMES)
 
 
-def _archive(root: str, date: str, archive_bytes: int):
+def _archive(root: str, date: str, archive_bytes: int, crawl: str):
+    """Record ids follow from the crawl and the record's place: a task that runs again gives the same ones, another crawl does not."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         pages = ((p, u, (h or "").encode()) for b in batches for p, u, h in zip(*(b.column(c).to_pylist() for c in ("page_id", "url", "html"))))
@@ -135,11 +138,11 @@ def _archive(root: str, date: str, archive_bytes: int):
             def parts():
                 nonlocal page
                 size = 0
-                while page is not None and size < archive_bytes:
+                while page is not None and size < archive_bytes and len(headers) < ARCHIVE_RECORDS:
                     name, url, payload = page
-                    record_id = f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{task}/{archive}/{len(headers)}')}"
+                    record_id = f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{crawl}/{task}/{archive}/{len(headers)}')}"
                     headers.append((path, len(headers), name, _line(url), "response", payload_digest(payload), len(payload), record_id, None))
-                    size += len(payload)
+                    size += len(payload) + len(url or "") + 512
                     yield response_record(name, url, payload, date, record_id)
                     page = next(pages, None)
 
@@ -154,7 +157,7 @@ def write_archives(pages: DataFrame, page_col: str = "page_id", url_col: str = "
     """Writes every page as a response record and gives the headers of all records."""
     root = path or scratch(pages.sparkSession, "warc")
     rows = pages.select(col(page_col).cast("long").alias("page_id"), col(url_col).cast("string").alias("url"), col(html_col).alias("html"))
-    return stored(rows.mapInArrow(_archive(root, date, archive_bytes), HEADERS), "headers")
+    return stored(rows.mapInArrow(_archive(root, date, archive_bytes, uuid.uuid4().hex), HEADERS), "headers")
 
 
 def resolve_revisits(headers: DataFrame, min_bytes: int = 0) -> DataFrame:
@@ -166,10 +169,9 @@ def resolve_revisits(headers: DataFrame, min_bytes: int = 0) -> DataFrame:
     eligible = headers.where(F.col("payload_bytes") >= min_bytes)
     order = F.struct(F.col("page_id").isNull().alias("unnamed"), "page_id", "path", "number", "record_id", "url")
     originals = eligible.groupBy("digest", "payload_bytes").agg(F.min(order).alias("original"), F.count("*").alias("rows")).where("rows > 1")
-    return (
-        eligible.join(originals, ["digest", "payload_bytes"])
-        .where(F.col("record_id") != F.col("original.record_id"))
-        .select("path", "number", F.struct("original.record_id", "original.url", "original.page_id").alias("original"))
+    found = spread_join(eligible, stored(originals, "originals"), ["digest", "payload_bytes"], "rows")
+    return found.where(F.col("record_id") != F.col("original.record_id")).select(
+        "path", "number", F.struct("original.record_id", "original.url", "original.page_id").alias("original")
     )
 
 
@@ -231,13 +233,9 @@ def deduplicated_archives(pages: DataFrame, page_col: str = "page_id", url_col:
     headers = write_archives(pages, page_col, url_col, html_col)
     archives = write_deduplicated(headers, resolve_revisits(headers, min_bytes))
     found = stored(read_archives(archives), "read_back")
-    original = found.where("type = 'response'").select(
-        F.col("record_id").alias("refers_to_record"), F.col("page_id").alias("refers_to"), F.col("payload_bytes").alias("full_bytes")
-    )
-    return found.join(original, "refers_to_record", "left").select(
-        "page_id",
-        F.coalesce("payload_bytes", "full_bytes").alias("payload_bytes"),
-        F.col("digest").alias("payload_digest"),
-        F.col("type").alias("record_type"),
-        "refers_to",
-    )
+    columns = "page_id", "payload_bytes", F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"), "refers_to"
+    responses, revisits = found.where("type = 'response'"), found.where("type = 'revisit'").drop("payload_bytes")
+    named = revisits.groupBy("refers_to_record").agg(F.count("*").alias("rows"))
+    original = responses.select(F.col("record_id").alias("refers_to_record"), F.col("page_id").alias("refers_to"), "payload_bytes")
+    repeats = spread_join(revisits, stored(named.join(original, "refers_to_record"), "originals"), ["refers_to_record"], "rows")
+    return responses.withColumn("refers_to", F.lit(None).cast("long")).select(*columns).unionByName(repeats.select(*columns))
