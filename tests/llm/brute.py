@@ -54,7 +54,7 @@ def contamination(docs, items, n=13, share=20):
     for item, text in items:
         words = bench_words(text)
         for i in range(max(1, len(words) - n + 1) if words else 0):
-            windows[tuple(words[i : i + n])].add(str(item))
+            windows[tuple(words[i : i + n])].update(() if item is None else (str(item),))
     lengths = {len(w) for w in windows}
     out = {}
     for doc, text in docs.items():
@@ -63,7 +63,7 @@ def contamination(docs, items, n=13, share=20):
         for length in lengths:
             for i in range(len(words) - length + 1):
                 names = windows.get(tuple(words[i : i + length]))
-                if names:
+                if names is not None:
                     hit.update(range(i, i + length))
                     found |= names
         digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()

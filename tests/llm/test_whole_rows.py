@@ -43,7 +43,7 @@ def test_rows_are_contaminated_by_their_own_text(spark):
     rows = [(1, "clean text here"), (1, "one two three"), (None, "one two three"), (None, "other words"), (None, None), (2, "ONE, two")]
     docs = spark.createDataFrame([("x", *r) for r in rows], "text string, doc_id long, body string").repartition(3)
     items = spark.createDataFrame([(1, "one two"), (2, "two three")], "item_id long, text string")
-    for block_bytes in (8 << 20, 1):
+    for block_bytes in (8 << 20, 60):
         kept = without_contaminated(docs, items, text_col="body", block_bytes=block_bytes)
         found = sorted((r["doc_id"] or 0, r["body"] or "") for r in kept.collect())
         assert kept.columns == docs.columns and found == [(0, ""), (0, "other words"), (1, "clean text here")]

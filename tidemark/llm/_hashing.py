@@ -17,7 +17,7 @@ _powers: dict[int, np.ndarray] = {}
 def _power_table(base: int, n: int) -> np.ndarray:
     table = _powers.get(base)
     if table is None or len(table) < n:
-        table = np.full(-(-n // (1 << 16)) << 16, base, U)
+        table = np.full(-(-max(n, 1) // (1 << 16)) << 16, base, U)
         table[0] = 1
         np.cumprod(table, out=table)
         _powers[base] = table

@@ -1,9 +1,10 @@
 """Benchmark decontamination: a broadcast hash set of normalised test n-grams, scanned against training texts.
 
-The benchmark's distinct windows go to every task as sorted hashes beside the words they stand for.
-A task hashes all token windows of its texts with array operations, looks them up, and verifies each
-hit word by word. Benchmarks whose windows exceed ``BLOCK_BYTES`` are taken in blocks of items, each
-block scanned on its own and its hits united per text, so what is broadcast has a fixed bound.
+Tasks cut the benchmark's items into windows and hash them; the distinct ones go to every task as
+sorted hashes beside the words they stand for. A task hashes all token windows of its texts with array
+operations, looks them up, and verifies each hit word by word. Windows that take more than
+``BLOCK_BYTES`` are dealt into blocks by their hashes, each block scanned on its own and its hits united per
+text, so what passes through the driver and is broadcast at once has a fixed size.
 """
 
 from __future__ import annotations
@@ -22,51 +23,68 @@ from tidemark.llm._hashing import LOWER, U, is_word_byte, prefix_sums, rolled, s
 
 #: Words are runs of ASCII letters, digits and all bytes beyond ASCII.
 WORD_BYTE = is_word_byte((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF), inside=True)
-#: Benchmark text that one scan holds; a window costs about 20 bytes beside it.
-BLOCK_BYTES = 8 << 20
-#: Texts of more bytes than this take a block of their own and are held by the scan all the same.
+#: Bytes of windows, with their hashes and item ids, that one scan holds.
+BLOCK_BYTES = 16 << 20
+#: Bytes beside its words and item id that a window takes.
+_WINDOW = 32
+#: Leading bits of hashes that are asked first.
 FILTER_BITS = 22
 
 
-def _utf8_words(text: str | None) -> list[bytes]:
-    data = LOWER[np.frombuffer((text or "").encode(), np.uint8)]
-    starts, ends, _ = words_of(data, np.array([0, len(data)]), WORD_BYTE)
-    data = data.tobytes()
-    return [data[a:b] for a, b in zip(starts, ends)]
+def _item_windows(n: int):
+    """(k, hash, words, item) of the windows of each item, k words long."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first_row, _, data, offsets in text_slices(batch):
+                data = LOWER[data]
+                starts, ends, first = words_of(data, offsets, WORD_BYTE)
+                hashes, joined = span_hashes(prefix_sums(data), starts, ends), data.tobytes()
+                for row in range(len(offsets) - 1):
+                    a, b = first[row], first[row + 1]
+                    if a == b:
+                        continue
+                    k = min(n, b - a)
+                    words = [joined[s:e] for s, e in zip(starts[a:b], ends[a:b])]
+                    spelt = [b" ".join(words[i : i + k]) for i in range(b - a - k + 1)]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.full(len(spelt), k, np.int32)),
+                            pa.array(rolled(hashes[a:b], k).view(np.int64)),
+                            pa.array(spelt, pa.binary()),
+                            batch.column("item").take(pa.array(np.full(len(spelt), first_row + row))),
+                        ],
+                        names=["k", "hash", "words", "item"],
+                    )
+
+    return run
 
 
 class WindowSet:
-    """Distinct windows of some items: by length, sorted hashes, the words, and the items that hold them."""
-
-    def __init__(self, items: list[tuple[str, str | None]], n: int):
-        held: dict[tuple[bytes, ...], set[str]] = defaultdict(set)
-        for name, text in items:
-            words = _utf8_words(text)
-            if words:
-                for i in range(max(1, len(words) - n + 1)):
-                    held[tuple(words[i : i + n])].add(name)
-        by_length: dict[int, list] = defaultdict(list)
-        for window, names in held.items():
-            joined = b" ".join(window)
-            data = np.frombuffer(joined, np.uint8)
-            starts, ends, _ = words_of(data, np.array([0, len(data)]), WORD_BYTE)
-            value = rolled(span_hashes(prefix_sums(data), starts, ends), len(window))[0]
-            by_length[len(window)].append((int(value), joined, sorted(names)))
+    """Windows of items: by length, sorted hashes, the words in one buffer, and the item of each."""
+
+    def __init__(self, table: pa.Table):
         self.of_length = {}
-        for length, rows in by_length.items():
-            rows.sort()
-            hashes = np.array([r[0] for r in rows], U)
+        k, hashes = table["k"].to_numpy(), table["hash"].to_numpy().view(U)
+        for length in np.unique(k).tolist():
+            at = np.flatnonzero(k == length)
+            at = at[np.argsort(hashes[at])]
+            known = hashes[at]
             seen = np.zeros(1 << FILTER_BITS, bool)
-            seen[(hashes >> U(64 - FILTER_BITS)).astype(np.int64)] = True
-            self.of_length[length] = hashes, np.packbits(seen), [r[1] for r in rows], [r[2] for r in rows]
-
-    def scan(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, list[str]]]:
-        """(first word, word after the last, items) of every verified occurrence in texts laid end to end."""
+            seen[(known >> U(64 - FILTER_BITS)).astype(np.int64)] = True
+            words = table["words"].take(pa.array(at)).to_pylist()
+            ends = np.cumsum([len(w) for w in words])
+            items = table["item"].take(pa.array(at)).combine_chunks().dictionary_encode()
+            codes = items.indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int32)
+            self.of_length[length] = known, np.packbits(seen), b"".join(words), ends, codes, items.dictionary.to_pylist()
+
+    def scan(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, str | None]]:
+        """(first word, word after the last, item) of every verified occurrence in texts laid end to end."""
         if not len(starts):
             return
         hashes = span_hashes(prefix_sums(data), starts, ends)
         of_word = np.searchsorted(first, np.arange(len(starts)), "right")
-        for length, (known, packed, texts, items) in self.of_length.items():
+        for length, (known, packed, buffer, until, codes, names) in self.of_length.items():
             found = rolled(hashes, length)
             place = (found >> U(64 - FILTER_BITS)).astype(np.int64)
             at = np.flatnonzero((packed[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1)
@@ -75,8 +93,8 @@ class WindowSet:
             for w, k in zip(at[known[i] == found[at]], i[known[i] == found[at]]):
                 words = b" ".join(data[starts[j] : ends[j]].tobytes() for j in range(w, w + length))
                 while k < len(known) and known[k] == found[w]:
-                    if texts[k] == words:
-                        yield int(w), int(w) + length, items[k]
+                    if buffer[until[k - 1] if k else 0 : until[k]] == words:
+                        yield int(w), int(w) + length, names[codes[k]] if codes[k] >= 0 else None
                     k += 1
 
 
@@ -103,8 +121,8 @@ def _scanner(broadcast):
                 data = LOWER[data]
                 starts, ends, first = words_of(data, offsets, WORD_BYTE)
                 hits: dict[int, list] = defaultdict(list)
-                for a, b, names in windows.scan(data, starts, ends, first):
-                    hits[int(np.searchsorted(first, a, "right")) - 1].append((a, b, names))
+                for a, b, item in windows.scan(data, starts, ends, first):
+                    hits[int(np.searchsorted(first, a, "right")) - 1].append((a, b, item))
                 for row in range(last_row - first_row):
                     own = hits.get(row, ())
                     n_words.append(int(first[row + 1] - first[row]))
@@ -114,7 +132,7 @@ def _scanner(broadcast):
                             for a, b in _merged([(a, b) for a, b, _ in own])
                         ]
                     )
-                    items.append(sorted({name for *_, names in own for name in names}))
+                    items.append(sorted({item for *_, item in own if item is not None}))
             rest = [batch.column(c) for c in batch.schema.names if c != "text"]
             yield pa.RecordBatch.from_arrays(
                 [*rest, pa.array(n_words, pa.int64()), pa.array(spans, pa.list_(_SPAN)), pa.array(items, pa.list_(pa.string()))],
@@ -124,17 +142,15 @@ def _scanner(broadcast):
     return run
 
 
-def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, str | None]]]:
-    """Items in blocks of bounded text, streamed to the driver one partition at a time."""
-    block, size = [], 0
-    for item, text in benchmark.toLocalIterator():
-        if block and size + len(text) > block_bytes:
-            yield block
-            block, size = [], 0
-        block.append((item, text))
-        size += len(text)
-    if block:
-        yield block
+def _blocks(benchmark: DataFrame, n: int, block_bytes: int) -> Iterator[WindowSet]:
+    """The distinct windows in blocks of about ``block_bytes``, each small enough for the driver."""
+    windows = benchmark.mapInArrow(_item_windows(n), "k int, hash long, words binary, item string").distinct()
+    windows = stored(windows, "windows")
+    size = F.octet_length("words") + F.coalesce(F.octet_length("item"), F.lit(0)) + _WINDOW
+    count = max(1, -(-(windows.agg(F.sum(size)).first()[0] or 0) // block_bytes))
+    block = F.pmod(F.xxhash64("hash"), F.lit(count))
+    for i in range(count):
+        yield WindowSet(windows.where(block == i).toArrow())
 
 
 def contamination(
@@ -155,20 +171,20 @@ def contamination(
     inside any occurrence of a window are hit; spans are the maximal hit runs as word and byte ranges
     of the UTF-8 text. contaminated: n_hit > 0 and share * n_hit >= n_words.
 
-    Null texts have no words, nor do null items; an item without an id is left out. Repeated rows
-    repeat their result, items that share an id count once, and an empty benchmark hits nothing.
-    Other columns are ignored.
+    Null texts have no words, nor do null items; words in windows of an item without an id are hit, but it
+    is not counted or named. Repeated rows repeat their result, also without an id; items that share an id
+    count once, and an empty benchmark hits nothing. Other columns are ignored.
     """
     spark = docs.sparkSession
-    items = benchmark.where(col(item_col).isNotNull() & col(item_text_col).isNotNull()).select(col(item_col).cast("string"), col(item_text_col))
-    blocks = _blocks(items, block_bytes)
-    now, following = next(blocks, []), next(blocks, None)
+    items = benchmark.where(col(item_text_col).isNotNull()).select(col(item_col).cast("string").alias("item"), col(item_text_col).alias("text"))
+    blocks = _blocks(items, n, block_bytes)
+    now, following = next(blocks), next(blocks, None)
     texts = id_and_text(docs, id_col, text_col)
     kind = texts.schema["id"].dataType.simpleString()
 
-    def scanned(source: DataFrame, block: list) -> DataFrame:
+    def scanned(source: DataFrame, block: WindowSet) -> DataFrame:
         schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in source.schema if f.name != "text")
-        return source.mapInArrow(_scanner(spark.sparkContext.broadcast(WindowSet(block, n))), f"{schema}, {HITS}")
+        return source.mapInArrow(_scanner(spark.sparkContext.broadcast(block)), f"{schema}, {HITS}")
 
     if following is None:
         found = scanned(texts, now)

@@ -15,13 +15,13 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id FROM documents d
 DECONTAMINATION = r"""WITH dw AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
   '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words FROM documents),
 bw AS (SELECT item_id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-  '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL),
+  '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words FROM benchmark WHERE text IS NOT NULL),
 win AS (SELECT DISTINCT item_id, least(len(words), 13) AS k, array_to_string(words[i:i + 12], ' ') AS g FROM (SELECT item_id, words, unnest(range(1, greatest(len(words) - 12, 1) + 1)) AS i FROM bw WHERE len(words) > 0)),
 lens AS (SELECT DISTINCT k FROM win),
 pos AS (SELECT doc_id, i, k, array_to_string(words[i:i + k - 1], ' ') AS g FROM (SELECT doc_id, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM dw, lens WHERE len(words) >= k)),
 hits AS (SELECT doc_id, i, pos.k AS k, item_id FROM pos JOIN win ON pos.g = win.g AND pos.k = win.k),
 marked AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hits) GROUP BY 1),
-items AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM hits GROUP BY 1)
+items AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM hits WHERE item_id IS NOT NULL GROUP BY 1)
 SELECT dw.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated FROM dw LEFT JOIN marked USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
