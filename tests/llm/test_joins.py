@@ -43,23 +43,39 @@ def test_groups_agree_with_all_pairs(spark, docs, texts):
 @pytest.mark.parametrize("tile_rows", [4096, 3])
 def test_groups_near_the_threshold(spark, monkeypatch, tile_rows):
     monkeypatch.setattr(ngram_join, "TILE_ROWS", tile_rows)
+    monkeypatch.setattr(ngram_join, "BATCH_KEYS", tile_rows)
     made = near_copies(7)
     df = spark.createDataFrame(list(made.items()), "doc_id long, text string")
     assert by_id(ngram_jaccard_groups(df), "n_shingles", "component_id") == brute.jaccard_groups(made)
 
 
-@pytest.mark.parametrize("percent", [60, 75, 90])
+@pytest.mark.parametrize("percent", [50, 60, 75, 90])
 def test_linked_sets_share_a_key(percent):
-    r, bands = np.random.default_rng(percent), ngram_join.Bands(percent)
-    for n in [1, 2, 3, 4, 5, 7, 9, 12, 17, 25, 40, 64, 90, 130, 300, 900]:
-        for _ in range(60):
-            a = r.integers(0, 1 << 64, n, np.uint64, endpoint=False)
-            b = a[: n - r.integers(0, n * (100 - percent) // 100 + 1)]
-            b = np.concatenate((b, r.integers(0, 1 << 64, r.integers(0, n // 8 + 1), np.uint64)))
-            a, b = np.unique(a), np.unique(b)
-            both = len(np.intersect1d(a, b))
-            if len(b) and 100 * both >= percent * (len(a) + len(b) - both):
-                assert len(np.intersect1d(ngram_join._keys(a, bands), ngram_join._keys(b, bands)))
+    """At the threshold itself, for sets of all sizes up to 20,000 shingles: one inside the other, equal sizes and between."""
+    r, keys = np.random.default_rng(percent), ngram_join.Keys(percent)
+    draw = lambda n: r.integers(0, 1 << 64, int(n), np.uint64, endpoint=False)
+    for n in [*range(1, 26), 40, 64, 90, 130, 300, 900, 2000, 6000, 20_000]:
+        for _ in range(60 if n < 1000 else 4):
+            a = draw(n)
+            for lost in {0, n * (100 - percent) // 100, r.integers(0, n * (100 - percent) // 100 + 1)}:
+                both = n - lost
+                gained = both * 100 // percent - n if both else -1
+                if gained < 0:
+                    continue
+                b = np.concatenate((a[:both], draw(r.choice([0, gained, r.integers(0, gained + 1)]))))
+                x, y = np.unique(a), np.unique(b)
+                assert 100 * len(np.intersect1d(x, y)) >= percent * len(np.union1d(x, y))
+                assert len(np.intersect1d(keys.of(x), keys.of(y)))
+
+
+def test_spoilt_runs_at_the_front():
+    """The differences lie where the keys are: in the first quarter of the common order."""
+    r, keys = np.random.default_rng(8), ngram_join.Keys(75)
+    for n in (9, 12, 40, 400, 4000):
+        a = np.sort(r.integers(0, 1 << 64, n, np.uint64, endpoint=False))
+        gone = np.arange(0, 3 * (n // 4), 3)
+        assert len(np.intersect1d(keys.of(a), keys.of(np.delete(a, gone))))
+        assert len(np.intersect1d(keys.of(a), keys.of(a[n // 4 :])))
 
 
 def test_bitmaps_bound_from_above():

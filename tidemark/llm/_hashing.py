@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import secrets
+
 import numpy as np
 
 U = np.uint64
@@ -45,6 +47,34 @@ def span_hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((sums[end] - sums[start]) * _power_table(INVERSE, len(sums))[start] + (end - start).astype(U) * U(STEP))
 
 
+_PRIME = U((1 << 31) - 1)
+
+
+def _powers_mod(base: int, n: int) -> np.ndarray:
+    """base**i modulo the prime for i below n."""
+    table, factor = np.ones(1, U), base
+    while len(table) < n:
+        table = np.concatenate((table, table * U(factor) % _PRIME))
+        factor = factor * factor % int(_PRIME)
+    return table[:n]
+
+
+def secret_bases() -> tuple[int, int]:
+    """Bases for keyed_spans, drawn anew for each run."""
+    return tuple(secrets.randbelow(int(_PRIME) - 2) + 2 for _ in range(2))
+
+
+def keyed_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, bases: tuple[int, int]) -> np.ndarray:
+    """Hash of each bytes[start:end], of two polynomials modulo a prime: without the bases nobody can build a collision."""
+    out = (ends - starts).astype(U) * U(STEP)
+    for base in bases:
+        sums = np.zeros(len(data) + 1, U)
+        np.cumsum((data.astype(U) + U(1)) * _powers_mod(base, len(data)) % _PRIME, out=sums[1:])
+        back = _powers_mod(pow(base, -1, int(_PRIME)), len(data) + 1)
+        out = (out << U(31)) + (out >> U(33)) + (sums[ends] - sums[starts]) % _PRIME * back[starts] % _PRIME
+    return mix(out)
+
+
 def is_word_byte(*ranges: tuple[int, int], inside: bool) -> np.ndarray:
     """A table over bytes: those in the ranges are word bytes (or, with inside=False, are not)."""
     table = np.full(256, not inside)

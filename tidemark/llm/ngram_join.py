@@ -3,21 +3,24 @@
 How no link is lost without comparing all pairs:
 
 * Texts with equal shingle sets collapse into one class. Only classes are joined.
-* Set sizes fall into bands whose edges grow by 1/threshold, so a linked pair lies in one band or in
-  two neighbours. Tile b takes bands b and b+1. A linked pair there differs in at most D shingles,
-  D following from the band. The hash space is cut into K > D stripes: a difference spoils one
-  stripe, so some stripe holds the same shingles in both. Each set emits, for its two tiles, one key
-  per non-empty stripe. A set with too few non-empty stripes for that argument also emits the keys
-  of its prefix filter, and two such sets share one of those.
-* Large sets emit only the first ``STRIPES`` of their stripes. At worst (Jaccard 0.75, one set inside the
-  other, sizes at the tops of neighbouring bands, one common tile) two linked sets agree on each with
-  e^-0.89 * (1 - e^-2.67) = 0.38, independently, so a link is missed with a probability of 4e-14.
-* Sets that share a key are candidates. First each is compared with the smallest one of its key;
-  linked sets merge. Sets whose keys are still split over several components go on to tiles, one for
-  each smallest set, in which bitmap bounds leave few pairs: one pass that stops at the first possible
-  partner, and one over all remaining pairs. Very large tiles are dealt over several tasks.
+* A set is sorted by the hashes of its shingles. Its keys are the first m runs of ``r`` neighbours in that
+  order. A shingle that only this set has spoils r of its runs, one that only the other has lies inside
+  r - 1 of them. Of two sets of Jaccard similarity t or more, with r <= 1 / (1 - t), a set of n shingles
+  has at most r (1 - t) n spoilt runs. With m one more than that, some run among the first m of both is
+  the same: take the set whose m runs end first in the common order. So linked sets always share a key.
+  Sets too small to have m runs, and those that may link with such a set, emit the keys of a prefix filter
+  as well: the first n - tn + 1 shingles.
+* Sets of a batch that share a key are combined before the shuffle: the smallest stands for them, so that
+  a key that very many sets have arrives as one row a batch.
+* Sets that share a key are candidates. First each is compared with the set that stands for it, and those with
+  the smallest of all; linked sets merge. Sets whose keys are still split over several components go on to
+  tiles, one for each smallest set and band of sizes, in which bitmap bounds leave few pairs: one pass that stops at
+  the first possible partner, and one over all remaining pairs. Very large tiles are dealt over several tasks.
+* Band edges grow by 1/t, so that linked sets lie in one band or in two neighbours. The tile of a band
+  holds pairs whose smaller set is of that band.
 * A bitmap has a bit for the hash of each shingle. Bits that only one of two bitmaps has count
   shingles that only one set has, which bounds the intersection from above.
+* Shingles are compared by 64-bit hashes under bases drawn for each run, so that no text can be made to collide.
 """
 
 from __future__ import annotations
@@ -31,57 +34,55 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm._common import id_and_text, only_ids, stored, text_slices
-from tidemark.llm._hashing import LOWER, STEP, U, is_word_byte, mix, prefix_sums, rolled, span_hashes, words_of
+from tidemark.llm._hashing import LOWER, STEP, U, is_word_byte, keyed_spans, mix, rolled, secret_bases, words_of
 from tidemark.llm.components import connected_components
 
 #: Words are runs of bytes other than ASCII white space.
 WORD_BYTE = is_word_byte((0x20, 0x20), (0x09, 0x0D), inside=False)
-STRIPES = 64
+#: Neighbours in a run, at most.
+RUN = 3
+#: Keys of one batch that are combined before they are sent.
+BATCH_KEYS = 1 << 20
 #: Bits of a bitmap for each shingle, and at most: at this load bounds are within a few hundredths of the truth.
 BITS_PER_SHINGLE = 16
 MOST_BITS = 1 << 16
 #: Sets of one tile that are compared in one task.
-TILE_ROWS = 4096
+TILE_ROWS = 2048
 
 
-class Bands:
-    """Size bands for a threshold in per cent, and the stripes of each tile."""
+def band_edges(percent: int, largest: int) -> list[int]:
+    """The smallest size of each band, up to the band of ``largest``."""
+    edges = [1]
+    while edges[-1] <= largest:
+        edges.append(max(edges[-1] + 1, ceil(edges[-1] * 100 / percent)))
+    return edges
+
+
+class Keys:
+    """The keys of sets for a threshold in per cent."""
 
     def __init__(self, percent: int):
-        self.percent, self.low = percent, [1, 2]
-
-    def band(self, size: int) -> int:
-        while self.low[-1] <= size:
-            self.low.append(max(self.low[-1] + 1, ceil(self.low[-1] * 100 / self.percent)))
-        return int(np.searchsorted(self.low, size, "right")) - 1
-
-    def stripes(self, tile: int) -> tuple[int, int, int]:
-        """(K, how many of them are emitted, D) of a tile; D is -1 where the argument is one of probability."""
-        low, high = self.low[tile], self.low[tile + 1] - 1
-        k = ceil(0.75 * low) + 1
-        if k <= STRIPES:
-            return k, k, high * (100 - self.percent) // self.percent
-        return max(STRIPES, low // 2), STRIPES, -1
-
-
-def _keys(sorted_set: np.ndarray, bands: Bands) -> np.ndarray:
-    n = len(sorted_set)
-    band, out, weak = bands.band(n), [], False
-    mixed = mix(sorted_set)
-    for tile in (band, band - 1) if band else (band,):
-        k, emitted, most_different = bands.stripes(tile)
-        top = n if emitted == k else int(np.searchsorted(sorted_set, U(min((1 << 64) - 1, ((emitted + 1) << 64) // k))))
-        stripe = ((sorted_set[:top] >> U(32)) * U(k)) >> U(32)
-        if emitted < k:
-            stripe = stripe[: int(np.searchsorted(stripe, U(emitted)))]
-        if len(stripe):
-            first = np.flatnonzero(np.concatenate(([True], stripe[1:] != stripe[:-1])))
-            sums = np.add.reduceat(mixed[: len(stripe)], first)
-            out.append(mix(sums + stripe[first] * U(STEP) + U((tile + 1) * 0xA0761D6478BD642F % (1 << 64))))
-            weak |= most_different >= 0 and len(first) <= most_different
-    if weak:
-        out.append(mix(mixed[: n - ceil(bands.percent * n / 100) + 1] + U(0xE7037ED1A0B428DB)))
-    return np.concatenate(out)
+        self.percent = percent
+        self.run = max(r for r in range(1, RUN + 1) if r * (100 - percent) < 100)
+        self.least = 1
+        while not self._has_runs(self.least):
+            self.least += 1
+
+    def _spoilt(self, n: int) -> int:
+        return self.run * (100 - self.percent) * n // 100
+
+    def _has_runs(self, n: int) -> bool:
+        """Whether a set of n shingles, and so any larger one, has more runs than can be spoilt."""
+        return n - self.run >= self._spoilt(n)
+
+    def of(self, sorted_set: np.ndarray) -> np.ndarray:
+        n, out = len(sorted_set), []
+        if n >= self.least:
+            out.append(rolled(sorted_set[: self._spoilt(n) + self.run], self.run))
+        smallest_partner = ceil(self.percent * n / 100)
+        if smallest_partner < self.least:
+            out.append(mix(sorted_set[: n - smallest_partner + 1] ^ U(0xE7037ED1A0B428DB)))
+        return np.concatenate(out)
 
 
 def _bitmap(sorted_set: np.ndarray) -> bytes:
@@ -91,12 +92,12 @@ def _bitmap(sorted_set: np.ndarray) -> bytes:
     return np.packbits(flags, bitorder="little").tobytes()
 
 
-def _shingle_sets(batch: pa.RecordBatch, words: int) -> Iterator[tuple[int, np.ndarray]]:
+def _shingle_sets(batch: pa.RecordBatch, words: int, bases: tuple[int, int]) -> Iterator[tuple[int, np.ndarray]]:
     """(row, sorted distinct shingle hashes) of each text of the batch."""
     for first_row, last_row, data, offsets in text_slices(batch):
         data = LOWER[data]
         starts, ends, first = words_of(data, offsets, WORD_BYTE)
-        hashes = span_hashes(prefix_sums(data), starts, ends)
+        hashes = keyed_spans(data, starts, ends, bases)
         shingles = rolled(hashes, words)
         for row in range(last_row - first_row):
             a, b = first[row], first[row + 1]
@@ -108,38 +109,58 @@ def _shingle_sets(batch: pa.RecordBatch, words: int) -> Iterator[tuple[int, np.n
                 yield first_row + row, np.zeros(0, U)
 
 
-def _sketch(words: int, percent: int):
+def _sketch(words: int, bases: tuple[int, int]):
+    """The size and two sums of the shingle hashes of each text, which tell its class."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands = Bands(percent)
         for batch in batches:
-            n, one, two, keys = [], [], [], []
-            for _, found in _shingle_sets(batch, words):
+            n, one, two = [], [], []
+            for _, found in _shingle_sets(batch, words, bases):
                 n.append(len(found))
                 one.append(int(mix(found).sum(dtype=U).view(np.int64)))
                 two.append(int(mix(found ^ U(STEP)).sum(dtype=U).view(np.int64)))
-                keys.append(_keys(found, bands).view(np.int64) if len(found) else np.zeros(0, np.int64))
-            at = np.zeros(len(keys) + 1, np.int32)
-            np.cumsum([len(k) for k in keys], out=at[1:])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("id"),
-                    pa.array(n, pa.int64()),
-                    pa.array(one, pa.int64()),
-                    pa.array(two, pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(keys) if keys else [], pa.int64())),
-                ],
-                names=["id", "n", "one", "two", "keys"],
-            )
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *(pa.array(c, pa.int64()) for c in (n, one, two))], names=["id", "n", "one", "two"])
 
     return run
 
 
-def _sets(words: int):
+def _keyed(words: int, percent: int, bases: tuple[int, int], batch_keys: int):
+    """(key, via, rep): the smallest set of a batch with a key, with via null, and the others with it as via."""
+
+    def combined(reps: list[int], keys: list[np.ndarray]) -> pa.RecordBatch:
+        key, rep = np.concatenate(keys).view(np.int64), np.repeat(np.array(reps, np.int64), [len(k) for k in keys])
+        order = np.lexsort((rep, key))
+        key, rep = key[order], rep[order]
+        again = np.concatenate(([False], (key[1:] == key[:-1]) & (rep[1:] == rep[:-1])))
+        key, rep = key[~again], rep[~again]
+        first = np.concatenate(([True], key[1:] != key[:-1]))
+        via = rep[np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))]
+        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(via, mask=first), pa.array(rep)], names=["key", "via", "rep"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, reps, keys, size = Keys(percent).of, [], [], 0
+        for batch in batches:
+            ids = batch.column("id").to_pylist()
+            for row, found in _shingle_sets(batch, words, bases):
+                if len(found):
+                    reps.append(ids[row])
+                    keys.append(of(found))
+                    size += len(keys[-1])
+                    if size >= batch_keys:
+                        yield combined(reps, keys)
+                        reps, keys, size = [], [], 0
+        if keys:
+            yield combined(reps, keys)
+
+    return run
+
+
+def _sets(words: int, bases: tuple[int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in range(0, batch.num_rows, 256):
                 piece = batch.slice(part, 256)
-                found = [s for _, s in _shingle_sets(piece, words)]
+                found = [s for _, s in _shingle_sets(piece, words, bases)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         piece.column("id"),
@@ -196,7 +217,7 @@ def _linked_pairs(percent: int):
 
 
 def _tile_pairs(percent: int, every: bool):
-    """Pairs of one tile that share a key, are in different components, and that bitmaps allow; each once.
+    """Pairs of one tile that share a key, are in different components, and that bitmaps allow; the smaller set is in the tile's band.
 
     Rows come sorted by tile. ``every``: all such pairs; else a set that found a possible partner is
     not compared further, so that a tile of m near copies gives m pairs and not their square.
@@ -206,7 +227,7 @@ def _tile_pairs(percent: int, every: bool):
         if len({r[2] for r in rows}) < 2:
             return
         rows.sort(key=lambda r: (r[3], r[1]))
-        ids, names, sizes, side = (np.array([r[i] for r in rows]) for i in (1, 2, 3, 6))
+        ids, names, sizes, side, in_band = (np.array([r[i] for r in rows]) for i in (1, 2, 3, 6, 7))
         width = min(len(r[4]) for r in rows)
         maps = np.stack([_folded(r[4], width) for r in rows])
         holders: dict[int, list[int]] = {}
@@ -216,7 +237,7 @@ def _tile_pairs(percent: int, every: bool):
         held = {key: np.array(found) for key, found in holders.items()}
         free = np.ones(len(rows), bool)
         for i, r in enumerate(rows):
-            if not every and not free[i]:
+            if not in_band[i] or (not every and not free[i]):
                 continue
             sharing = np.zeros(len(rows), bool)
             for key in r[5]:
@@ -237,7 +258,7 @@ def _tile_pairs(percent: int, every: bool):
         def groups():
             now, rows = None, []
             for batch in batches:
-                for row in zip(*(batch.column(c).to_pylist() for c in ("tile", "id", "component", "n", "bitmap", "keys", "side"))):
+                for row in zip(*(batch.column(c).to_pylist() for c in ("tile", "id", "component", "n", "bitmap", "keys", "side", "in_band"))):
                     if row[0] != now:
                         yield rows
                         now, rows = row[0], []
@@ -274,24 +295,24 @@ def ngram_jaccard_groups(
     null component. Repeated rows repeat their result; texts that share an id are one node. An empty
     table gives an empty result. Other columns are ignored.
     """
-    texts = id_and_text(docs, id_col, text_col)
-    sketches = stored(
-        texts.mapInArrow(_sketch(words, percent), "id long, n long, one long, two long, keys array<long>"),
-        "sketches",
-    )
+    texts, bases = id_and_text(docs, id_col, text_col), secret_bases()
+    sketches = stored(texts.mapInArrow(_sketch(words, bases), "id long, n long, one long, two long"), "sketches")
     named = sketches.where("id is not null and n > 0")
     classes = stored(named.groupBy("one", "two", "n").agg(F.min("id").alias("rep")), "classes")
-    reps = only_ids(named, "id", stored(classes.select("rep").distinct(), "representatives"))
-    of_key = Window.partitionBy("key")
-    shared = (
-        reps.select(F.explode("keys").alias("key"), F.col("id").alias("rep"))
-        .withColumns({"pivot": F.min("rep").over(of_key), "last": F.max("rep").over(of_key)})
-        .where("pivot < last")
+    reps = only_ids(texts, "id", stored(classes.select("rep").distinct(), "representatives"))
+    of_key = Window.partitionBy("key", "via")
+    met = reps.mapInArrow(_keyed(words, percent, bases, BATCH_KEYS), "key long, via long, rep long")
+    met = met.withColumns({"pivot": F.min("rep").over(of_key), "last": F.max("rep").over(of_key)}).where("via is not null or pivot < last")
+    met = stored(met.select("key", "via", "rep", "pivot"), "met")
+    top = met.where("via is null")
+    below = met.where("via is not null").select("key", "via", "rep").join(top.select("key", F.col("rep").alias("via"), F.col("pivot").alias("tile")), ["key", "via"], "left")
+    shared = top.select(F.col("pivot").alias("tile"), F.col("pivot").alias("via"), "rep", "key").unionByName(
+        below.select(F.coalesce("tile", "via").alias("tile"), "via", "rep", "key")
     )
-    shared = shared.groupBy("pivot", "rep").agg(F.collect_set("key").alias("keys"))
-    shared = stored(shared, "shared_keys")
-    candidates = stored(shared.select("rep").union(shared.select("pivot")).distinct(), "candidates")
-    sets = only_ids(texts, "id", candidates).mapInArrow(_sets(words), "id long, n long, bitmap binary, shingles binary").where("n > 0")
+    shared = stored(shared.groupBy("tile", "rep").agg(F.collect_set("key").alias("keys"), F.collect_set("via").alias("vias")), "shared_keys")
+    first = shared.select(F.explode("vias").alias("a"), F.col("rep").alias("b")).where("a <> b").distinct()
+    candidates = stored(shared.select("rep").union(shared.select("tile")).union(first.select("a")).distinct(), "candidates")
+    sets = only_ids(texts, "id", candidates).mapInArrow(_sets(words, bases), "id long, n long, bitmap binary, shingles binary").where("n > 0")
     sets = stored(sets, "sets")
 
     twice = named.groupBy("id").agg(F.min("one").alias("x"), F.max("one").alias("y")).where("x <> y").select("id")
@@ -301,9 +322,9 @@ def ngram_jaccard_groups(
     components = checked = None
     for every in (None, False, True):
         if every is None:
-            pairs = shared.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b"))
+            pairs = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         else:
-            tiles = _tiles(shared, components)
+            tiles = _tiles(shared, components, sets, percent)
             if tiles.isEmpty():
                 break
             pairs = _dealt(tiles, sets).mapInArrow(_tile_pairs(percent, every), "a long, b long").distinct().join(checked, ["a", "b"], "left_anti")
@@ -329,12 +350,19 @@ def ngram_jaccard_groups(
     )
 
 
-def _tiles(shared: DataFrame, components: DataFrame) -> DataFrame:
-    """(tile, id, component, keys, members) of tiles whose sets are in several components."""
-    known = shared.join(components.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    known = known.select(F.col("pivot").alias("tile"), F.col("rep").alias("id"), F.coalesce("component", "rep").alias("component"), "keys")
-    mixed = known.groupBy("tile").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("members"))
-    return stored(known.join(mixed.where("x < y").select("tile", "members"), "tile"), "tiles")
+def _tiles(shared: DataFrame, components: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(tile, band, in_band, id, n, component, keys, members) of tiles whose sets are in several components.
+
+    A set goes to the tile of its own band and, as the larger one of pairs, to that of the band below.
+    """
+    largest = sets.agg(F.max("n")).first()[0] or 1
+    edges = F.array(*map(F.lit, band_edges(percent, largest)))
+    band = F.size(F.filter(edges, lambda e: e <= F.col("n")))
+    known = shared.join(components.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumnRenamed("rep", "id")
+    known = known.join(sets.select("id", "n"), "id").withColumn("own_band", band).withColumn("band", F.explode(F.array(F.col("own_band"), F.col("own_band") - 1)))
+    known = known.select("tile", "band", (F.col("band") == F.col("own_band")).alias("in_band"), "id", "n", F.coalesce("component", "id").alias("component"), "keys")
+    mixed = known.groupBy("tile", "band").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("members"))
+    return stored(known.join(mixed.where("x < y").select("tile", "band", "members"), ["tile", "band"]), "tiles")
 
 
 def _dealt(tiles: DataFrame, sets: DataFrame) -> DataFrame:
@@ -342,14 +370,15 @@ def _dealt(tiles: DataFrame, sets: DataFrame) -> DataFrame:
     parts = F.ceil(F.col("members") / TILE_ROWS).cast("int")
     own, other = F.col("own"), F.col("other")
     rows = tiles.withColumn("own", F.pmod(F.xxhash64("id"), parts).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    rows = rows.join(sets.select("id", "n", "bitmap"), "id").select(
-        F.xxhash64("tile", F.least(own, other), F.greatest(own, other)).alias("tile"),
+    rows = rows.join(sets.select("id", "bitmap"), "id").select(
+        F.xxhash64("tile", "band", F.least(own, other), F.greatest(own, other)).alias("tile"),
         "id",
         "component",
         "n",
         "bitmap",
         "keys",
         F.when(own == other, -1).otherwise(own).alias("side"),
+        "in_band",
     )
     return rows.repartition("tile").sortWithinPartitions("tile")
 
