@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +17,7 @@ BROADCAST_ROWS = 500_000
 #: Rows that one key may bring to a task of a join before they are spread, and keys that may be spread that way.
 HOT_ROWS, HOT_KEYS = 1000, 100_000
 #: Bytes of text that a numpy kernel works on at once.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -54,6 +56,20 @@ def only_ids(df: DataFrame, key: str, ids: DataFrame, how: str = "left_semi", bo
     return df.join(F.broadcast(ids) if small else ids, key, how)
 
 
+def trimmed(run: Callable) -> Callable:
+    """A task's function that gives freed memory back to the system when it is done: workers live on between tasks."""
+
+    @functools.wraps(run)
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return whole
+
+
 def spread_join(left: DataFrame, right: DataFrame, keys: list[str], rows: str) -> DataFrame:
     """Inner join with a written table of one row a key, whose column ``rows`` says how many rows of ``left`` have it.
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm._common import col, id_and_text, only_ids, stored, text_slices
+from tidemark.llm._common import col, id_and_text, only_ids, stored, text_slices, trimmed
 from tidemark.llm._hashing import LOWER, U, is_word_byte, prefix_sums, rolled, span_hashes, words_of
 
 #: Words are runs of ASCII letters, digits and all bytes beyond ASCII.
@@ -34,6 +34,7 @@ FILTER_BITS = 22
 def _item_windows(n: int):
     """(k, hash, words, item) of the windows of each item, k words long."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first_row, _, data, offsets in text_slices(batch):
@@ -113,6 +114,7 @@ _SPAN = pa.struct([("first", pa.int32()), ("last", pa.int32()), ("from_byte", pa
 
 
 def _scanner(broadcast):
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = broadcast.value
         for batch in batches:

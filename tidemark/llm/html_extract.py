@@ -19,7 +19,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm._common import col
+from tidemark.llm._common import col, trimmed
 from tidemark.llm._dom import decoded, features, main_text, parse
 from tidemark.llm._practice_pages import MARK, PageMaker
 
@@ -96,6 +96,7 @@ def train_extractor(pages: int = TRAINING_PAGES, trees: int = TREES) -> Forest:
 
 
 def _extract(broadcast):
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest = broadcast.value
         for batch in batches:

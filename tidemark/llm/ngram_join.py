@@ -33,16 +33,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm._common import id_and_text, only_ids, stored, text_slices
+from tidemark.llm._common import id_and_text, only_ids, stored, text_slices, trimmed
 from tidemark.llm._hashing import LOWER, STEP, U, is_word_byte, keyed_spans, mix, rolled, secret_bases, words_of
 from tidemark.llm.components import connected_components
 
 #: Words are runs of bytes other than ASCII white space.
 WORD_BYTE = is_word_byte((0x20, 0x20), (0x09, 0x0D), inside=False)
 #: Neighbours in a run, at most.
-RUN = 3
+RUN = 2
 #: Keys of one batch that are combined before they are sent.
-BATCH_KEYS = 1 << 20
+BATCH_KEYS = 1 << 18
 #: Bits of a bitmap for each shingle, and at most: at this load bounds are within a few hundredths of the truth.
 BITS_PER_SHINGLE = 16
 MOST_BITS = 1 << 16
@@ -112,6 +112,7 @@ def _shingle_sets(batch: pa.RecordBatch, words: int, bases: tuple[int, int]) ->
 def _sketch(words: int, bases: tuple[int, int]):
     """The size and two sums of the shingle hashes of each text, which tell its class."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, one, two = [], [], []
@@ -137,6 +138,7 @@ def _keyed(words: int, percent: int, bases: tuple[int, int], batch_keys: int):
         via = rep[np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))]
         return pa.RecordBatch.from_arrays([pa.array(key), pa.array(via, mask=first), pa.array(rep)], names=["key", "via", "rep"])
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, reps, keys, size = Keys(percent).of, [], [], 0
         for batch in batches:
@@ -156,6 +158,7 @@ def _keyed(words: int, percent: int, bases: tuple[int, int], batch_keys: int):
 
 
 def _sets(words: int, bases: tuple[int, int]):
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in range(0, batch.num_rows, 256):
@@ -193,6 +196,7 @@ def _possible(a: tuple[int, bytes], b: tuple[int, bytes], percent: int) -> bool:
 def _bounded_pairs(percent: int):
     """Keeps pairs whose bitmaps allow a link."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = batch.to_pydict()
@@ -205,6 +209,7 @@ def _bounded_pairs(percent: int):
 def _linked_pairs(percent: int):
     """Keeps pairs whose shingle sets reach the threshold, by intersecting the sorted arrays."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -230,18 +235,17 @@ def _tile_pairs(percent: int, every: bool):
         ids, names, sizes, side, in_band = (np.array([r[i] for r in rows]) for i in (1, 2, 3, 6, 7))
         width = min(len(r[4]) for r in rows)
         maps = np.stack([_folded(r[4], width) for r in rows])
-        holders: dict[int, list[int]] = {}
-        for i, r in enumerate(rows):
-            for key in r[5]:
-                holders.setdefault(key, []).append(i)
-        held = {key: np.array(found) for key, found in holders.items()}
+        _, code = np.unique(np.concatenate([r[5] for r in rows]), return_inverse=True)
+        codes = np.split(code, np.cumsum([len(r[5]) for r in rows])[:-1])
+        holder = np.repeat(np.arange(len(rows)), [len(c) for c in codes])[np.argsort(code, kind="stable")]
+        first = np.concatenate(([0], np.cumsum(np.bincount(code))))
         free = np.ones(len(rows), bool)
-        for i, r in enumerate(rows):
+        for i in range(len(rows)):
             if not in_band[i] or (not every and not free[i]):
                 continue
             sharing = np.zeros(len(rows), bool)
-            for key in r[5]:
-                sharing[held[key]] = True
+            for c in codes[i]:
+                sharing[holder[first[c] : first[c + 1]]] = True
             last = int(np.searchsorted(sizes, sizes[i] * 100 // percent, "right"))
             sharing[: i + 1] = sharing[last:] = False
             sharing &= (names != names[i]) & ((side != side[i]) | (side < 0))
@@ -254,11 +258,16 @@ def _tile_pairs(percent: int, every: bool):
                 for k in hit:
                     yield int(min(ids[i], ids[k])), int(max(ids[i], ids[k]))
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def groups():
             now, rows = None, []
             for batch in batches:
-                for row in zip(*(batch.column(c).to_pylist() for c in ("tile", "id", "component", "n", "bitmap", "keys", "side", "in_band"))):
+                lists = batch.column("keys")
+                at, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+                keys = [values[a:b].copy() for a, b in zip(at[:-1], at[1:])]
+                others = (batch.column(c).to_pylist() for c in ("tile", "id", "component", "n", "bitmap"))
+                for row in zip(*others, keys, batch.column("side").to_pylist(), batch.column("in_band").to_pylist()):
                     if row[0] != now:
                         yield rows
                         now, rows = row[0], []

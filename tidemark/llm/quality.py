@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm._common import col, id_and_text, stored, text_slices
+from tidemark.llm._common import col, id_and_text, stored, text_slices, trimmed
 from tidemark.llm._hashing import LOWER, STEP, U, mix, prefix_sums, span_hashes, words_of
 
 BITS = 18
@@ -81,6 +81,7 @@ def features(data: np.ndarray, offsets: np.ndarray, bits: int = BITS) -> Iterato
 
 
 def _train(bits: int, alpha: float, beta: float, l1: float, l2: float, updates: int):
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, labels = [], []
         for batch in batches:
@@ -138,6 +139,7 @@ def _scores(weights: np.ndarray, batch: pa.RecordBatch, bits: int, column: str =
 
 
 def _score(broadcast, bits: int):
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = broadcast.value.astype(np.float64)
         for batch in batches:
@@ -149,6 +151,7 @@ def _score(broadcast, bits: int):
 def _accept(broadcast, bits: int, column: str):
     """Whole rows of a score of 0.5 or more; the slots of null texts are empty."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = broadcast.value.astype(np.float64)
         for batch in batches:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm._common import BROADCAST_ROWS, id_and_text, spread_join, stored, text_slices
+from tidemark.llm._common import BROADCAST_ROWS, id_and_text, spread_join, stored, text_slices, trimmed
 from tidemark.llm._hashing import U, prefix_sums, span_hashes
 
 GRAM = 32
@@ -61,6 +61,7 @@ def anchors(data: np.ndarray, length: int, gram: int = GRAM) -> tuple[np.ndarray
 
 
 def _anchor_rows(length: int, gram: int):
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first_row, _, data, offsets in text_slices(batch):
@@ -85,6 +86,7 @@ def _anchor_rows(length: int, gram: int):
 def _suffixes(length: int, gram: int):
     """The bytes around each anchor; equal ones of a document make one row with all their starts."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, out, size = [], ([], [], [], [], [], []), 0
@@ -219,6 +221,7 @@ def _repeats(length: int, id_type: pa.DataType):
             names=["id", "start", "end", "window", "known"],
         )
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, size, now = [], 0, None
         for batch in batches:

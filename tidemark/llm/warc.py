@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm._common import col, scratch, spread_join, stored
+from tidemark.llm._common import col, scratch, spread_join, stored, trimmed
 from tidemark.llm._files import opened, put
 
 #: Payload and header bytes, and records, after which a task starts another archive.
@@ -128,6 +128,7 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 def _archive(root: str, date: str, archive_bytes: int, crawl: str):
     """Record ids follow from the crawl and the record's place: a task that runs again gives the same ones, another crawl does not."""
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         pages = ((p, u, (h or "").encode()) for b in batches for p, u, h in zip(*(b.column(c).to_pylist() for c in ("page_id", "url", "html"))))
@@ -176,6 +177,7 @@ def resolve_revisits(headers: DataFrame, min_bytes: int = 0) -> DataFrame:
 
 
 def _rewrite(root: str, date: str):
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for source, found in zip(batch.column("path").to_pylist(), batch.column("repeats").to_pylist()):
