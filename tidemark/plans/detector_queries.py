@@ -9,8 +9,7 @@ from tidemark.functions import arrays as A
 from tidemark.operators import detectors as D
 from tidemark.operators import events as E
 from tidemark.operators import series as S
-from tidemark.plans.facts import ANNUAL, CALENDAR, MONTHLY, diffs, mad, median, monthly, ranks, resid, robust_scale, sd, table, theil_sen
-from tidemark.plans.series_queries import END
+from tidemark.plans.facts import ANNUAL, CALENDAR, MONTHLY, diffs, last_month, mad, median, monthly, ranks, resid, robust_scale, sd, table, theil_sen
 
 QUERIES, SQL = {}, {}
 METRICS = ["metric", "strength", "persistence"]
@@ -41,7 +40,7 @@ def rates(spark: SparkSession, sf_dir: str, flow: str) -> DataFrame:
 
 def rolled(spark: SparkSession, sf_dir: str, flow: str, min_count: float, p: D.Flow) -> DataFrame:
     """(entity, rolling, scope, eligible): dense monthly series as rolling sums, with the yearly median as size."""
-    dense = S.dense_monthly(monthly(spark, sf_dir), flow, END).select("entity", S.rolling_sums(F.col("values")).alias("rolling"))
+    dense = S.dense_monthly(monthly(spark, sf_dir), flow, last_month(spark, sf_dir)).select("entity", S.rolling_sums(F.col("values")).alias("rolling"))
     six = six_years(spark, sf_dir, flow).withColumn("med", A.median(F.slice("values", 1, 5)))
     rows = dense.join(six.select("entity", "med", "weight"), "entity")
     rows = rows.withColumn("scope", D.scope(F.col("med"), F.col("weight"), p))

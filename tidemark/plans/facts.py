@@ -49,9 +49,15 @@ years AS (SELECT year, months FROM (SELECT CAST(year(period) AS INTEGER) AS year
   WHERE months = 12 ORDER BY year DESC LIMIT 6)"""
 )
 
+def last_month(spark: SparkSession, sf_dir: str):
+    """The first day of the last month that the facts cover to its end."""
+    last = F.date_add(F.max(F.to_date("l_shipdate")), 1)
+    return table(spark, sf_dir, "lineitem").agg(F.add_months(F.trunc(last, "month"), -1)).first()[0]
+
+
 CALENDAR = """,
-calendar AS (SELECT date_diff('month', min(period), max(period)) + 1 AS n FROM monthly WHERE period <= DATE '2001-07-01'),
-dense AS (SELECT entity, list(CAST({flow} AS DOUBLE) ORDER BY period) AS v FROM monthly WHERE period <= DATE '2001-07-01' GROUP BY entity
+calendar AS (SELECT date_diff('month', min(period), max(period)) + 1 AS n FROM monthly WHERE period <= (SELECT date_trunc('month', max(l_shipdate) + INTERVAL 1 DAY) - INTERVAL 1 MONTH FROM lineitem)),
+dense AS (SELECT entity, list(CAST({flow} AS DOUBLE) ORDER BY period) AS v FROM monthly WHERE period <= (SELECT date_trunc('month', max(l_shipdate) + INTERVAL 1 DAY) - INTERVAL 1 MONTH FROM lineitem) GROUP BY entity
   HAVING count(*) = (SELECT n FROM calendar)),
 rolled AS (SELECT entity, list_transform(range(12, len(v) + 1), lambda i: list_sum(v[i - 11:i])) AS r FROM dense WHERE len(v) >= 12)"""
 

@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import arrays as A
 from tidemark.operators import series as S
-from tidemark.plans.facts import ANNUAL, CALENDAR, MONTHLY, diffs, mad, median, monthly, ranks, resid, robust_scale, sd, table, theil_sen
+from tidemark.plans.facts import ANNUAL, CALENDAR, MONTHLY, diffs, last_month, mad, median, monthly, ranks, resid, robust_scale, sd, table, theil_sen
 
-END = "2001-07-01"
 QUERIES, SQL = {}, {}
 
 
@@ -34,7 +33,7 @@ SELECT entity, current, top AS previous_max, bottom AS previous_min, current > t
   round(CASE WHEN current > top THEN current - top WHEN current < bottom THEN bottom - current ELSE 0 END, 6) AS margin FROM x"""
 )
 def record_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dense = S.dense_monthly(monthly(spark, sf_dir), "births", END)
+    dense = S.dense_monthly(monthly(spark, sf_dir), "births", last_month(spark, sf_dir))
     r = dense.select("entity", S.rolling_sums(F.col("values")).alias("r")).where(F.size("r") > 1)
     prior = A.without_last(F.col("r"))
     x = r.select("entity", A.at(F.col("r"), -1).alias("current"), F.array_max(prior).alias("previous_max"), F.array_min(prior).alias("previous_min"))
@@ -119,7 +118,7 @@ def rolling12_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {MONTHLY}{CALENDAR.format(flow='births')} SELECT entity, len(r) AS points, r[1] AS first_sum, r[-1] AS last_sum, list_sum(r) AS all_sums FROM rolled")
 def rolling12_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = S.dense_monthly(monthly(spark, sf_dir), "births", END).select("entity", S.rolling_sums(F.col("values")).alias("r")).where(F.size("r") > 0)
+    r = S.dense_monthly(monthly(spark, sf_dir), "births", last_month(spark, sf_dir)).select("entity", S.rolling_sums(F.col("values")).alias("r")).where(F.size("r") > 0)
     return r.select("entity", F.size("r").cast("long").alias("points"), A.at(F.col("r"), 0).alias("first_sum"), A.at(F.col("r"), -1).alias("last_sum"), A.total(F.col("r")).alias("all_sums"))
 
 
