@@ -159,7 +159,7 @@ ROLLING = [
     ("births", 100, D.NATURAL), ("deaths", 150, D.NATURAL), ("imm_internal", 150, D.MIGRATION), ("emi_internal", 150, D.MIGRATION),
     ("imm_foreign", 75, D.MIGRATION), ("emi_foreign", 50, D.MIGRATION),
 ]
-for _flow, _least, _p in (ROLLING[0], ROLLING[2], ROLLING[4]):
+for _flow, _least, _p in ROLLING:
     _add(f"record_{_flow}", lambda spark, sf_dir, f=_flow, n=_least, p=_p: shown(D.record(rolled(spark, sf_dir, f, n, p), p)), _record_sql(_flow, _least, _p))
     _add(
         f"acceleration_{_flow}",
