@@ -1,9 +1,9 @@
 """Token ids of texts, with a bounded memory of the ids of their words.
 
 A byte-pair tokenizer splits text into words first and merges within each, so the ids of a text are
-those of its words one after another, and a worker keeps the ids of words it has met. Only pieces of ASCII are
-split into words here, where no two Unicode tables can differ, and merged by the tokenizer's own model. Other
-pieces go to the library as they are, and texts that white space might not part go to it whole.
+those of its words one after another, and a worker keeps the ids of words it has met. Only pieces of ASCII and
+Latin letters are split into words here, where no two Unicode tables differ, and merged by the tokenizer's own
+model. Other pieces go to the library as they are, and texts that white space might not part go to it whole.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from itertools import islice
 from tokenizers import Tokenizer
 
 #: Bytes of words and ids that a worker remembers, in two generations, at about ``_ENTRY`` bytes beside each.
-MEMORY_BYTES = 32 << 20
+MEMORY_BYTES = 96 << 20
 _ENTRY = 120
 #: Characters of texts that are encoded together, and words of a longer text.
 CHUNK_CHARS = 1 << 18
@@ -31,16 +31,20 @@ _UNUSUAL = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200d\u2028\u2029\u
 _BYTE_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _SPACELESS_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-#: The letters that stand for ASCII's white space and control characters in byte-level vocabularies.
-_LETTERS = {byte: chr(256 + i) for i, byte in enumerate([*range(33), 127])}
+#: Latin letters in one piece that every Unicode table since 5.0 has as such; the one left out becomes two characters in lower case.
+_LATIN = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
+_PLAIN = re.compile(f"[\x00-\x7f{_LATIN}]*")
+#: The letters that stand for bytes in byte-level vocabularies: the byte itself if it is seen, else one from 256 on.
+_SEEN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_LETTERS = {byte: chr(256 + i) for i, byte in enumerate(b for b in range(256) if b not in _SEEN)}
 
 
 def _parts(words: str, spaceless: bool) -> re.Pattern:
-    """Parts of a text: pieces that hold more than ASCII, with the white space before them, and words of the others."""
-    for long, short in ((r"[\p{L}]", "[A-Za-z]"), (r"[\p{N}]", "[0-9]"), (r"\p{L}\p{N}", "A-Za-z0-9"), (r"\p{L}", "[A-Za-z]"), (r"\p{N}", "[0-9]")):
+    """Parts of a text: pieces that hold more than ASCII and Latin, with the white space before them, and words of the others."""
+    for long, short in ((r"[\p{L}]", f"[A-Za-z{_LATIN}]"), (r"[\p{N}]", "[0-9]"), (r"\p{L}\p{N}", f"A-Za-z{_LATIN}0-9"), (r"\p{L}", f"[A-Za-z{_LATIN}]"), (r"\p{N}", "[0-9]")):
         words = words.replace(long, short)
     before = "" if spaceless else r"\s*+"
-    return re.compile(rf"{before}[!-~\x00-\x08\x0e-\x1f\x7f]*+[^\x00-\x7f]\S*|" + (f"(?i:{words})" if spaceless else words), re.ASCII)
+    return re.compile(rf"{before}[!-~\x00-\x08\x0e-\x1f\x7f{_LATIN}]*+[^\x00-\x7f{_LATIN}]\S*|" + (f"(?i:{words})" if spaceless else words), re.ASCII)
 
 
 class Encoder:
@@ -79,8 +83,8 @@ class Encoder:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _merged(self, words: list[str]) -> list[bytes]:
-        """Ids of single words of ASCII, by the model alone."""
-        spelt = [(w.lower() if self.lowers else w).translate(_LETTERS) for w in words]
+        """Ids of single words of ASCII and Latin letters, by the model alone."""
+        spelt = [(w.lower() if self.lowers else w).encode().decode("latin-1").translate(_LETTERS) for w in words]
         return [array("I", e.ids).tobytes() for e in self.model.encode_batch_fast(spelt, add_special_tokens=False)]
 
     def _whole(self, text: str) -> bool:
@@ -94,8 +98,8 @@ class Encoder:
         """Puts the ids of the parts into the newer generation."""
         missing = parts.difference(self.known)
         new = missing.difference(self.older)
-        words = [p for p in new if p.isascii()]
-        others = [p for p in new if not p.isascii()]
+        words = [p for p in new if p.isascii() or _PLAIN.fullmatch(p)]
+        others = [p for p in new if not (p.isascii() or _PLAIN.fullmatch(p))]
         found = dict(zip(words, self._merged(words)))
         found.update(zip(others, self._library(others)))
         found.update((p, self.older[p]) for p in missing.difference(new))
