@@ -18,27 +18,47 @@ from tidemark.llm.quality import without_rejected
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, trained on the labels that are not held out, scores at 0.5 or more."""
+    """Documents that the classifier, trained on the labels that are not held out, scores at 0.5 or more.
+
+    Each row by its own text, also without an id or where it repeats; null and empty texts by the bias. An
+    empty table stays empty.
+    """
     return without_rejected(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal normalised text, the one with the smallest id."""
+    """Of documents with equal normalised text, the one with the smallest id.
+
+    Exactly one row of each text, also where rows repeat their id or have none (those last); null counts as
+    empty, and empty texts are equal. An empty table stays empty.
+    """
     return without_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents connected by a Jaccard similarity of 0.75 or more over five-word shingles, the one with the smallest id."""
+    """Of documents connected by a Jaccard similarity of 0.75 or more over five-word shingles, the one with the smallest id.
+
+    Rows of one id stay or go together. Rows without an id, and texts without words, stay. An empty table
+    stays empty.
+    """
     return one_of_each_group(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of whose words less than a twentieth lie in benchmark windows."""
+    """Documents of whose words less than a twentieth lie in benchmark windows.
+
+    Each row by its own text, also without an id or where it repeats; null and empty texts stay. An empty
+    table stays empty.
+    """
     return without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences of 1,024 ids."""
+    """Pieces of token sequences of 1,024 ids.
+
+    Every row is a document of its own, also without an id or where it repeats; null and empty texts are one id. An
+    empty table gives no pieces.
+    """
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
