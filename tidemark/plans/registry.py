@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans import detector_queries, feed_queries, series_queries
+from tidemark.plans import detector_queries, feed_queries, series_queries, source_queries
 
-MODULES = (series_queries, detector_queries, feed_queries)
+MODULES = (series_queries, detector_queries, feed_queries, source_queries)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: q for m in MODULES for k, q in m.QUERIES.items()}
 ORACLE_SQL: dict[str, str] = {k: q for m in MODULES for k, q in m.SQL.items()}

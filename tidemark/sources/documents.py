@@ -13,6 +13,7 @@ import xml.etree.ElementTree as ET
 import zipfile
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +24,24 @@ LEAST_BYTES = 16
 CELLS = "array<array<string>>"
 
 
+class Bounds(NamedTuple):
+    """How much of a document is read; None reads all of it. What is left out is reported with the tables."""
+
+    tables: int | None = 30
+    table_rows: int | None = 160
+    sheets: int | None = 30
+    sheet_rows: int | None = 2000
+    columns: int | None = 40
+
+
+WHOLE = Bounds(None, None, None, None, None)
+
+
+def text_of(content: Column) -> Column:
+    """Bytes as UTF-8 text; what is none becomes the replacement character."""
+    return F.make_valid_utf8(content.cast("string"))
+
+
 def read_tsv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """A table with a header, every column a string, empty instead of null; a missing column fails."""
     schema = ", ".join(f"`{c}` string" for c in columns)
@@ -37,7 +56,7 @@ def read_documents(spark: SparkSession, path: str, pattern: str = "*") -> DataFr
 
 def magic(content: Column) -> Column:
     """Format by the first bytes, the text formats by their first characters."""
-    head, text = F.hex(F.substring(content, 1, 8)), F.lower(F.ltrim(F.try_validate_utf8(F.decode(F.substring(content, 1, 512), "UTF-8"))))
+    head, text = F.hex(F.substring(content, 1, 8)), F.lower(F.ltrim(F.regexp_replace(text_of(F.substring(content, 1, 512)), r"^[\ufeff\s]+", "")))
     return (
         F.when(head.startswith("504B0304"), "zip")
         .when(head.startswith("D0CF11E0A1B11AE1"), "ole")
@@ -54,7 +73,7 @@ def magic(content: Column) -> Column:
 def rejection(name: Column, content: Column) -> Column:
     """Why a payload is not what its name says; null where it is."""
     kind, extension = magic(content), F.lower(F.regexp_extract(name, r"\.([A-Za-z0-9]+)$", 1))
-    text = F.lower(F.decode(F.substring(content, 1, 4096), "UTF-8"))
+    text = F.lower(text_of(F.substring(content, 1, 4096)))
     return (
         F.when(F.octet_length(content) < LEAST_BYTES, "too_small")
         .when(F.octet_length(content) > MOST_BYTES, "too_large")
@@ -81,9 +100,10 @@ def sniffed_delimiter(text: Column) -> Column:
     return F.when((count(";") >= count(",")) & (count(";") >= count("\t")) & (count(";") > 0), ";").when((count("\t") > count(",")), "\t").otherwise(",")
 
 
-def csv_cells(text: Column) -> Column:
-    """Cells of delimited text without quoted line ends; quotes around a cell go."""
+def csv_cells(text: Column, skip: int = 0) -> Column:
+    """Cells of delimited text without quoted line ends, after ``skip`` lines of preamble; quotes around a cell go."""
     lines = F.filter(F.split(F.regexp_replace(text, "^\\ufeff", ""), "\\r?\\n"), lambda line: F.trim(line) != "")
+    lines = F.slice(lines, skip + 1, F.size(lines)) if skip else lines
     mark = sniffed_delimiter(text)
     cells = lambda line: F.transform(F.split(line, F.concat(mark, F.lit('(?=(?:[^"]*"[^"]*")*[^"]*$)'))), lambda c: F.replace(F.regexp_replace(c, '^\\s*"|"\\s*$', ""), F.lit('""'), F.lit('"')))
     return F.transform(lines, cells)
@@ -145,14 +165,15 @@ class _Tables(HTMLParser):
                 t["cell"] += data
 
 
-def html_tables(text: str, most: int = 30, rows: int = 160) -> list[tuple[str, list[list[str]]]]:
-    """(caption, cells) of the tables of a page."""
+def html_tables(text: str, bounds: Bounds = Bounds()) -> tuple[list[tuple[str, list[list[str]], int]], int]:
+    """(caption, cells, rows left out) of the tables of a page, and how many tables are left out."""
     parser = _Tables()
     parser.feed(text)
     parser.close()
     while parser.open:
         parser.handle_endtag("table")
-    return [(caption[:160], cells[:rows]) for caption, cells in parser.tables[:most]]
+    found = [(caption[:160], cells[: bounds.table_rows], len(cells) - len(cells[: bounds.table_rows])) for caption, cells in parser.tables[: bounds.tables]]
+    return found, len(parser.tables) - len(found)
 
 
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
@@ -167,8 +188,8 @@ def column_index(reference: str) -> int:
     return n - 1
 
 
-def xlsx_sheets(content: bytes, sheets: int = 30, rows: int = 2000, columns: int = 40) -> list[tuple[str, list[list[str]]]]:
-    """(name, cells) of the sheets of a workbook, read as the ZIP of XML that it is."""
+def xlsx_sheets(content: bytes, bounds: Bounds = Bounds()) -> tuple[list[tuple[str, list[list[str]], int]], int]:
+    """(name, cells, rows left out or cut) of the sheets of a workbook, read as the ZIP of XML that it is, and how many sheets are left out."""
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         names = set(book.namelist())
         shared = []
@@ -177,15 +198,20 @@ def xlsx_sheets(content: bytes, sheets: int = 30, rows: int = 2000, columns: int
                 shared.append("".join(t.text or "" for t in item.iter(f"{{{_NS['m']}}}t")))
         targets = {r.get("Id"): r.get("Target") for r in ET.fromstring(book.read("xl/_rels/workbook.xml.rels"))}
         out = []
-        for sheet in list(ET.fromstring(book.read("xl/workbook.xml")).iterfind("m:sheets/m:sheet", _NS))[:sheets]:
+        sheets = list(ET.fromstring(book.read("xl/workbook.xml")).iterfind("m:sheets/m:sheet", _NS))
+        for sheet in sheets[: bounds.sheets]:
             target = targets[sheet.get(_REL)].lstrip("/")
             root = ET.fromstring(book.read(target if target.startswith("xl/") else f"xl/{target}"))
             cells = []
-            for row in list(root.iterfind("m:sheetData/m:row", _NS))[:rows]:
+            rows = list(root.iterfind("m:sheetData/m:row", _NS))
+            cut = len(rows) - len(rows[: bounds.sheet_rows])
+            for row in rows[: bounds.sheet_rows]:
                 line: list[str] = []
+                wide = False
                 for i, cell in enumerate(row.iterfind("m:c", _NS)):
                     place = column_index(cell.get("r", "")) if cell.get("r") else i
-                    if place >= columns:
+                    if bounds.columns is not None and place >= bounds.columns:
+                        wide = True
                         continue
                     line += [""] * (place + 1 - len(line))
                     value = cell.find("m:v", _NS)
@@ -194,8 +220,9 @@ def xlsx_sheets(content: bytes, sheets: int = 30, rows: int = 2000, columns: int
                     elif value is not None:
                         line[place] = shared[int(value.text)] if cell.get("t") == "s" else value.text or ""
                 cells.append(line)
-            out.append((sheet.get("name", ""), cells))
-        return out
+                cut += wide
+            out.append((sheet.get("name", ""), cells, cut))
+        return out, len(sheets) - len(out)
 
 
 def unzipped(content: bytes, wanted: str, depth: int = 2) -> Iterator[tuple[str, bytes]]:
@@ -209,45 +236,72 @@ def unzipped(content: bytes, wanted: str, depth: int = 2) -> Iterator[tuple[str,
                     yield f"{member}/{name}", data
 
 
-def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    types = [pa.string(), pa.string(), pa.string(), pa.list_(pa.list_(pa.string())), pa.string()]
-    for batch in batches:
-        for path, kind, content in zip(*(batch.column(c).to_pylist() for c in ("path", "kind", "content"))):
-            try:
-                found = html_tables(content.decode("utf-8", "replace")) if kind == "html" else xlsx_sheets(content)
-                error = None
-            except (KeyError, ValueError, zipfile.BadZipFile, ET.ParseError) as e:
-                found, error = [("", [])], type(e).__name__
-            rows = [(path, f"{kind}:{i + 1}", hint, cells, error) for i, (hint, cells) in enumerate(found)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=["source_url", "location", "unit_hint", "cells", "error"])
+def _member_rows(wanted: str, depth: int):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
+                try:
+                    for member, data in unzipped(content or b"", wanted, depth):
+                        yield pa.RecordBatch.from_pydict({"path": [f"{path}/{member}"], "content": pa.array([data], pa.binary()), "error": pa.array([None], pa.string())})
+                except (zipfile.BadZipFile, RuntimeError, NotImplementedError) as e:
+                    yield pa.RecordBatch.from_pydict({"path": [path], "content": pa.array([None], pa.binary()), "error": [type(e).__name__]})
+
+    return rows
+
+
+def zip_members(documents: DataFrame, wanted: str = "", depth: int = 2) -> DataFrame:
+    """Archives (path, content) to their members (path, content, error) by name, also of ZIPs inside; one that cannot be read is a row with its error."""
+    return documents.select("path", "content").mapInArrow(_member_rows(wanted, depth), "path string, content binary, error string")
+
+
+def _decoder(bounds: Bounds):
+    types = [pa.string(), pa.string(), pa.string(), pa.list_(pa.list_(pa.string())), pa.string(), pa.int64()]
+    names = ["source_url", "location", "unit_hint", "cells", "error", "cut"]
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, kind, content in zip(*(batch.column(c).to_pylist() for c in ("path", "kind", "content"))):
+                try:
+                    found, beyond = html_tables((content or b"").decode("utf-8", "replace"), bounds) if kind == "html" else xlsx_sheets(content or b"", bounds)
+                    made = [(path, f"{kind}:{i + 1}", hint, cells, None, cut) for i, (hint, cells, cut) in enumerate(found)]
+                    if beyond:
+                        made.append((path, f"{kind}:{len(found) + 1}", "", None, "left_out", beyond))
+                except (KeyError, ValueError, zipfile.BadZipFile, ET.ParseError) as e:
+                    made = [(path, f"{kind}:1", "", [], type(e).__name__, 0)]
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in made], t) for i, t in enumerate(types)], names=names)
+
+    return rows
 
 
-def document_tables(documents: DataFrame) -> DataFrame:
-    """Documents (path, content) to tables (source_url, location, unit_hint, cells, error), by extension and first bytes.
+def document_tables(documents: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
+    """Documents (path, content) to tables (source_url, location, unit_hint, cells, error, cut), by extension and first bytes.
 
-    A document that cannot be read gives one row with its error.
+    A document that cannot be read gives one row with its error. ``cut`` counts the rows of a table beyond ``bounds``;
+    tables beyond them are one row with the error left_out and their number. ``WHOLE`` leaves nothing out.
     """
     extension = F.lower(F.regexp_extract("path", r"\.([A-Za-z0-9]+)(?:$|[?#])", 1))
     kind = (
-        F.when(extension.isin("csv", "tsv", "json", "html", "htm", "xlsx", "xls", "pdf", "ods"), F.replace(extension, F.lit("htm"), F.lit("html")))
+        F.when(extension == "htm", "html")
+        .when(extension.isin("csv", "tsv", "json", "html", "xlsx", "xls", "pdf", "ods"), extension)
         .when(magic(F.col("content")) == "zip", "xlsx")
-        .otherwise(magic(F.col("content")))
+        .otherwise(F.coalesce(magic(F.col("content")), F.lit("text")))
     )
-    rows = documents.select("path", "content", F.regexp_replace(kind, "htmll", "html").alias("kind"))
-    text = F.decode("content", "UTF-8")
+    rows = documents.select("path", "content", kind.alias("kind"))
+    text = F.coalesce(text_of(F.col("content")), F.lit(""))
     plain = rows.where(F.col("kind").isin("csv", "tsv", "text", "json"))
     cells = F.when(F.col("kind") == "json", json_cells(text)).otherwise(csv_cells(text))
     hint = F.when(F.col("kind") == "json", F.coalesce(F.get_json_object(text, "$.unit"), F.lit(""))).otherwise("")
+    none = F.lit(0).cast("long").alias("cut")
     plain = plain.select(
         F.col("path").alias("source_url"), F.concat("kind", F.lit(":1")).alias("location"), hint.alias("unit_hint"), cells.alias("cells"),
-        F.when(cells.isNull(), "no_table").alias("error"),
+        F.when(cells.isNull(), "no_table").alias("error"), none,
     )
     decoded = rows.where(F.col("kind").isin("html", "xlsx")).mapInArrow(
-        _decoded, f"source_url string, location string, unit_hint string, cells {CELLS}, error string"
+        _decoder(bounds), f"source_url string, location string, unit_hint string, cells {CELLS}, error string, cut long"
     )
     other = rows.where(~F.col("kind").isin("csv", "tsv", "text", "json", "html", "xlsx")).select(
         F.col("path").alias("source_url"), F.concat("kind", F.lit(":0")).alias("location"), F.lit("").alias("unit_hint"),
-        F.lit(None).cast(CELLS).alias("cells"), F.lit("unsupported_format").alias("error"),
+        F.lit(None).cast(CELLS).alias("cells"), F.lit("unsupported_format").alias("error"), none,
     )
     return plain.unionByName(decoded).unionByName(other)
 

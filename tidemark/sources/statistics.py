@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_VALUE = "struct<_id:string,_value:string,_VALUE:string>"
+_VALUE = "struct<_id:string,_value:string>"
 _SERIES = (
     f"struct<SeriesKey:struct<Value:array<{_VALUE}>>,Attributes:struct<Value:array<{_VALUE}>>,"
-    f"Obs:array<struct<ObsDimension:struct<_value:string,_VALUE:string>,ObsValue:struct<_value:string,_VALUE:string>>>>"
+    f"Obs:array<struct<ObsDimension:struct<_value:string>,ObsValue:struct<_value:string>>>>"
 )
 # Fields of SDMX-CSV that are no dimensions, and the names of the five dimensions in order of preference.
 CSV_ATTRIBUTES = ["OBS_STATUS", "DECIMALS", "OBS_CONF", "UNIT_MULT"]
@@ -30,7 +30,7 @@ def sdmx_xml(documents: DataFrame, content: str = "text") -> DataFrame:
     """(…, series, dims map, period, value) of each numeric observation of generic SDMX-ML; other columns are kept."""
     rest = [c for c in documents.columns if c != content]
     body = F.regexp_extract_all(_without_prefixes(F.col(content)), F.lit(r"(?s)(<Series[\s>].*?</Series>)"), F.lit(1))
-    series = documents.select(*rest, F.posexplode(body).alias("series", "_xml")).withColumn("_s", F.from_xml("_xml", _SERIES))
+    series = documents.select(*rest, F.posexplode(body).alias("series", "_xml")).withColumn("_s", F.from_xml("_xml", _SERIES, {"valueTag": "_text"}))
     both = F.concat(F.coalesce("_s.SeriesKey.Value", F.array()), F.coalesce("_s.Attributes.Value", F.array()))
     both = F.filter(both, lambda v: v["_id"].isNotNull() & v["_value"].isNotNull())
     first = F.filter(both, lambda v, i: ~F.exists(F.slice(both, 1, F.greatest(i, F.lit(0))), lambda u: u["_id"] == v["_id"]))
@@ -69,30 +69,30 @@ _INDEXED = (
 def sdmx_json_indexed(documents: DataFrame, content: str = "text") -> DataFrame:
     """(…, dims map, period, value) of SDMX-JSON whose keys index its structure; keys that do not resolve are left out."""
     rest = [c for c in documents.columns if c != content]
-    doc = documents.select(*rest, F.from_json(content, _INDEXED).alias("d"))
-    dims = F.col("d.structure.dimensions.series")
-    times = F.col("d.structure.dimensions.observation")
+    doc = documents.select(*rest, F.from_json(content, _INDEXED).alias("_d"))
+    dims = F.col("_d.structure.dimensions.series")
+    times = F.col("_d.structure.dimensions.observation")
     doc = doc.where((F.size(dims) > 0) & (F.size(times) == 1) & times[0]["id"].isin(TIME_KEYS))
-    rows = doc.select(*rest, dims.alias("series_dims"), times[0]["values"].alias("times"), F.col("d.dataflow").alias("flow"), F.explode("d.dataSets").alias("set"))
-    rows = rows.select(*rest, "series_dims", "times", "flow", F.explode("set.series").alias("key", "s"))
-    places = F.transform(F.split("key", ":"), lambda p: p.try_cast("int"))
-    names = F.zip_with("series_dims", places, lambda d, p: F.struct(d["id"].alias("k"), F.get(d["values"], p)["id"].alias("v")))
-    rows = rows.where(F.size(places) == F.size("series_dims")).withColumn("names", names).where(F.forall("names", lambda n: n["v"].isNotNull()))
-    own = F.map_from_entries("names")
-    flow = F.map_filter(F.create_map(F.lit("DATAFLOW"), F.col("flow")), lambda k, v: v.isNotNull() & ~F.map_contains_key(own, "DATAFLOW"))
-    rows = rows.select(*rest, F.map_concat(own, flow).alias("dims"), "times", F.explode("s.observations").alias("o", "raw"))
-    return rows.select(*rest, "dims", F.get("times", F.col("o").try_cast("int"))["id"].alias("period"), F.get("raw", F.lit(0)).alias("value")).where("period is not null")
+    rows = doc.select(*rest, dims.alias("_dims"), times[0]["values"].alias("_times"), F.col("_d.dataflow").alias("_flow"), F.explode("_d.dataSets").alias("_set"))
+    rows = rows.select(*rest, "_dims", "_times", "_flow", F.explode("_set.series").alias("_key", "_s"))
+    places = F.transform(F.split("_key", ":"), lambda p: p.try_cast("int"))
+    names = F.zip_with("_dims", places, lambda d, p: F.struct(d["id"].alias("k"), F.get(d["values"], p)["id"].alias("v")))
+    rows = rows.where(F.size(places) == F.size("_dims")).withColumn("_names", names).where(F.forall("_names", lambda n: n["v"].isNotNull()))
+    own = F.map_from_entries("_names")
+    flow = F.map_filter(F.create_map(F.lit("DATAFLOW"), F.col("_flow")), lambda k, v: v.isNotNull() & ~F.map_contains_key(own, "DATAFLOW"))
+    rows = rows.select(*rest, F.map_concat(own, flow).alias("dims"), "_times", F.explode("_s.observations").alias("_o", "_raw"))
+    return rows.select(*rest, "dims", F.get("_times", F.col("_o").try_cast("int"))["id"].alias("period"), F.get("_raw", F.lit(0)).alias("value")).where("period is not null")
 
 
 def sdmx_json_flat(documents: DataFrame, content: str = "text") -> DataFrame:
     """(…, five dimensions, notes, period, value) of flat observations; documents of another format give none."""
     rest = [c for c in documents.columns if c != content]
     item = "struct<dataset:string,indicator:string,unit:string,territory:string,method_id:string,period:string,value:double,notes:string,comment:string>"
-    rows = documents.select(*rest, F.from_json(content, f"struct<format:string,observations:array<{item}>>").alias("d"))
-    rows = rows.where(F.col("d.format").rlike(r"_sdmx_flat_v1$")).select(*rest, F.explode("d.observations").alias("o"))
+    rows = documents.select(*rest, F.from_json(content, f"struct<format:string,observations:array<{item}>>").alias("_d"))
+    rows = rows.where(F.col("_d.format").rlike(r"_sdmx_flat_v1$")).select(*rest, F.explode("_d.observations").alias("_o"))
     names = ["dataset", "indicator", "unit", "territory", "method_id"]
     return rows.select(
-        *rest, *(F.coalesce(F.col(f"o.{n}"), F.lit("")).alias(n) for n in names), F.concat_ws(" ", "o.notes", "o.comment").alias("notes"), "o.period", "o.value"
+        *rest, *(F.coalesce(F.col(f"_o.{n}"), F.lit("")).alias(n) for n in names), F.concat_ws(" ", "_o.notes", "_o.comment").alias("notes"), "_o.period", "_o.value"
     )
 
 
@@ -102,21 +102,21 @@ def json_stat(documents: DataFrame, content: str = "text") -> DataFrame:
     shape = "struct<id:array<string>,size:array<int>,value:map<string,double>,dimension:map<string,struct<category:struct<index:map<string,int>>>>>"
     text = F.col(content)
     listed = F.from_json(text, "struct<value:array<double>>")["value"]
-    cube = documents.select(*rest, F.from_json(text, shape).alias("d"), listed.alias("listed"))
+    cube = documents.select(*rest, F.from_json(text, shape).alias("_d"), listed.alias("_listed"))
     flat = F.coalesce(
-        F.transform("listed", lambda v, i: F.struct(i.alias("i"), v.alias("v"))),
-        F.transform(F.map_entries("d.value"), lambda e: F.struct(e["key"].try_cast("int").alias("i"), e["value"].alias("v"))),
+        F.transform("_listed", lambda v, i: F.struct(i.alias("i"), v.alias("v"))),
+        F.transform(F.map_entries("_d.value"), lambda e: F.struct(e["key"].try_cast("int").alias("i"), e["value"].alias("v"))),
     )
-    cells = cube.select(*rest, "d", F.explode(flat).alias("cell")).where("cell.i is not null and cell.v is not null")
-    sizes = F.col("d.size")
+    cells = cube.select(*rest, "_d", F.explode(flat).alias("_cell")).where("_cell.i is not null and _cell.v is not null")
+    sizes = F.col("_d.size")
     stride = lambda k: F.aggregate(F.slice(sizes, k + 2, F.size(sizes)), F.lit(1).cast("bigint"), lambda a, s: a * s)
-    place = lambda k: F.pmod(F.floor(F.col("cell.i") / stride(k)), F.element_at(sizes, k + 1).cast("bigint")).cast("int")
+    place = lambda k: F.pmod(F.floor(F.col("_cell.i") / stride(k)), F.element_at(sizes, k + 1).cast("bigint")).cast("int")
 
     def entry(name: Column, k: Column) -> Column:
-        index = F.map_entries(F.col("d.dimension")[name]["category"]["index"])
+        index = F.map_entries(F.col("_d.dimension")[name]["category"]["index"])
         return F.struct(name.alias("k"), F.get(F.filter(index, lambda e: e["value"] == place(k)), F.lit(0))["key"].alias("v"))
 
-    return cells.select(*rest, F.map_from_entries(F.transform("d.id", entry)).alias("coords"), F.col("cell.v").alias("value"))
+    return cells.select(*rest, F.map_from_entries(F.transform("_d.id", entry)).alias("coords"), F.col("_cell.v").alias("value"))
 
 
 def rss_items(feeds: DataFrame, content: str = "text", most: int = 18) -> DataFrame:
@@ -124,10 +124,10 @@ def rss_items(feeds: DataFrame, content: str = "text", most: int = 18) -> DataFr
     rest = [c for c in feeds.columns if c != content]
     items = F.regexp_extract_all(F.col(content), F.lit(r"(?s)(<item[\s>].*?</item>)"), F.lit(1))
     rows = feeds.select(*rest, F.posexplode(items).alias("n", "_xml"))
-    rows = rows.withColumn("i", F.from_xml(_without_prefixes(F.col("_xml")), "struct<title:string,link:string,description:string,pubDate:string>"))
+    rows = rows.withColumn("_i", F.from_xml(_without_prefixes(F.col("_xml")), "struct<title:string,link:string,description:string,pubDate:string>"))
     found = rows.select(
-        *rest, "n", F.trim("i.title").alias("title"), F.trim("i.link").alias("url"), F.coalesce("i.description", F.lit("")).alias("summary"),
-        F.coalesce("i.pubDate", F.lit("")).alias("published_raw"),
+        *rest, "n", F.trim("_i.title").alias("title"), F.trim("_i.link").alias("url"), F.coalesce("_i.description", F.lit("")).alias("summary"),
+        F.coalesce("_i.pubDate", F.lit("")).alias("published_raw"),
     )
     good = (F.coalesce(F.col("title"), F.lit("")) != "") & (F.coalesce(F.col("url"), F.lit("")) != "")
     return found.where(good & (F.col("n") < most))
