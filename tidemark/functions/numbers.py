@@ -53,15 +53,49 @@ def year_token(text: Column) -> Column:
     return F.when(trimmed.rlike(r"^(19|20)\d{2}$"), trimmed.try_cast("int"))
 
 
-def italian_format(value: Column, thousands_from: int = 10_000) -> Column:
-    """Millions as "1,23 mln", large numbers with dots, else up to two decimals with a comma."""
-    swapped = F.translate(F.format_number(value, 0), ",", ".")
-    short = F.regexp_replace(F.regexp_replace(F.format_string("%.2f", value), "0+$", ""), "\\.$", "")
-    return (
-        F.when(F.abs(value) >= 1_000_000, F.concat(F.replace(F.format_string("%.2f", value / 1_000_000), F.lit("."), F.lit(",")), F.lit(" mln")))
-        .when(F.abs(value) >= thousands_from, swapped)
-        .otherwise(F.replace(short, F.lit("."), F.lit(",")))
-    )
+def exact_round(value: Column, digits: int) -> Column:
+    """Rounds the binary value of a double, halves to even: 2.675 is a little less than it reads and gives 2.67.
+
+    The fraction becomes an integer of 80 bits, so that no step rounds; magnitudes below 2**53 / 10**digits.
+    """
+    integer = lambda x: x.cast("decimal(25,0)")
+    size = F.abs(value)
+    whole = F.floor(size)
+    high = F.floor((size - whole) * 2.0**40)
+    rest = ((size - whole) * 2.0**40 - high) * 2.0**40
+    low = F.floor(rest)
+    unit = F.lit(str(2**80)).cast("decimal(25,0)")
+    scaled = (integer(high) * F.lit(str(2**40)).cast("decimal(13,0)") + integer(low)).cast("decimal(26,0)") * F.lit(10**digits).cast("decimal(11,0)")
+    part = scaled % unit
+    units = whole * 10**digits + ((scaled - part) / unit).cast("bigint")
+    half = F.lit(str(2**79)).cast("decimal(25,0)")
+    up = (part > half) | ((part == half) & ((rest > low) | (units % 2 == 1)))
+    return F.signum(value) * (units + F.when(up, 1).otherwise(0)) / float(10**digits)
+
+
+# From where each publisher's form writes millions, thousands without decimals, and one decimal.
+STYLES = {"series": (1_000_000, 10_000, None), "wellbeing": (None, 1_000, 100), "cities": (None, 1_000, None), "national": (1_000_000, 10_000, None), "green": (1_000_000, 1_000, None)}
+
+
+def locale_format(value: Column, style: str = "series") -> Column:
+    """A number with a decimal comma and dots for thousands: "1,23 mln", "12.345", else up to two decimals."""
+    millions, thousands, one = STYLES[style]
+    size = F.abs(value)
+    comma = lambda text: F.replace(text, F.lit("."), F.lit(","))
+    fixed = lambda x, digits: F.format_string(f"%.{digits}f", exact_round(x, digits))
+    short = comma(F.regexp_replace(F.regexp_replace(fixed(value, 2), "0+$", ""), "\\.$", ""))
+    cases = []
+    if millions:
+        cases.append(F.when(size >= millions, F.concat(comma(fixed(value / 1_000_000, 2)), F.lit(" mln"))))
+    cases.append(F.when(size >= thousands, F.translate(F.format_number(exact_round(value, 0), 0), ",", ".")))
+    if one:
+        cases.append(F.when(size >= one, comma(fixed(value, 1))))
+    return F.coalesce(*cases, short)
+
+
+def significant(value: Column, digits: int) -> Column:
+    """A number to so many significant digits."""
+    return F.format_string(f"%.{digits - 1}e", value).cast("double")
 
 
 def zero_filled(code: Column, width: int) -> Column:

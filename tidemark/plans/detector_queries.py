@@ -272,7 +272,7 @@ def _detections(spark: SparkSession, sf_dir: str, flow: str, least: float) -> Da
 
 def event_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     merged = E.merge_detections(_detections(spark, sf_dir, "births", 100))
-    return merged.select("entity", "indicator", F.array_join("patterns", " + ").alias("patterns"), "scope", *(F.round(c, 5).alias(c) for c in ("strength", "rarity", "persistence", "score")))
+    return merged.select("entity", "indicator", F.array_join("patterns", " + ").alias("patterns"), "scope", "status", *(F.round(c, 5).alias(c) for c in ("strength", "rarity", "persistence", "score")))
 
 
 def _sub(sql: str) -> str:
@@ -293,6 +293,7 @@ _add(
     f"""WITH d AS ({' UNION ALL '.join(_parts)}),
 r AS (SELECT *, (rank() OVER (PARTITION BY pattern ORDER BY metric) + (count(*) OVER (PARTITION BY pattern, metric) - 1) / 2.0) / count(*) OVER (PARTITION BY pattern) * 100 AS rarity FROM d),
 m AS (SELECT entity, list(pattern ORDER BY ord) AS p, max(strength) AS strength, max(rarity) AS rarity, max(persistence) AS persistence, arg_min(scope, ord) AS scope FROM r GROUP BY entity)
-SELECT entity, 'births' AS indicator, array_to_string(p, ' + ') AS patterns, scope, round(strength, 5) AS strength, round(rarity, 5) AS rarity, round(persistence, 5) AS persistence,
-  round(0.95 * (0.4 * strength + 0.2 * rarity + 0.15 * persistence + 0.1 * CASE WHEN len(p) >= 2 THEN 85 ELSE 30 END + 5 + 0.05 * CASE WHEN list_contains(p, 'DIVERGENZA') THEN 90 ELSE 60 END), 5) AS score FROM m""",
+SELECT *, CASE WHEN round(score, 1) >= 80 AND scope = 'GENERAL' THEN 'VALIDATO — FEED GENERALE' WHEN round(score, 1) >= 72 AND scope IN ('GENERAL', 'TERRITORIALE') THEN 'VALIDATO — FEED TERRITORIALE'
+  WHEN round(score, 1) >= 65 THEN 'PROMETTENTE — RIVEDERE' ELSE 'ARCHIVIO / SCARTO' END AS status FROM (SELECT entity, 'births' AS indicator, array_to_string(p, ' + ') AS patterns, scope, round(strength, 5) AS strength, round(rarity, 5) AS rarity, round(persistence, 5) AS persistence,
+  round(0.95 * (0.4 * strength + 0.2 * rarity + 0.15 * persistence + 0.1 * CASE WHEN len(p) >= 2 THEN 85 ELSE 30 END + 5 + 0.05 * CASE WHEN list_contains(p, 'DIVERGENZA') THEN 90 ELSE 60 END), 5) AS score FROM m)""",
 )

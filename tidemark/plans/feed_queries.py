@@ -314,7 +314,7 @@ def headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def story_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprint, semantic key and scores of each page as a story; checked by tests on known stories."""
+    """Fingerprint, semantic key and scores of each page as a story; no SQL, since its number pattern looks behind."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", F.regexp_extract("html", "<h1>(.*?)</h1>", 1).alias("title"), T.html_text(F.col("html")).alias("body"))
     found = T.numbers(F.col("body"))
     subject = T.topic(F.col("body"))
@@ -408,7 +408,12 @@ def stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, "first_seen", stream, "append").agg(F.count("*").alias("n"))
 
 
-@query()
+@query(
+    """WITH e AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) <= INTERVAL 6 HOUR THEN 0 ELSE 1 END AS fresh FROM events),
+s AS (SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS n FROM e)
+SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 6 HOUR AS session_end, count(*) AS n FROM s GROUP BY user_id, s.n"""
+)
 def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sessions by user; tests hold them against gaps in the sorted events."""
-    return _run(spark, "sessions", O.sessions(_stream(spark, sf_dir), "ts", "user_id"))
+    """Sessions by user, which a pause of six hours ends."""
+    rows = _run(spark, "sessions", O.sessions(_stream(spark, sf_dir), "ts", "user_id"))
+    return rows.select("user_id", *(F.col(c).cast("timestamp_ntz").alias(c) for c in ("session_start", "session_end")), "n")

@@ -5,12 +5,8 @@ State is bounded everywhere: by watermarks, or by one row for each key of a boun
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def tumbling(events: DataFrame, time: str, keys: list[str], value: str, window: str = "1 day", late: str = "3 days") -> DataFrame:
@@ -48,24 +44,11 @@ def first_seen(events: DataFrame, time: str, keys: list[str], late: str = "3 day
     return events.withWatermark(time, late).dropDuplicatesWithinWatermark(keys)
 
 
-def _latest(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    best = state.get if state.exists else (None, None, 0)
-    for rows in batches:
-        for ts, value in zip(rows["ts"], rows["value"]):
-            micros = int(ts.value // 1000)
-            good = value == value and value is not None
-            if good and (best[0] is None or (micros, value) > best[:2]):
-                best = (micros, float(value), best[2])
-            best = (*best[:2], best[2] + 1)
-    state.update(best)
-    yield pd.DataFrame({"key": [key[0]], "ts_micros": [best[0]], "value": [best[1]], "seen": [best[2]]})
-
-
 def last_good(events: DataFrame) -> DataFrame:
     """Rows (key, ts, value): the newest value of each key that is not missing, carried over refreshes that fail."""
-    return events.groupBy("key").applyInPandasWithState(
-        _latest, "key long, ts_micros long, value double, seen long", "ts_micros long, value double, seen long", "update", GroupStateTimeout.NoTimeout
-    )
+    good = F.when(F.col("value").isNotNull() & ~F.isnan("value"), F.struct(F.unix_micros("ts").alias("ts_micros"), "value"))
+    newest = events.groupBy("key").agg(F.max(good).alias("_best"), F.count("*").alias("seen"))
+    return newest.select("key", "_best.ts_micros", "_best.value", "seen")
 
 
 def drained(spark: SparkSession, stream: DataFrame, path: str, mode: str = "append") -> DataFrame:
