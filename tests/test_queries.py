@@ -15,7 +15,10 @@ SHOWN = [
     "annual_rollup", "latest_row", "rolling12_window", "first_difference", "trailing_run", "keep_last_dedup", "topk_per_group", "ratio_rollup",
     "dimension_join", "code_crosswalk", "index_intersection", "host_suffix_join", "totals_suppress_details", "catalog_upsert", "merged_feed",
     "last_good_fallback", "feed_manifest", "event_ids", "union_counts", "health_ratios", "topics", "canonical_urls", "number_parsers",
-    "series_comparison", "table_evidence", "stream_tumbling", "stream_last_good",
+    "series_comparison", "table_evidence", "stream_tumbling", "stream_last_good", "stream_sessions",
+    "sdmx_xml_observations", "sdmx_json_observations", "json_stat_cells", "rss_feed_items", "csv_document_rows", "html_document_rows", "xlsx_document_rows",
+    "zipped_document_rows", "payload_rejections", "document_dispatch", "indicator_classes", "row_tests", "national_goals", "number_formats", "exact_rounding",
+    "published_stories", "quarantined_stories", "curated_stories", "replaced_stories", "same_year_benchmark",
 ]
 
 

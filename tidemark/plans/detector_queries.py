@@ -9,7 +9,7 @@ from tidemark.functions import arrays as A
 from tidemark.operators import detectors as D
 from tidemark.operators import events as E
 from tidemark.operators import series as S
-from tidemark.plans.facts import ANNUAL, CALENDAR, MONTHLY, diffs, last_month, mad, median, monthly, ranks, resid, robust_scale, sd, table, theil_sen
+from tidemark.plans.facts import ANNUAL, CALENDAR, MONTHLY, diffs, last_month, mad, median, monthly, ranks, resid, robust_scale, sd, table, theil_sen, written
 
 QUERIES, SQL = {}, {}
 METRICS = ["metric", "strength", "persistence"]
@@ -254,7 +254,7 @@ SELECT entity, round(least(64, 46 + least(15, abs(d[-1]) / CASE WHEN raw > 1e-9
 
 def _detections(spark: SparkSession, sf_dir: str, flow: str, least: float) -> DataFrame:
     """All kept natural detections of a flow in their order: inversion, divergence, record, acceleration, slowdown, anomaly."""
-    r = rolled(spark, sf_dir, flow, least, D.NATURAL)
+    r = written(rolled(spark, sf_dir, flow, least, D.NATURAL), f"rolled-{flow}")
     parts = [
         D.inversion(six_years(spark, sf_dir, flow), 0).withColumn("flag", F.col("gap") >= 1),
         D.divergence(rates(spark, sf_dir, flow), 0).withColumn("flag", F.abs("dz") >= 1),
@@ -267,7 +267,7 @@ def _detections(spark: SparkSession, sf_dir: str, flow: str, least: float) -> Da
     for i, part in enumerate(parts):
         part = part.select("entity", F.lit(flow).alias("indicator"), F.lit(i).alias("ord"), "pattern", "scope", "flag", *METRICS)
         out = part if out is None else out.unionByName(part)
-    return E.with_rarity(out)
+    return E.with_rarity(written(out, f"detections-{flow}"))
 
 
 def event_merge(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +10,7 @@ from tidemark.functions import text as T
 from tidemark.operators import events as E
 from tidemark.operators import evidence as V
 from tidemark.operators import series as S
-from tidemark.plans.facts import table
+from tidemark.plans.facts import shared, table
 from tidemark.streaming import observations as O
 
 QUERIES, SQL = {}, {}
@@ -374,10 +372,7 @@ def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _run(spark: SparkSession, name: str, stream: DataFrame, mode: str = "complete") -> DataFrame:
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    return O.drained(spark, stream, f"{root}/tidemark/stream-{name}-{uuid.uuid4().hex[:8]}", mode)
+    return O.drained(spark, stream, shared(spark, f"stream-{name}"), mode)
 
 
 @query("SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
