@@ -12,6 +12,7 @@ import zipfile
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from tidemark.functions import text as T
 from tidemark.plans.facts import table
@@ -217,7 +218,7 @@ def html_document_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table_rows(orders(spark, sf_dir).select(_text("/in/", F.col("key"), ".page").alias("path"), F.encode(page, "UTF-8").alias("content")))
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def _workbook(names: pd.Series, bodies: pd.Series) -> pd.Series:
     """A workbook of one sheet out of its shared strings and its rows."""
     main = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
@@ -246,7 +247,7 @@ def xlsx_document_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table_rows(books)
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def _archive(texts: pd.Series) -> pd.Series:
     """A ZIP that holds a note and a ZIP with the text."""
 
