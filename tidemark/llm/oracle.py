@@ -37,9 +37,29 @@ m AS (SELECT payload_digest, min(page_id) AS first_id FROM d GROUP BY 1)
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first_id THEN first_id END AS refers_to
 FROM d JOIN m USING (payload_digest)"""
 
+CHAT_FORMAT = r"""WITH c AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations UNION ALL
+  SELECT -1, unnest([0, 1]), unnest(['user', 'assistant']), '<|im_end|><|im_start|>assistant ok')
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length('<|im_start|>') + length(role) + 1 + length(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g')) + length('<|im_end|>') + 1) AS BIGINT) AS formatted_chars,
+  bool_and(CASE WHEN turn = 0 THEN role IN ('system', 'user') ELSE (before, role) IN (('system', 'user'), ('user', 'assistant'), ('assistant', 'user')) END) AS valid,
+  min(CASE WHEN NOT CASE WHEN turn = 0 THEN role IN ('system', 'user') ELSE (before, role) IN (('system', 'user'), ('user', 'assistant'), ('assistant', 'user')) END THEN turn + 1 END) AS broke_at
+FROM (SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS before FROM c) GROUP BY conv_id"""
+
+FILL_IN_MIDDLE = """WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS t, sha256('1:' || doc_id) AS hex FROM documents),
+h AS (SELECT doc_id, text, t, len(t) AS n, CAST('0x' || hex[1:8] AS BIGINT) AS h1, CAST('0x' || hex[9:16] AS BIGINT) AS h2, CAST('0x' || hex[17:24] AS BIGINT) AS h3, CAST('0x' || hex[25:32] AS BIGINT) AS h4 FROM d),
+f AS (SELECT doc_id, text, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b, CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+  WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT doc_id, text, n, form, array_to_string(t[1:a], '') AS pre, array_to_string(t[a + 1:b], '') AS mid, array_to_string(t[b + 1:n], '') AS suf FROM f)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(text) AS restored_sha256 FROM p"""
+
 SQL = {
     "op1_ngram_jaccard_join": NGRAM_JOIN,
     "op2_decontamination": DECONTAMINATION,
     "op3_exact_dedup": EXACT_DEDUP,
     "op6_warc_revisits": WARC_REVISITS,
+    "op11_chat_format": CHAT_FORMAT,
+    "op12_fill_in_middle": FILL_IN_MIDDLE,
 }
