@@ -56,11 +56,21 @@ def only_ids(df: DataFrame, key: str, ids: DataFrame, how: str = "left_semi", bo
     return df.join(F.broadcast(ids) if small else ids, key, how)
 
 
-def trimmed(run: Callable) -> Callable:
-    """A task's function that gives freed memory back to the system when it is done: workers live on between tasks."""
+#: What frees the memory that a worker keeps from task to task.
+FORGET: list[Callable[[], None]] = []
+
+
+def trimmed(run: Callable, remembers: bool = False) -> Callable:
+    """A task's function that gives freed memory back to the system when it is done: workers live on between tasks.
+
+    Unless it ``remembers``, what tasks of other kinds have kept in the worker goes first.
+    """
 
     @functools.wraps(run)
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not remembers:
+            for forget in FORGET:
+                forget()
         yield from run(batches)
         pa.default_memory_pool().release_unused()
         trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
@@ -70,6 +80,9 @@ def trimmed(run: Callable) -> Callable:
     return whole
 
 
+remembering = functools.partial(trimmed, remembers=True)
+
+
 def spread_join(left: DataFrame, right: DataFrame, keys: list[str], rows: str) -> DataFrame:
     """Inner join with a written table of one row a key, whose column ``rows`` says how many rows of ``left`` have it.
 

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm._common import id_and_text, trimmed
+from tidemark.llm._common import id_and_text, remembering
 from tidemark.llm.tokens import chunks, encoder
 
 WINDOW = 1024
@@ -113,7 +113,7 @@ def _pack(tokenizer: str, end: int, size: int, id_type: pa.DataType):
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=names)
 
-    @trimmed
+    @remembering
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, encode = SquaresPacker(size), encoder(tokenizer).encode
         number = TaskContext.get().partitionId() << 32

@@ -15,7 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm._common import BROADCAST_ROWS, id_and_text, scratch, spread_join, stored, trimmed
+from tidemark.llm._common import BROADCAST_ROWS, id_and_text, remembering, scratch, spread_join, stored
 from tidemark.llm.tokens import chunks, encoder
 
 SCHEMA = "content binary, tokenizer string, n_tokens long"
@@ -28,7 +28,7 @@ def tokenizer_version(path: str) -> str:
 
 
 def _counted(tokenizer: str):
-    @trimmed
+    @remembering
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = [len(ids) // 4 for _, texts in chunks(batch.column("text").to_pylist()) for ids in encoder(tokenizer).encode(texts)]

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm._common import id_and_text, scratch, stored, trimmed
+from tidemark.llm._common import id_and_text, remembering, scratch, stored
 from tidemark.llm._files import opened, put
 from tidemark.llm.tokens import chunks, encoder
 
@@ -165,7 +165,7 @@ class Shard:
 
 
 def _written(tokenizer: str, end: int, root: str):
-    @trimmed
+    @remembering
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, id_bytes = encoder(tokenizer), 2 if encoder(tokenizer).tokenizer.get_vocab_size() <= 1 << 16 and end < 1 << 16 else 4
         seen = {"entries": 0, "tokens": 0, "first": None}
