@@ -1,10 +1,11 @@
 """Benchmark decontamination: a broadcast hash set of normalised test n-grams, scanned against training texts.
 
-Tasks cut the benchmark's items into windows and hash them; the distinct ones go to every task as
-sorted hashes beside the words they stand for. A task hashes all token windows of its texts with array
-operations, looks them up, and verifies each hit word by word. Windows that take more than
-``BLOCK_BYTES`` are dealt into blocks by their hashes, each block scanned on its own and its hits united per
-text, so what passes through the driver and is broadcast at once has a fixed size.
+Tasks cut the benchmark's items into stretches of normalised words, each word once, which overlap so that every window
+lies in one of them. Every task gets the stretches and makes of them the sorted hashes of all windows, each with the
+place of its words. It hashes all token windows of its texts with array operations, looks them up, and
+verifies each hit word by word. Stretches that take more than ``BLOCK_BYTES`` are dealt into blocks, each
+scanned on its own and its hits united per text, so what passes through the driver and is broadcast at once
+has a fixed size.
 """
 
 from __future__ import annotations
@@ -18,21 +19,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm._common import col, id_and_text, only_ids, stored, text_slices, trimmed
+from tidemark.llm._common import SLICE_BYTES, col, id_and_text, only_ids, stored, text_slices, trimmed
 from tidemark.llm._hashing import LOWER, U, is_word_byte, prefix_sums, rolled, span_hashes, words_of
 
 #: Words are runs of ASCII letters, digits and all bytes beyond ASCII.
 WORD_BYTE = is_word_byte((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF), inside=True)
-#: Bytes of windows, with their hashes and item ids, that one scan holds.
-BLOCK_BYTES = 16 << 20
-#: Bytes beside its words and item id that a window takes.
-_WINDOW = 32
+#: Bytes of normalised item words and item ids that one scan holds. A worker takes some four times as much for hashes and places.
+BLOCK_BYTES = 64 << 20
+#: Words of a stretch, besides those that it shares with the next.
+STRETCH_WORDS = 4096
 #: Leading bits of hashes that are asked first.
 FILTER_BITS = 22
 
 
-def _item_windows(n: int):
-    """(k, hash, words, item) of the windows of each item, k words long."""
+def _item_stretches(n: int):
+    """(k, words, item): stretches of the words of each item, joined by spaces, that hold its windows of k words."""
 
     @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -40,44 +41,68 @@ def _item_windows(n: int):
             for first_row, _, data, offsets in text_slices(batch):
                 data = LOWER[data]
                 starts, ends, first = words_of(data, offsets, WORD_BYTE)
-                hashes, joined = span_hashes(prefix_sums(data), starts, ends), data.tobytes()
+                joined, out = data.tobytes(), ([], [], [])
                 for row in range(len(offsets) - 1):
-                    a, b = first[row], first[row + 1]
-                    if a == b:
-                        continue
+                    a, b = int(first[row]), int(first[row + 1])
                     k = min(n, b - a)
-                    words = [joined[s:e] for s, e in zip(starts[a:b], ends[a:b])]
-                    spelt = [b" ".join(words[i : i + k]) for i in range(b - a - k + 1)]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(len(spelt), k, np.int32)),
-                            pa.array(rolled(hashes[a:b], k).view(np.int64)),
-                            pa.array(spelt, pa.binary()),
-                            batch.column("item").take(pa.array(np.full(len(spelt), first_row + row))),
-                        ],
-                        names=["k", "hash", "words", "item"],
-                    )
+                    for at in range(a, b - k + 1 if k else a, STRETCH_WORDS):
+                        last = min(at + STRETCH_WORDS + k - 1, b)
+                        out[0].append(k)
+                        out[1].append(b" ".join(joined[s:e] for s, e in zip(starts[at:last].tolist(), ends[at:last].tolist())))
+                        out[2].append(first_row + row)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(out[0], pa.int32()), pa.array(out[1], pa.binary()), batch.column("item").take(pa.array(out[2], pa.int64()))],
+                    names=["k", "words", "item"],
+                )
 
     return run
 
 
+def _hashed_windows(words: list[bytes], names: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(hash, first byte, byte after the last, item) of the windows of stretches laid end to end, some stretches at a time."""
+    done = first_row = 0
+    sizes = np.cumsum([len(w) for w in words], dtype=np.int64)
+    while first_row < len(words):
+        last_row = max(first_row + 1, int(np.searchsorted(sizes, done + SLICE_BYTES, "right")))
+        data = np.frombuffer(b"".join(words[first_row:last_row]), np.uint8)
+        offsets = np.concatenate(([0], sizes[first_row:last_row] - done))
+        starts, ends, first = words_of(data, offsets, WORD_BYTE)
+        hashes = rolled(span_hashes(prefix_sums(data), starts, ends), length)
+        stretch = np.searchsorted(first, np.arange(len(hashes)), "right") - 1
+        at = np.flatnonzero(np.arange(len(hashes)) + length <= first[stretch + 1])
+        begin, end = starts[at] + done, ends[at + length - 1] + done
+        yield hashes[at], begin.astype(np.uint32), end.astype(np.uint32), names[first_row:last_row][stretch[at]]
+        done, first_row = int(sizes[last_row - 1]), last_row
+
+
+def _repeated(buffer: bytes, hashes: np.ndarray, codes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Whether a window, in the order of hash and item, has the hash, item and words of the one before it."""
+    again = np.concatenate(([False], (hashes[1:] == hashes[:-1]) & (codes[1:] == codes[:-1])))
+    for i in np.flatnonzero(again):
+        again[i] = buffer[begin[i] : end[i]] == buffer[begin[i - 1] : end[i - 1]]
+    return again
+
+
 class WindowSet:
-    """Windows of items: by length, sorted hashes, the words in one buffer, and the item of each."""
+    """The windows of stretches: by length, their sorted hashes, the place of each in one buffer of words, and its item."""
 
     def __init__(self, table: pa.Table):
         self.of_length = {}
-        k, hashes = table["k"].to_numpy(), table["hash"].to_numpy().view(U)
+        k = table["k"].to_numpy()
         for length in np.unique(k).tolist():
-            at = np.flatnonzero(k == length)
-            at = at[np.argsort(hashes[at])]
+            own = table.take(pa.array(np.flatnonzero(k == length)))
+            items = own["item"].combine_chunks().dictionary_encode()
+            names = items.indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int32)
+            words = own["words"].to_pylist()
+            parts = list(zip(*_hashed_windows(words, names, length)))
+            hashes, begin, end, codes = map(np.concatenate, parts)
+            buffer = b"".join(words)
+            at = np.lexsort((codes, hashes))
+            at = at[~_repeated(buffer, hashes[at], codes[at], begin[at], end[at])]
             known = hashes[at]
             seen = np.zeros(1 << FILTER_BITS, bool)
             seen[(known >> U(64 - FILTER_BITS)).astype(np.int64)] = True
-            words = table["words"].take(pa.array(at)).to_pylist()
-            ends = np.cumsum([len(w) for w in words])
-            items = table["item"].take(pa.array(at)).combine_chunks().dictionary_encode()
-            codes = items.indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int32)
-            self.of_length[length] = known, np.packbits(seen), b"".join(words), ends, codes, items.dictionary.to_pylist()
+            self.of_length[length] = known, np.packbits(seen), buffer, begin[at], end[at], codes[at], items.dictionary.to_pylist()
 
     def scan(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, str | None]]:
         """(first word, word after the last, item) of every verified occurrence in texts laid end to end."""
@@ -85,7 +110,7 @@ class WindowSet:
             return
         hashes = span_hashes(prefix_sums(data), starts, ends)
         of_word = np.searchsorted(first, np.arange(len(starts)), "right")
-        for length, (known, packed, buffer, until, codes, names) in self.of_length.items():
+        for length, (known, packed, buffer, begin, end, codes, names) in self.of_length.items():
             found = rolled(hashes, length)
             place = (found >> U(64 - FILTER_BITS)).astype(np.int64)
             at = np.flatnonzero((packed[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1)
@@ -94,11 +119,21 @@ class WindowSet:
             for w, k in zip(at[known[i] == found[at]], i[known[i] == found[at]]):
                 words = b" ".join(data[starts[j] : ends[j]].tobytes() for j in range(w, w + length))
                 while k < len(known) and known[k] == found[w]:
-                    if buffer[until[k - 1] if k else 0 : until[k]] == words:
+                    if buffer[begin[k] : end[k]] == words:
                         yield int(w), int(w) + length, names[codes[k]] if codes[k] >= 0 else None
                     k += 1
 
 
+class Stretches:
+    """Stretches on their way to the tasks, where they arrive as a WindowSet."""
+
+    def __init__(self, table: pa.Table):
+        self.table = table
+
+    def __reduce__(self):
+        return WindowSet, (self.table,)
+
+
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for a, b in sorted(spans):
@@ -144,15 +179,14 @@ def _scanner(broadcast):
     return run
 
 
-def _blocks(benchmark: DataFrame, n: int, block_bytes: int) -> Iterator[WindowSet]:
-    """The distinct windows in blocks of about ``block_bytes``, each small enough for the driver."""
-    windows = benchmark.mapInArrow(_item_windows(n), "k int, hash long, words binary, item string").distinct()
-    windows = stored(windows, "windows")
-    size = F.octet_length("words") + F.coalesce(F.octet_length("item"), F.lit(0)) + _WINDOW
-    count = max(1, -(-(windows.agg(F.sum(size)).first()[0] or 0) // block_bytes))
-    block = F.pmod(F.xxhash64("hash"), F.lit(count))
+def _blocks(benchmark: DataFrame, n: int, block_bytes: int) -> Iterator[Stretches]:
+    """The distinct stretches in blocks of about ``block_bytes``, each small enough for the driver."""
+    stretches = stored(benchmark.mapInArrow(_item_stretches(n), "k int, words binary, item string").distinct(), "stretches")
+    size = F.octet_length("words") + F.coalesce(F.octet_length("item"), F.lit(0))
+    count = max(1, -(-(stretches.agg(F.sum(size)).first()[0] or 0) // block_bytes))
+    block = F.pmod(F.xxhash64("words", "item"), F.lit(count))
     for i in range(count):
-        yield WindowSet(windows.where(block == i).toArrow())
+        yield Stretches(stretches.where(block == i).toArrow())
 
 
 def contamination(
@@ -184,7 +218,7 @@ def contamination(
     texts = id_and_text(docs, id_col, text_col)
     kind = texts.schema["id"].dataType.simpleString()
 
-    def scanned(source: DataFrame, block: WindowSet) -> DataFrame:
+    def scanned(source: DataFrame, block: Stretches) -> DataFrame:
         schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in source.schema if f.name != "text")
         return source.mapInArrow(_scanner(spark.sparkContext.broadcast(block)), f"{schema}, {HITS}")
 
