@@ -6,7 +6,7 @@ what the parameter classes hold.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +41,11 @@ class Flow:
     anomaly_gap_gain: float = 5
     convergence: float = 85
 
+    def smaller(self, share: float) -> Flow:
+        """The same tests for entities of that share of the usual size: what counts heads is scaled, ratios and scores are not."""
+        sized = ("general_count", "territorial_count", "general_weight", "territorial_weight", "record_abs")
+        return replace(self, **{name: getattr(self, name) * share for name in sized})
+
 
 NATURAL = Flow()
 MIGRATION = Flow(

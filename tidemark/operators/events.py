@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.numbers import exact_round
 from tidemark.operators.detectors import NATURAL, Flow
 from tidemark.operators.series import keep_last, percent_rank
 
@@ -45,7 +44,7 @@ def merge_detections(detections: DataFrame, p: Flow = NATURAL, divergence_counts
     convergence = F.when(F.size("patterns") >= 2, float(p.convergence)).otherwise(30.0)
     context = F.when(F.array_contains("patterns", "DIVERGENZA") & divergence_counts, 90.0).otherwise(60.0)
     score = QUALITY * (0.40 * F.col("strength") + 0.20 * F.col("rarity") + 0.15 * F.col("persistence") + 0.10 * convergence + 0.10 * FRESHNESS + 0.05 * context)
-    return merged.withColumn("score", score).withColumn("status", status(F.round("score", 1), F.col("scope")))
+    return merged.withColumn("score", score).withColumn("status", status(exact_round(F.col("score"), 1), F.col("scope")))
 
 
 def status(score: Column, scope: Column) -> Column:
@@ -168,6 +167,3 @@ def manifest(feed: DataFrame) -> DataFrame:
         F.count_distinct("source_family").alias("families"),
         content_hash(feed).alias("content_hash"),
     )
-
-
-PatternRule = Callable[[Column], Column]

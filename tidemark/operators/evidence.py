@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.numbers import strict_percent, year_token
+from tidemark.functions.numbers import exact_round, strict_percent, year_token
 
 # Phrases that tell of a break in a series, in lower case.
 BREAKS = ["break", "rottura", "discontinu", "not comparable", "non confrontabil", "methodological break"]
@@ -51,7 +51,7 @@ def table_evidence(tables: DataFrame) -> DataFrame:
             F.struct(F.col("left.year").alias("period"), F.col("v0").alias("value"), cell("left").alias("raw")),
             F.struct(F.col("right.year").alias("period"), F.col("v1").alias("value"), cell("right").alias("raw")),
         ).alias("observations"),
-        F.round(F.col("v1") - F.col("v0"), 3).alias("delta"),
+        exact_round(F.col("v1") - F.col("v0"), 3).alias("delta"),
         F.lit("punti percentuali").alias("comparison_unit"),
         F.lit(True).alias("verified"),
     )
@@ -94,7 +94,7 @@ def compare_series(observations: DataFrame) -> DataFrame:
         "reason",
         F.when(ok, before["year"]).alias("year_before"),
         F.when(ok, after["year"]).alias("year_after"),
-        F.when(ok, F.round(after["value"] - before["value"], 6)).alias("delta"),
+        F.when(ok, exact_round(after["value"] - before["value"], 6)).alias("delta"),
         F.when(ok, F.when(percent, "punti percentuali").otherwise(F.col("unit"))).alias("comparison_unit"),
     )
 

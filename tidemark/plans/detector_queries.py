@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import arrays as A
 from tidemark.operators import detectors as D
-from tidemark.operators import events as E
+from tidemark.operators import flow_events as X
 from tidemark.operators import series as S
 from tidemark.plans.facts import ANNUAL, CALENDAR, MONTHLY, diffs, last_month, mad, median, monthly, ranks, resid, robust_scale, sd, table, theil_sen, written
 
@@ -63,14 +63,14 @@ def _scope(count: str, p: D.Flow) -> str:
     )
 
 
-def _inversion_sql(flow: str, least: float) -> str:
+def _inversion_sql(flow: str, least: float, p: D.Flow = D.NATURAL) -> str:
     by = lambda g, t, l: f"CASE scope WHEN 'GENERAL' THEN {g} WHEN 'TERRITORIALE' THEN {t} ELSE {l} END"
     return f"""WITH {SIX.format(flow=flow)},
 a AS (SELECT entity, weight, v[1:5] AS h, v[6] AS cur, v[5] AS prev FROM six),
 b AS (SELECT *, {median('h')} AS med, {theil_sen('h')} AS slope, {ranks('h')} AS k, {diffs('h')} AS d FROM a),
 c AS (SELECT *, {resid('h', 'slope')} AS e0, list_sum(list_transform(range(1, 6), lambda i: (k[i] - 3) * (i - 3))) AS kt, list_sum(list_transform(k, lambda q: pow(q - 3, 2))) AS kk,
   len(list_filter(d, lambda q: sign(q) = sign({median('d')}))) / 4.0 AS dominance FROM b),
-d AS (SELECT *, {median('e0')} AS base, CASE WHEN kk > 0 THEN kt / (sqrt(kk) * sqrt(10)) ELSE 0 END AS rho, {_scope('med', D.NATURAL)} AS scope FROM c),
+d AS (SELECT *, {median('e0')} AS base, CASE WHEN kk > 0 THEN kt / (sqrt(kk) * sqrt(10)) ELSE 0 END AS rho, {_scope('med', p)} AS scope FROM c),
 e AS (SELECT *, list_transform(e0, lambda q: q - base) AS e, base + slope * 5 AS expected, cur - prev AS delta FROM d),
 f AS (SELECT *, abs(cur - expected) / greatest({mad('e')}, {mad('d')}, 1.0) AS gap, CASE WHEN abs(prev) > 1e-9 THEN delta / abs(prev) ELSE 0 END AS pct FROM e)
 SELECT entity, 'INVERSIONE' AS pattern, med >= {least} AND dominance >= 0.75 AND abs(rho) >= 0.8 AND abs(slope) > 1e-9 AND sign(delta) <> sign(slope) AND gap >= 2
@@ -79,7 +79,7 @@ SELECT entity, 'INVERSIONE' AS pattern, med >= {least} AND dominance >= 0.75 AND
   round(least(100, 50 + 30 * dominance + 20 * abs(rho)), 8) AS persistence, round(slope, 8) AS slope, round(rho, 8) AS rho, round(expected, 8) AS expected, round(pct, 8) AS pct FROM f"""
 
 
-def _divergence_sql(flow: str, least: float) -> str:
+def _divergence_sql(flow: str, least: float, p: D.Flow = D.NATURAL) -> str:
     return f"""WITH {ANNUAL}, p AS (SELECT parent, year, sum({flow}) AS f, sum(weight_start) AS w FROM annual GROUP BY 1, 2),
 r AS (SELECT a.entity, a.year, CAST(a.{flow} AS DOUBLE) AS flow, a.{flow} * 1000.0 / nullif(a.weight_start, 0) AS rate, (f - a.{flow}) * 1000.0 / nullif(w - a.weight_start, 0) AS rest, weight_end
   FROM annual a JOIN p USING (parent, year) JOIN years USING (year)),
@@ -87,7 +87,7 @@ g AS (SELECT entity, list(rate ORDER BY year) AS l, list(rest ORDER BY year) AS
   WHERE rate IS NOT NULL AND rest IS NOT NULL GROUP BY entity HAVING count(*) = (SELECT count(*) FROM years)),
 c AS (SELECT *, list_transform(range(2, 7), lambda i: (l[i] - l[i - 1]) / nullif(l[i - 1], 0)) AS lc, list_transform(range(2, 7), lambda i: (b[i] - b[i - 1]) / nullif(b[i - 1], 0)) AS bc,
   len(list_filter(l[1:5], lambda q: q > 0)) = 5 AND len(list_filter(b[1:5], lambda q: q > 0)) = 5 AS valid, {median('n[1:5]')} AS med FROM g),
-d AS (SELECT *, list_transform(range(1, 8), lambda i: lc[i] - bc[i]) AS gaps, {_scope('med', D.NATURAL)} AS scope FROM c),
+d AS (SELECT *, list_transform(range(1, 8), lambda i: lc[i] - bc[i]) AS gaps, {_scope('med', p)} AS scope FROM c),
 e AS (SELECT *, gaps[5] AS gap, gaps[1:4] AS past, sign(lc[5]) <> sign(bc[5]) AS opposite FROM d),
 f AS (SELECT *, CASE WHEN valid THEN (gap - {median('past')}) / greatest({mad('past')}, 0.03) END AS dz FROM e)
 SELECT entity, 'DIVERGENZA' AS pattern, coalesce(valid AND med >= {least} AND abs(dz) >= 2.5 AND abs(gap) >= CASE WHEN opposite THEN 0.05 ELSE 0.1 END AND scope <> 'LOCALE', false) AS flag, scope,
@@ -252,48 +252,112 @@ SELECT entity, round(least(64, 46 + least(15, abs(d[-1]) / CASE WHEN raw > 1e-9
 )
 
 
-def _detections(spark: SparkSession, sf_dir: str, flow: str, least: float) -> DataFrame:
-    """All kept natural detections of a flow in their order: inversion, divergence, record, acceleration, slowdown, anomaly."""
-    r = written(rolled(spark, sf_dir, flow, least, D.NATURAL), f"rolled-{flow}")
-    parts = [
-        D.inversion(six_years(spark, sf_dir, flow), 0).withColumn("flag", F.col("gap") >= 1),
-        D.divergence(rates(spark, sf_dir, flow), 0).withColumn("flag", F.abs("dz") >= 1),
-        D.record(r).withColumn("flag", F.col("pattern").isNotNull()),
-        D.trend_change(r, True).withColumn("flag", F.col("score") > 0),
-        D.trend_change(r, False).withColumn("flag", F.col("score") > 0.5),
-        D.anomaly(r).withColumn("flag", F.abs("z") >= 1),
-    ]
-    out = None
-    for i, part in enumerate(parts):
-        part = part.select("entity", F.lit(flow).alias("indicator"), F.lit(i).alias("ord"), "pattern", "scope", "flag", *METRICS)
-        out = part if out is None else out.unionByName(part)
-    return E.with_rarity(written(out, f"detections-{flow}"))
+#: Suppliers have a tenth of the counts that the published thresholds were set for.
+EVENT_SETTINGS = X.smaller(X.SETTINGS, 0.1)
+
+
+def events_of_flows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, int, str]:
+    """(events of all six flows, their series, last complete year, last month); both tables are written."""
+    facts = written(monthly(spark, sf_dir), "monthly")
+    years = sorted(r["year"] for r in S.complete_years(facts, 1000).collect())
+    end = last_month(spark, sf_dir)
+    series = written(X.flow_series(facts, list(EVENT_SETTINGS), years, end), "series")
+    found = written(X.detections(series, years, EVENT_SETTINGS), "detections")
+    return X.merged_events(found, EVENT_SETTINGS), series, years[-1], end.strftime("%Y-%m")
 
 
 def event_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    merged = E.merge_detections(_detections(spark, sf_dir, "births", 100))
-    return merged.select("entity", "indicator", F.array_join("patterns", " + ").alias("patterns"), "scope", "status", *(F.round(c, 5).alias(c) for c in ("strength", "rarity", "persistence", "score")))
+    """Every event of the flagged detections of six flows, with its score, its status and whether it reaches the floor."""
+    merged = events_of_flows(spark, sf_dir)[0]
+    return merged.select("entity", "indicator", F.array_join("patterns", " + ").alias("patterns"), "scope", "status", "published", *(F.round(c, 5).alias(c) for c in ("strength", "rarity", "persistence", "score")))
+
+
+def event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published events with nested series, benchmarks and sentences."""
+    merged, series, year, period = events_of_flows(spark, sf_dir)
+    return X.payload(merged.where("published"), series, year, period)
+
+
+def published_event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as rows of text, in the columns of published tables."""
+    merged, series, year, period = events_of_flows(spark, sf_dir)
+    rows = X.as_published(X.payload(merged.where("published"), series, year, period), "Monthly flows", "https://example.org/flows")
+    return rows.select("id", "municipality_code", "patterns", "score", "annual", "rolling12", "benchmark_local", "benchmark_rest", "analysis", "source_family")
+
 
+def _flagged(flow: str, order: int, sql: str) -> str:
+    return f"SELECT entity, '{flow}' AS indicator, {order} AS ord, pattern, scope, metric, strength, persistence FROM ({sql}) WHERE flag"
 
-def _sub(sql: str) -> str:
-    return f"({sql})"
 
+def _all_flagged() -> str:
+    parts = []
+    for flow, s in EVENT_SETTINGS.items():
+        if s.inversion is not None:
+            parts.append(_flagged(flow, 0, _inversion_sql(flow, s.inversion, s.flow)))
+        if s.divergence is not None:
+            parts.append(_flagged(flow, 1, _divergence_sql(flow, s.divergence, s.flow)))
+        rolling = (_record_sql(flow, s.rolling, s.flow), _trend_sql(flow, s.rolling, s.flow, True), _trend_sql(flow, s.rolling, s.flow, False), _anomaly_sql(flow, s.rolling, s.flow))
+        parts += [_flagged(flow, order, sql) for order, sql in enumerate(rolling, 2)]
+    return " UNION ALL ".join(parts)
 
-_parts = [
-    f"SELECT entity, 0 AS ord, pattern, scope, metric, strength, persistence FROM {_sub(_inversion_sql('births', 0))} WHERE metric >= 1",
-    f"SELECT entity, 1, pattern, scope, metric, strength, persistence FROM {_sub(_divergence_sql('births', 0))} WHERE metric >= 1",
-    f"SELECT entity, 2, pattern, scope, metric, strength, persistence FROM {_sub(_record_sql('births', 100, D.NATURAL))} WHERE pattern IS NOT NULL",
-    f"SELECT entity, 3, pattern, scope, metric, strength, persistence FROM {_sub(_trend_sql('births', 100, D.NATURAL, True))} WHERE metric > 0",
-    f"SELECT entity, 4, pattern, scope, metric, strength, persistence FROM {_sub(_trend_sql('births', 100, D.NATURAL, False))} WHERE metric > 0.5",
-    f"SELECT entity, 5, pattern, scope, metric, strength, persistence FROM {_sub(_anomaly_sql('births', 100, D.NATURAL))} WHERE metric >= 1",
-]
+
+_NATURAL = ", ".join(f"'{k}'" for k, s in EVENT_SETTINGS.items() if s.context)
+EVENTS = f"""found AS MATERIALIZED ({_all_flagged()}),
+ranked AS (SELECT *, (rank() OVER (PARTITION BY indicator, pattern ORDER BY metric) + (count(*) OVER (PARTITION BY indicator, pattern, metric) - 1) / 2.0) / count(*) OVER (PARTITION BY indicator, pattern) * 100 AS rarity FROM found),
+joined AS (SELECT entity, indicator, list(pattern ORDER BY ord) AS p, max(strength) AS strength, max(rarity) AS rarity, max(persistence) AS persistence, arg_min(scope, ord) AS scope FROM ranked GROUP BY 1, 2),
+scored AS (SELECT *, 0.95 * (0.4 * strength + 0.2 * rarity + 0.15 * persistence + 0.1 * CASE WHEN len(p) < 2 THEN 30 WHEN indicator IN ({_NATURAL}) THEN 85 ELSE 80 END + 5
+  + 0.05 * CASE WHEN list_contains(p, 'DIVERGENZA') AND indicator IN ({_NATURAL}) THEN 90 ELSE 60 END) AS score FROM joined),
+events_ AS (SELECT *, CAST(printf('%.1f', score) AS DOUBLE) AS tenth FROM scored),
+merged AS (SELECT *, tenth >= 65 AS published, CASE WHEN tenth >= 80 AND scope = 'GENERAL' THEN 'VALIDATO — FEED GENERALE' WHEN tenth >= 72 AND scope IN ('GENERAL', 'TERRITORIALE') THEN 'VALIDATO — FEED TERRITORIALE'
+  WHEN tenth >= 65 THEN 'PROMETTENTE — RIVEDERE' ELSE 'ARCHIVIO / SCARTO' END AS status FROM events_)"""
 _add(
     "event_merge",
     event_merge,
-    f"""WITH d AS ({' UNION ALL '.join(_parts)}),
-r AS (SELECT *, (rank() OVER (PARTITION BY pattern ORDER BY metric) + (count(*) OVER (PARTITION BY pattern, metric) - 1) / 2.0) / count(*) OVER (PARTITION BY pattern) * 100 AS rarity FROM d),
-m AS (SELECT entity, list(pattern ORDER BY ord) AS p, max(strength) AS strength, max(rarity) AS rarity, max(persistence) AS persistence, arg_min(scope, ord) AS scope FROM r GROUP BY entity)
-SELECT *, CASE WHEN round(score, 1) >= 80 AND scope = 'GENERAL' THEN 'VALIDATO — FEED GENERALE' WHEN round(score, 1) >= 72 AND scope IN ('GENERAL', 'TERRITORIALE') THEN 'VALIDATO — FEED TERRITORIALE'
-  WHEN round(score, 1) >= 65 THEN 'PROMETTENTE — RIVEDERE' ELSE 'ARCHIVIO / SCARTO' END AS status FROM (SELECT entity, 'births' AS indicator, array_to_string(p, ' + ') AS patterns, scope, round(strength, 5) AS strength, round(rarity, 5) AS rarity, round(persistence, 5) AS persistence,
-  round(0.95 * (0.4 * strength + 0.2 * rarity + 0.15 * persistence + 0.1 * CASE WHEN len(p) >= 2 THEN 85 ELSE 30 END + 5 + 0.05 * CASE WHEN list_contains(p, 'DIVERGENZA') THEN 90 ELSE 60 END), 5) AS score FROM m)""",
+    f"""WITH {EVENTS} SELECT entity, indicator, array_to_string(p, ' + ') AS patterns, scope, status, published, round(strength, 5) AS strength, round(rarity, 5) AS rarity, round(persistence, 5) AS persistence,
+  round(score, 5) AS score FROM merged""",
+)
+
+
+def _flow_columns(flow: str) -> str:
+    return f"SELECT entity, parent, name, period, weight, '{flow}' AS indicator, {flow} AS v FROM monthly"
+
+
+_LONG = f"""{MONTHLY}, last_ AS (SELECT date_trunc('month', max(l_shipdate) + INTERVAL 1 DAY) - INTERVAL 1 MONTH AS z FROM lineitem),
+long_ AS (SELECT * FROM ({' UNION ALL '.join(map(_flow_columns, EVENT_SETTINGS))}) WHERE period <= (SELECT z FROM last_)),
+full_ AS (SELECT year(period) AS y FROM monthly GROUP BY 1 HAVING count(DISTINCT month(period)) = 12),
+yearly_ AS (SELECT entity, parent, name, indicator, year(period) AS y, sum(v) AS f, arg_min(weight, period) AS w FROM long_ WHERE year(period) IN (SELECT y FROM full_) GROUP BY 1, 2, 3, 4, 5),
+parent_ AS (SELECT parent, indicator, y, sum(f) AS pf, sum(w) AS pw FROM yearly_ GROUP BY 1, 2, 3),
+rated_ AS (SELECT yearly_.*, CAST(printf('%.3f', f * 1000.0 / nullif(w, 0)) AS DOUBLE) AS own, CAST(printf('%.3f', (pf - f) * 1000.0 / nullif(pw - w, 0)) AS DOUBLE) AS rest FROM yearly_ JOIN parent_ USING (parent, indicator, y)),
+annual_ AS (SELECT entity, indicator, arg_max(name, y) AS name, arg_max(parent, y) AS parent, list(CAST(f AS BIGINT) ORDER BY y) AS a, list(own ORDER BY y) AS bl, list(rest ORDER BY y) AS br FROM rated_ GROUP BY 1, 2),
+months_ AS (SELECT entity, indicator, list(CAST(v AS BIGINT) ORDER BY period) AS m FROM long_ GROUP BY 1, 2),
+series_ AS (SELECT *, list_transform(range(12, len(m) + 1), lambda i: CAST(list_sum(m[i - 11:i]) AS BIGINT)) AS r FROM annual_ JOIN months_ USING (entity, indicator))"""
+_PAYLOADS = f"""WITH {EVENTS}, {_LONG},
+both_ AS (SELECT *, a[-2] AS before, a[-1] AS now, CASE WHEN a[-2] <> 0 THEN (a[-1] - a[-2]) / a[-2] * 100 ELSE 0 END AS pct, CASE WHEN bl[-2] <> 0 THEN (bl[-1] / bl[-2] - 1) * 100 END AS cl, CASE WHEN br[-2] <> 0 THEN (br[-1] / br[-2] - 1) * 100 END AS cr,
+  strftime((SELECT z FROM last_), '%Y-%m') AS period, (SELECT max(y) FROM full_) AS year FROM merged JOIN series_ USING (entity, indicator) WHERE published),
+said_ AS (SELECT *, list_filter([
+  CASE WHEN list_contains(p, 'INVERSIONE') THEN 'Inversione: nel ' || year || ' la serie cambia direzione da ' || before || ' a ' || now || ' (' || printf('%+.1f', pct) || '%).' END,
+  CASE WHEN list_contains(p, 'DIVERGENZA') THEN 'Divergenza territoriale: il tasso locale varia del ' || printf('%+.1f', cl) || '% contro ' || printf('%+.1f', cr) || '% nel resto della provincia.' END,
+  CASE WHEN list_contains(p, 'RECORD_MAX') THEN 'Record: il rolling 12 mesi di ' || period || ' (' || r[-1] || ') supera il massimo precedente (' || list_max(r[:-2]) || ').' END,
+  CASE WHEN list_contains(p, 'RECORD_MIN') THEN 'Record: il rolling 12 mesi di ' || period || ' (' || r[-1] || ') scende sotto il minimo precedente (' || list_min(r[:-2]) || ').' END,
+  CASE WHEN list_contains(p, 'ACCELERAZIONE') THEN 'Accelerazione: il fenomeno prosegue nella stessa direzione ma la pendenza recente aumenta rispetto alla finestra precedente.' END,
+  CASE WHEN list_contains(p, 'RALLENTAMENTO') THEN 'Rallentamento: il fenomeno prosegue nella stessa direzione ma la pendenza recente si riduce rispetto alla finestra precedente.' END,
+  CASE WHEN list_contains(p, 'ANOMALIA') THEN 'Anomalia: l''ultimo valore rolling 12 mesi si discosta in modo robusto dal trend recente oltre la soglia tecnica.' END,
+  'Punteggio: ' || printf('%.1f', tenth) || '/100. Stato: ' || status || '.'], lambda q: q IS NOT NULL) AS analysis,
+  CASE WHEN list_contains(p, 'INVERSIONE') THEN name || ': ' || lower(indicator) || CASE WHEN now > before THEN ' tornano a crescere' ELSE ' tornano a diminuire' END || ' nel ' || year || ' (' || before || ' → ' || now || ', ' || printf('%+.1f', pct) || '%).'
+      || CASE WHEN list_contains(p, 'DIVERGENZA') AND cr IS NOT NULL THEN ' Il movimento diverge dal resto della provincia (' || printf('%+.1f', cr) || '%).' ELSE '' END
+    WHEN list_contains(p, 'RECORD_MAX') THEN name || ': ' || lower(indicator) || ' raggiunge un nuovo massimo dei 60 mesi precedenti su base mobile 12 mesi (' || r[-1] || ').'
+    WHEN list_contains(p, 'RECORD_MIN') THEN name || ': ' || lower(indicator) || ' raggiunge un nuovo minimo dei 60 mesi precedenti su base mobile 12 mesi (' || r[-1] || ').'
+    ELSE name || ': rilevato ' || lower(array_to_string(p, ' + ')) || ' su ' || lower(indicator) || '.' END AS summary,
+  substr(sha1(entity || '|' || indicator || '|' || period || '|' || array_to_string(p, ' + ')), 1, 16) AS id FROM both_)"""
+_add(
+    "event_payloads",
+    event_payloads,
+    f"""{_PAYLOADS} SELECT id, entity, name, parent, indicator, p AS patterns, scope, tenth AS score, status AS validation_status, period, summary, a AS annual, r AS rolling12, bl AS benchmark_local, br AS benchmark_rest, analysis FROM said_""",
+)
+_add(
+    "published_event_rows",
+    published_event_rows,
+    f"""{_PAYLOADS} SELECT id, CAST(entity AS VARCHAR) AS municipality_code, array_to_string(p, '|') AS patterns, tenth AS score, array_to_string(a, '|') AS annual, array_to_string(r, '|') AS rolling12,
+  array_to_string(list_transform(bl, lambda q: coalesce(CAST(q AS VARCHAR), '')), '|') AS benchmark_local, array_to_string(list_transform(br, lambda q: coalesce(CAST(q AS VARCHAR), '')), '|') AS benchmark_rest,
+  array_to_string(analysis, '¦') AS analysis, 'Monthly flows' AS source_family FROM said_""",
 )
