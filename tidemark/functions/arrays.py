@@ -1,6 +1,8 @@
-"""Robust statistics of a series held as an array of doubles without nulls, oldest value first.
+"""Robust statistics of a series held as an array of doubles, oldest value first.
 
-Everything is an expression, so a series is measured where its row is: no shuffle, no Python.
+Everything is an expression, so a series is measured where its row is: no shuffle, no Python. Missing values, null
+or NaN, keep their place, which is their time, and are ignored by what is measured; nothing but missing
+values gives null.
 """
 
 from __future__ import annotations
@@ -26,17 +28,23 @@ def without_last(values: Column, n: int = 1) -> Column:
     return F.slice(values, 1, F.greatest(F.size(values) - n, F.lit(0)))
 
 
+def known(values: Column) -> Column:
+    """The values that are not missing."""
+    return F.filter(values, lambda x: x.isNotNull() & ~F.isnan(x))
+
+
 def total(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+    return F.aggregate(known(values), F.lit(0.0), lambda a, x: a + x)
 
 
 def mean(values: Column) -> Column:
-    return F.try_divide(total(values), F.size(values))
+    return F.try_divide(total(values), F.size(known(values)))
 
 
 def median(values: Column) -> Column:
-    """Mean of the two middle values; null for an empty array."""
-    ordered, n = F.array_sort(values), F.size(values)
+    """Mean of the two middle values; null where none is known."""
+    ordered = F.array_sort(known(values))
+    n = F.size(ordered)
     low = F.greatest(F.floor((n + 1) / 2), F.lit(1)).cast("int")
     high = (F.floor(n / 2) + 1).cast("int")
     return (F.try_element_at(ordered, low) + F.try_element_at(ordered, high)) / 2
@@ -71,14 +79,14 @@ def sd(values: Column) -> Column:
 
 
 def robust_scale(values: Column, eps: float = EPS, guard_sd: bool = True) -> Column:
-    """Scaled MAD, else the standard deviation, else 0; 0 below three values."""
+    """Scaled MAD, else the standard deviation, else 0; 0 below three known values."""
     spread, deviation = mad(values), sd(values)
     fallback = F.when(deviation > eps, deviation).otherwise(0.0) if guard_sd else deviation
-    return F.when(F.size(values) < 3, 0.0).when(spread > eps, spread).otherwise(fallback)
+    return F.when(F.size(known(values)) < 3, 0.0).when(spread > eps, spread).otherwise(fallback)
 
 
 def theil_sen(values: Column) -> Column:
-    """Median of the slopes of all pairs; null below two values."""
+    """Median of the slopes of all pairs of known values, by their places; null below two."""
     n = F.size(values)
     slopes = F.transform(
         F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))),
@@ -108,13 +116,13 @@ def ranks(values: Column) -> Column:
 
 
 def spearman_time(values: Column) -> Column:
-    """Rank correlation with time; 0 for a constant series."""
+    """Rank correlation with time; 0 for a constant series, and where a value is missing, as ranks then say nothing of time."""
     n, ranked = F.size(values), ranks(values)
     centred = F.transform(ranked, lambda r: r - (n + 1) / 2)
     both = total(F.transform(centred, lambda r, i: r * (i - (n - 1) / 2)))
     of_ranks = total(F.transform(centred, lambda r: r * r))
     of_time = total(F.transform(centred, lambda r, i: (i - (n - 1) / 2) * (i - (n - 1) / 2)))
-    return F.when(of_ranks * of_time > 0, both / (F.sqrt(of_ranks) * F.sqrt(of_time))).otherwise(0.0)
+    return F.when((F.size(known(values)) == n) & (of_ranks * of_time > 0), both / (F.sqrt(of_ranks) * F.sqrt(of_time))).otherwise(0.0)
 
 
 def dominance(values: Column) -> Column:

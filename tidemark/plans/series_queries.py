@@ -288,3 +288,27 @@ def null_tolerant_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = lines.groupBy("l_suppkey").agg(part("A").alias("a"), part("R").alias("r"), F.count("*").alias("n"))
     both = F.when(F.col("a").isNotNull() | F.col("r").isNotNull(), F.coalesce("a", F.lit(0)) + F.coalesce("r", F.lit(0)))
     return p.select("l_suppkey", F.round(both * 100.0 / F.col("n"), 6).alias("share"))
+
+
+_KNOWN = "list_transform(list_filter(range(1, len(x) + 1), lambda i: x[i] IS NOT NULL AND NOT isnan(x[i])), lambda i: x[i])"
+
+
+@query(
+    f"""WITH m AS (SELECT l_suppkey AS entity, date_trunc('month', l_shipdate) AS period, CASE WHEN count(*) FILTER (l_returnflag = 'R') = 0 THEN NULL WHEN count(*) FILTER (l_returnflag = 'A') = 0 THEN 'nan'::DOUBLE
+  ELSE round(avg(l_discount) FILTER (l_returnflag = 'R'), 4) END AS x FROM lineitem GROUP BY 1, 2),
+s AS (SELECT entity, list(x ORDER BY period) AS x FROM m GROUP BY entity),
+k AS (SELECT entity, x, {_KNOWN} AS v, list_filter(range(1, len(x) + 1), lambda i: x[i] IS NOT NULL AND NOT isnan(x[i])) AS pl FROM s),
+t AS (SELECT *, {median("flatten(list_transform(pl, lambda i: list_transform(list_filter(pl, lambda j: j > i), lambda j: (x[j] - x[i]) / (j - i))))")} AS slope FROM k),
+e AS (SELECT *, list_transform(pl, lambda i: x[i] - slope * (i - 1)) AS rest FROM t)
+SELECT entity, len(x) AS months, len(v) AS known, round({median('v')}, 6) AS med, round({mad('v')}, 6) AS mad, round({sd('v')}, 6) AS sd, round({robust_scale('v')}, 6) AS scale,
+  CASE WHEN len(v) >= 2 THEN round(slope, 8) END AS slope, CASE WHEN len(v) >= 2 THEN round({median('rest')}, 6) END AS intercept FROM e"""
+)
+def gapped_robust_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Robust statistics of monthly series with months that are null and months that are NaN."""
+    has = lambda flag: F.count_if(F.col("l_returnflag") == flag)
+    x = F.when(has("R") == 0, None).when(has("A") == 0, float("nan")).otherwise(F.round(F.avg(F.when(F.col("l_returnflag") == "R", F.col("l_discount"))), 4))
+    months = table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("entity"), F.date_trunc("month", "l_shipdate").alias("period")).agg(x.alias("x"))
+    v = F.col("values")
+    s = S.series_of(months, F.col("x")).withColumn("slope", A.theil_sen(v))
+    s = s.withColumns({"months": F.size(v).cast("long"), "known": F.size(A.known(v)).cast("long"), "med": A.median(v), "mad": A.mad(v), "sd": A.sd(v), "scale": A.robust_scale(v), "intercept": A.intercept(v, F.col("slope"))})
+    return s.select("entity", "months", "known", *r6("med", "mad", "sd", "scale"), F.round("slope", 8).alias("slope"), *r6("intercept"))
