@@ -155,20 +155,21 @@ def json_stat_sparse_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """WITH o AS (SELECT l_orderkey AS key, list({'n': l_linenumber, 'part': l_partkey, 'flag': l_returnflag, 'disc': l_discount, 'day': l_shipdate} ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_returnflag, l_shipdate) AS v FROM lineitem GROUP BY 1),
-u AS (SELECT key, unnest(v) AS x, CAST(generate_subscripts(v, 1) AS INTEGER) - 1 AS n FROM o)
-SELECT key, n, 'Part ' || x.part AS title, 'https://example.org/' || x.part AS url, CASE WHEN x.disc > 0 THEN 'cut' ELSE '' END AS summary, CAST(x.day AS TIMESTAMP) - INTERVAL 2 HOUR AS published, 'Bureau' AS publisher
-FROM u WHERE n < 4 AND x.flag <> 'N'"""
+w AS (SELECT key, list_filter(v, lambda x: x.flag <> 'N') AS v FROM o),
+u AS (SELECT key, unnest(v) AS x, CAST(generate_subscripts(v, 1) AS INTEGER) - 1 AS n FROM w)
+SELECT key, n, 'Part ' || x.part AS title, 'https://example.org/' || x.part AS url, CASE WHEN x.disc > 0 THEN 'cut <b:off>' ELSE '' END AS summary, CAST(x.day AS TIMESTAMP) - INTERVAL 2 HOUR AS published, 'Bureau' AS publisher
+FROM u WHERE n < 2"""
 )
 def rss_feed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Items of feeds, four a feed; those without a link are none. Dates have a zone of two hours."""
+    """Items of feeds, the first two with a link of each. Descriptions hold markup in CDATA, dates a zone of two hours."""
     item = _each(
         lambda x: _text(
             "<item><title> Part ", x["part"], " - Bureau</title><link>", F.when(x["flag"] != "N", _text("https://example.org/", x["part"])).otherwise(""), "</link>",
-            F.when(x["disc"] > 0, "<description>cut</description>").otherwise(""), "<pubDate>", F.date_format(x["day"], "EEE, d MMM yyyy HH:mm:ss"), " +0200</pubDate></item>",
+            F.when(x["disc"] > 0, "<description><![CDATA[cut <b:off>]]></description>").otherwise(""), "<pubDate>", F.date_format(x["day"], "EEE, d MMM yyyy HH:mm:ss"), " +0200</pubDate></item>",
         )
     )
     feeds = orders(spark, sf_dir).select("key", _text('<rss version="2.0"><channel>', item, "</channel></rss>").alias("text"))
-    rows = S.rss_items(feeds, most=4)
+    rows = S.rss_items(feeds, most=2)
     return rows.select(
         "key", "n", F.regexp_replace("title", " - Bureau$", "").alias("title"), "url", "summary", F.to_utc_timestamp(T.rfc822(F.col("published_raw")), F.current_timezone()).cast("timestamp_ntz").alias("published"),
         T.publisher(F.col("title")).alias("publisher"),
@@ -177,7 +178,7 @@ def rss_feed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- documents -----------------------------------------------------------------------------------
 
-_ROWS_SQL = "SELECT l_orderkey AS key, l_returnflag || '; \"x\", ' || l_linenumber AS name, CAST(l_partkey AS VARCHAR) AS part, CAST(l_quantity AS VARCHAR) AS qty FROM lineitem"
+_ROWS_SQL = "SELECT l_orderkey AS key, l_returnflag || '; \"x\",' || chr(10) || 'a\tb ' || l_linenumber AS name, CAST(l_partkey AS VARCHAR) AS part, CAST(l_quantity AS VARCHAR) AS qty FROM lineitem"
 _PLAIN_ROWS_SQL = "SELECT l_orderkey AS key, l_returnflag || ' x ' || l_linenumber AS name, CAST(l_partkey AS VARCHAR) AS part, CAST(l_quantity AS VARCHAR) AS qty FROM lineitem"
 
 
@@ -194,11 +195,11 @@ def _name(x) -> Column:
 
 @query(_ROWS_SQL)
 def csv_document_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Delimited text whose mark is told from the text; quoted cells hold other marks and doubled quotes."""
+    """Delimited text whose mark is told from the text; quoted cells hold all marks, doubled quotes and line ends."""
     mark = F.element_at(F.array(F.lit(";"), F.lit(","), F.lit("\t")), F.when(F.size("lines") == 1, 1).when(F.size("lines") == 2, 2).otherwise(3))
-    line = lambda x: _text('"', x["flag"], '; ""x"", ', x["n"], '"', F.col("mark"), x["part"], F.col("mark"), x["qty"])
-    docs = orders(spark, sf_dir).withColumn("mark", mark).withColumn("pad", F.repeat("mark", 40))
-    body = _text("\ufeffname", F.col("mark"), "part", F.col("mark"), "qty", F.col("pad"), "\r\n", _each(line, "\r\n"), "\r\n\r\n")
+    line = lambda x: _text('"', x["flag"], '; ""x"",\na\tb ', x["n"], '"', F.col("mark"), x["part"], F.col("mark"), x["qty"])
+    docs = orders(spark, sf_dir).withColumn("mark", mark)
+    body = _text("\ufeffname", F.col("mark"), "part", F.col("mark"), "qty\r\n", _each(line, "\r\n"), "\r\n\r\n")
     return _table_rows(docs.select(_text("/in/", F.col("key"), ".csv").alias("path"), F.encode(body, "UTF-8").alias("content")))
 
 
@@ -266,7 +267,7 @@ def _archive(texts: pd.Series) -> pd.Series:
 @query(_PLAIN_ROWS_SQL)
 def zipped_document_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Semicolon text in a ZIP inside a ZIP, after a line of preamble and a byte-order mark."""
-    body = _text("\ufeffa title; of the file\r\nname;part;qty;;;;\r\n", _each(lambda x: _text(_name(x), ";", x["part"], ";", x["qty"]), "\r\n"))
+    body = _text("\ufeffa title; of the file\r\nname;part;qty\r\n", _each(lambda x: _text(_name(x), ";", x["part"], ";", x["qty"]), "\r\n"))
     files = orders(spark, sf_dir).select(_text("/in/", F.col("key"), ".zip").alias("path"), _archive(body).alias("content"))
     members = D.zip_members(files, r"\.csv$").where("error is null")
     rows = members.select(F.regexp_extract("path", r"(\d+)\.zip", 1).cast("long").alias("key"), F.explode(D.csv_cells(D.text_of(F.col("content")), skip=2)).alias("c"))

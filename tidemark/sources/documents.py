@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.delimited import csv_cells
+
 MOST_BYTES = 80 << 20
 LEAST_BYTES = 16
 CELLS = "array<array<string>>"
@@ -93,22 +95,6 @@ def is_public_https(url: Column) -> Column:
     return (F.try_parse_url(url, F.lit("PROTOCOL")) == "https") & (name != "") & ~private
 
 
-def sniffed_delimiter(text: Column) -> Column:
-    """Whichever of comma, semicolon and tab is most frequent in the first 4096 characters."""
-    head = F.substring(text, 1, 4096)
-    count = lambda c: F.length(head) - F.length(F.replace(head, F.lit(c), F.lit("")))
-    return F.when((count(";") >= count(",")) & (count(";") >= count("\t")) & (count(";") > 0), ";").when((count("\t") > count(",")), "\t").otherwise(",")
-
-
-def csv_cells(text: Column, skip: int = 0) -> Column:
-    """Cells of delimited text without quoted line ends, after ``skip`` lines of preamble; quotes around a cell go."""
-    lines = F.filter(F.split(F.regexp_replace(text, "^\\ufeff", ""), "\\r?\\n"), lambda line: F.trim(line) != "")
-    lines = F.slice(lines, skip + 1, F.size(lines)) if skip else lines
-    mark = sniffed_delimiter(text)
-    cells = lambda line: F.transform(F.split(line, F.concat(mark, F.lit('(?=(?:[^"]*"[^"]*")*[^"]*$)'))), lambda c: F.replace(F.regexp_replace(c, '^\\s*"|"\\s*$', ""), F.lit('""'), F.lit('"')))
-    return F.transform(lines, cells)
-
-
 def json_cells(text: Column) -> Column:
     """The first table of a JSON document: its root list, or what stands under data or tables."""
     root = F.from_json(text, CELLS)
@@ -288,14 +274,17 @@ def document_tables(documents: DataFrame, bounds: Bounds = Bounds()) -> DataFram
     )
     rows = documents.select("path", "content", kind.alias("kind"))
     text = F.coalesce(text_of(F.col("content")), F.lit(""))
-    plain = rows.where(F.col("kind").isin("csv", "tsv", "text", "json"))
-    cells = F.when(F.col("kind") == "json", json_cells(text)).otherwise(csv_cells(text))
-    hint = F.when(F.col("kind") == "json", F.coalesce(F.get_json_object(text, "$.unit"), F.lit(""))).otherwise("")
     none = F.lit(0).cast("long").alias("cut")
-    plain = plain.select(
-        F.col("path").alias("source_url"), F.concat("kind", F.lit(":1")).alias("location"), hint.alias("unit_hint"), cells.alias("cells"),
-        F.when(cells.isNull(), "no_table").alias("error"), none,
-    )
+
+    def first_table(some: DataFrame, cells: Column, hint: Column) -> DataFrame:
+        made = some.select("path", "kind", hint.alias("hint"), cells.alias("cells"))
+        return made.select(
+            F.col("path").alias("source_url"), F.concat("kind", F.lit(":1")).alias("location"), F.col("hint").alias("unit_hint"), "cells",
+            F.when(F.col("cells").isNull(), "no_table").alias("error"), none,
+        )
+
+    listed = first_table(rows.where("kind = 'json'"), json_cells(text), F.coalesce(F.get_json_object(text, "$.unit"), F.lit("")))
+    plain = first_table(rows.where(F.col("kind").isin("csv", "tsv", "text")), csv_cells(text), F.lit("")).unionByName(listed)
     decoded = rows.where(F.col("kind").isin("html", "xlsx")).mapInArrow(
         _decoder(bounds), f"source_url string, location string, unit_hint string, cells {CELLS}, error string, cut long"
     )

@@ -23,7 +23,14 @@ ALIASES = {
 
 
 def _without_prefixes(xml: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(xml, r"<(/?)[A-Za-z0-9_.\-]+:", "<$1"), r"\sxmlns(:\w+)?=\"[^\"]*\"", "")
+    """Tags without their name-space prefixes; what stands in CDATA is text and stays."""
+    tags = lambda part: F.regexp_replace(F.regexp_replace(part, r"<(/?)[A-Za-z0-9_.\-]+:", "<$1"), r"\sxmlns(:\w+)?=\"[^\"]*\"", "")
+    opened = F.split(xml, r"<!\[CDATA\[")
+    rest = F.transform(
+        F.slice(opened, 2, F.greatest(F.size(opened) - 1, F.lit(0))),
+        lambda part: F.concat(F.lit("<![CDATA["), F.substring_index(part, "]]>", 1), F.when(F.contains(part, F.lit("]]>")), F.lit("]]>")).otherwise(""), tags(F.substr(part, F.length(F.substring_index(part, "]]>", 1)) + 4))),
+    )
+    return F.when(F.contains(xml, F.lit("<![CDATA[")), F.concat(tags(F.get(opened, F.lit(0))), F.array_join(rest, ""))).otherwise(tags(xml))
 
 
 def sdmx_xml(documents: DataFrame, content: str = "text") -> DataFrame:
@@ -119,18 +126,24 @@ def json_stat(documents: DataFrame, content: str = "text") -> DataFrame:
     return cells.select(*rest, F.map_from_entries(F.transform("_d.id", entry)).alias("coords"), F.col("_cell.v").alias("value"))
 
 
-def rss_items(feeds: DataFrame, content: str = "text", most: int = 18) -> DataFrame:
-    """(…, n, title, url, summary, published_raw) of the first items of each feed; items need a title and a link."""
+def rss_items(feeds: DataFrame, content: str = "text", most: int | None = 18) -> DataFrame:
+    """(…, n, title, url, summary, published_raw) of the first ``most`` items of each feed that have a title and a link, None for all.
+
+    ``n`` counts those items from 0 in the order of the feed.
+    """
     rest = [c for c in feeds.columns if c != content]
     items = F.regexp_extract_all(F.col(content), F.lit(r"(?s)(<item[\s>].*?</item>)"), F.lit(1))
-    rows = feeds.select(*rest, F.posexplode(items).alias("n", "_xml"))
-    rows = rows.withColumn("_i", F.from_xml(_without_prefixes(F.col("_xml")), "struct<title:string,link:string,description:string,pubDate:string>"))
-    found = rows.select(
-        *rest, "n", F.trim("_i.title").alias("title"), F.trim("_i.link").alias("url"), F.coalesce("_i.description", F.lit("")).alias("summary"),
-        F.coalesce("_i.pubDate", F.lit("")).alias("published_raw"),
-    )
-    good = (F.coalesce(F.col("title"), F.lit("")) != "") & (F.coalesce(F.col("url"), F.lit("")) != "")
-    return found.where(good & (F.col("n") < most))
+    fields = "struct<title:string,link:string,description:string,pubDate:string>"
+    trimmed = lambda text: F.regexp_replace(F.coalesce(text, F.lit("")), r"^\s+|\s+$", "")
+
+    def item(xml: Column) -> Column:
+        read = F.from_xml(_without_prefixes(xml), fields)
+        names = (("title", "title"), ("link", "url"), ("description", "summary"), ("pubDate", "published_raw"))
+        return F.struct(*(trimmed(read[x]).alias(y) for x, y in names))
+
+    good = F.filter(F.transform(items, item), lambda i: (i["title"] != "") & (i["url"] != ""))
+    rows = feeds.select(*rest, F.posexplode(good if most is None else F.slice(good, 1, most)).alias("_n", "_i"))
+    return rows.select(*rest, F.col("_n").alias("n"), *(F.col(f"_i.{c}").alias(c) for c in ("title", "url", "summary", "published_raw")))
 
 
 def years_to_rows(table: DataFrame, keys: list[str], pattern: str = r"^V?((?:19|20)\d{2})(?:\.0+)?$", value: str = "value") -> DataFrame:
