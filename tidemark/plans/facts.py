@@ -2,31 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.shared_files import shared, written  # noqa: F401
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared(spark: SparkSession, name: str) -> str:
-    """A new folder that the driver and all executors share."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    return f"{root}/tidemark/{name}-{uuid.uuid4().hex[:8]}"
-
-
-def written(rows: DataFrame, name: str) -> DataFrame:
-    """Rows as a table of their own: what reads them plans and computes nothing before it again."""
-    path = shared(rows.sparkSession, name)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
-
 def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Supplier-months: nation as parent, line counts as flows, quantity as weight, rare deep discounts as adjustment."""
     lines, supplier = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "supplier")

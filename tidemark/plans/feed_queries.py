@@ -351,16 +351,27 @@ def series_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH y AS (SELECT l_returnflag AS ind, sum(CASE WHEN year(l_shipdate) = 1999 THEN l_discount END) / count(*) FILTER (year(l_shipdate) = 1999) * 100 AS a, sum(CASE WHEN year(l_shipdate) = 2000 THEN l_discount END) / count(*) FILTER (year(l_shipdate) = 2000) * 100 AS b FROM lineitem GROUP BY 1)
-SELECT 'flag ' || ind AS indicator, round(round(b, 2) - round(a, 2), 3) AS delta FROM y WHERE a IS NOT NULL AND b IS NOT NULL"""
+    """WITH y AS (SELECT p_brand AS brand, l_returnflag AS flag, year(l_shipdate) AS y, CAST(printf('%.2f', avg(l_discount) * 100) AS DOUBLE) AS v FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1, 2, 3),
+h AS (SELECT brand, list(DISTINCT y ORDER BY y) AS years FROM y GROUP BY 1),
+p AS (SELECT brand, flag, years[-2] AS a, years[-1] AS b FROM h JOIN (SELECT DISTINCT brand, flag FROM y) USING (brand) WHERE len(years) >= 2 AND years[-1] - years[-2] <= 5)
+SELECT brand, 'rate of flag ' || flag AS indicator, CAST(printf('%.3f', n.v - o.v) AS DOUBLE) AS delta FROM p JOIN y o USING (brand, flag) JOIN y n USING (brand, flag) WHERE o.y = a AND n.y = b"""
 )
 def table_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    year = lambda y: F.format_string("%.2f", F.avg(F.when(F.year("l_shipdate") == y, F.col("l_discount"))) * 100)
-    rows = table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(year(1999).alias("a"), year(2000).alias("b"))
-    body = rows.agg(F.array_sort(F.collect_list(F.array(F.concat(F.lit("flag "), "l_returnflag"), "a", "b"))).alias("rows"))
-    cells = F.concat(F.array(F.array(F.lit("Quota (%)"), F.lit("1999"), F.lit("2000"))), F.col("rows"))
-    tables = body.select(F.lit("https://example.org/t").alias("source_url"), F.lit("table:1").alias("location"), F.lit("").alias("unit_hint"), cells.alias("cells"))
-    return V.table_evidence(tables).select("indicator", "delta")
+    """A table a brand, a row a flag, a column a year: the last two years of each row that has both."""
+    lines, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
+    rates = lines.join(part, F.col("l_partkey") == F.col("p_partkey")).groupBy(F.col("p_brand").alias("brand"), F.col("l_returnflag").alias("flag"), F.year("l_shipdate").alias("year")).agg(
+        F.format_string("%.2f", N.exact_round(F.avg("l_discount") * 100, 2)).alias("rate")
+    )
+    rows = rates.groupBy("brand", "flag").agg(F.map_from_entries(F.collect_list(F.struct("year", "rate"))).alias("by_year"))
+    whole = rows.groupBy("brand").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.map_keys("by_year"))))).alias("years"),
+        F.array_sort(F.collect_list(F.struct("flag", F.map_entries("by_year").alias("e")))).alias("rows"),
+    )
+    cell = lambda r, y: F.coalesce(F.get(F.filter(r["e"], lambda e: e["key"] == y), F.lit(0))["value"], F.lit(".."))
+    body = F.transform("rows", lambda r: F.concat(F.array(F.concat(F.lit("rate of flag "), r["flag"])), F.transform("years", lambda y: cell(r, y))))
+    cells = F.concat(F.array(F.concat(F.array(F.lit("Share (%)")), F.col("years").cast("array<string>"))), body)
+    tables = whole.select(F.concat(F.lit("https://example.org/"), "brand").alias("source_url"), F.lit("table:1").alias("location"), F.lit("").alias("unit_hint"), cells.alias("cells"))
+    return V.table_evidence(tables).select(F.element_at(F.split("source_url", "/"), -1).alias("brand"), "indicator", "delta")
 
 
 # --- streams -------------------------------------------------------------------------------------

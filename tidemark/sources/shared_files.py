@@ -1,11 +1,40 @@
-"""Small files in any file system that Spark knows, written and read by the driver: pointers, manifests, JSON documents."""
+"""Files in any file system that Spark knows: pointers, manifests and documents of the driver, and tables that a run keeps for itself.
+
+Tables that a run writes for itself lie in one folder an application, below the one that ``spark.checkpoint.dir`` names;
+``clean`` takes it away when nothing reads them any more.
+"""
 
 from __future__ import annotations
 
 import json
 import uuid
 
-from pyspark.sql import Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of this application that the driver and all executors share."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return f"{root.rstrip('/')}/tidemark/{spark.sparkContext.applicationId}"
+
+
+def shared(spark: SparkSession, name: str) -> str:
+    """A new folder that the driver and all executors share."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:8]}"
+
+
+def written(rows: DataFrame, name: str) -> DataFrame:
+    """Rows as a table of their own: what reads them plans and computes nothing before it again."""
+    path = shared(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def clean(spark: SparkSession) -> None:
+    """Removes what this application wrote for itself. Results that still read those tables are lost."""
+    remove(spark, shared_folder(spark))
 
 
 def _at(spark: SparkSession, path: str):
