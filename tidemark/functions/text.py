@@ -6,32 +6,37 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values of the radar's vocabulary.
-STAT_TERMS = (
-    "dato dati statistica statistiche rapporto osservatorio indagine rilevazione percento % aumento calo crescita diminuzione record massimo minimo media "
-    "milioni miliardi tasso quota indice variazione occupazione disoccupazione natalità mortalità inflazione prezzi consumi salari redditi imprese export "
-    "import mutui immobili scuola studenti sanità salute energia emissioni rifiuti"
-).split()
+STAT_TERMS = [
+    "dato", "dati", "statistica", "statistiche", "rapporto", "osservatorio", "indagine", "rilevazione", "percento", "%", "aumento", "calo",
+    "crescita", "diminuzione", "record", "massimo", "minimo", "media", "milioni", "miliardi", "tasso", "quota", "indice", "variazione", "occupazione",
+    "disoccupazione", "natalità", "mortalità", "inflazione", "prezzi", "consumi", "salari", "redditi", "imprese", "export", "import", "mutui",
+    "immobili", "scuola", "studenti", "sanità", "salute", "energia", "emissioni", "rifiuti",
+]
 RECORD_WORDS = ["record", "massimo storico", "minimo storico", "mai così", "più alto", "più basso"]
-GEO = (
-    "abruzzo,basilicata,calabria,campania,emilia-romagna,friuli-venezia giulia,lazio,liguria,lombardia,marche,molise,piemonte,puglia,sardegna,sicilia,toscana,"
-    "trentino-alto adige,umbria,valle d'aosta,veneto,roma,milano,napoli,torino,palermo,bologna,firenze,genova,venezia,bari"
-).split(",")
+GEO = [
+    "abruzzo", "basilicata", "calabria", "campania", "emilia-romagna", "friuli-venezia giulia", "lazio", "liguria", "lombardia", "marche", "molise",
+    "piemonte", "puglia", "sardegna", "sicilia", "toscana", "trentino-alto adige", "umbria", "valle d'aosta", "veneto", "roma", "milano", "napoli",
+    "torino", "palermo", "bologna", "firenze", "genova", "venezia", "bari",
+]
 TOPICS = {
-    "LAVORO": "lavor occupaz disoccup salari stipendi",
-    "ECONOMIA": "pil inflaz prezzi consumi redditi imprese export import pressione_fiscale fisco tasse profitti risparmio",
-    "SALUTE": "salute sanità farmac osped medic",
-    "ISTRUZIONE": "scuola student universit invalsi istruzione",
-    "AMBIENTE": "ambiente clima emission rifiuti suolo acqua biodivers",
-    "ENERGIA": "energia elettric gas rinnovabil",
-    "MOBILITA": "auto veicol immatricol trasport",
-    "CASA": "casa immobil mutui affitti",
-    "DEMOGRAFIA": "nascit natalità mortalità popolazione resident",
-}
-STOP_WORDS = (
-    "italia italiano italiani oggi ieri anno anni dati dato statistiche statistica rapporto secondo oltre sono della delle degli dello nella nelle con per "
-    "tra fra che del dei gli una uno più meno news"
-).split()
-KEY_STOP_WORDS = "italia dati statistiche statistica rapporto news record".split()
+    "LAVORO": ["lavor", "occupaz", "disoccup", "salari", "stipendi"],
+    "ECONOMIA": ["pil", "inflaz", "prezzi", "consumi", "redditi", "imprese", "export", "import", "pressione fiscale", "fisco", "tasse", "profitti", "risparmio"],
+    "SALUTE": ["salute", "sanità", "farmac", "osped", "medic"],
+    "ISTRUZIONE": ["scuola", "student", "universit", "invalsi", "istruzione"],
+    "AMBIENTE": ["ambiente", "clima", "emission", "rifiuti", "suolo", "acqua", "biodivers"],
+    "ENERGIA": ["energia", "elettric", "gas", "rinnovabil"],
+    "MOBILITA": ["auto", "veicol", "immatricol", "trasport"],
+    "CASA": ["casa", "immobil", "mutui", "affitti"],
+    "DEMOGRAFIA": ["nascit", "natalità", "mortalità", "popolazione", "resident"],
+}
+STOP_WORDS = [
+    "italia", "italiano", "italiani", "oggi", "ieri", "anno", "anni", "dati", "dato", "statistiche", "statistica", "rapporto", "secondo", "oltre",
+    "sono", "della", "delle", "degli", "dello", "nella", "nelle", "con", "per", "tra", "fra", "che", "del", "dei", "gli", "una", "uno", "più", "meno",
+    "news",
+]
+KEY_STOP_WORDS = [
+    "italia", "dati", "statistiche", "statistica", "rapporto", "news", "record",
+]
 EDITORIAL = [
     "pronostico", "quote e statistiche", "scommesse", "oddschecker", "calendario partite", "ospita", "evento", "festival", "dal 2027/28 limite",
     "decreto scuola", "sarà a industria italiana summit", "summit 2026",
@@ -123,7 +128,7 @@ def topic(text: Column) -> Column:
     """The first topic of which a word occurs."""
     low, out = F.lower(text), None
     for name, words in TOPICS.items():
-        hit = _any(low, [w.replace("_", " ") for w in words.split()])
+        hit = _any(low, words)
         out = F.when(hit, name) if out is None else out.when(hit, name)
     return out.otherwise("ALTRO")
 

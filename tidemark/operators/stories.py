@@ -27,7 +27,7 @@ def quarantined(items: DataFrame, now: Column, days: int = 3) -> DataFrame:
     """Items (url, title, summary, published, numbers, score) that report figures, kept apart until a primary source is found.
 
     Fresh, with a number that is no year, a statistical term, a title of 24 characters and a web address. Adds
-    claims, pulse_score, domain, role and the two statuses.
+    claims, news_score, domain, role and the two statuses.
     """
     real = F.filter("numbers", lambda n: ~T.number_core(n).rlike(r"^20\d{2}$"))
     words = F.lower(F.concat_ws(" ", "title", "summary"))
@@ -37,7 +37,7 @@ def quarantined(items: DataFrame, now: Column, days: int = 3) -> DataFrame:
     return items.where(good & has_any(words, T.STAT_TERMS) & web).select(
         *items.columns,
         F.slice(real, 1, 6).alias("claims"),
-        F.least(F.lit(75), F.greatest(F.lit(45), F.col("score"))).alias("pulse_score"),
+        F.least(F.lit(75), F.greatest(F.lit(45), F.col("score"))).alias("news_score"),
         F.when(F.endswith(host, F.lit(AGGREGATOR)), F.coalesce(T.publisher(F.col("title")), host)).otherwise(host).alias("domain"),
         F.lit("journalistic_source").alias("role"),
         F.lit("needs_primary_source").alias("editorial_status"),

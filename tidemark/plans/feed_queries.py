@@ -268,7 +268,7 @@ def candidate_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _TOPIC_SQL = " ".join(
-    f"WHEN len(list_filter({words_sql([w.replace('_', ' ') for w in words.split()])}, lambda w: contains(t, w))) > 0 THEN '{name}'" for name, words in T.TOPICS.items()
+    f"WHEN len(list_filter({words_sql(words)}, lambda w: contains(t, w))) > 0 THEN '{name}'" for name, words in T.TOPICS.items()
 )
 
 
@@ -278,12 +278,13 @@ def topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH d AS (SELECT doc_id, regexp_extract_all(lower(split_part(coalesce(text, ''), chr(10), 1)), '[a-zà-ù]{{4,}}') AS w FROM documents), f AS (SELECT doc_id, list_filter(w, lambda x: NOT list_contains({words_sql(T.STOP_WORDS)}, x)) AS w FROM d),
+    f"""WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[a-zà-ù]{{4,}}') AS w FROM documents), f AS (SELECT doc_id, list_filter(w, lambda x: NOT list_contains({words_sql(T.STOP_WORDS)}, x)) AS w FROM d),
 u AS (SELECT doc_id, list_filter(w, lambda x, i: list_position(w, x) = i) AS w FROM f) SELECT doc_id, array_to_string(w[1:8], ' ') AS keywords FROM u"""
 )
 def title_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = F.element_at(F.split(F.coalesce("text", F.lit("")), "\n"), 1)
-    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(T.title_keywords(first), " ").alias("keywords"))
+    """The first keywords of each whole text."""
+    whole = F.coalesce("text", F.lit(""))
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(T.title_keywords(whole), " ").alias("keywords"))
 
 
 @query(
@@ -312,7 +313,7 @@ def headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def story_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprint, semantic key and scores of each page as a story; no SQL, since its number pattern looks behind."""
+    """Fingerprint, semantic key and scores of each page as a story; no SQL, since its number pattern looks behind: a test holds it against a plain version."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", F.regexp_extract("html", "<h1>(.*?)</h1>", 1).alias("title"), T.html_text(F.col("html")).alias("body"))
     found = T.numbers(F.col("body"))
     subject = T.topic(F.col("body"))

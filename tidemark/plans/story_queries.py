@@ -178,15 +178,15 @@ def published_stories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH i AS (SELECT doc_id, split_part(text, chr(10), 1) || ' di ogni anno' AS title, CASE WHEN doc_id % 5 = 0 THEN 'quota di imprese' ELSE 'senza' END AS summary, n_chars % 100 AS score, doc_id % 6 AS age, CASE WHEN doc_id % 7 = 0 THEN ['2024'] ELSE [CAST(n_chars AS VARCHAR), '2024', CAST(doc_id AS VARCHAR)] END AS numbers, doc_id % 4 AS kind FROM documents),
+    f"""WITH i AS (SELECT doc_id, coalesce(text, '') || ' di ogni anno' AS title, CASE WHEN doc_id % 5 = 0 THEN 'quota di imprese' ELSE 'senza' END AS summary, n_chars % 100 AS score, doc_id % 6 AS age, CASE WHEN doc_id % 7 = 0 THEN ['2024'] ELSE [CAST(n_chars AS VARCHAR), '2024', CAST(doc_id AS VARCHAR)] END AS numbers, doc_id % 4 AS kind FROM documents),
 q AS (SELECT *, list_filter(numbers, lambda n: NOT regexp_full_match(n, '20[0-9][0-9]')) AS found FROM i)
-SELECT doc_id, CAST(least(75, greatest(45, score)) AS BIGINT) AS pulse_score, array_to_string(found[1:6], '|') AS claims, CASE kind WHEN 0 THEN 'example.org' WHEN 1 THEN 'Bureau' ELSE 'b.example.org' END AS domain
+SELECT doc_id, CAST(least(75, greatest(45, score)) AS BIGINT) AS news_score, array_to_string(found[1:6], '|') AS claims, CASE kind WHEN 0 THEN 'example.org' WHEN 1 THEN 'Bureau' ELSE 'b.example.org' END AS domain
 FROM q WHERE age BETWEEN 1 AND 3 AND len(found) > 0 AND score >= 45 AND length(title) + CASE WHEN kind = 1 THEN 9 ELSE 0 END >= 24 AND kind < 3 AND {_any_sql("lower(title || ' ' || summary)", T.STAT_TERMS)}"""
 )
 def quarantined_stories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fresh items with figures wait for a primary source; an aggregator's items carry their publisher."""
     kind = F.col("doc_id") % 4
-    title = F.concat(F.element_at(F.split("text", "\n"), 1), F.lit(" di ogni anno"), F.when(kind == 1, " - Bureau").otherwise(""))
+    title = F.concat(F.coalesce("text", F.lit("")), F.lit(" di ogni anno"), F.when(kind == 1, " - Bureau").otherwise(""))
     now = F.lit("2024-01-10 12:00:00").cast("timestamp")
     items = table(spark, sf_dir, "documents").select(
         "doc_id", title.alias("title"), F.when(F.col("doc_id") % 5 == 0, "quota di imprese").otherwise("senza").alias("summary"), (F.col("n_chars") % 100).alias("score"),
@@ -195,7 +195,7 @@ def quarantined_stories(spark: SparkSession, sf_dir: str) -> DataFrame:
         _pick(["https://www.example.org/a", "https://news.google.com/rss/b", "http://b.example.org:80/c?x", "ftp://c.example.org"], F.col("doc_id")).alias("url"),
     )
     found = S.quarantined(items, now)
-    return found.select("doc_id", "pulse_score", F.array_join("claims", "|").alias("claims"), "domain")
+    return found.select("doc_id", "news_score", F.array_join("claims", "|").alias("claims"), "domain")
 
 
 _RULES = [
