@@ -50,3 +50,12 @@ def test_features_have_unit_length():
     (index, value), (none, one) = features(np.concatenate((data, data[:0])), np.array([0, len(data), len(data)]))
     assert len(set(index.tolist())) == len(index) and abs(np.sqrt((value[1:] ** 2).sum()) - 4) < 1e-9
     assert none.tolist() == [0] and one.tolist() == [1.0]
+
+
+def test_features_of_a_text_do_not_depend_on_its_neighbours():
+    texts = [t.encode() for t in ("same words", "same words", "words!", "!words", "", "x", "x x", "x" * 9, "9 a 9 a", "a")]
+    offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+    together = list(features(np.frombuffer(b"".join(texts), np.uint8), offsets))
+    for text, (index, value) in zip(texts, together):
+        ((alone, of_alone),) = features(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+        assert np.array_equal(index, alone) and np.array_equal(value, of_alone)

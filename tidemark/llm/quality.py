@@ -57,10 +57,11 @@ def features(data: np.ndarray, offsets: np.ndarray, bits: int = BITS) -> Iterato
         symbol = _SYMBOL[data[starts]]
         upper, lower, digit = (_count(t[data], starts, ends) for t in (_UPPER, _LOWERCASE, _DIGIT))
         shape = (upper > 0) * 1 + (upper == length) * 2 + (lower > 0) * 4 + (digit > 0) * 8 + np.minimum(length, 12) // 4 * 16
-        glued = np.concatenate(([False], starts[1:] == ends[:-1]))
+        text = np.searchsorted(first, np.arange(len(words)), "right")  # words of other texts in the slice say nothing
+        glued = np.concatenate(([False], (starts[1:] == ends[:-1]) & (text[1:] == text[:-1])))
         repeats = np.zeros(len(words), np.int64)
         for back in (4, 3, 2, 1):
-            repeats[back:][(words[back:] == words[:-back]) & ~symbol[back:]] = back
+            repeats[back:][(words[back:] == words[:-back]) & ~symbol[back:] & (text[back:] == text[:-back])] = back
         shape = np.where(symbol, mix(words), (shape + 64 * repeats).astype(U)) + glued.astype(U) * U(STEP)
         shape = mix(shape)
         views = [words ^ U(1), shape ^ U(2), np.zeros(len(words), U), np.zeros(len(words), U), np.zeros(len(words), U)]
