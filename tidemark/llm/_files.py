@@ -8,7 +8,11 @@ from pyarrow import fs
 
 
 def _at(uri: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(uri if ":/" in uri else f"file://{uri}")
+    """Where a qualified path lies. One without a scheme is refused: each machine would take it for its own disk."""
+    scheme, mark, path = uri.partition(":/")
+    if not mark:
+        raise ValueError(f"{uri} names no file system")
+    return fs.FileSystem.from_uri(f"file:///{path.lstrip('/')}" if scheme == "file" else uri)
 
 
 def put(uri: str, data_parts) -> int:

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm._common import col, scratch, spread_join, stored, trimmed
+from tidemark.llm._common import col, qualified, scratch, spread_join, stored, trimmed
 from tidemark.llm._files import opened, put
 
 #: Payload and header bytes, and records, after which a task starts another archive.
@@ -156,7 +156,7 @@ def _archive(root: str, date: str, archive_bytes: int, crawl: str):
 
 def write_archives(pages: DataFrame, page_col: str = "page_id", url_col: str = "url", html_col: str = "html", date: str = "2026-01-01T00:00:00Z", archive_bytes: int = ARCHIVE_BYTES, path: str | None = None) -> DataFrame:
     """Writes every page as a response record and gives the headers of all records."""
-    root = path or scratch(pages.sparkSession, "warc")
+    root = qualified(pages.sparkSession, path) if path else scratch(pages.sparkSession, "warc")
     rows = pages.select(col(page_col).cast("long").alias("page_id"), col(url_col).cast("string").alias("url"), col(html_col).alias("html"))
     return stored(rows.mapInArrow(_archive(root, date, archive_bytes, uuid.uuid4().hex), HEADERS), "headers")
 
@@ -200,7 +200,7 @@ def _rewrite(root: str, date: str):
 
 def write_deduplicated(headers: DataFrame, repeats: DataFrame, date: str = "2026-01-02T00:00:00Z", path: str | None = None) -> DataFrame:
     """Writes each archive anew and gives the paths of the new ones. An archive's repeats are bounded by its records."""
-    root = path or scratch(headers.sparkSession, "warc_deduplicated")
+    root = qualified(headers.sparkSession, path) if path else scratch(headers.sparkSession, "warc_deduplicated")
     by_archive = repeats.groupBy("path").agg(F.collect_list(F.struct("number", "original")).alias("repeats"))
     archives = headers.select("path").distinct().join(by_archive, "path", "left")
     archives = stored(archives, "archives")

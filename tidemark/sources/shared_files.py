@@ -20,6 +20,12 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/tidemark/{spark.sparkContext.applicationId}"
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with scheme and authority, by the default file system where it names none: tasks and Spark then mean the same place."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(found).toString()
+
+
 def shared(spark: SparkSession, name: str) -> str:
     """A new folder that the driver and all executors share."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:8]}"
