@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.shared_files import qualified, shared_folder
+
 #: Rows of 8-byte keys that may be broadcast (about 40 MB as a hash table); beyond it joins shuffle.
 BROADCAST_ROWS = 500_000
 #: Rows that one key may bring to a task of a join before they are spread, and keys that may be spread that way.
@@ -20,17 +22,9 @@ HOT_ROWS, HOT_KEYS = 1000, 100_000
 SLICE_BYTES = 1 << 18
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see, as ``spark.checkpoint.dir`` names it."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    return root
-
-
 def scratch(spark: SparkSession, name: str) -> str:
-    """A path under the shared folder that no other run uses."""
-    return f"{shared_root(spark).rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
+    """A qualified path in this application's part of the shared folder that nothing else uses."""
+    return f"{qualified(spark, shared_folder(spark))}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm._common import id_and_text, remembering
-from tidemark.llm.tokens import chunks, encoder
+from tidemark.llm.tokens import encoder, text_chunks
 
 WINDOW = 1024
 
@@ -119,7 +119,7 @@ def _pack(tokenizer: str, end: int, size: int, id_type: pa.DataType):
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
             names, out = batch.column("id").to_pylist(), []
-            for first, texts in chunks(batch.column("text").to_pylist()):
+            for first, texts in text_chunks(batch.column("text")):
                 for i, data in enumerate(encode(texts), first):
                     number = rows(packer.add(names[i], data + last), number, out)
             yield batch_of(out)

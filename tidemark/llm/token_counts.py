@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm._common import BROADCAST_ROWS, id_and_text, remembering, scratch, spread_join, stored
-from tidemark.llm.tokens import chunks, encoder
+from tidemark.llm.tokens import encoder, text_chunks
 
 SCHEMA = "content binary, tokenizer string, n_tokens long"
 
@@ -31,7 +31,7 @@ def _counted(tokenizer: str):
     @remembering
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = [len(ids) // 4 for _, texts in chunks(batch.column("text").to_pylist()) for ids in encoder(tokenizer).encode(texts)]
+            n = [len(ids) // 4 for _, texts in text_chunks(batch.column("text")) for ids in encoder(tokenizer).encode(texts)]
             yield pa.RecordBatch.from_arrays([batch.column("content"), pa.array(n, pa.int64())], names=["content", "n_tokens"])
 
     return run

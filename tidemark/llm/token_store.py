@@ -29,9 +29,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm._common import id_and_text, remembering, scratch, stored
+from tidemark.llm._common import id_and_text, qualified, remembering, scratch, stored
 from tidemark.llm._files import opened, put
-from tidemark.llm.tokens import chunks, encoder
+from tidemark.llm.tokens import encoder, text_chunks
 
 MAGIC = b"TIDESST1"
 FOOTER = struct.Struct("<QIQIIBB8s")
@@ -173,7 +173,7 @@ def _written(tokenizer: str, end: int, root: str):
         def entries():
             for batch in batches:
                 names = batch.column("id").to_pylist()
-                for first, texts in chunks(batch.column("text").to_pylist()):
+                for first, texts in text_chunks(batch.column("text")):
                     for i, data in enumerate(encode.encode(texts), first):
                         ids = np.append(np.frombuffer(data, "<u4"), np.uint32(end))
                         seen["first"] = names[i] if not seen["entries"] else seen["first"]
@@ -202,7 +202,7 @@ def write_token_store(
     Documents are range-partitioned by id, each range one shard; a document's value is its ids and
     then ``end_id``. ``path`` is a folder that driver and executors share.
     """
-    root = path or scratch(docs.sparkSession, "token_store")
+    root = qualified(docs.sparkSession, path) if path else scratch(docs.sparkSession, "token_store")
     texts = id_and_text(docs, id_col, text_col).select(F.col("id").cast("long").alias("id"), "text")
     ordered = texts.repartitionByRange("id").sortWithinPartitions("id", "text")
     return stored(

@@ -20,16 +20,17 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import Split
 
 from tidemark.llm._common import FORGET
 
 #: Bytes of words and ids that a worker remembers, in two generations, at about ``_ENTRY`` bytes beside each.
-MEMORY_BYTES = 112 << 20
+MEMORY_BYTES = 64 << 20
 _ENTRY = 160
 #: Characters of texts that are encoded together, and words of a longer text.
-CHUNK_CHARS = 1 << 21
+CHUNK_CHARS = 1 << 20
 BLOCK_WORDS = 1 << 16
 #: Words that the model merges at once.
 GROUP_WORDS = 64
@@ -263,3 +264,14 @@ def chunks(texts: list[str], most: int = CHUNK_CHARS) -> Iterator[tuple[int, lis
         size += len(text)
     if first < len(texts):
         yield first, texts[first:]
+
+
+def text_chunks(column: pa.Array, most: int = CHUNK_CHARS) -> Iterator[tuple[int, list[str]]]:
+    """(first row, texts) of runs of rows of about ``most`` bytes: no more than one run of a batch is held as strings."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    upto, first = np.cumsum(sizes), 0
+    while first < len(column):
+        done = int(upto[first - 1]) if first else 0
+        last = max(first + 1, int(np.searchsorted(upto, done + most, "right")))
+        yield first, column.slice(first, last - first).to_pylist()
+        first = last
