@@ -256,6 +256,35 @@ def test_equal_windows_have_equal_anchors():
     data = r.integers(97, 101, 900).astype(np.uint8)
     text = np.concatenate((r.integers(97, 101, 300).astype(np.uint8), data, data[:200]))
     one, two = (suffix_dedup.anchors(x, 100, 8) for x in (data, text))
-    starts = lambda f: {s: (p - s, g) for g, p, lo, hi in zip(*f) for s in range(lo, hi + 1)}
+    starts = lambda f: {s: (p - s, g) for g, p, lo, hi, *_ in zip(*f) for s in range(lo, hi + 1)}
     one, two = starts(one), starts(two)
     assert len(one) == 801 and all(one[s] == two[s + 300] for s in one)
+
+
+def test_anchors_of_blocks_and_runs_are_those_of_the_text():
+    r = random.Random(4)
+    for _ in range(300):
+        parts = [bytes(r.choices(b"abc", k=r.randrange(1, 9))) * r.randrange(1, 25) for _ in range(5)]
+        text = b"".join(parts)
+        length, data = r.choice((5, 8, 20)), np.frombuffer(text, np.uint8)
+        if len(text) < length:
+            continue
+        want = {w: (g, p) for g, p, lo, hi in zip(*suffix_dedup._block_anchors(data, length, 4)) for w in range(lo, hi + 1)}
+        for block in (1, 7, 64, 1 << 18):
+            found = {}
+            for g, p, lo, hi, times, step in zip(*suffix_dedup.anchors(data, length, 4, block)):
+                for k in range(times):
+                    assert text[lo : hi + length] == text[lo + k * step : hi + k * step + length]
+                    found |= {w: (g, p + k * step) for w in range(lo + k * step, hi + k * step + 1)}
+            assert found == want
+
+
+def test_repeats_inside_a_text(spark):
+    """One letter or a period over megabytes; the same letters as a single window elsewhere."""
+    unit = "abcdéfg\n"
+    period = unit * 250_000
+    rows = {1: "x" * 2_000_000, 2: period, 3: "start " + "x" * 400, 4: "z" + period[3:403], 5: "x" * 399, 6: period[:401] + "tail", 7: "-" * 400 + "=" * 401}
+    size = {k: len(v.encode()) for k, v in rows.items()}
+    found = by_id(repeated_spans(spark.createDataFrame(list(rows.items()), "doc_id long, text string").repartition(3)), "n_bytes", "n_removed", "n_spans")
+    want = {1: size[1], 2: size[2], 3: 400, 4: size[4] - 1, 5: 0, 6: len(period[:401].encode()), 7: 401}
+    assert found == {k: (size[k], want[k], int(want[k] > 0)) for k in rows}

@@ -4,8 +4,9 @@ A full suffix array would shuffle every suffix with hundreds of bytes. Here a su
 anchor that its own content chooses: of the short grams inside a window of ``length`` bytes, the one
 with the smallest hash. Equal windows have the same anchor at the same place, so
 
-1. all anchors are counted by gram, and those whose gram occurs once are done: no window of theirs
-   repeats;
+1. anchors of a text that follow each other at one distance amid the same bytes, as in a run of one letter or a
+   row of equal lines, become one, whose windows are known to repeat. All anchors are counted by gram, and
+   those whose gram occurs once are done: no other window is the same;
 2. of the rest, the bytes that their windows cover go to buckets, range-partitioned by the leading
    bytes of the suffix at the anchor between sampled splitters. Suffixes with the same lead are never
    parted by a splitter, so that no repeat lies across a boundary;
@@ -27,10 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm._common import BROADCAST_ROWS, id_and_text, spread_join, stored, text_slices, trimmed
+from tidemark.llm._common import id_and_text, spread_join, stored, text_slices, trimmed
 from tidemark.llm._hashing import U, prefix_sums, span_hashes
 
 GRAM = 32
+#: Windows of a text whose anchors are chosen at once.
+BLOCK_WINDOWS = 1 << 18
 #: Suffixes with the same lead that one bucket compares.
 BUCKET_ROWS = 4096
 #: Suffixes below which the sort compares whole strings instead of partitioning further.
@@ -38,15 +41,12 @@ FEW = 24
 _PLACE = U(0xFFFFFFFF)
 
 
-def anchors(data: np.ndarray, length: int, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(gram hash, place, first window start, last window start) of each anchor of one text.
+def _block_anchors(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(gram hash, place, first window start, last window start) of each anchor of a stretch of bytes.
 
     The anchor of the window that starts at s is its gram of smallest hash, the leftmost of equals.
     """
     windows, width = len(data) - length + 1, length - gram + 1
-    if windows <= 0:
-        none = np.zeros(0, np.int64)
-        return none.astype(U), none, none, none
     at = np.arange(len(data) - gram + 1)
     hashes = span_hashes(prefix_sums(data), at, at + gram)
     keyed = np.full(-(-len(at) // width) * width, np.iinfo(U).max, U)
@@ -60,6 +60,55 @@ def anchors(data: np.ndarray, length: int, gram: int = GRAM) -> tuple[np.ndarray
     return hashes[place[low]], place[low], low, high
 
 
+def _collapsed(data: np.ndarray, found: tuple[np.ndarray, ...], length: int) -> tuple[np.ndarray, ...]:
+    """Anchors of a stretch, those that follow each other at one distance with the same bytes around them made one.
+
+    Adds how many there were and their distance: windows of such anchors repeat inside the stretch.
+    """
+    gram, place, low, high = found
+    step = np.diff(place)
+    alike = (gram[1:] == gram[:-1]) & (np.diff(low) == step) & (np.diff(high) == step)
+    # of each run of neighbours at one distance: bytes that differ from those a distance on
+    edge = np.flatnonzero(np.concatenate(([True], ~alike[1:] | ~alike[:-1] | (step[1:] != step[:-1]))) & alike) if len(alike) else alike
+    for first in edge:
+        last = first
+        while last < len(alike) and alike[last] and step[last] == step[first]:
+            last += 1
+        begin, end, by = low[first], high[last - 1] + length, step[first]
+        unlike = np.concatenate(([0], np.cumsum(data[begin:end] != data[begin + by : end + by])))
+        alike[first:last] = unlike[high[first:last] + length - begin] == unlike[low[first:last] - begin]
+    follows = np.concatenate(([False], alike))
+    same_step = np.concatenate(([True, True], step[1:] == step[:-1]))[: len(follows)]
+    follows &= same_step | ~np.concatenate(([False], follows[:-1]))
+    kept = np.flatnonzero(~follows)
+    times = np.diff(np.append(kept, len(follows)))
+    by = np.where(times > 1, np.append(step, 0)[kept], 0)
+    return gram[kept], place[kept], low[kept], high[kept], times, by
+
+
+def anchors(data: np.ndarray, length: int, gram: int = GRAM, block: int = BLOCK_WINDOWS) -> tuple[np.ndarray, ...]:
+    """(gram hash, place, first window start, last window start, times, step) of each anchor of one text.
+
+    ``times`` anchors that follow each other ``step`` bytes apart with the same windows are one row, for the first.
+    Made block by block, so that memory does not follow the text.
+    """
+    windows = len(data) - length + 1
+    if windows <= 0:
+        none = np.zeros(0, np.int64)
+        return none.astype(U), none, none, none, none, none
+    parts: list[tuple[np.ndarray, ...]] = []
+    for first in range(0, windows, block):
+        part = data[first : min(first + block, windows) + length - 1]
+        found = _collapsed(part, _block_anchors(part, length, gram), length)
+        found = (found[0], *(x + first for x in found[1:4]), *found[4:])
+        if parts and parts[-1][1][-1] == found[1][0] and parts[-1][4][-1] == found[4][0] == 1:
+            parts[-1][3][-1] = found[3][0]
+            found = tuple(x[1:] for x in found)
+        if len(found[0]):
+            parts.append(found)
+    return tuple(np.concatenate([p[k] for p in parts]) for k in range(6))
+
+
 def _anchor_rows(length: int, gram: int):
     @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,14 +119,14 @@ def _anchor_rows(length: int, gram: int):
                     found = anchors(data[offsets[i] : offsets[i + 1]], length, gram)
                     parts.append(found)
                     rows.append(np.full(len(found[0]), first_row + i))
-                columns = [np.concatenate([p[k] for p in parts]) for k in range(4)]
+                columns = [np.concatenate([p[k] for p in parts]) for k in range(6)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("id").take(pa.array(np.concatenate(rows))),
                         pa.array(columns[0].view(np.int64)),
                         *(pa.array(c.astype(np.int32)) for c in columns[1:]),
                     ],
-                    names=["id", "gram", "place", "low", "high"],
+                    names=["id", "gram", "place", "low", "high", "times", "step"],
                 )
 
     return run
@@ -89,29 +138,34 @@ def _suffixes(length: int, gram: int):
     @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, out, size = [], ([], [], [], [], [], []), 0
+            rows, out, size = [], ([], [], [], [], [], [], []), 0
 
             def made():
-                types = (pa.binary(), pa.int32(), pa.bool_(), pa.list_(pa.int32()), pa.int32(), pa.binary())
+                types = (pa.binary(), pa.int32(), pa.bool_(), pa.list_(pa.int32()), pa.int32(), pa.binary(), pa.bool_())
                 return pa.RecordBatch.from_arrays(
                     [batch.column("id").take(pa.array(rows, pa.int64())), *(pa.array(c, t) for c, t in zip(out, types))],
-                    names=["id", "lead", "salt", "shared", "starts", "place", "body"],
+                    names=["id", "lead", "salt", "shared", "starts", "place", "body", "again"],
                 )
 
             for row, (text, found) in enumerate(zip(batch.column("text"), batch.column("anchors"))):
                 data = text.as_py().encode()
                 same: dict[tuple, list[int]] = {}
+                again = set()
                 for a in found.as_py():
                     body = data[a["low"] : a["high"] + length]
-                    same.setdefault((body, a["place"] - a["low"], a["salt"], a["shared"]), []).append(a["low"])
-                for (body, place, salt, shared), starts in same.items():
+                    key = body, a["place"] - a["low"], a["salt"], a["shared"]
+                    same.setdefault(key, []).append(a["low"])
+                    if a["again"]:
+                        again.add(key)
+                for key, starts in same.items():
+                    body, place, salt, shared = key
                     rows.append(row)
-                    for column, value in zip(out, (body[place : place + gram], salt, shared, starts, place, body)):
+                    for column, value in zip(out, (body[place : place + gram], salt, shared, starts, place, body, key in again)):
                         column.append(value)
                     size += len(body)
                 if size > 8 << 20:
                     yield made()
-                    rows, out, size = [], ([], [], [], [], [], []), 0
+                    rows, out, size = [], ([], [], [], [], [], [], []), 0
             yield made()
 
     return run
@@ -186,7 +240,7 @@ def _repeats(length: int, id_type: pa.DataType):
         first = np.cumsum(n) - n
         row = np.repeat(np.arange(len(rows)), n)
         place = np.arange(n.sum()) - first[row]
-        several, shared = np.array([len(r[4]) > 1 for r in rows]), np.array([r[3] for r in rows])
+        several, shared = np.array([len(r[4]) > 1 or r[7] for r in rows]), np.array([r[3] for r in rows])
         double, singles = np.zeros(len(row), bool), []
         for offset, at, of_class, count in repeated_windows(bodies, places, length):
             repeats = (count[of_class] > 1) | several[at]
@@ -225,7 +279,7 @@ def _repeats(length: int, id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, size, now = [], 0, None
         for batch in batches:
-            for r in zip(*(batch.column(c).to_pylist() for c in ("id", "lead", "salt", "shared", "starts", "place", "body"))):
+            for r in zip(*(batch.column(c).to_pylist() for c in ("id", "lead", "salt", "shared", "starts", "place", "body", "again"))):
                 if size > 1 << 20 and (r[1], r[2]) != now:
                     yield compared(rows)
                     rows, size = [], 0
@@ -293,17 +347,17 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     gram = min(GRAM, length)
 
     bodies = texts.select("id", "text")
-    found = stored(bodies.mapInArrow(_anchor_rows(length, gram), f"id {name}, gram long, place int, low int, high int"), "anchors")
+    found = stored(bodies.mapInArrow(_anchor_rows(length, gram), f"id {name}, gram long, place int, low int, high int, times int, step int"), "anchors")
     repeated = stored(found.groupBy("gram").count().where("count > 1"), "grams")
     joined = spread_join(found, repeated, ["gram"], "count")
     parts = F.ceil(F.col("count") / bucket_rows).cast("int")
     chosen = joined.select(
-        "id", F.struct("place", "low", "high", F.pmod(F.xxhash64("id"), parts).cast("int").alias("salt"), (parts > 1).alias("shared")).alias("anchor")
+        "id", F.struct("place", "low", "high", F.pmod(F.xxhash64("id"), parts).cast("int").alias("salt"), (parts > 1).alias("shared"), (F.col("times") > 1).alias("again")).alias("anchor")
     )
     chosen = stored(chosen.groupBy("id").agg(F.collect_list("anchor").alias("anchors")), "chosen")
 
     suffixes = bodies.join(chosen, "id").mapInArrow(
-        _suffixes(length, gram), f"id {name}, lead binary, salt int, shared boolean, starts array<int>, place int, body binary"
+        _suffixes(length, gram), f"id {name}, lead binary, salt int, shared boolean, starts array<int>, place int, body binary, again boolean"
     )
     sorted_suffixes = suffixes.repartitionByRange("lead", "salt").sortWithinPartitions("lead", "salt")
     ranges = sorted_suffixes.mapInArrow(_repeats(length, to_arrow_type(kind)), f"id {name}, start int, end int, window binary, known boolean")
@@ -311,11 +365,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     alone = ranges.where("window is not null")
     across = alone.groupBy("window").count().where("count > 1").select("window")
     across = alone.where("not known").join(across, "window", "left_semi")
-    removed = ranges.where("window is null").select("id", "start", "end").unionByName(across.select("id", "start", "end"))
+    inside = found.where("times > 1").select("id", F.col("low").alias("start"), (F.col("high") + length + (F.col("times") - 1) * F.col("step")).alias("end"))
+    removed = ranges.where("window is null").select("id", "start", "end").unionByName(across.select("id", "start", "end")).unionByName(inside)
     removed = stored(removed.groupBy("id").agg(F.collect_list(F.struct("start", "end")).alias("ranges")), "removed")
 
-    size = removed.agg(F.sum(F.size("ranges") + 1)).first()[0] or 0
-    result = bodies.join(F.broadcast(removed) if size <= BROADCAST_ROWS else removed, "id", "left").mapInArrow(
+    result = bodies.join(removed, "id", "left").mapInArrow(
         _cut_out, f"id {name}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:int,end:int>>"
     )
     if not own_ids:
