@@ -191,7 +191,11 @@ def parts_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("entity").agg(s.alias("s")).select("entity", F.col("s")["x"].alias("values"), F.col("s")["whole"].alias("whole"))
 
 
-def _short_sql(f: D.Short) -> str:
+def short_sql(f: D.Short, series: str | None = None) -> str:
+    """The detector of a family in SQL over ``series``, common table expressions that end in s (entity, x, wh); monthly prices of part sizes unless given."""
+    series = series or f"""q AS (SELECT p_size AS entity, CAST(date_trunc('month', l_shipdate) AS DATE) AS period, l_extendedprice AS e FROM lineitem JOIN part ON p_partkey = l_partkey),
+m AS (SELECT entity, period, round(avg(e), 4) AS x FROM q GROUP BY 1, 2), w AS (SELECT period, round(avg(e), 4) AS whole FROM q GROUP BY 1),
+s AS (SELECT entity, list(x ORDER BY period)[-{f.points}:] AS x, list(whole ORDER BY period)[-{f.points}:] AS wh FROM m JOIN w USING (period) GROUP BY entity)"""
     prior = "x[:-2]" if f.prior is None else f"x[:-2][-{f.prior}:]"
     guard = f.guard_sd
     bench = f.name in ("BES", "NOI")
@@ -204,9 +208,7 @@ def _short_sql(f: D.Short) -> str:
     odd = "z_level >= 2.5" + (" OR z >= 2.75" if f.anomaly_by_step else "")
     apart_bonus = "CASE WHEN apart THEN least(10, apart_by * 2.5) ELSE 0 END" if f.name == "BES" else f"CASE WHEN apart THEN {f.divergence_bonus} ELSE 0 END"
     shown_patterns = "CASE WHEN len(p) = 0 THEN ['ULTIMO_DATO'] ELSE p END" if f.latest_if_none else "p"
-    return f"""WITH q AS (SELECT p_size AS entity, CAST(date_trunc('month', l_shipdate) AS DATE) AS period, l_extendedprice AS e FROM lineitem JOIN part ON p_partkey = l_partkey),
-m AS (SELECT entity, period, round(avg(e), 4) AS x FROM q GROUP BY 1, 2), w AS (SELECT period, round(avg(e), 4) AS whole FROM q GROUP BY 1),
-s AS (SELECT entity, list(x ORDER BY period)[-{f.points}:] AS x, list(whole ORDER BY period)[-{f.points}:] AS wh FROM m JOIN w USING (period) GROUP BY entity),
+    return f"""WITH {series},
 a AS (SELECT *, {diffs('x')} AS d, {prior} AS prior, {diffs('wh')} AS dw, wh[-1] - wh[-2] AS other FROM s WHERE len(x) >= {f.least}),
 b AS (SELECT *, d[-1] AS latest, d[-2] AS step, {robust_scale('d[:-2]', str(f.eps), guard)} AS raw, {robust_scale('prior', str(f.eps), guard)} AS level_scale FROM a),
 c AS (SELECT *, CASE WHEN raw > {f.eps} THEN raw ELSE greatest(abs({median('x')}) * {f.zero_share}, 1e-6) END AS scale FROM b),
@@ -234,7 +236,7 @@ def _short(family: D.Short):
 
 
 for _f in D.FAMILIES.values():
-    _add(f"short_series_{_f.name.lower()}", _short(_f), _short_sql(_f))
+    _add(f"short_series_{_f.name.lower()}", _short(_f), short_sql(_f))
 
 
 def latest_value_score(spark: SparkSession, sf_dir: str) -> DataFrame:
