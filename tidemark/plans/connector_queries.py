@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import struct
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from tidemark.functions import reports as R
 from tidemark.operators import connectors as C
@@ -11,6 +16,7 @@ from tidemark.operators import detectors as D
 from tidemark.operators import fetch_plan as P
 from tidemark.plans.detector_queries import short_sql
 from tidemark.plans.facts import table, written
+from tidemark.sources import grids as G
 from tidemark.sources import yearly as Y
 
 QUERIES, SQL = {}, {}
@@ -202,3 +208,39 @@ def goal_detections(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         rows = own if rows is None else rows.unionByName(own)
     return _shown(C.detected(C.goal_series(rows, years)))
+
+
+# --- grids ---------------------------------------------------------------------------------------
+
+
+@F.pandas_udf(BinaryType())
+def _grid_file(temperature: pd.Series, rain: pd.Series) -> pd.Series:
+    """A classic NetCDF file of two variables over one dimension; missing rain is its fill value."""
+    name = lambda text: struct.pack(">i", len(text)) + text.encode().ljust(-(-len(text) // 4) * 4, b"\0")
+    text = lambda key, value: name(key) + struct.pack(">i", 2) + name(value)
+
+    def made(t, r) -> bytes:
+        t, r = np.array(t, ">f8"), np.array([-9.0 if v is None else v for v in r], ">f8")
+        rain_attributes = struct.pack(">ii", 12, 2) + text("units", "m") + name("_FillValue") + struct.pack(">iid", 6, 1, -9.0)
+        head = b"CDF\1" + struct.pack(">iii", 0, 10, 1) + name("cell") + struct.pack(">iii", len(t), 0, 0) + struct.pack(">ii", 11, 2)
+        one = name("t2m") + struct.pack(">ii", 1, 0) + struct.pack(">ii", 12, 1) + text("units", "K")
+        two = name("tp_mean") + struct.pack(">ii", 1, 0) + rain_attributes
+        size = len(head) + len(one) + len(two) + 24
+        place = lambda begin: struct.pack(">iii", 6, 8 * len(t), begin)
+        return head + one + place(size) + two + place(size + 8 * len(t)) + t.tobytes() + r.tobytes()
+
+    return pd.Series([made(*x) for x in zip(temperature, rain)])
+
+
+@query(
+    """WITH c AS (SELECT c_nationkey AS nation, avg(c_acctbal) / 100 AS t, avg(c_acctbal) FILTER (c_acctbal >= 0) AS r, count(*) AS n, count(*) FILTER (c_acctbal >= 0) AS k FROM customer GROUP BY 1)
+SELECT nation, 'temperature_c' AS quantity, round(t, 6) AS mean, n AS cells FROM c UNION ALL SELECT nation, 'precipitation_mm_day', round(r, 6), k FROM c"""
+)
+def grid_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means over gridded files, a file a nation, a cell a customer: Kelvin and metres, cells without rain missing."""
+    pair = F.sort_array(F.collect_list(F.struct("c_custkey", "c_acctbal")))["c_acctbal"]
+    cells = table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("nation")).agg(pair.alias("x"))
+    rain = F.transform("x", lambda v: F.when(v >= 0, v / 1000))
+    files = cells.select(_text("/in/", F.col("nation"), ".nc").alias("path"), _grid_file(F.transform("x", lambda v: v / 100 + 273.15), rain).alias("content"))
+    found = G.spatial_means(G.grid_blocks(files))
+    return found.select(F.regexp_extract("path", r"(\d+)\.nc", 1).cast("int").alias("nation"), "quantity", F.round("mean", 6).alias("mean"), "cells")
