@@ -81,13 +81,28 @@ def features(data: np.ndarray, offsets: np.ndarray, bits: int = BITS) -> Iterato
         yield np.concatenate(([0], index)), np.concatenate(([1.0], value * 4))
 
 
+def _featured(bits: int):
+    """The features of each text as packed indexes and values: no more than one number for each coordinate, however long it is."""
+
+    @trimmed
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, last, data, offsets in text_slices(batch):
+                made = list(features(data, offsets, bits))
+                part = batch.slice(first, last - first)
+                index, value = (pa.array([x[i].astype(t).tobytes() for x in made], pa.binary()) for i, t in ((0, "<i4"), (1, "<f8")))
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("label"), part.column("mark"), index, value], names=["id", "label", "mark", "index", "value"])
+
+    return run
+
+
 def _train(bits: int, alpha: float, beta: float, l1: float, l2: float, updates: int):
     @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, labels = [], []
         for batch in batches:
-            for _, _, data, offsets in text_slices(batch):
-                seen += features(data, offsets, bits)
+            for index, value in zip(batch.column("index"), batch.column("value")):
+                seen.append((np.frombuffer(index.as_py(), "<i4"), np.frombuffer(value.as_py(), "<f8")))
             labels += batch.column("label").to_pylist()
         z, n = np.zeros(1 << bits), np.zeros(1 << bits)
 
@@ -122,15 +137,18 @@ def train_quality(
 ) -> np.ndarray:
     """Weights learnt from ``labelled`` (id, label 0 or 1), of which a bounded sample is used.
 
-    The sample is the ``sample_rows`` rows of smallest id hash: it is the same on every run. Rows
+    The sample is the ``sample_rows`` rows of smallest id hash: it is the same on every run. Texts become features where
+    they are; one task gets those of the sample and learns from them in order. Rows
     without id, label or text are left out. Without any labelled row all weights are 0.
     """
     sample = labelled.select(F.col("id"), F.col("label").cast("double")).where("id is not null and label is not null")
     sample = sample.groupBy("id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("id"), "id").limit(sample_rows)
     sample = stored(sample, "sample")
-    texts = id_and_text(docs, id_col, text_col).join(F.broadcast(sample), "id")
-    ordered = texts.repartition(1).sortWithinPartitions(F.xxhash64("id", F.lit(1)), "id", F.xxhash64("text"))
-    model = ordered.select("text", "label").mapInArrow(_train(bits, alpha, beta, l1, l2, updates), "weights binary").first()
+    texts = id_and_text(docs, id_col, text_col).join(F.broadcast(sample), "id").withColumn("mark", F.xxhash64("text"))
+    kind = texts.schema["id"].dataType.simpleString()
+    made = texts.select("id", "text", "label", "mark").mapInArrow(_featured(bits), f"id {kind}, label double, mark long, index binary, value binary")
+    ordered = made.repartition(1).sortWithinPartitions(F.xxhash64("id", F.lit(1)), "id", "mark")
+    model = ordered.select("index", "value", "label").mapInArrow(_train(bits, alpha, beta, l1, l2, updates), "weights binary").first()
     return np.frombuffer(model[0], "<f4") if model else np.zeros(1 << bits, "<f4")
 
 
