@@ -80,13 +80,19 @@ def _numbered(keyed: DataFrame, texts: DataFrame) -> DataFrame:
         bodies = bodies.distinct().join(repeated, "hash", "left_semi")
     alike = bodies.groupBy("hash", "text_sha256").agg(F.count("*").alias("bodies")).where("bodies > 1")
     alike = stored(alike.select("hash", "text_sha256"), "alike")
-    return _told_apart(keyed, texts, alike)
+    if alike.isEmpty():
+        return keyed.withColumn("clash", F.lit(0))
+    texts = stored(texts, "bodies")  # rows get their numbers once more, and keep these
+    return _told_apart(_keyed(texts), texts, alike)
+
+
+def _keyed(texts: DataFrame) -> DataFrame:
+    """(row, id, hash, text_sha256) of rows (row, id, body), as a written table."""
+    return stored(texts.select("row", "id", F.xxhash64("body").alias("hash"), F.sha2("body", 256).alias("text_sha256")), "keyed")
 
 
 def _told_apart(keyed: DataFrame, texts: DataFrame, alike: DataFrame) -> DataFrame:
     """Numbers the bodies of each (hash, text_sha256) of ``alike``."""
-    if alike.isEmpty():
-        return keyed.withColumn("clash", F.lit(0))
     bodies = texts.withColumns({"hash": F.xxhash64("body"), "text_sha256": F.sha2("body", 256)}).join(alike, ["hash", "text_sha256"])
     numbers = bodies.select("hash", "text_sha256", "body").distinct()
     numbers = numbers.withColumn("clash", F.row_number().over(Window.partitionBy("hash", "text_sha256").orderBy("body")))
@@ -120,8 +126,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     texts = id_and_text(docs, id_col, text_col)
     body = texts.select(F.monotonically_increasing_id().alias("row"), "id", normalised(F.col("text")).alias("body"))
-    keyed = stored(body.select("row", "id", F.xxhash64("body").alias("hash"), F.sha2("body", 256).alias("text_sha256")), "keyed")
-    keyed = _numbered(keyed, body)
+    keyed = _numbered(_keyed(body), body)
     depth, slots = directory(keyed.select("hash").distinct(), bucket_entries)
     index = build_index(keyed, depth, slots)
     found = spread_join(_bucketed(keyed, depth, slots), index, ["bucket", "hash", "text_sha256", "clash"], "group_size")
