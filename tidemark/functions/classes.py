@@ -23,6 +23,31 @@ AREAS = [
     ("Società e cultura", ["paesaggio", "cultura", "sociali"], []),
     ("Imprese e industria", ["innovazione"], []),
 ]
+# The same for the national compendium.
+NATIONAL_AREAS = [
+    ("Sanità", ["sanità", "salute"], ["ospedal", "medic", "sanitari", "spesa sanitaria", "posti letto", "istituti di cura"]),
+    ("Salute", ["sanità", "salute"], []),
+    ("Istruzione", ["istruzione"], []),
+    ("Povertà", ["condizioni economiche"], ["povert", "depriv", "disagio"]),
+    ("Disuguaglianza", ["condizioni economiche"], ["disuguagl", "gini", "s80"]),
+    ("Redditi", ["condizioni economiche"], ["reddito", "retribuz"]),
+    ("Potere d'acquisto e consumi", ["condizioni economiche"], []),
+    ("Ambiente", ["ambiente"], []),
+    ("Lavoro e mercato del lavoro", ["lavoro"], []),
+    ("Popolazione e demografia", ["popolazione"], []),
+    ("Turismo", ["turismo"], []),
+    ("Imprese e industria", ["strutture produttive"], []),
+    ("Società e cultura", ["cultura"], []),
+    ("Territorio e mobilità", ["infrastrutture", "trasporti"], []),
+]
+# Areas of monitored series that are shown under another name, and the two series of one that go elsewhere.
+SERIES_AREAS = {
+    "Lavoro e redditi": "Lavoro e mercato del lavoro",
+    "Prezzi e consumi": "Prezzi e inflazione",
+    "Imprese": "Imprese e industria",
+    "Turismo e mobilità": "Turismo",
+}
+CONSUMPTION_SERIES = ["Vendite al dettaglio", "Fiducia dei consumatori"]
 # Green pillars by words of a measure, and by goal where no word fits.
 PILLARS = [
     ("Economia circolare", ["rifiut", "ricicl", "raccolta differenziata", "materiali", "circolare", "discarica", "compost"]),
@@ -61,10 +86,17 @@ def has_any(text: Column, words: list[str]) -> Column:
     return F.exists(F.array(*map(F.lit, words)), lambda w: F.contains(text, w)) if words else F.lit(True)
 
 
-def area(domain: Column, indicator: Column) -> Column:
-    """Area of an indicator; the domain itself where no rule fits."""
+def area(domain: Column, indicator: Column, rules: list[tuple[str, list[str], list[str]]] | None = None) -> Column:
+    """Area of an indicator by the first rule that fits; the domain itself where none does."""
     d, k = F.lower(domain), F.lower(indicator)
-    return F.coalesce(*(F.when(has_any(d, of_domain) & has_any(k, of_indicator), name) for name, of_domain, of_indicator in AREAS), domain)
+    return F.coalesce(*(F.when(has_any(d, of_domain) & has_any(k, of_indicator), name) for name, of_domain, of_indicator in rules or AREAS), domain)
+
+
+def series_area(original: Column, name: Column) -> Column:
+    """Area that a monitored series is shown under."""
+    shown = F.create_map(*(F.lit(x) for pair in SERIES_AREAS.items() for x in pair))
+    spent = (original == "Prezzi e consumi") & name.isin(CONSUMPTION_SERIES)
+    return F.when(spent, "Potere d'acquisto e consumi").otherwise(F.coalesce(F.try_element_at(shown, original), original))
 
 
 def green_pillar(measure: Column, goal: Column) -> Column:

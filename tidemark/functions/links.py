@@ -71,3 +71,10 @@ def attachments(html: Column, base: Column, endings: list[str] | None = None, mo
     ending = rf"(?i)\.({'|'.join(endings or TABLE_FILES)})$"
     own = F.filter(page_links(html, base), lambda a: (host(a) == host(base)) & (host(a) != "") & parts(a)["path"].rlike(ending))
     return own if most is None else F.slice(own, 1, most)
+
+
+def ranked(links: Column, words: list[str], most: int | None = None) -> Column:
+    """Links by how many of the words their address holds, most first, equal ones in page order; ``most`` of them, None for all."""
+    hits = lambda a: F.size(F.filter(F.lit(words), lambda w: F.contains(F.lower(a), F.lower(w))))
+    placed = F.array_sort(F.transform(links, lambda a, i: F.struct((-hits(a)).alias("less"), i.alias("i"), a.alias("a"))))["a"]
+    return placed if most is None else F.slice(placed, 1, most)

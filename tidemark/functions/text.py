@@ -133,6 +133,22 @@ def topic(text: Column) -> Column:
     return out.otherwise("ALTRO")
 
 
+# How a topic is named in a headline.
+LABELS = {
+    "LAVORO": "Lavoro", "ECONOMIA": "Economia", "SALUTE": "Salute", "ISTRUZIONE": "Istruzione", "AMBIENTE": "Ambiente", "ENERGIA": "Energia",
+    "MOBILITA": "Mobilità", "CASA": "Casa", "DEMOGRAFIA": "Demografia",
+}
+
+
+def headline(subject: Column, where: Column, figures: Column) -> Column:
+    """Headline of a topic, the first of its places and the first of its figures; the whole country and no figure where there are none."""
+    label = F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for pair in LABELS.items() for x in pair)), subject), F.lit("Dati"))
+    place = F.coalesce(F.initcap(F.get(where, F.lit(0))), F.lit("Italia"))
+    value = F.get(figures, F.lit(0))
+    told = F.concat(label, F.lit(", nuovo dato per "), place, F.lit(": "), value)
+    return F.when(value.isNotNull() & (value != ""), told).otherwise(F.concat(label, F.lit(", nuovo aggiornamento statistico per "), place))
+
+
 def places(text: Column) -> Column:
     """Places that stand in the text as whole words, sorted, twelve at most."""
     low = F.lower(text)

@@ -9,17 +9,17 @@ from tidemark.functions.numbers import exact_round, strict_percent, year_token
 
 # Phrases that tell of a break in a series, in lower case.
 BREAKS = ["break", "rottura", "discontinu", "not comparable", "non confrontabil", "methodological break"]
-MOST_PER_TABLE = 20
-MOST_PER_SOURCE = 30
+#: Evidence rows of a table, and comparisons of a source, unless a caller sets others.
+MOST_PER_TABLE, MOST_PER_SOURCE = 20, 30
 DIMENSIONS = ["dataset", "indicator", "unit", "territory", "method_id"]
 
 
-def table_evidence(tables: DataFrame) -> DataFrame:
+def table_evidence(tables: DataFrame, most: int | None = MOST_PER_TABLE) -> DataFrame:
     """Rows (source_url, location, unit_hint, cells array<array<string>>): percentages of two years in one row.
 
     A header is one of the first eight rows with at least two years, the last two at most five years
     apart; the first header that yields evidence counts. A row needs a label of 4 to 125 characters, a
-    percentage unit in heading, hint or label, and two strict percentages. At most twenty a table.
+    percentage unit in heading, hint or label, and two strict percentages. The first ``most`` of a table, None for all.
     """
     table = tables.select("source_url", "location", "unit_hint", F.posexplode("cells").alias("r", "row"), F.size("cells").alias("n_rows"))
     headers = table.where((F.col("r") < 8) & (F.col("r") < F.col("n_rows") - 1))
@@ -41,7 +41,8 @@ def table_evidence(tables: DataFrame) -> DataFrame:
     )
     of_table = Window.partitionBy("source_url", "location")
     found = found.withColumn("first_h", F.min("h").over(of_table)).where("h = first_h")
-    found = found.withColumn("n", F.row_number().over(of_table.orderBy("r"))).where(F.col("n") <= MOST_PER_TABLE)
+    if most is not None:
+        found = found.withColumn("n", F.row_number().over(of_table.orderBy("r"))).where(F.col("n") <= most)
     return found.select(
         "source_url",
         F.concat("location", F.lit(":row:"), (F.col("r") + 1).cast("string")).alias("location"),
@@ -62,11 +63,12 @@ def has_break(notes: Column) -> Column:
     return F.exists(F.array(*map(F.lit, BREAKS)), lambda b: F.contains(low, b))
 
 
-def compare_series(observations: DataFrame) -> DataFrame:
+def compare_series(observations: DataFrame, most: int | None = None) -> DataFrame:
     """Rows (source_url, five dimensions, notes, period, value): verdict on the last two years of each series.
 
     ``reason`` is the first that applies of source_url, missing_dimensions, methodological_break,
-    insufficient_observations, non_adjacent_years, invalid_percentage; null where verified.
+    insufficient_observations, non_adjacent_years, invalid_percentage; null where verified. ``most`` series of a source
+    (MOST_PER_SOURCE is usual), in the order of their dimensions, verified ones first; None for all.
     """
     year = year_token(F.col("period").cast("string"))
     value = F.col("value").cast("string").try_cast("double")
@@ -86,6 +88,9 @@ def compare_series(observations: DataFrame) -> DataFrame:
         .when(percent & ~(before["value"].between(0, 100) & after["value"].between(0, 100)), "invalid_percentage")
     )
     series = series.withColumn("reason", reason)
+    if most is not None:
+        of_source = Window.partitionBy("source_url").orderBy(F.col("reason").isNotNull(), *DIMENSIONS)
+        series = series.withColumn("_n", F.row_number().over(of_source)).where(F.col("_n") <= most)
     ok = F.col("reason").isNull()
     return series.select(
         "source_url",
@@ -130,8 +135,3 @@ def verify_claims(claims: DataFrame, documents: DataFrame) -> DataFrame:
     return rows.select("claim", "doc", "matched_numbers", "matched_keywords", score.alias("verification_score")).withColumn(
         "verified", (F.col("verification_score") >= 55) & (F.size("matched_numbers") > 0)
     )
-
-
-def first_stage(candidates: DataFrame) -> DataFrame:
-    """Of each claim's candidates (claim, stage, score, source) the one of the earliest stage, the best score first."""
-    return candidates.groupBy("claim").agg(F.min_by(F.struct("stage", "source", "score"), F.struct("stage", (-F.col("score")).alias("s"), "source")).alias("b")).select("claim", "b.*")

@@ -123,3 +123,14 @@ def percent_rank(metric: str, keys: list[str]) -> Column:
     group = Window.partitionBy(*keys)
     ties = F.count("*").over(Window.partitionBy(*keys, metric))
     return (F.rank().over(group.orderBy(metric)) + (ties - 1) / 2) / F.count("*").over(group) * 100
+
+
+def registry(rows: DataFrame) -> DataFrame:
+    """Distinct territories (region, area_type, area, municipality, municipality_code) with all names, in the order of a printed registry.
+
+    Regions, areas and municipalities sort by their letters whatever their case, types as they are written; equal ones by code.
+    """
+    order = ["region", "area", "municipality", "municipality_code"]
+    named = rows.where("trim(region) <> '' and trim(area) <> '' and trim(municipality) <> ''")
+    return named.distinct().orderBy(F.lower("region"), "area_type", F.lower("area"), F.lower("municipality"), *order)
+

@@ -6,9 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import links as L
+from tidemark.functions import classes as C
 from tidemark.functions import numbers as N
+from tidemark.functions import text as T
 from tidemark.operators import evidence as V
 from tidemark.operators import names as M
+from tidemark.operators import series as S
 from tidemark.operators import verification as W
 from tidemark.plans.facts import table
 from tidemark.sources import documents as D
@@ -62,6 +65,20 @@ def attachment_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.join(evidence, linked["path"] == evidence["source_url"]).select(F.col("s_suppkey").alias("supplier"), "indicator", "delta")
 
 
+@query(
+    r"""WITH a AS (SELECT page_id, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) AS root, regexp_extract_all(html, '<a href="([^"]+)"', 1) AS l FROM pages),
+u AS (SELECT page_id, list_filter(list_transform(l, lambda x: root || replace(x, '&amp;', '&')), lambda x, i: list_position(l, l[i]) = i) AS l FROM a WHERE len(l) > 0),
+e AS (SELECT page_id, unnest(l) AS link, generate_subscripts(l, 1) AS i FROM u),
+s AS (SELECT page_id, link, i, CAST(contains(lower(link), 'th') AS INTEGER) + CAST(contains(lower(link), 'an') AS INTEGER) + CAST(contains(lower(link), 'e') AS INTEGER) AS hits FROM e),
+r AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY hits DESC, i) AS n FROM s)
+SELECT page_id, string_agg(link, ' ' ORDER BY n) AS links FROM r WHERE n <= 12 GROUP BY page_id"""
+)
+def ranked_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twelve links of each page whose addresses hold most of some words."""
+    found = table(spark, sf_dir, "pages").select("page_id", L.ranked(L.page_links(F.col("html"), F.col("url")), ["TH", "an", "e"], 12).alias("l"))
+    return found.where(F.size("l") > 0).select("page_id", F.array_join("l", " ").alias("links"))
+
+
 # --- names ---------------------------------------------------------------------------------------
 
 
@@ -147,3 +164,63 @@ SELECT stage, ['{_STAGES[0]}', '{_STAGES[1]}', '{_STAGES[2]}'][stage] AS method,
 def verification_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many claims each stage found open, tried and settled: none is looked at again once it is settled."""
     return _resolved(spark, sf_dir)[1]
+
+
+# --- classes, headlines, registry ----------------------------------------------------------------
+
+_DOMAINS = ["Sanità e salute", "Istruzione e formazione", "Condizioni economiche", "Ambiente", "Mercato del LAVORO", "Popolazione", "Turismo", "Strutture produttive", "Cultura", "Infrastrutture", "Giustizia"]
+_INDICATORS = ["Posti letto ospedalieri", "Speranza di vita", "Rischio di povertà", "Indice di Gini", "Reddito netto", "Spesa media"]
+_SERIES = [("Lavoro e redditi", "x"), ("Prezzi e consumi", "Vendite al dettaglio"), ("Prezzi e consumi", "Inflazione"), ("Imprese", "x"), ("Turismo e mobilità", "x"), ("Conti", "x")]
+
+
+def _listed(values: list[str]) -> str:
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+
+
+def _rules_sql() -> str:
+    one = lambda text, words: "true" if not words else "(" + " OR ".join(f"contains({text}, '{w}')" for w in words) + ")"
+    quoted = lambda name: name.replace("'", "''")
+    return " ".join(f"WHEN {one('lower(d)', of)} AND {one('lower(k)', by)} THEN '{quoted(name)}'" for name, of, by in C.NATIONAL_AREAS)
+
+
+@query(
+    f"""WITH r AS (SELECT p_partkey, {_listed(_DOMAINS)}[p_partkey % {len(_DOMAINS)} + 1] AS d, {_listed(_INDICATORS)}[p_size % {len(_INDICATORS)} + 1] AS k, {_listed([a for a, _ in _SERIES])}[p_partkey % {len(_SERIES)} + 1] AS a, {_listed([n for _, n in _SERIES])}[p_partkey % {len(_SERIES)} + 1] AS n FROM part)
+SELECT p_partkey, CASE {_rules_sql()} ELSE d END AS area, CASE WHEN a = 'Prezzi e consumi' AND n = 'Vendite al dettaglio' THEN 'Potere d''acquisto e consumi' WHEN a = 'Lavoro e redditi' THEN 'Lavoro e mercato del lavoro'
+  WHEN a = 'Prezzi e consumi' THEN 'Prezzi e inflazione' WHEN a = 'Imprese' THEN 'Imprese e industria' WHEN a = 'Turismo e mobilità' THEN 'Turismo' ELSE a END AS series_area FROM r"""
+)
+def national_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Areas of the national compendium and of monitored series."""
+    pick = lambda values, by: F.get(F.lit(values), F.pmod(by, F.lit(len(values))).cast("int"))
+    part = table(spark, sf_dir, "part").select(
+        "p_partkey", pick(_DOMAINS, F.col("p_partkey")).alias("d"), pick(_INDICATORS, F.col("p_size")).alias("k"), pick([a for a, _ in _SERIES], F.col("p_partkey")).alias("a"), pick([n for _, n in _SERIES], F.col("p_partkey")).alias("n")
+    )
+    return part.select("p_partkey", C.area(F.col("d"), F.col("k"), C.NATIONAL_AREAS).alias("area"), C.series_area(F.col("a"), F.col("n")).alias("series_area"))
+
+
+@query(
+    """WITH o AS (SELECT o_orderkey, ['LAVORO', 'MOBILITA', 'ALTRO', 'CASA'][o_custkey % 4 + 1] AS t, CASE o_orderstatus WHEN 'F' THEN 'valle d''aosta' WHEN 'O' THEN 'roma' END AS p, CASE WHEN o_orderpriority <> '1-URGENT' THEN printf('%.1f', o_totalprice / 1000) || '%' END AS v FROM orders)
+SELECT o_orderkey, CASE t WHEN 'LAVORO' THEN 'Lavoro' WHEN 'MOBILITA' THEN 'Mobilità' WHEN 'CASA' THEN 'Casa' ELSE 'Dati' END || CASE WHEN v IS NULL THEN ', nuovo aggiornamento statistico per ' ELSE ', nuovo dato per ' END
+  || CASE p WHEN 'roma' THEN 'Roma' WHEN 'valle d''aosta' THEN 'Valle D''aosta' ELSE 'Italia' END || CASE WHEN v IS NULL THEN '' ELSE ': ' || v END AS headline FROM o"""
+)
+def story_headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headlines of topics, places and figures."""
+    topics = F.lit(["LAVORO", "MOBILITA", "ALTRO", "CASA"])
+    place = F.when(F.col("o_orderstatus") == "F", F.lit(["valle d'aosta", "roma"])).when(F.col("o_orderstatus") == "O", F.lit(["roma"])).otherwise(F.array().cast("array<string>"))
+    value = F.concat(F.format_string("%.1f", N.exact_round(F.col("o_totalprice") / 1000, 1)), F.lit("%"))
+    figures = F.when(F.col("o_orderpriority") != "1-URGENT", F.array(value, F.lit("7"))).otherwise(F.array().cast("array<string>"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", T.headline(F.get(topics, F.pmod("o_custkey", F.lit(4)).cast("int")), place, figures).alias("headline"))
+
+
+@query(
+    """WITH t AS (SELECT r_name AS region, CASE WHEN n_nationkey % 2 = 0 THEN 'Provincia' ELSE 'Città metropolitana' END AS kind, CASE WHEN s_suppkey % 3 = 0 THEN lower(n_name) ELSE n_name END AS area, s_name AS municipality FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
+SELECT region, string_agg(municipality, ' ' ORDER BY kind, lower(area), lower(municipality), area) AS municipalities FROM t GROUP BY region"""
+)
+def registry_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Territories, each twice in the source, in the order of the registry: the municipalities of each region."""
+    t = {n: table(spark, sf_dir, n) for n in ("supplier", "nation", "region")}
+    named = t["supplier"].join(t["nation"], F.col("s_nationkey") == F.col("n_nationkey")).join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
+    kind = F.when(F.col("n_nationkey") % 2 == 0, "Provincia").otherwise("Città metropolitana")
+    name = F.when(F.col("s_suppkey") % 3 == 0, F.lower("n_name")).otherwise(F.col("n_name"))
+    rows = named.select(F.col("r_name").alias("region"), kind.alias("area_type"), name.alias("area"), F.col("s_name").alias("municipality"), F.col("s_suppkey").cast("string").alias("municipality_code"))
+    ordered = S.registry(rows.unionByName(rows)).withColumn("at", F.monotonically_increasing_id())
+    return ordered.groupBy("region").agg(F.array_join(F.array_sort(F.collect_list(F.struct("at", "municipality")))["municipality"], " ").alias("municipalities"))

@@ -45,7 +45,7 @@ def text_of(content: Column) -> Column:
 
 
 def read_tsv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """A table with a header, every column a string, empty instead of null; a missing column fails."""
+    """A table with a header, every column a string, empty instead of null; a missing column fails, and lines of white space alone are no rows."""
     schema = ", ".join(f"`{c}` string" for c in columns)
     return spark.read.schema(schema).csv(path, sep="\t", header=True, enforceSchema=False, mode="FAILFAST").na.fill("")
 
