@@ -19,6 +19,9 @@ SHOWN = [
     "sdmx_xml_observations", "sdmx_json_observations", "json_stat_cells", "rss_feed_items", "csv_document_rows", "html_document_rows", "xlsx_document_rows",
     "zipped_document_rows", "payload_rejections", "document_dispatch", "indicator_classes", "row_tests", "national_goals", "number_formats", "exact_rounding",
     "published_stories", "quarantined_stories", "curated_stories", "replaced_stories", "same_year_benchmark",
+    "event_merge", "event_payloads", "published_event_rows", "gapped_robust_stats", "stream_late_rows", "stream_redelivered", "stream_restated_months", "published_versions",
+    "page_links", "ranked_links", "attachment_evidence", "named_domains", "article_verification", "verification_stages", "national_areas", "story_headlines", "registry_order",
+    "labelled_reports", "fetch_plan", "fetch_gaps", "header_drift", "waste_detections", "air_detections", "goal_detections", "grid_means",
 ]
 
 
