@@ -340,7 +340,8 @@ def ngram_jaccard_groups(
         pairs = pairs.join(_side(sets, "a", "n", "bitmap"), "a").join(_side(sets, "b", "n", "bitmap"), "b")
         pairs = stored(pairs.mapInArrow(_bounded_pairs(percent), "a long, b long"), "pairs")
         checked = pairs if checked is None else checked.unionByName(pairs)
-        links = pairs.join(_side(sets, "a", "shingles"), "a").join(_side(sets, "b", "shingles"), "b")
+        ones, others = (_needed(sets, pairs, side) for side in ("a", "b"))
+        links = pairs.join(_side(ones, "a", "shingles"), "a").join(_side(others, "b", "shingles"), "b")
         links = links.mapInArrow(_linked_pairs(percent), "a long, b long")
         components = stored(connected_components(edges.unionByName(links)), "components")
         edges = components.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
@@ -392,6 +393,11 @@ def _dealt(tiles: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.repartition("tile").sortWithinPartitions("tile")
 
 
+def _needed(sets: DataFrame, pairs: DataFrame, side: str) -> DataFrame:
+    """The sets that one side of the pairs names: no other set's shingles are sent."""
+    return only_ids(sets, "id", stored(pairs.select(side).distinct(), "named"))
+
+
 def _side(table: DataFrame, name: str, *columns: str) -> DataFrame:
     return table.select(F.col("id").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in columns))
 
