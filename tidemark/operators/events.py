@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 
 from tidemark.functions.numbers import exact_round
 from tidemark.operators.detectors import NATURAL, Flow
-from tidemark.operators.series import keep_last, percent_rank
+from tidemark.operators.ranks import percent_ranked
+from tidemark.operators.series import keep_last
 
 # The columns of published tables, in their order.
 EVENT_COLUMNS = [
@@ -29,7 +30,7 @@ def with_rarity(detections: DataFrame) -> DataFrame:
     """
     made = detections.select(F.inline(F.array(F.struct(*detections.columns))))
     kept = made.where("flag").drop("flag").withColumn("metric", F.round("metric", 8))
-    return kept.withColumn("rarity", percent_rank("metric", ["indicator", "pattern"]))
+    return percent_ranked(kept, "metric", ["indicator", "pattern"], "rarity")
 
 
 def merge_detections(detections: DataFrame, p: Flow = NATURAL, divergence_counts: bool = True) -> DataFrame:
@@ -124,11 +125,18 @@ def upsert(catalog: DataFrame, rows: DataFrame, key: Column) -> DataFrame:
 def containment_choice(specs: DataFrame, series: DataFrame) -> DataFrame:
     """For each spec the best series that has all its required dimensions: newest, most preferred values, longest.
 
-    ``specs`` (spec, required map, preferred map) is a small table, ``series`` has (key, dims map, last_period, n).
+    ``specs`` is (spec, required map, preferred map), ``series`` (key, dims map, last_period, n). They meet by one required
+    entry of a spec, the first by name, and the others are tested then; only specs without any meet all series.
     """
+    entries = F.array_sort(F.map_entries("required"))
+    chosen = specs.withColumns({"_k": F.get(entries, F.lit(0))["key"], "_v": F.get(entries, F.lit(0))["value"]})
+    by_entry = series.select("*", F.explode("dims").alias("_k", "_v"))
     fits = F.forall(F.map_entries("required"), lambda e: F.col("dims")[e["key"]] == e["value"])
     liked = F.size(F.filter(F.map_entries("preferred"), lambda e: F.col("dims")[e["key"]] == e["value"]))
-    pairs = series.join(F.broadcast(specs), fits)
+    pairs = by_entry.join(chosen.where("_k is not null"), ["_k", "_v"]).drop("_k", "_v").where(fits)
+    free = chosen.where("_k is null").drop("_k", "_v")
+    if not free.isEmpty():
+        pairs = pairs.unionByName(series.crossJoin(free))
     order = F.struct(F.col("last_period"), liked, F.col("n"), F.col("key"))
     return pairs.groupBy("spec").agg(F.max_by("key", order).alias("key"), F.count("*").alias("candidates"))
 

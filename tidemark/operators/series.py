@@ -118,13 +118,6 @@ def top_k(rows: DataFrame, keys: list[str], order: list[Column], k: int, overall
     return kept if overall is None else kept.orderBy(*order).limit(overall)
 
 
-def percent_rank(metric: str, keys: list[str]) -> Column:
-    """Rank in per cent of the group, ties sharing their mean rank."""
-    group = Window.partitionBy(*keys)
-    ties = F.count("*").over(Window.partitionBy(*keys, metric))
-    return (F.rank().over(group.orderBy(metric)) + (ties - 1) / 2) / F.count("*").over(group) * 100
-
-
 def registry(rows: DataFrame) -> DataFrame:
     """Distinct territories (region, area_type, area, municipality, municipality_code) with all names, in the order of a printed registry.
 

@@ -5,11 +5,12 @@ A story is a row (id, url, headline, published_at, …); its nested parts are pl
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as T
 from tidemark.functions.classes import has_any
+from tidemark.operators.ranks import placed
 
 # Statuses and roles of published feeds, and the headlines that templates made in earlier versions.
 VERIFIED = ["verified", "verified_primary_match"]
@@ -100,7 +101,8 @@ def publication_order() -> list[Column]:
 
 def day_positions(stories: DataFrame) -> DataFrame:
     """Adds the place of each story in its day, in publication order."""
-    return stories.withColumn("position", F.row_number().over(Window.partitionBy(F.to_date("published_at")).orderBy(*publication_order()[1:])))
+    dated = stories.withColumn("_day", F.to_date("published_at"))
+    return placed(dated, ["_day"], publication_order()[1:], "position").drop("_day")
 
 
 def visible(index: DataFrame, stories: DataFrame) -> DataFrame:

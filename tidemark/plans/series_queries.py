@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import arrays as A
 from tidemark.operators import series as S
+from tidemark.operators.ranks import percent_ranked
 from tidemark.plans.facts import ANNUAL, CALENDAR, MONTHLY, diffs, last_month, mad, median, monthly, ranks, resid, robust_scale, sd, table, theil_sen
 
 QUERIES, SQL = {}, {}
@@ -185,7 +186,7 @@ SELECT entity, total, round((rank() OVER (PARTITION BY parent ORDER BY total) +
 )
 def percent_rank_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = _annual(spark, sf_dir)[0].groupBy("entity", "parent").agg(F.sum("births").alias("total"))
-    return totals.select("entity", "total", F.round(S.percent_rank("total", ["parent"]), 6).alias("pct"))
+    return percent_ranked(totals, "total", ["parent"], "pct").select("entity", "total", F.round("pct", 6).alias("pct"))
 
 
 @query(
