@@ -24,7 +24,7 @@ from tidemark.llm._hashing import LOWER, U, is_word_byte, prefix_sums, rolled, s
 
 #: Words are runs of ASCII letters, digits and all bytes beyond ASCII.
 WORD_BYTE = is_word_byte((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF), inside=True)
-#: Bytes of normalised item words and item ids that one scan holds. A worker takes some four times as much for hashes and places.
+#: Bytes of normalised item words and item ids that one scan holds. A worker takes some four times as much for hashes and places, and twice that while it makes them.
 BLOCK_BYTES = 64 << 20
 #: Words of a stretch, besides those that it shares with the next.
 STRETCH_WORDS = 4096
@@ -78,7 +78,7 @@ def _hashed_windows(words: list[bytes], names: np.ndarray, length: int) -> Itera
 def _repeated(buffer: bytes, hashes: np.ndarray, codes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Whether a window, in the order of hash and item, has the hash, item and words of the one before it."""
     again = np.concatenate(([False], (hashes[1:] == hashes[:-1]) & (codes[1:] == codes[:-1])))
-    for i in np.flatnonzero(again):
+    for i in np.flatnonzero(again).tolist():
         again[i] = buffer[begin[i] : end[i]] == buffer[begin[i - 1] : end[i - 1]]
     return again
 
@@ -94,15 +94,24 @@ class WindowSet:
             items = own["item"].combine_chunks().dictionary_encode()
             names = items.indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int32)
             words = own["words"].to_pylist()
-            parts = list(zip(*_hashed_windows(words, names, length)))
-            hashes, begin, end, codes = map(np.concatenate, parts)
             buffer = b"".join(words)
-            at = np.lexsort((codes, hashes))
-            at = at[~_repeated(buffer, hashes[at], codes[at], begin[at], end[at])]
-            known = hashes[at]
+            columns = [np.empty(sum(w.count(b" ") + 2 - length for w in words), t) for t in (U, np.uint32, np.uint32, np.int32)]
+            done = 0
+            for part in _hashed_windows(words, names, length):
+                for column, some in zip(columns, part):
+                    column[done : done + len(some)] = some
+                done += len(part[0])
+            del words, own
+            at = np.lexsort((columns[3], columns[0])).astype(np.uint32)
+            for i, column in enumerate(columns):  # one after another: no more than one is there twice
+                columns[i] = column[at]
+            kept = ~_repeated(buffer, columns[0], columns[3], columns[1], columns[2])
+            if not kept.all():
+                columns = [column[kept] for column in columns]
+            known, begin, end, codes = columns
             seen = np.zeros(1 << FILTER_BITS, bool)
             seen[(known >> U(64 - FILTER_BITS)).astype(np.int64)] = True
-            self.of_length[length] = known, np.packbits(seen), buffer, begin[at], end[at], codes[at], items.dictionary.to_pylist()
+            self.of_length[length] = known, np.packbits(seen), buffer, begin, end, codes, items.dictionary.to_pylist()
 
     def scan(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, str | None]]:
         """(first word, word after the last, item) of every verified occurrence in texts laid end to end."""
