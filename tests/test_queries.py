@@ -22,6 +22,7 @@ SHOWN = [
     "event_merge", "event_payloads", "published_event_rows", "gapped_robust_stats", "stream_late_rows", "stream_redelivered", "stream_restated_months", "published_versions",
     "page_links", "ranked_links", "attachment_evidence", "named_domains", "article_verification", "verification_stages", "national_areas", "story_headlines", "registry_order",
     "labelled_reports", "fetch_plan", "fetch_gaps", "header_drift", "waste_detections", "air_detections", "goal_detections", "grid_means",
+    "preferred_member_rows", "named_sheet_rows",
 ]
 
 

@@ -70,3 +70,16 @@ def test_replacement_of_stories(spark):
     got = sorted((r["id"], r["headline"], r["published_at"]) for r in S.replace_legacy(old, new).collect())
     assert got == [("c", "Other", "1"), ("d", "New", "1"), ("e", head, "1"), ("m", "New", "9"), ("n", "New", "2")]
     assert S.replace_legacy(old.limit(0), new.limit(0)).collect() == []
+
+
+def test_members_are_chosen_by_name(spark):
+    def packed(*names):
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w") as z:
+            for n in names:
+                z.writestr(n, n)
+        return out.getvalue()
+
+    docs = [("a.zip", packed("x.csv", "My_Data.CSV", "data2.csv")), ("b.zip", packed("y.csv", "z.csv")), ("c.zip", packed("n.txt")), ("d.zip", b"?"), ("data.zip", packed("q.csv"))]
+    found = {r["archive"]: (r["path"], r["error"]) for r in D.chosen_members(spark.createDataFrame(docs, "path string, content binary"), "csv$", "data").collect()}
+    assert found == {"a.zip": ("a.zip/My_Data.CSV", None), "b.zip": ("b.zip/y.csv", None), "d.zip": ("d.zip", "BadZipFile"), "data.zip": ("data.zip/q.csv", None)}

@@ -187,15 +187,16 @@ def mixed_period_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {FEED} SELECT count(*) AS n_rows, count(*) FILTER (indicator = 'i0') AS no_source, count(DISTINCT indicator) AS families, max(period) AS latest_period, round(avg(score), 6) AS mean_score FROM feed"""
+    f"""WITH {FEED} SELECT count(*) AS n_rows, count(*) FILTER (indicator = 'i0') AS no_source, count(*) FILTER (indicator = 'i1') AS no_url, count(*) FILTER (indicator = 'i2') AS no_status, count(*) FILTER (indicator = 'i3') AS no_value, count(DISTINCT indicator) AS families, max(period) AS latest_period, round(avg(score), 6) AS mean_score FROM feed"""
 )
 def feed_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = _feed(spark, sf_dir).withColumn("source_family", F.col("indicator"))
     m = E.manifest(feed.select("id", "period", "source_family", "score"))
-    blank = feed.select(F.when(F.col("indicator") == "i0", "").otherwise("s").alias("source"), F.lit("u").alias("url"), F.lit("ok").alias("status"), F.col("score").alias("value"))
-    v = E.provenance_violations(blank)
+    but = lambda indicator, gap, value: F.when(F.col("indicator") == indicator, gap).otherwise(value)
+    rows = feed.select(but("i0", "", "s").alias("source"), but("i1", "  ", "u").alias("url"), but("i2", None, "ok").alias("status"), but("i3", None, F.col("score")).alias("value"))
+    v = E.provenance_violations(rows)
     mean = feed.agg(F.round(F.avg("score"), 6).alias("mean_score"))
-    return m.join(v.select("no_source")).join(mean).select("n_rows", "no_source", "families", "latest_period", "mean_score")
+    return m.join(v.drop("n_rows")).join(mean).select("n_rows", "no_source", "no_url", "no_status", "no_value", "families", "latest_period", "mean_score")
 
 
 @query(f"WITH {FEED} SELECT substr(sha1(id || '|' || indicator || '|' || period), 1, 16) AS sha1_id, substr(sha256('X|' || id || '|' || indicator), 1, 16) AS sha256_id, o_orderkey FROM feed")

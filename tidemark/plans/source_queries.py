@@ -274,6 +274,52 @@ def zipped_document_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("key", *(F.get("c", F.lit(i)).alias(n) for i, n in enumerate(("name", "part", "qty"))))
 
 
+@F.pandas_udf(BinaryType())
+def _several(notes: pd.Series, bodies: pd.Series, books: pd.Series) -> pd.Series:
+    """A ZIP of a note, two texts, and a ZIP of two workbooks of which the second has the lines."""
+
+    def made(note: str, body: str, book: bytes) -> bytes:
+        inner, outer, other = io.BytesIO(), io.BytesIO(), io.BytesIO()
+        with zipfile.ZipFile(io.BytesIO(book)) as old, zipfile.ZipFile(other, "w") as new:
+            for name in old.namelist():
+                new.writestr(name, old.read(name).replace(b'sheet name="Lines"', b'sheet name="Notes"'))
+        with zipfile.ZipFile(inner, "w") as z:
+            z.writestr("a.xlsx", other.getvalue())
+            z.writestr("b.XLSX", book)
+        with zipfile.ZipFile(outer, "w") as z:
+            z.writestr("notes.csv", note)
+            z.writestr("sub/All_DATA.csv", body)
+            z.writestr("books.zip", inner.getvalue())
+        return outer.getvalue()
+
+    return pd.Series([made(*x) for x in zip(notes, bodies, books)])
+
+
+def _archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    body = _text("name;part;qty\r\n", _each(lambda x: _text(_name(x), ";", x["part"], ";", x["qty"]), "\r\n"))
+    rows = F.array_join(F.transform("lines", lambda x: _text('<row><c r="A2" t="inlineStr"><is><t>', _name(x), '</t></is></c><c r="B2"><v>', x["part"], '</v></c><c r="C2"><v>', x["qty"], "</v></c></row>")), "")
+    book = _workbook(F.lit(""), _text('<row><c r="A1"><v>0</v></c></row>', rows))
+    return orders(spark, sf_dir).select(_text("/in/", F.col("key"), ".zip").alias("path"), _several(F.lit("a;b;c\r\n1;2;3"), body, book).alias("content"))
+
+
+def _cells(found: DataFrame) -> DataFrame:
+    rows = found.select(F.regexp_extract("archive", r"(\d+)\.zip", 1).cast("long").alias("key"), F.explode(F.slice("cells", 2, F.size("cells"))).alias("c"))
+    return rows.select("key", *(F.get("c", F.lit(i)).alias(n) for i, n in enumerate(("name", "part", "qty"))))
+
+
+@query(_PLAIN_ROWS_SQL)
+def preferred_member_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text of an archive whose name is preferred, though another comes before it."""
+    found = D.chosen_members(_archives(spark, sf_dir), r"\.csv$", "data").where("error is null")
+    return _cells(found.select("archive", D.csv_cells(D.text_of(F.col("content"))).alias("cells")))
+
+
+@query(_PLAIN_ROWS_SQL)
+def named_sheet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first workbook of a ZIP inside a ZIP that has a sheet of a name."""
+    return _cells(D.books_with_sheet(_archives(spark, sf_dir), "Lines", D.WHOLE))
+
+
 @query(
     "SELECT l_orderkey AS key, count(*) > 3 AS cut, CAST(least(count(*), 3) AS BIGINT) AS kept, CAST(greatest(count(*) - 3, 0) AS BIGINT) AS left_out FROM lineitem GROUP BY 1"
 )

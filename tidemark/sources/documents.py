@@ -223,21 +223,41 @@ def unzipped(content: bytes, wanted: str, depth: int = 2) -> Iterator[tuple[str,
 
 
 def _member_rows(wanted: str, depth: int):
+    schema = pa.schema([("path", pa.string()), ("content", pa.binary()), ("error", pa.string()), ("archive", pa.string()), ("place", pa.int32())])
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
                 try:
-                    for member, data in unzipped(content or b"", wanted, depth):
-                        yield pa.RecordBatch.from_pydict({"path": [f"{path}/{member}"], "content": pa.array([data], pa.binary()), "error": pa.array([None], pa.string())})
+                    for place, (member, data) in enumerate(unzipped(content or b"", wanted, depth)):
+                        yield pa.RecordBatch.from_pylist([{"path": f"{path}/{member}", "content": data, "archive": path, "place": place}], schema=schema)
                 except (zipfile.BadZipFile, RuntimeError, NotImplementedError) as e:
-                    yield pa.RecordBatch.from_pydict({"path": [path], "content": pa.array([None], pa.binary()), "error": [type(e).__name__]})
+                    yield pa.RecordBatch.from_pylist([{"path": path, "error": type(e).__name__, "archive": path}], schema=schema)
 
     return rows
 
 
 def zip_members(documents: DataFrame, wanted: str = "", depth: int = 2) -> DataFrame:
-    """Archives (path, content) to their members (path, content, error) by name, also of ZIPs inside; one that cannot be read is a row with its error."""
-    return documents.select("path", "content").mapInArrow(_member_rows(wanted, depth), "path string, content binary, error string")
+    """Archives (path, content) to their members (path, content, error, archive, place) by name, also of ZIPs inside; one that cannot be read is a row with its error."""
+    return documents.select("path", "content").mapInArrow(_member_rows(wanted, depth), "path string, content binary, error string, archive string, place int")
+
+
+def chosen_members(documents: DataFrame, wanted: str, preferred: str, depth: int = 2) -> DataFrame:
+    """Of each archive the first member whose name matches ``preferred``, or else ``wanted``; archives that cannot be read keep their row."""
+    members = zip_members(documents, wanted, depth)
+    name = F.substr("path", F.length("archive") + 2)
+    order = F.struct((~name.rlike(f"(?i){preferred}")).alias("other"), F.coalesce("place", F.lit(0)).alias("place"))
+    best = members.groupBy("archive").agg(F.min_by(F.struct("path", "content", "error"), order).alias("m"))
+    return best.select("m.path", "m.content", "m.error", "archive")
+
+
+def books_with_sheet(documents: DataFrame, sheet: str, bounds: Bounds = Bounds(), depth: int = 2) -> DataFrame:
+    """Of each archive the cells of the first workbook, also in ZIPs inside, that has a sheet of that name: (archive, path, cells, cut)."""
+    books = zip_members(documents, r"\.xlsx$", depth).where("error is null")
+    tables = document_tables(books, bounds).where((F.col("unit_hint") == sheet) & F.col("error").isNull())
+    named = books.select("archive", "place", "path").join(tables, F.col("path") == F.col("source_url"))
+    best = named.groupBy("archive").agg(F.min_by(F.struct("path", "cells", "cut"), F.struct("place", "location")).alias("b"))
+    return best.select("archive", "b.path", "b.cells", "b.cut")
 
 
 def _decoder(bounds: Bounds):
