@@ -271,7 +271,7 @@ def events_of_flows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
 def event_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event of the flagged detections of six flows, with its score, its status and whether it reaches the floor."""
     merged = events_of_flows(spark, sf_dir)[0]
-    return merged.select("entity", "indicator", F.array_join("patterns", " + ").alias("patterns"), "scope", "status", "published", *(F.round(c, 5).alias(c) for c in ("strength", "rarity", "persistence", "score")))
+    return merged.select("entity", "indicator", F.array_join("patterns", " + ").alias("patterns"), "scope", "status", "published", *(F.round(F.round(c, 8), 5).alias(c) for c in ("strength", "rarity", "persistence", "score")))
 
 
 def event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
