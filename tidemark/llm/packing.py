@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm._common import id_and_text, remembering
-from tidemark.llm.tokens import encoder, text_chunks
+from tidemark.llm.tokens import MEMORY_BYTES, encoder, text_chunks
 
 WINDOW = 1024
 
@@ -96,7 +96,7 @@ class SquaresPacker:
             yield sequence
 
 
-def _pack(tokenizer: str, end: int, size: int, id_type: pa.DataType):
+def _pack(tokenizer: str, end: int, size: int, id_type: pa.DataType, memory_bytes: int):
     last = np.array([end], "<u4").tobytes()
 
     def rows(sequences: Iterator[list[Piece]], sequence_id: int, out: list) -> int:
@@ -115,7 +115,7 @@ def _pack(tokenizer: str, end: int, size: int, id_type: pa.DataType):
 
     @remembering
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer, encode = SquaresPacker(size), encoder(tokenizer).encode
+        packer, encode = SquaresPacker(size), encoder(tokenizer, memory_bytes).encode
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
             names, out = batch.column("id").to_pylist(), []
@@ -131,13 +131,20 @@ def _pack(tokenizer: str, end: int, size: int, id_type: pa.DataType):
 
 
 def pack_documents(
-    docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, window: int = WINDOW
+    docs: DataFrame,
+    tokenizer: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    end_id: int = 0,
+    window: int = WINDOW,
+    memory_bytes: int = MEMORY_BYTES,
 ) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset) of every piece.
 
     A document is its token ids and then ``end_id``; each id lies in exactly one piece, and pieces of a
     sequence follow each other without gaps. Sequences have ``window`` ids, but for at most a few a
-    partition whose lengths are powers of two. ``tokenizer`` is a tokenizers file that executors have.
+    partition whose lengths are powers of two. ``tokenizer`` is a tokenizers file that executors have, ``memory_bytes``
+    what a worker remembers of its words.
 
     Null and empty texts are documents of one id. Ids may be null or repeat: each row is a document
     of its own. An empty table gives an empty result. Other columns are ignored.
@@ -147,4 +154,4 @@ def pack_documents(
     schema = f"doc_id {kind.simpleString()}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     from pyspark.sql.pandas.types import to_arrow_type
 
-    return texts.mapInArrow(_pack(tokenizer, end_id, window, to_arrow_type(kind)), schema)
+    return texts.mapInArrow(_pack(tokenizer, end_id, window, to_arrow_type(kind), memory_bytes), schema)

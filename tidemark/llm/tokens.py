@@ -27,7 +27,7 @@ from tokenizers.pre_tokenizers import Split
 from tidemark.llm._common import FORGET
 
 #: Bytes of words and ids that a worker remembers, in two generations, at about ``_ENTRY`` bytes beside each.
-MEMORY_BYTES = 64 << 20
+MEMORY_BYTES = 112 << 20
 _ENTRY = 160
 #: Characters of texts that are encoded together, and words of a longer text.
 CHUNK_CHARS = 1 << 20
@@ -246,9 +246,9 @@ class Encoder:
 
 
 @functools.cache
-def encoder(path: str) -> Encoder:
+def encoder(path: str, memory_bytes: int = MEMORY_BYTES) -> Encoder:
     """One encoder a worker process and file."""
-    return Encoder(path)
+    return Encoder(path, memory_bytes)
 
 
 FORGET.append(encoder.cache_clear)
