@@ -16,6 +16,9 @@ from tidemark.llm.ngram_join import one_of_each_group
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.quality import without_rejected
 
+#: Bytes of words that a worker remembers in the last stage: executors still hold memory of the stages before.
+WORD_MEMORY = 32 << 20
+
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, trained on the labels that are not held out, scores at 0.5 or more.
@@ -59,7 +62,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Every row is a document of its own, also without an id or where it repeats; null and empty texts are one id. An
     empty table gives no pieces.
     """
-    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), memory_bytes=WORD_MEMORY)
 
 
 STAGES = [
