@@ -27,6 +27,12 @@ def test_rows_of_reports(spark):
     assert found[3, "power"] == ([-2.5, 4.0, 6.0, 1999.9], None) and len(found) == 15
 
 
+def test_long_numbers_without_dots_are_whole(spark):
+    numbers = R.window_numbers(F.col("text"))
+    found = spark.createDataFrame([("6517 1.285.333,8 12345,5% -2030 7",)], "text string").select(numbers.alias("x")).first()["x"]
+    assert found == [6517.0, 1285333.8, 12345.5, -2030.0, 7.0]
+
+
 def test_what_is_to_be_fetched(spark):
     published = spark.createDataFrame([(2023, "12"), (2023, "13"), (2024, "2"), (2024, None), (2024, "x"), (2025, "0")], "year int, month string")
     provinces = spark.createDataFrame([("A",), ("B",), ("B",), (None,)], "province string")

@@ -12,7 +12,8 @@ from tidemark.functions.text import collapsed
 
 #: Characters after a label that its numbers may take.
 WINDOW = 500
-_NUMBER = r"(-?\d{1,3}(?:\.\d{3})*(?:,\d+)?%?)"
+# Digits without dots are one number, however many they are.
+_NUMBER = r"(-?(?:\d{1,3}(?:\.\d{3})+|\d+)(?:,\d+)?%?)"
 
 
 @dataclass(frozen=True)
