@@ -83,3 +83,36 @@ def test_members_are_chosen_by_name(spark):
     docs = [("a.zip", packed("x.csv", "My_Data.CSV", "data2.csv")), ("b.zip", packed("y.csv", "z.csv")), ("c.zip", packed("n.txt")), ("d.zip", b"?"), ("data.zip", packed("q.csv"))]
     found = {r["archive"]: (r["path"], r["error"]) for r in D.chosen_members(spark.createDataFrame(docs, "path string, content binary"), "csv$", "data").collect()}
     assert found == {"a.zip": ("a.zip/My_Data.CSV", None), "b.zip": ("b.zip/y.csv", None), "d.zip": ("d.zip", "BadZipFile"), "data.zip": ("data.zip/q.csv", None)}
+
+
+def test_documents_are_made_and_read_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("binary")
+    def content(n):
+        made.add(1)
+        return b"a,b\n1,2\n"
+
+    docs = spark.range(12, numPartitions=2).select(F.concat(F.lit("/in/"), "id", F.lit(".csv")).alias("path"), content("id").alias("content"))
+    assert D.document_tables(docs.localCheckpoint()).count() == 12
+    before = made.value
+    assert [r["cells"] for r in D.document_tables(docs).collect()] == [[["a", "b"], ["1", "2"]]] * 12
+    assert made.value - before == 12
+
+
+def test_plain_pages_are_read_as_the_parser_reads_them(monkeypatch):
+    pages = ["<table><tr><td>a &amp; b<td>c</table>", '<!DOCTYPE html>x<TABLE><caption> t</caption><tr><th class="q">1</th></tr>', "<table><td>1 < 2</td></table>", "<table><!-- <td>x --><td>y</td>", "<table><td><script><td>z</td></script></table>", "<table><td>a<br/>b</td", ""]
+    quick = [D.html_tables(p) for p in pages]
+    monkeypatch.setattr(D, "_RAW", {"table", *D._RAW})
+    assert [D.html_tables(p) for p in pages] == quick
+    assert quick[0] == ([("", [["a & b", "c"]], 0)], 0) and quick[3][0][0][1] == [["y"]]
+
+
+def test_members_leave_a_task_in_batches():
+    archive = io.BytesIO()
+    with zipfile.ZipFile(archive, "w") as z:
+        z.writestr("a.csv", "1")
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"path": [f"{i}.zip" for i in range(50)], "content": [archive.getvalue()] * 50})
+    assert [b.num_rows for b in D._member_rows("csv", 1)(iter([batch]))] == [50]

@@ -11,7 +11,9 @@ import io
 import re
 import xml.etree.ElementTree as ET
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
+from html import unescape
 from html.parser import HTMLParser
 from typing import NamedTuple
 
@@ -19,11 +21,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.sources.delimited import csv_cells
+from tidemark.sources.delimited import cells_of, csv_cells  # noqa: F401
 
 MOST_BYTES = 80 << 20
 LEAST_BYTES = 16
 CELLS = "array<array<string>>"
+#: Rows and bytes after which a decoder hands on what it has.
+BATCH_ROWS, BATCH_SIZE = 2000, 8 << 20
 
 
 class Bounds(NamedTuple):
@@ -151,64 +155,88 @@ class _Tables(HTMLParser):
                 t["cell"] += data
 
 
+#: A tag with quoted attributes at most, and the elements whose content is not markup.
+_SIMPLE_TAG = re.compile(r'<(/[A-Za-z][A-Za-z0-9]*|[A-Za-z][A-Za-z0-9]*(?=[ \n>]))(?:[ \n]+[A-Za-z][A-Za-z0-9-]*="[^"<>]*")*>')
+_RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes", "noscript", "plaintext", "svg", "math"}
+
+
 def html_tables(text: str, bounds: Bounds = Bounds()) -> tuple[list[tuple[str, list[list[str]], int]], int]:
     """(caption, cells, rows left out) of the tables of a page, and how many tables are left out."""
     parser = _Tables()
-    parser.feed(text)
-    parser.close()
+    parts = _SIMPLE_TAG.split(text.removeprefix("<!DOCTYPE html>"))
+    if any("<" in part for part in parts[::2]) or not _RAW.isdisjoint(map(str.lower, parts[1::2])):
+        parser.feed(text)
+        parser.close()
+    else:  # nothing but plain tags and text: the parts are what the parser would tell
+        parser.handle_data(unescape(parts[0]))
+        for tag, data in zip(parts[1::2], parts[2::2]):
+            tag = tag.lower()
+            if tag[0] == "/":
+                parser.handle_endtag(tag[1:])
+            else:
+                parser.handle_starttag(tag, ())
+            if data:
+                parser.handle_data(unescape(data))
     while parser.open:
         parser.handle_endtag("table")
     found = [(caption[:160], cells[: bounds.table_rows], len(cells) - len(cells[: bounds.table_rows])) for caption, cells in parser.tables[: bounds.tables]]
     return found, len(parser.tables) - len(found)
 
 
-_NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
+_NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+_CELL, _VALUE = f"{_NS}c", f"{_NS}v"
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
 
-def column_index(reference: str) -> int:
-    """0 for A1, 26 for AA1."""
+@lru_cache(4096)
+def _letters_index(letters: str) -> int:
     n = 0
-    for letter in re.match("[A-Z]*", reference)[0]:
+    for letter in re.match("[A-Z]*", letters)[0]:
         n = n * 26 + ord(letter) - 64
     return n - 1
 
 
-def xlsx_sheets(content: bytes, bounds: Bounds = Bounds()) -> tuple[list[tuple[str, list[list[str]], int]], int]:
-    """(name, cells, rows left out or cut) of the sheets of a workbook, read as the ZIP of XML that it is, and how many sheets are left out."""
+def column_index(reference: str) -> int:
+    """0 for A1, 26 for AA1."""
+    return _letters_index(reference.rstrip("0123456789"))
+
+
+def xlsx_sheets(content: bytes, bounds: Bounds = Bounds(), only: str | None = None) -> tuple[list[tuple[str, list[list[str]], int]], int]:
+    """(name, cells, rows left out or cut) of the sheets of a workbook, or the ``only`` ones of a name, read as the ZIP of XML that it is, and how many sheets are left out."""
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         names = set(book.namelist())
+        sheets = ET.fromstring(book.read("xl/workbook.xml")).findall(f"{_NS}sheets/{_NS}sheet")
+        wanted = [sheet for sheet in sheets[: bounds.sheets] if only is None or sheet.get("name", "") == only]
         shared = []
-        if "xl/sharedStrings.xml" in names:
-            for item in ET.fromstring(book.read("xl/sharedStrings.xml")).iterfind("m:si", _NS):
-                shared.append("".join(t.text or "" for t in item.iter(f"{{{_NS['m']}}}t")))
+        if wanted and "xl/sharedStrings.xml" in names:
+            for item in ET.fromstring(book.read("xl/sharedStrings.xml")).findall(f"{_NS}si"):
+                shared.append("".join(t.text or "" for t in item.iter(f"{_NS}t")))
         targets = {r.get("Id"): r.get("Target") for r in ET.fromstring(book.read("xl/_rels/workbook.xml.rels"))}
         out = []
-        sheets = list(ET.fromstring(book.read("xl/workbook.xml")).iterfind("m:sheets/m:sheet", _NS))
-        for sheet in sheets[: bounds.sheets]:
+        for sheet in wanted:
             target = targets[sheet.get(_REL)].lstrip("/")
             root = ET.fromstring(book.read(target if target.startswith("xl/") else f"xl/{target}"))
             cells = []
-            rows = list(root.iterfind("m:sheetData/m:row", _NS))
+            rows = root.findall(f"{_NS}sheetData/{_NS}row")
             cut = len(rows) - len(rows[: bounds.sheet_rows])
             for row in rows[: bounds.sheet_rows]:
                 line: list[str] = []
                 wide = False
-                for i, cell in enumerate(row.iterfind("m:c", _NS)):
+                for i, cell in enumerate(row.findall(_CELL)):
                     place = column_index(cell.get("r", "")) if cell.get("r") else i
                     if bounds.columns is not None and place >= bounds.columns:
                         wide = True
                         continue
                     line += [""] * (place + 1 - len(line))
-                    value = cell.find("m:v", _NS)
+                    value = cell.find(_VALUE)
                     if cell.get("t") == "inlineStr":
-                        line[place] = "".join(t.text or "" for t in cell.iter(f"{{{_NS['m']}}}t"))
+                        line[place] = "".join(t.text or "" for t in cell.iter(f"{_NS}t"))
                     elif value is not None:
                         line[place] = shared[int(value.text)] if cell.get("t") == "s" else value.text or ""
                 cells.append(line)
                 cut += wide
             out.append((sheet.get("name", ""), cells, cut))
-        return out, len(sheets) - len(out)
+        return out, len(sheets) - len(sheets[: bounds.sheets])
 
 
 def unzipped(content: bytes, wanted: str, depth: int = 2) -> Iterator[tuple[str, bytes]]:
@@ -222,19 +250,33 @@ def unzipped(content: bytes, wanted: str, depth: int = 2) -> Iterator[tuple[str,
                     yield f"{member}/{name}", data
 
 
+def _batched(rows: Iterator[tuple], schema: pa.Schema, size: Callable[[tuple], int]) -> Iterator[pa.RecordBatch]:
+    """Rows as record batches that end at BATCH_ROWS rows or BATCH_SIZE bytes, whichever comes first."""
+    kept, held = [], 0
+    made = lambda: pa.RecordBatch.from_arrays([pa.array(column, f.type) for column, f in zip(zip(*kept), schema)], schema=schema)
+    for row in rows:
+        kept.append(row)
+        held += size(row)
+        if len(kept) >= BATCH_ROWS or held >= BATCH_SIZE:
+            yield made()
+            kept, held = [], 0
+    if kept:
+        yield made()
+
+
 def _member_rows(wanted: str, depth: int):
     schema = pa.schema([("path", pa.string()), ("content", pa.binary()), ("error", pa.string()), ("archive", pa.string()), ("place", pa.int32())])
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
             for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
                 try:
                     for place, (member, data) in enumerate(unzipped(content or b"", wanted, depth)):
-                        yield pa.RecordBatch.from_pylist([{"path": f"{path}/{member}", "content": data, "archive": path, "place": place}], schema=schema)
+                        yield f"{path}/{member}", data, None, path, place
                 except (zipfile.BadZipFile, RuntimeError, NotImplementedError) as e:
-                    yield pa.RecordBatch.from_pylist([{"path": path, "error": type(e).__name__, "archive": path}], schema=schema)
+                    yield path, None, type(e).__name__, path, None
 
-    return rows
+    return lambda batches: _batched(members(batches), schema, lambda row: len(row[1] or b""))
 
 
 def zip_members(documents: DataFrame, wanted: str = "", depth: int = 2) -> DataFrame:
@@ -251,32 +293,69 @@ def chosen_members(documents: DataFrame, wanted: str, preferred: str, depth: int
     return best.select("m.path", "m.content", "m.error", "archive")
 
 
+def _sheet_rows(sheet: str, bounds: Bounds, depth: int):
+    schema = pa.schema([("archive", pa.string()), ("place", pa.int32()), ("path", pa.string()), ("cells", pa.list_(pa.list_(pa.string()))), ("cut", pa.int64())])
+
+    def named(path: str, content: bytes) -> Iterator[tuple]:
+        for place, (member, data) in enumerate(unzipped(content, r"\.xlsx$", depth)):
+            try:
+                found, _ = xlsx_sheets(data, bounds, sheet)
+            except (KeyError, ValueError, zipfile.BadZipFile, ET.ParseError):
+                continue
+            if found:
+                yield path, place, f"{path}/{member}", *found[0][1:]
+                return
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
+                try:
+                    yield from named(path, content or b"")
+                except (zipfile.BadZipFile, RuntimeError, NotImplementedError):
+                    pass
+
+    return lambda batches: _batched(rows(batches), schema, lambda row: sum(len(c) for line in row[3] for c in line))
+
+
 def books_with_sheet(documents: DataFrame, sheet: str, bounds: Bounds = Bounds(), depth: int = 2) -> DataFrame:
-    """Of each archive the cells of the first workbook, also in ZIPs inside, that has a sheet of that name: (archive, path, cells, cut)."""
-    books = zip_members(documents, r"\.xlsx$", depth).where("error is null")
-    tables = document_tables(books, bounds).where((F.col("unit_hint") == sheet) & F.col("error").isNull())
-    named = books.select("archive", "place", "path").join(tables, F.col("path") == F.col("source_url"))
-    best = named.groupBy("archive").agg(F.min_by(F.struct("path", "cells", "cut"), F.struct("place", "location")).alias("b"))
+    """Of each archive the cells of the first workbook, also in ZIPs inside, that has a sheet of that name: (archive, path, cells, cut).
+
+    Workbooks after it are not decoded; those that cannot be read have no sheets.
+    """
+    found = documents.select("path", "content").mapInArrow(_sheet_rows(sheet, bounds, depth), f"archive string, place int, path string, cells {CELLS}, cut long")
+    best = found.groupBy("archive").agg(F.min_by(F.struct("path", "cells", "cut"), "place").alias("b"))
     return best.select("archive", "b.path", "b.cells", "b.cut")
 
 
 def _decoder(bounds: Bounds):
-    types = [pa.string(), pa.string(), pa.string(), pa.list_(pa.list_(pa.string())), pa.string(), pa.int64()]
-    names = ["source_url", "location", "unit_hint", "cells", "error", "cut"]
+    schema = pa.schema(
+        [("source_url", pa.string()), ("location", pa.string()), ("unit_hint", pa.string()), ("cells", pa.list_(pa.list_(pa.string()))), ("error", pa.string()), ("cut", pa.int64()), ("json", pa.string())]
+    )
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def tables(path: str, kind: str, text: str | None, content: bytes | None) -> Iterator[tuple]:
+        if kind == "json":
+            yield path, "json:1", "", None, None, 0, text
+        elif kind in ("csv", "tsv", "text"):
+            yield path, f"{kind}:1", "", cells_of(text), None, 0, None
+        elif kind in ("html", "xlsx"):
+            try:
+                found, beyond = html_tables((content or b"").decode("utf-8", "replace"), bounds) if kind == "html" else xlsx_sheets(content or b"", bounds)
+            except (KeyError, ValueError, zipfile.BadZipFile, ET.ParseError) as e:
+                yield path, f"{kind}:1", "", [], type(e).__name__, 0, None
+                return
+            for i, (hint, cells, cut) in enumerate(found):
+                yield path, f"{kind}:{i + 1}", hint, cells, None, cut, None
+            if beyond:
+                yield path, f"{kind}:{len(found) + 1}", "", None, "left_out", beyond, None
+        else:
+            yield path, f"{kind}:0", "", None, "unsupported_format", 0, None
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
-            for path, kind, content in zip(*(batch.column(c).to_pylist() for c in ("path", "kind", "content"))):
-                try:
-                    found, beyond = html_tables((content or b"").decode("utf-8", "replace"), bounds) if kind == "html" else xlsx_sheets(content or b"", bounds)
-                    made = [(path, f"{kind}:{i + 1}", hint, cells, None, cut) for i, (hint, cells, cut) in enumerate(found)]
-                    if beyond:
-                        made.append((path, f"{kind}:{len(found) + 1}", "", None, "left_out", beyond))
-                except (KeyError, ValueError, zipfile.BadZipFile, ET.ParseError) as e:
-                    made = [(path, f"{kind}:1", "", [], type(e).__name__, 0)]
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in made], t) for i, t in enumerate(types)], names=names)
+            for document in zip(*(column.to_pylist() for column in batch.columns)):
+                yield from tables(*document)
 
-    return rows
+    return lambda batches: _batched(rows(batches), schema, lambda row: sum(map(len, (c for line in row[3] or () for c in line))) + len(row[6] or ""))
 
 
 def document_tables(documents: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
@@ -284,6 +363,7 @@ def document_tables(documents: DataFrame, bounds: Bounds = Bounds()) -> DataFram
 
     A document that cannot be read gives one row with its error. ``cut`` counts the rows of a table beyond ``bounds``;
     tables beyond them are one row with the error left_out and their number. ``WHOLE`` leaves nothing out.
+    Every format is decoded in one pass, so that what made the documents runs once.
     """
     extension = F.lower(F.regexp_extract("path", r"\.([A-Za-z0-9]+)(?:$|[?#])", 1))
     kind = (
@@ -293,26 +373,15 @@ def document_tables(documents: DataFrame, bounds: Bounds = Bounds()) -> DataFram
         .otherwise(F.coalesce(magic(F.col("content")), F.lit("text")))
     )
     rows = documents.select("path", "content", kind.alias("kind"))
-    text = F.coalesce(text_of(F.col("content")), F.lit(""))
-    none = F.lit(0).cast("long").alias("cut")
-
-    def first_table(some: DataFrame, cells: Column, hint: Column) -> DataFrame:
-        made = some.select("path", "kind", hint.alias("hint"), cells.alias("cells"))
-        return made.select(
-            F.col("path").alias("source_url"), F.concat("kind", F.lit(":1")).alias("location"), F.col("hint").alias("unit_hint"), "cells",
-            F.when(F.col("cells").isNull(), "no_table").alias("error"), none,
-        )
-
-    listed = first_table(rows.where("kind = 'json'"), json_cells(text), F.coalesce(F.get_json_object(text, "$.unit"), F.lit("")))
-    plain = first_table(rows.where(F.col("kind").isin("csv", "tsv", "text")), csv_cells(text), F.lit("")).unionByName(listed)
-    decoded = rows.where(F.col("kind").isin("html", "xlsx")).mapInArrow(
-        _decoder(bounds), f"source_url string, location string, unit_hint string, cells {CELLS}, error string, cut long"
+    text = F.when(F.col("kind").isin("csv", "tsv", "text", "json"), F.coalesce(text_of(F.col("content")), F.lit("")))
+    raw = F.when(F.col("kind").isin("html", "xlsx"), F.col("content"))
+    found = rows.select("path", "kind", text.alias("text"), raw.alias("content")).mapInArrow(
+        _decoder(bounds), f"source_url string, location string, unit_hint string, cells {CELLS}, error string, cut long, json string"
     )
-    other = rows.where(~F.col("kind").isin("csv", "tsv", "text", "json", "html", "xlsx")).select(
-        F.col("path").alias("source_url"), F.concat("kind", F.lit(":0")).alias("location"), F.lit("").alias("unit_hint"),
-        F.lit(None).cast(CELLS).alias("cells"), F.lit("unsupported_format").alias("error"), none,
-    )
-    return plain.unionByName(decoded).unionByName(other)
+    listed = F.col("json").isNotNull()
+    found = found.withColumns({"cells": F.when(listed, json_cells(F.col("json"))).otherwise(F.col("cells")), "unit_hint": F.when(listed, F.coalesce(F.get_json_object("json", "$.unit"), F.lit(""))).otherwise(F.col("unit_hint"))})
+    error = F.when(listed & F.col("cells").isNull(), "no_table").otherwise(F.col("error"))
+    return found.select("source_url", "location", "unit_hint", "cells", error.alias("error"), "cut")
 
 
 def write_tsv(rows: DataFrame, path: str) -> None:
