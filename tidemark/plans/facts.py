@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.sources.shared_files import shared, written  # noqa: F401
@@ -12,6 +12,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def placed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table with ``place``, a number by which rows sort as they stand in its files, these by name."""
+    rows = table(spark, sf_dir, name)
+    file = F.array_position(F.lit(sorted(rows.inputFiles())), F.col("_metadata.file_path"))
+    return rows.select("*", (F.shiftleft(file, 40) + F.col("_metadata.row_index")).alias("place"))
+
+
+def ordered_means(rows: DataFrame, keys: list[Column], **values: Column) -> DataFrame:
+    """(keys, means) of placed rows: doubles added one after another in the order of their places, however rows were dealt to tasks.
+
+    For small groups, since it holds the values of each. Nulls are no values; a mean of none is null.
+    """
+    line = F.struct("place", *(v.alias(n) for n, v in values.items()))
+    grouped = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(line)).alias("_lines"))
+
+    def mean(name: str) -> Column:
+        known = F.filter(F.col("_lines")[name], lambda x: x.isNotNull())
+        return F.aggregate(known, F.lit(0.0), lambda total, x: total + x, lambda total: F.try_divide(total, F.size(known)))
+
+    return grouped.select(*(c for c in grouped.columns if c != "_lines"), *(mean(n).alias(n) for n in values))
+
+
 def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Supplier-months: nation as parent, line counts as flows, quantity as weight, rare deep discounts as adjustment."""
     lines, supplier = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "supplier")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import arrays as A
 from tidemark.operators import series as S
 from tidemark.operators.ranks import percent_ranked
-from tidemark.plans.facts import ANNUAL, CALENDAR, MONTHLY, diffs, last_month, mad, median, monthly, ranks, resid, robust_scale, sd, table, theil_sen
+from tidemark.plans.facts import ANNUAL, CALENDAR, MONTHLY, diffs, last_month, mad, median, monthly, ordered_means, placed, ranks, resid, robust_scale, sd, table, theil_sen
 
 QUERIES, SQL = {}, {}
 
@@ -250,8 +250,8 @@ t AS (SELECT CASE WHEN median(coverage) <= 1.5 THEN 0.5 ELSE 50 END AS threshold
 SELECT year, count(*) AS kept, round(median(value), 6) AS med FROM c, t WHERE coverage >= threshold GROUP BY year"""
 )
 def coverage_scaled_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem")
-    c = lines.groupBy("l_suppkey", F.year("l_shipdate").alias("year")).agg((F.avg("l_discount") * 10).alias("coverage"), F.avg("l_tax").alias("value"))
+    keys = [F.col("l_suppkey"), F.year("l_shipdate").alias("year")]
+    c = ordered_means(placed(spark, sf_dir, "lineitem"), keys, coverage=F.col("l_discount"), value=F.col("l_tax")).withColumn("coverage", F.col("coverage") * 10)
     threshold = c.agg(F.when(F.median("coverage") <= 1.5, 0.5).otherwise(50.0).alias("threshold"))
     kept = c.join(F.broadcast(threshold), F.col("coverage") >= F.col("threshold"))
     return kept.groupBy("year").agg(F.count("*").alias("kept"), F.round(F.median("value"), 6).alias("med"))
