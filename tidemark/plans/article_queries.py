@@ -13,7 +13,7 @@ from tidemark.operators import evidence as V
 from tidemark.operators import names as M
 from tidemark.operators import series as S
 from tidemark.operators import verification as W
-from tidemark.plans.facts import table
+from tidemark.plans.facts import ordered_means, placed, table
 from tidemark.sources import documents as D
 
 QUERIES, SQL = {}, {}
@@ -52,9 +52,10 @@ SELECT supplier, 'rate of flag ' || flag AS indicator, CAST(printf('%.3f', CAST(
 )
 def attachment_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Evidence in the tables that pages of suppliers link to: by relative address, of the same host, as files of cells."""
-    lines = table(spark, sf_dir, "lineitem")
-    year = lambda y: F.coalesce(F.replace(F.format_string("%.2f", N.exact_round(F.avg(F.when(F.year("l_shipdate") == y, F.col("l_discount"))) * 100, 2)), F.lit("."), F.lit(",")), F.lit(".."))
-    rates = lines.groupBy(F.col("l_suppkey").alias("k"), "l_returnflag").agg(year(1999).alias("a"), year(2000).alias("b"))
+    lines = placed(spark, sf_dir, "lineitem")
+    year = lambda y: F.when(F.year("l_shipdate") == y, F.col("l_discount"))
+    shown = lambda c: F.coalesce(F.replace(F.format_string("%.2f", N.exact_round(F.col(c) * 100, 2)), F.lit("."), F.lit(",")), F.lit(".."))
+    rates = ordered_means(lines, [F.col("l_suppkey").alias("k"), F.col("l_returnflag")], a=year(1999), b=year(2000)).withColumns({"a": shown("a"), "b": shown("b")})
     row = _text('"rate of flag ', F.col("l_returnflag"), '";', F.col("a"), ";", F.col("b"))
     files = rates.groupBy("k").agg(F.array_join(F.array_sort(F.collect_list(row)), "\r\n").alias("body"))
     files = files.select(_text("https://stat.example.org/tables/", F.col("k"), ".csv").alias("path"), F.encode(_text("Share (%);1999;2000\r\n", F.col("body")), "UTF-8").alias("content"))
