@@ -7,6 +7,8 @@ values gives null.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,6 +16,11 @@ EPS = 1e-9
 MAD_TO_SD = 1.4826
 
 
+def bound(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once: within a lambda, or where it is named twice, Spark would compute it each time."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def at(values: Column, i: int) -> Column:
     """The i-th value from the front (0, 1 ...) or the back (-1, -2 ...); null beyond the ends."""
     return F.try_element_at(values, F.lit(i + 1 if i >= 0 else i))
@@ -43,11 +50,14 @@ def mean(values: Column) -> Column:
 
 def median(values: Column) -> Column:
     """Mean of the two middle values; null where none is known."""
-    ordered = F.array_sort(known(values))
-    n = F.size(ordered)
-    low = F.greatest(F.floor((n + 1) / 2), F.lit(1)).cast("int")
-    high = (F.floor(n / 2) + 1).cast("int")
-    return (F.try_element_at(ordered, low) + F.try_element_at(ordered, high)) / 2
+
+    def middle(ordered: Column) -> Column:
+        n = F.size(ordered)
+        low = F.greatest(F.floor((n + 1) / 2), F.lit(1)).cast("int")
+        high = (F.floor(n / 2) + 1).cast("int")
+        return (F.try_element_at(ordered, low) + F.try_element_at(ordered, high)) / 2
+
+    return bound(F.array_sort(known(values)), middle)
 
 
 def diffs(values: Column) -> Column:
@@ -68,31 +78,40 @@ def deviations(values: Column, centre: Column) -> Column:
 
 def mad(values: Column, scaled: bool = True) -> Column:
     """Median absolute deviation, by default scaled to a standard deviation."""
-    raw = median(deviations(values, median(values)))
+    raw = bound(values, lambda v: bound(median(v), lambda centre: median(deviations(v, centre))))
     return raw * MAD_TO_SD if scaled else raw
 
 
 def sd(values: Column) -> Column:
-    """Standard deviation of a population."""
-    centre = mean(values)
-    return F.sqrt(mean(F.transform(values, lambda x: (x - centre) * (x - centre))))
+    """Standard deviation of a population, by the running mean of Welford: the last bits are those of DuckDB's stddev_pop, which thresholds can turn on."""
+    none = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("squares"))
+
+    def add(s: Column, x: Column) -> Column:
+        step = lambda mean: F.struct((s["n"] + 1).alias("n"), mean.alias("mean"), (s["squares"] + (x - mean) * (x - s["mean"])).alias("squares"))
+        return bound(s["mean"] + (x - s["mean"]) / (s["n"] + 1), step)
+
+    return F.aggregate(known(values), none, add, lambda s: F.sqrt(F.try_divide(s["squares"], s["n"])))
 
 
 def robust_scale(values: Column, eps: float = EPS, guard_sd: bool = True) -> Column:
     """Scaled MAD, else the standard deviation, else 0; 0 below three known values."""
-    spread, deviation = mad(values), sd(values)
-    fallback = F.when(deviation > eps, deviation).otherwise(0.0) if guard_sd else deviation
-    return F.when(F.size(known(values)) < 3, 0.0).when(spread > eps, spread).otherwise(fallback)
+
+    def scale(v: Column) -> Column:
+        fallback = bound(sd(v), lambda x: F.when(x > eps, x).otherwise(0.0)) if guard_sd else sd(v)
+        return F.when(F.size(v) < 3, 0.0).otherwise(bound(mad(v), lambda spread: F.when(spread > eps, spread).otherwise(fallback)))
+
+    return bound(known(values), scale)
 
 
 def theil_sen(values: Column) -> Column:
     """Median of the slopes of all pairs of known values, by their places; null below two."""
-    n = F.size(values)
-    slopes = F.transform(
-        F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))),
-        lambda i: F.transform(F.sequence(i + 1, F.greatest(n, i + 1)), lambda j: (F.try_element_at(values, j) - F.try_element_at(values, i)) / (j - i)),
-    )
-    return F.when(n >= 2, median(F.flatten(slopes)))
+    placed = F.filter(F.transform(values, lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda p: p["x"].isNotNull() & ~F.isnan(p["x"]))
+
+    def slopes(p: Column) -> Column:
+        after = lambda a, k: F.transform(F.slice(p, k + 2, F.size(p)), lambda b: (b["x"] - a["x"]) / (b["i"] - a["i"]))
+        return F.flatten(F.transform(p, after))
+
+    return median(bound(placed, slopes))
 
 
 def residuals(values: Column, slope: Column) -> Column:
@@ -117,19 +136,26 @@ def ranks(values: Column) -> Column:
 
 def spearman_time(values: Column) -> Column:
     """Rank correlation with time; 0 for a constant series, and where a value is missing, as ranks then say nothing of time."""
-    n, ranked = F.size(values), ranks(values)
-    centred = F.transform(ranked, lambda r: r - (n + 1) / 2)
-    both = total(F.transform(centred, lambda r, i: r * (i - (n - 1) / 2)))
-    of_ranks = total(F.transform(centred, lambda r: r * r))
-    of_time = total(F.transform(centred, lambda r, i: (i - (n - 1) / 2) * (i - (n - 1) / 2)))
-    return F.when((F.size(known(values)) == n) & (of_ranks * of_time > 0), both / (F.sqrt(of_ranks) * F.sqrt(of_time))).otherwise(0.0)
+
+    def correlation(ranked: Column) -> Column:
+        n = F.size(ranked)
+        centred = F.transform(ranked, lambda r: r - (n + 1) / 2)
+        both = total(F.transform(centred, lambda r, i: r * (i - (n - 1) / 2)))
+        of_ranks = total(F.transform(centred, lambda r: r * r))
+        of_time = total(F.transform(centred, lambda r, i: (i - (n - 1) / 2) * (i - (n - 1) / 2)))
+        return F.when(of_ranks * of_time > 0, both / (F.sqrt(of_ranks) * F.sqrt(of_time))).otherwise(0.0)
+
+    return F.when(F.size(known(values)) == F.size(values), bound(ranks(values), correlation)).otherwise(0.0)
 
 
 def dominance(values: Column) -> Column:
     """Share of differences that have the sign of their median."""
-    steps = diffs(values)
-    sign = F.signum(median(steps))
-    return F.size(F.filter(steps, lambda d: F.signum(d) == sign)) / F.size(steps)
+
+    def share(steps: Column) -> Column:
+        agreeing = lambda sign: F.size(F.filter(steps, lambda d: F.signum(d) == sign))
+        return bound(F.signum(median(steps)), agreeing) / F.size(steps)
+
+    return bound(diffs(values), share)
 
 
 def trailing_run(years: Column) -> Column:
