@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.functions.arrays import bound
+
 # Tokens that stand for a missing number.
 MISSING = ["", "-", "—", ":", "..", "....", "n.d.", "n/a"]
 
@@ -13,12 +15,12 @@ _PLAIN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 def _double(text: Column) -> Column:
     """Cast of what is a plain number; words that Java takes for one ("NaN", "5d") are none."""
-    return F.when(text.rlike(_PLAIN), text.try_cast("double"))
+    return bound(text, lambda t: F.when(t.rlike(_PLAIN), t.try_cast("double")))
 
 
 def _token(text: Column) -> Column:
     trimmed = F.trim(F.regexp_replace(text, "[\\u00a0\\s]+", " "))
-    return F.when(F.lower(trimmed).isin(MISSING), None).otherwise(trimmed)
+    return bound(trimmed, lambda t: F.when(F.lower(t).isin(MISSING), None).otherwise(t))
 
 
 def dotted_thousands(text: Column) -> Column:
@@ -28,24 +30,27 @@ def dotted_thousands(text: Column) -> Column:
 
 def inferred_separators(text: Column) -> Column:
     """The rightmost of dot and comma is decimal where both occur; a lone comma is decimal; other characters go."""
-    kept = F.regexp_replace(_token(text), "[^0-9,.+\\-]", "")
-    dot, comma = F.instr(F.reverse(kept), "."), F.instr(F.reverse(kept), ",")
-    italian = F.replace(F.replace(kept, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
-    english = F.replace(kept, F.lit(","), F.lit(""))
-    return _double(F.when((comma > 0) & ((dot == 0) | (comma < dot)), italian).when((comma > 0) & (dot > 0), english).otherwise(kept))
+
+    def number(kept: Column) -> Column:
+        dot, comma = F.instr(F.reverse(kept), "."), F.instr(F.reverse(kept), ",")
+        italian = F.replace(F.replace(kept, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
+        english = F.replace(kept, F.lit(","), F.lit(""))
+        return F.when((comma > 0) & ((dot == 0) | (comma < dot)), italian).when((comma > 0) & (dot > 0), english).otherwise(kept)
+
+    return _double(bound(F.regexp_replace(_token(text), "[^0-9,.+\\-]", ""), number))
 
 
 def percent_or_number(text: Column) -> Column:
     """Drops % and spaces; the comma is decimal only where there is no dot."""
-    kept = F.regexp_replace(_token(text), "[%\\s]", "")
-    return _double(F.when(F.instr(kept, ".") == 0, F.replace(kept, F.lit(","), F.lit("."))).otherwise(F.replace(kept, F.lit(","), F.lit(""))))
+    number = lambda kept: F.when(F.instr(kept, ".") == 0, F.replace(kept, F.lit(","), F.lit("."))).otherwise(F.replace(kept, F.lit(","), F.lit("")))
+    return _double(bound(F.regexp_replace(_token(text), "[%\\s]", ""), number))
 
 
 def strict_percent(text: Column) -> Column:
     """A number of up to three digits and two decimals from 0 to 100, with or without %."""
     token = _token(text)
     value = _double(F.replace(F.regexp_extract(token, r"^([+-]?\d{1,3}(?:[.,]\d{1,2})?)\s*%?$", 1), F.lit(","), F.lit(".")))
-    return F.when(value.between(0, 100), value)
+    return bound(value, lambda v: F.when(v.between(0, 100), v))
 
 
 def year_token(text: Column) -> Column:
