@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.functions.arrays import bound
 from tidemark.functions.text import anchors, host
 
 #: The expression of the RFC's appendix B.
@@ -28,22 +29,23 @@ def parts(address: Column) -> Column:
 
 def without_dots(path: Column) -> Column:
     """A path whose segments . and .. have been followed; .. does not leave the root."""
-    segments = F.split(path, "/", -1)
-    last = F.size(segments) - 1
 
-    def follow(done: Column, at: Column) -> Column:
-        segment = F.get(segments, at)
+    def follow(done: Column, segment: Column, at_end: Column) -> Column:
         up = F.when((F.size(done) > 1) | ((F.size(done) == 1) & (F.get(done, F.lit(0)) != "")), F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))).otherwise(done)
         kept = F.when(segment == ".", done).when(segment == "..", up).otherwise(F.concat(done, F.array(segment)))
-        return F.when((at == last) & segment.isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+        return F.when(at_end & segment.isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
 
     empty = F.array().cast("array<string>")
-    return F.array_join(F.aggregate(F.sequence(F.lit(0), last), empty, follow), "/")
+    places = lambda s: F.transform(s, lambda x, i: F.struct(x.alias("x"), (i == F.size(s) - 1).alias("at_end")))
+    return F.array_join(F.aggregate(bound(F.split(path, "/", -1), places), empty, lambda done, s: follow(done, s["x"], s["at_end"])), "/")
 
 
 def resolved(base: Column, reference: Column) -> Column:
     """The address that a reference on a page of address ``base`` means; null where either is null."""
-    b, r = parts(base), parts(F.trim(reference))
+    return F.when(base.isNotNull() & reference.isNotNull(), bound(parts(base), lambda b: bound(parts(F.trim(reference)), lambda r: _resolved(b, r))))
+
+
+def _resolved(b: Column, r: Column) -> Column:
     merged = F.when(b["authority"].isNotNull() & (b["path"] == ""), F.concat(F.lit("/"), r["path"])).otherwise(F.concat(F.regexp_replace(b["path"], "[^/]*$", ""), r["path"]))
     own = r["scheme"].isNotNull() | r["authority"].isNotNull()
     path = (
@@ -54,10 +56,7 @@ def resolved(base: Column, reference: Column) -> Column:
     query = F.when(own | (r["path"] != ""), r["query"]).otherwise(F.coalesce(r["query"], b["query"]))
     after = lambda mark, part: F.when(part.isNotNull(), F.concat(F.lit(mark), part)).otherwise("")
     scheme, authority = F.coalesce(r["scheme"], b["scheme"]), F.when(own, r["authority"]).otherwise(b["authority"])
-    return F.when(
-        base.isNotNull() & reference.isNotNull(),
-        F.concat(F.when(scheme.isNotNull(), F.concat(scheme, F.lit(":"))).otherwise(""), after("//", authority), path, after("?", query), after("#", r["fragment"])),
-    )
+    return F.concat(F.when(scheme.isNotNull(), F.concat(scheme, F.lit(":"))).otherwise(""), after("//", authority), path, after("?", query), after("#", r["fragment"]))
 
 
 def page_links(html: Column, base: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.functions.arrays import bound
+
 # Fixed values of the radar's vocabulary.
 STAT_TERMS = [
     "dato", "dati", "statistica", "statistiche", "rapporto", "osservatorio", "indagine", "rilevazione", "percento", "%", "aumento", "calo",
@@ -42,7 +44,8 @@ EDITORIAL = [
     "decreto scuola", "sarà a industria italiana summit", "summit 2026",
 ]
 ACCENTED, PLAIN = "àáâäãèéêëìíîïòóôöõùúûüçñ", "aaaaaeeeeiiiiooooouuuucn"
-_NUMBERS = r"(?U)((?<!\w)[+-]?(?:20\d{2}|\d{1,3}(?:[\.,]\d+)?)\s*(?:%|milioni|miliardi|mila)?)"
+# The sign or digit is looked for first: what a word is costs more to tell.
+_NUMBERS = r"(?U)((?=[+\-\d])(?<!\w)[+-]?(?:20\d{2}|\d{1,3}(?:[\.,]\d+)?)\s*(?:%|milioni|miliardi|mila)?)"
 
 
 def _listed(words: list[str]) -> Column:
@@ -50,7 +53,12 @@ def _listed(words: list[str]) -> Column:
 
 
 def _any(text: Column, words: list[str]) -> Column:
-    return F.exists(_listed(words), lambda w: F.contains(text, w))
+    return bound(text, lambda t: F.exists(_listed(words), lambda w: F.contains(t, w)))
+
+
+def term_score(text: Column) -> Column:
+    """Five for each statistical term that occurs in a lower-case text, 35 at most."""
+    return F.least(F.lit(35), 5 * bound(text, lambda t: F.size(F.filter(_listed(STAT_TERMS), lambda w: F.contains(t, w)))))
 
 
 def collapsed(text: Column) -> Column:
@@ -98,24 +106,27 @@ def number_core(token: Column) -> Column:
 
 def number_variants(token: Column) -> Column:
     """Spellings of a number: comma and dot exchanged, thousands with and without a mark."""
-    core = number_core(token)
-    joined = F.when(core.rlike(r"^\d{1,3}[.,]\d{3}$"), F.regexp_replace(core, "[.,]", ""))
-    every = F.array(core, F.replace(core, F.lit(","), F.lit(".")), F.replace(core, F.lit("."), F.lit(",")), joined)
-    return F.filter(F.array_distinct(F.array_compact(every)), lambda v: v != "")
-
-
-def candidate_score(text: Column) -> Column:
-    """How much a text looks like statistics news, 0 to 100."""
-    low = F.lower(text)
-    terms = F.size(F.filter(_listed(STAT_TERMS), lambda t: F.contains(low, t)))
-    return F.least(
-        F.lit(100),
-        F.least(F.lit(35), terms * 5)
-        + F.least(F.lit(30), F.size(numbers(text)) * 6)
-        + F.when(low.rlike(r"(?U)\b(20\d{2}|\d{1,2}[\.,]\d+\s*%\b)"), 10).otherwise(0)
-        + F.when(_any(low, RECORD_WORDS), 15).otherwise(0)
-        + F.when(_any(low, GEO), 5).otherwise(0),
-    )
+
+    def every(core: Column) -> Column:
+        joined = F.when(core.rlike(r"^\d{1,3}[.,]\d{3}$"), F.regexp_replace(core, "[.,]", ""))
+        return F.array(core, F.replace(core, F.lit(","), F.lit(".")), F.replace(core, F.lit("."), F.lit(",")), joined)
+
+    return F.filter(F.array_distinct(F.array_compact(bound(number_core(token), every))), lambda v: v != "")
+
+
+def candidate_score(text: Column, found: Column | None = None) -> Column:
+    """How much a text looks like statistics news, 0 to 100; ``found`` are its numbers, where they are known already."""
+    figures = F.size(numbers(text) if found is None else found)
+
+    def points(low: Column) -> Column:
+        return (
+            term_score(low)
+            + F.when(low.rlike(r"(?U)(?=\d)\b(20\d{2}|\d{1,2}[\.,]\d+\s*%\b)"), 10).otherwise(0)
+            + F.when(_any(low, RECORD_WORDS), 15).otherwise(0)
+            + F.when(_any(low, GEO), 5).otherwise(0)
+        )
+
+    return F.least(F.lit(100), bound(F.lower(text), points) + F.least(F.lit(30), figures * 6))
 
 
 def title_keywords(title: Column) -> Column:
@@ -126,11 +137,15 @@ def title_keywords(title: Column) -> Column:
 
 def topic(text: Column) -> Column:
     """The first topic of which a word occurs."""
-    low, out = F.lower(text), None
-    for name, words in TOPICS.items():
-        hit = _any(low, words)
-        out = F.when(hit, name) if out is None else out.when(hit, name)
-    return out.otherwise("ALTRO")
+
+    def first(low: Column) -> Column:
+        out = None
+        for name, words in TOPICS.items():
+            hit = _any(low, words)
+            out = F.when(hit, name) if out is None else out.when(hit, name)
+        return out.otherwise("ALTRO")
+
+    return bound(F.lower(text), first)
 
 
 # How a topic is named in a headline.
@@ -151,9 +166,9 @@ def headline(subject: Column, where: Column, figures: Column) -> Column:
 
 def places(text: Column) -> Column:
     """Places that stand in the text as whole words, sorted, twelve at most."""
-    low = F.lower(text)
-    hits = (F.when(low.rlike(r"(?U)(?<!\w)" + g.replace(".", r"\.") + r"(?!\w)"), F.lit(g)) for g in sorted(GEO))
-    return F.slice(F.array_compact(F.array(*hits)), 1, 12)
+    whole = lambda low, g: F.contains(low, F.lit(g)) & low.rlike(r"(?U)(?<!\w)" + g.replace(".", r"\.") + r"(?!\w)")
+    hits = lambda low: F.array(*(F.when(whole(low, g), F.lit(g)) for g in sorted(GEO)))
+    return F.slice(F.array_compact(bound(F.lower(text), hits)), 1, 12)
 
 
 def is_editorial(title: Column) -> Column:
@@ -167,8 +182,8 @@ def host(url: Column) -> Column:
 
 def host_suffixes(name: Column) -> Column:
     """The host and every domain above it: a suffix match becomes an equi join."""
-    parts = F.split(name, r"\.")
-    return F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts), F.lit(1))), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
+    ends = lambda parts: F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts), F.lit(1))), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
+    return bound(F.split(name, r"\."), ends)
 
 
 def canonical_url(url: Column) -> Column:

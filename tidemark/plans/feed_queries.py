@@ -263,9 +263,8 @@ SELECT doc_id, least(35, terms * 5) AS term_score, geo, rec FROM n"""
 )
 def candidate_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.lower(F.coalesce("text", F.lit("")))
-    terms = F.size(F.filter(T._listed(T.STAT_TERMS), lambda w: F.contains(t, w)))
     docs = table(spark, sf_dir, "documents")
-    return docs.select("doc_id", F.least(F.lit(35), terms * 5).cast("long").alias("term_score"), T._any(t, T.GEO).alias("geo"), T._any(t, T.RECORD_WORDS).alias("rec"))
+    return docs.select("doc_id", T.term_score(t).cast("long").alias("term_score"), T._any(t, T.GEO).alias("geo"), T._any(t, T.RECORD_WORDS).alias("rec"))
 
 
 _TOPIC_SQL = " ".join(
@@ -316,11 +315,10 @@ def headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def story_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint, semantic key and scores of each page as a story; no SQL, since its number pattern looks behind: a test holds it against a plain version."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", F.regexp_extract("html", "<h1>(.*?)</h1>", 1).alias("title"), T.html_text(F.col("html")).alias("body"))
-    found = T.numbers(F.col("body"))
-    subject = T.topic(F.col("body"))
-    return pages.select(
+    found, subject = F.col("found"), F.col("subject")
+    return pages.withColumns({"found": T.numbers(F.col("body")), "subject": T.topic(F.col("body"))}).select(
         "page_id", T.fingerprint(F.col("url"), F.col("title"), subject, found).alias("story"), T.semantic_key(F.col("title"), subject, found).alias("semantic"),
-        T.candidate_score(F.col("body")).alias("score"), T.places(F.col("body")).alias("places"),
+        T.candidate_score(F.col("body"), found).alias("score"), T.places(F.col("body")).alias("places"),
     )
 
 
