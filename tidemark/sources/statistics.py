@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.arrays import bound
+
 _VALUE = "struct<_id:string,_value:string>"
 _SERIES = (
     f"struct<SeriesKey:struct<Value:array<{_VALUE}>>,Attributes:struct<Value:array<{_VALUE}>>,"
@@ -137,12 +139,12 @@ def rss_items(feeds: DataFrame, content: str = "text", most: int | None = 18) ->
     trimmed = lambda text: F.regexp_replace(F.coalesce(text, F.lit("")), r"^\s+|\s+$", "")
 
     def item(xml: Column) -> Column:
-        read = F.from_xml(_without_prefixes(xml), fields)
         names = (("title", "title"), ("link", "url"), ("description", "summary"), ("pubDate", "published_raw"))
-        return F.struct(*(trimmed(read[x]).alias(y) for x, y in names))
+        return bound(F.from_xml(_without_prefixes(xml), fields), lambda read: F.struct(*(trimmed(read[x]).alias(y) for x, y in names)))
 
     good = F.filter(F.transform(items, item), lambda i: (i["title"] != "") & (i["url"] != ""))
-    rows = feeds.select(*rest, F.posexplode(good if most is None else F.slice(good, 1, most)).alias("_n", "_i"))
+    kept = feeds.select(*rest, good.alias("_good"))
+    rows = kept.select(*rest, F.posexplode(F.col("_good") if most is None else F.slice("_good", 1, most)).alias("_n", "_i"))
     return rows.select(*rest, F.col("_n").alias("n"), *(F.col(f"_i.{c}").alias(c) for c in ("title", "url", "summary", "published_raw")))
 
 
