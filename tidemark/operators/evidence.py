@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.arrays import bound
 from tidemark.functions.numbers import exact_round, strict_percent, year_token
 
 # Phrases that tell of a break in a series, in lower case.
@@ -128,10 +129,12 @@ def verify_claims(claims: DataFrame, documents: DataFrame) -> DataFrame:
     from tidemark.functions.text import number_variants
 
     text = F.lower(F.col("text"))
-    found = F.filter("numbers", lambda n: ~n.rlike(r"^20\d{2}$") & F.exists(number_variants(n), lambda v: F.contains(text, v)))
-    words = F.filter("keywords", lambda w: F.contains(text, w))
-    rows = claims.join(documents, "doc").withColumns({"matched_numbers": found, "matched_keywords": F.array_distinct(words)})
-    score = F.when(F.size("matched_numbers") > 0, 40).otherwise(0) + F.least(F.lit(40), 8 * F.size("matched_keywords")) + F.when(F.col("trusted"), 15).otherwise(0)
-    return rows.select("claim", "doc", "matched_numbers", "matched_keywords", score.alias("verification_score")).withColumn(
-        "verified", (F.col("verification_score") >= 55) & (F.size("matched_numbers") > 0)
-    )
+    found = bound(text, lambda t: F.filter("numbers", lambda n: ~n.rlike(r"^20\d{2}$") & F.exists(number_variants(n), lambda v: F.contains(t, v))))
+    words = bound(text, lambda t: F.filter("keywords", lambda w: F.contains(t, w)))
+
+    def told(m: Column) -> Column:
+        score = F.when(F.size(m["n"]) > 0, 40).otherwise(0) + F.least(F.lit(40), 8 * F.size(m["k"])) + F.when(F.col("trusted"), 15).otherwise(0)
+        return F.struct(m["n"].alias("matched_numbers"), m["k"].alias("matched_keywords"), score.alias("verification_score"), ((score >= 55) & (F.size(m["n"]) > 0)).alias("verified"))
+
+    matched = F.struct(found.alias("n"), F.array_distinct(words).alias("k"))
+    return claims.join(documents, "doc").select("claim", "doc", bound(matched, told).alias("_told")).select("claim", "doc", "_told.*")

@@ -30,11 +30,11 @@ def settled(claims: DataFrame, candidates: DataFrame, pages: DataFrame) -> DataF
     ``claims`` (claim, numbers, keywords), ``candidates`` (claim, place, url, trusted) in order of place, ``pages``
     (url, text). Candidates whose page is unknown or has no text do not hold.
     """
-    tried = candidates.join(claims, "claim").select("claim", F.col("url").alias("doc"), "numbers", "keywords", "trusted")
-    found = V.verify_claims(tried.distinct(), pages.where("text is not null").select(F.col("url").alias("doc"), "text")).where("verified")
-    found = found.select("claim", F.col("doc").alias("url"), "verification_score", "matched_numbers", "matched_keywords")
-    hit = F.struct("place", "url", "verification_score", "matched_numbers", "matched_keywords").alias("hit")
-    best = candidates.select("claim", "place", "url").join(found, ["claim", "url"]).select("claim", hit)
+    first = candidates.groupBy("claim", "url").agg(F.min("place").alias("place"), F.collect_set(F.coalesce("trusted", F.lit(False))).alias("t"))
+    tried = first.join(claims, "claim").select(F.struct("claim", "place").alias("claim"), F.col("url").alias("doc"), "numbers", "keywords", F.explode("t").alias("trusted"))
+    found = V.verify_claims(tried, pages.where("text is not null").select(F.col("url").alias("doc"), "text")).where("verified")
+    hit = F.struct("claim.place", F.col("doc").alias("url"), "verification_score", "matched_numbers", "matched_keywords").alias("hit")
+    best = found.select("claim.claim", hit)
     return best.groupBy("claim").agg(F.min("hit").alias("hit")).select("claim", "hit.*")
 
 
@@ -44,7 +44,8 @@ def in_stages(claims: DataFrame, stages: list[Stage], pages: DataFrame) -> tuple
     Null claims and claims that no stage settles are in neither. Repeated claims are settled once.
     """
     spark = claims.sparkSession
-    open_, found, done = claims.where("claim is not null").dropDuplicates(["claim"]), None, []
+    open_, found, done = written(claims.where("claim is not null").dropDuplicates(["claim"]), "open-1"), None, []
+    pages = written(pages, "pages")
     for number, (method, candidates) in enumerate(stages, 1):
         brought = written(candidates(open_).select("claim", F.col("place").cast("long").alias("place"), "url", "trusted").join(open_.select("claim"), "claim", "left_semi"), f"candidates-{number}")
         part = settled(open_, brought, pages).withColumns({"stage": F.lit(number), "method": F.lit(method)})
@@ -52,7 +53,8 @@ def in_stages(claims: DataFrame, stages: list[Stage], pages: DataFrame) -> tuple
         counts = open_.count(), brought.select("claim").distinct().count(), part.count()
         done.append((number, method, *counts))
         found = part if found is None else found.unionByName(part)
-        open_ = open_.join(part.select("claim"), "claim", "left_anti")
+        if number < len(stages):
+            open_ = written(open_.join(part.select("claim"), "claim", "left_anti"), f"open-{number + 1}")
     return found, spark.createDataFrame(done, "stage int, method string, open long, tried long, settled long")
 
 
@@ -90,6 +92,7 @@ def trusted_hosts(candidates: DataFrame, domains: DataFrame) -> DataFrame:
     """Candidates with ``trusted``: whether their host is one of the ``domains`` or lies below it."""
     from tidemark.functions.text import host_suffixes
 
-    named = candidates.withColumn("_d", F.explode(host_suffixes(host(F.col("url")))))
-    known = named.join(domains.select(F.col("domain").alias("_d")).distinct(), "_d", "left_semi").select("claim", "url").distinct()
-    return candidates.join(known.withColumn("trusted", F.lit(True)), ["claim", "url"], "left").withColumn("trusted", F.coalesce("trusted", F.lit(False)))
+    named = candidates.withColumn("_host", host(F.col("url")))
+    hosts = named.select("_host").distinct().withColumn("_d", F.explode(host_suffixes(F.col("_host"))))
+    known = hosts.join(domains.select(F.col("domain").alias("_d")).distinct(), "_d", "left_semi").select("_host").distinct()
+    return named.join(known.withColumn("trusted", F.lit(True)), "_host", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False))).drop("_host")

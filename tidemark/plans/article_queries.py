@@ -13,7 +13,7 @@ from tidemark.operators import evidence as V
 from tidemark.operators import names as M
 from tidemark.operators import series as S
 from tidemark.operators import verification as W
-from tidemark.plans.facts import ordered_means, placed, table
+from tidemark.plans.facts import ordered_means, placed, table, written
 from tidemark.sources import documents as D
 
 QUERIES, SQL = {}, {}
@@ -146,7 +146,7 @@ SELECT claim, stage, ['{_STAGES[0]}', '{_STAGES[1]}', '{_STAGES[2]}'][stage] AS
 def article_verification(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Claims settled in three stages, with the series of their page's attachment unless a bulletin tells of a break."""
     found, _, pages = _resolved(spark, sf_dir)
-    own = pages.join(found.select("url"), "url", "left_semi")
+    own = written(pages.join(found.select("url"), "url", "left_semi"), "settled-pages")
     folder = F.regexp_replace("url", "[^/]*$", "")
     bulletins = own.select(F.concat(folder, F.lit("series-break.json")).alias("url"), F.lit('{"notes": "methodological break"}').alias("content"))
     share = F.pmod("o_custkey", F.lit(80))
