@@ -124,3 +124,28 @@ def test_an_item_is_parsed_once(spark):
     found = X.rss_items(feeds, most=2)
     assert [(r["n"], r["title"], r["url"], r["summary"]) for r in found.collect()] == [(0, "a", "b", "")]
     assert found._jdf.queryExecution().analyzed().toString().lower().count("from_xml(") == 1
+
+
+def test_documents_are_parsed_once(spark):
+    """A condition on what is parsed must not parse again: neither one that Spark infers nor one that it moves."""
+    rows = spark.createDataFrame([(1, "{}")], "id int, text string").repartition(2)
+    for reader in (X.json_stat,):
+        plan = reader(rows)._jdf.queryExecution().optimizedPlan().toString()
+        filters = [line for line in plan.splitlines() if line.lstrip(" :+-").startswith("Filter")]
+        assert not [line for line in filters if "from_json" in line or "from_xml" in line or "regexp_extract_all" in line], reader.__name__
+
+
+def test_json_stat_labels_by_place(spark):
+    """Places with gaps and places that two labels share; values as a list and as an object, and neither."""
+    index = '"dimension":{"a":{"category":{"index":{"x":1,"y":1,"w":null,"z":2}}},"b":{"category":{"index":{"q":1,"p":0}}}}'
+    docs = [
+        (1, '{"id":["a","b"],"size":[3,2],"value":[1,null,2,3.5,null,4],' + index + "}"),
+        (2, '{"id":["a","b"],"size":[3,2],"value":{"5":7,"x":8,"2":null},' + index + "}"),
+        (3, '{"id":["a","b"],"size":[3,2],"value":9,' + index + "}"),
+        (4, '{"id":["a"],"value":[1'),
+    ]
+    found = {(r["id"], r["value"]): r["coords"] for r in X.json_stat(spark.createDataFrame(docs, "id int, text string")).collect()}
+    assert found == {
+        (1, 1.0): {"a": None, "b": "p"}, (1, 2.0): {"a": "x", "b": "p"}, (1, 3.5): {"a": "x", "b": "q"}, (1, 4.0): {"a": "z", "b": "q"},
+        (2, 7.0): {"a": "z", "b": "q"},
+    }

@@ -1,4 +1,8 @@
-"""Statistical exchange formats as DataFrames: SDMX in XML, CSV and JSON, JSON-stat cubes, and RSS."""
+"""Statistical exchange formats as DataFrames: SDMX in XML, CSV and JSON, JSON-stat cubes, and RSS.
+
+What is parsed passes ``explode_outer`` before any condition on it: Spark tests before an ``explode`` whether there is an element, and
+moves conditions below what they test, and would parse each document once more for that.
+"""
 
 from __future__ import annotations
 
@@ -106,26 +110,44 @@ def sdmx_json_flat(documents: DataFrame, content: str = "text") -> DataFrame:
 
 
 def json_stat(documents: DataFrame, content: str = "text") -> DataFrame:
-    """(…, coords map, value) of every cell of a JSON-stat cube: row-major places to coordinates by strides."""
+    """(…, coords map, value) of every cell of a JSON-stat cube: row-major places to coordinates by strides.
+
+    A document is read once, its values as the text that stands there: only then is known whether they are a list or an object.
+    Strides, and the labels of each dimension in the order of their places, are made once a cube.
+    """
     rest = [c for c in documents.columns if c != content]
-    shape = "struct<id:array<string>,size:array<int>,value:map<string,double>,dimension:map<string,struct<category:struct<index:map<string,int>>>>>"
-    text = F.col(content)
-    listed = F.from_json(text, "struct<value:array<double>>")["value"]
-    cube = documents.select(*rest, F.from_json(text, shape).alias("_d"), listed.alias("_listed"))
-    flat = F.coalesce(
-        F.transform("_listed", lambda v, i: F.struct(i.alias("i"), v.alias("v"))),
-        F.transform(F.map_entries("_d.value"), lambda e: F.struct(e["key"].try_cast("int").alias("i"), e["value"].alias("v"))),
+    shape = "struct<id:array<string>,size:array<int>,value:string,dimension:map<string,struct<category:struct<index:map<string,int>>>>>"
+    cube = documents.select(*rest, F.from_json(content, shape).alias("_d"))
+    given = F.col("_d.value")
+    read = lambda kind: F.from_json(F.concat(F.lit('{"v":'), given, F.lit("}")), f"struct<v:{kind}>")["v"]
+    flat = F.when(given.startswith("["), F.transform(read("array<double>"), lambda v, i: F.struct(i.alias("i"), v.alias("v")))).when(
+        given.startswith("{"), F.transform(F.map_entries(read("map<string,double>")), lambda e: F.struct(e["key"].try_cast("int").alias("i"), e["value"].alias("v")))
     )
-    cells = cube.select(*rest, "_d", F.explode(flat).alias("_cell")).where("_cell.i is not null and _cell.v is not null")
     sizes = F.col("_d.size")
     stride = lambda k: F.aggregate(F.slice(sizes, k + 2, F.size(sizes)), F.lit(1).cast("bigint"), lambda a, s: a * s)
-    place = lambda k: F.pmod(F.floor(F.col("_cell.i") / stride(k)), F.element_at(sizes, k + 1).cast("bigint")).cast("int")
 
-    def entry(name: Column, k: Column) -> Column:
-        index = F.map_entries(F.col("_d.dimension")[name]["category"]["index"])
-        return F.struct(name.alias("k"), F.get(F.filter(index, lambda e: e["value"] == place(k)), F.lit(0))["key"].alias("v"))
+    def labels(name: Column) -> Column:
+        """The labels of a dimension by place, of several with the same one the first."""
+        index = F.filter(F.map_entries(F.col("_d.dimension")[name]["category"]["index"]), lambda e: e["value"].isNotNull())
+        in_order = F.sort_array(F.transform(index, lambda e, i: F.struct(e["value"].alias("place"), i.alias("i"), e["key"].alias("label"))))
+        return bound(in_order, lambda o: F.filter(o, lambda e, i: (i == 0) | (F.get(o, i - 1)["place"] != e["place"])))
+
+    def dimension(name: Column, k: Column) -> Column:
+        return F.struct(name.alias("name"), stride(k).alias("stride"), F.element_at(sizes, k + 1).cast("bigint").alias("size"), labels(name).alias("labels"))
+
+    shaped = cube.select(*rest, F.transform("_d.id", dimension).alias("_dims"), F.filter(flat, lambda c: c["i"].isNotNull() & c["v"].isNotNull()).alias("_flat"))
+    cells = shaped.select(*rest, "_dims", F.explode_outer("_flat").alias("_cell")).where("_cell is not null")
+
+    def label(found: Column, place: Column) -> Column:
+        """Places mostly run from 0 without a gap; where not, the label is searched."""
+        here = F.get(found, place)
+        return F.when(here["place"] == place, here["label"]).otherwise(F.get(F.filter(found, lambda e: e["place"] == place), F.lit(0))["label"])
+
+    def entry(d: Column) -> Column:
+        place = F.pmod(F.floor(F.col("_cell.i") / d["stride"]), d["size"]).cast("int")
+        return F.struct(d["name"].alias("k"), bound(place, lambda p: label(d["labels"], p)).alias("v"))
 
-    return cells.select(*rest, F.map_from_entries(F.transform("_d.id", entry)).alias("coords"), F.col("_cell.v").alias("value"))
+    return cells.select(*rest, F.map_from_entries(F.transform("_dims", entry)).alias("coords"), F.col("_cell.v").alias("value"))
 
 
 def rss_items(feeds: DataFrame, content: str = "text", most: int | None = 18) -> DataFrame:
