@@ -129,7 +129,7 @@ def test_an_item_is_parsed_once(spark):
 def test_documents_are_parsed_once(spark):
     """A condition on what is parsed must not parse again: neither one that Spark infers nor one that it moves."""
     rows = spark.createDataFrame([(1, "{}")], "id int, text string").repartition(2)
-    for reader in (X.json_stat,):
+    for reader in (X.sdmx_json_indexed, X.json_stat):
         plan = reader(rows)._jdf.queryExecution().optimizedPlan().toString()
         filters = [line for line in plan.splitlines() if line.lstrip(" :+-").startswith("Filter")]
         assert not [line for line in filters if "from_json" in line or "from_xml" in line or "regexp_extract_all" in line], reader.__name__

@@ -80,21 +80,33 @@ _INDEXED = (
 
 
 def sdmx_json_indexed(documents: DataFrame, content: str = "text") -> DataFrame:
-    """(…, dims map, period, value) of SDMX-JSON whose keys index its structure; keys that do not resolve are left out."""
+    """(…, dims map, period, value) of SDMX-JSON whose keys index its structure; keys that do not resolve are left out.
+
+    Keys are resolved where their document is, so that its structure is not copied for each of its observations.
+    """
     rest = [c for c in documents.columns if c != content]
     doc = documents.select(*rest, F.from_json(content, _INDEXED).alias("_d"))
     dims = F.col("_d.structure.dimensions.series")
     times = F.col("_d.structure.dimensions.observation")
-    doc = doc.where((F.size(dims) > 0) & (F.size(times) == 1) & times[0]["id"].isin(TIME_KEYS))
-    rows = doc.select(*rest, dims.alias("_dims"), times[0]["values"].alias("_times"), F.col("_d.dataflow").alias("_flow"), F.explode("_d.dataSets").alias("_set"))
-    rows = rows.select(*rest, "_dims", "_times", "_flow", F.explode("_set.series").alias("_key", "_s"))
-    places = F.transform(F.split("_key", ":"), lambda p: p.try_cast("int"))
-    names = F.zip_with("_dims", places, lambda d, p: F.struct(d["id"].alias("k"), F.get(d["values"], p)["id"].alias("v")))
-    rows = rows.where(F.size(places) == F.size("_dims")).withColumn("_names", names).where(F.forall("_names", lambda n: n["v"].isNotNull()))
-    own = F.map_from_entries("_names")
-    flow = F.map_filter(F.create_map(F.lit("DATAFLOW"), F.col("_flow")), lambda k, v: v.isNotNull() & ~F.map_contains_key(own, "DATAFLOW"))
-    rows = rows.select(*rest, F.map_concat(own, flow).alias("dims"), "_times", F.explode("_s.observations").alias("_o", "_raw"))
-    return rows.select(*rest, "dims", F.get("_times", F.col("_o").try_cast("int"))["id"].alias("period"), F.get("_raw", F.lit(0)).alias("value")).where("period is not null")
+    flow = F.map_filter(F.create_map(F.lit("DATAFLOW"), F.col("_d.dataflow")), lambda k, v: v.isNotNull())
+
+    def named(names: Column, raw: Column) -> Column:
+        whole = (F.size(names) == F.size(dims)) & F.forall(names, lambda n: n["v"].isNotNull())
+        own = bound(F.map_from_entries(names), lambda m: F.map_concat(m, F.map_filter(flow, lambda k, v: ~F.map_contains_key(m, k))))
+        return F.when(whole, F.struct(own.alias("dims"), raw.alias("raw")))
+
+    def series(key: Column, observations: Column) -> Column:
+        name = lambda p, i: bound(F.get(dims, i), lambda d: F.struct(d["id"].alias("k"), F.get(d["values"], p.try_cast("int"))["id"].alias("v")))
+        return bound(F.transform(F.split(key, ":"), name), lambda names: named(names, observations))
+
+    some = lambda values: F.filter(values, lambda v: v.isNotNull())
+    found = F.transform(some(F.col("_d.dataSets")), lambda s: some(F.transform(F.map_entries(s["series"]), lambda e: series(e["key"], e["value"]["observations"]))))
+    dated = lambda raw: F.transform(F.map_entries(raw), lambda o: F.struct(F.get(times[0]["values"], o["key"].try_cast("int"))["id"].alias("period"), F.get(o["value"], F.lit(0)).alias("value")))
+    kept = lambda x: F.struct(x["dims"].alias("dims"), F.filter(dated(x["raw"]), lambda o: o["period"].isNotNull()).alias("found"))
+    readable = (F.size(dims) > 0) & (F.size(times) == 1) & times[0]["id"].isin(TIME_KEYS)
+    rows = doc.select(*rest, F.explode_outer(F.when(readable, F.transform(F.flatten(some(found)), kept))).alias("_s"))
+    rows = rows.select(*rest, F.col("_s.dims").alias("dims"), F.explode_outer("_s.found").alias("_o")).where("_o is not null")
+    return rows.select(*rest, "dims", "_o.period", "_o.value")
 
 
 def sdmx_json_flat(documents: DataFrame, content: str = "text") -> DataFrame:
