@@ -129,7 +129,7 @@ def test_an_item_is_parsed_once(spark):
 def test_documents_are_parsed_once(spark):
     """A condition on what is parsed must not parse again: neither one that Spark infers nor one that it moves."""
     rows = spark.createDataFrame([(1, "{}")], "id int, text string").repartition(2)
-    for reader in (X.sdmx_json_indexed, X.json_stat):
+    for reader in (X.sdmx_xml, X.sdmx_json_indexed, X.json_stat):
         plan = reader(rows)._jdf.queryExecution().optimizedPlan().toString()
         filters = [line for line in plan.splitlines() if line.lstrip(" :+-").startswith("Filter")]
         assert not [line for line in filters if "from_json" in line or "from_xml" in line or "regexp_extract_all" in line], reader.__name__
@@ -149,3 +149,10 @@ def test_json_stat_labels_by_place(spark):
         (1, 1.0): {"a": None, "b": "p"}, (1, 2.0): {"a": "x", "b": "p"}, (1, 3.5): {"a": "x", "b": "q"}, (1, 4.0): {"a": "z", "b": "q"},
         (2, 7.0): {"a": "z", "b": "q"},
     }
+
+
+def test_a_broken_series_leaves_the_others(spark):
+    series = '<Series><SeriesKey><Value id="A" value="1"/><Value id="A" value="2"/></SeriesKey><Obs><ObsDimension value="2020"/><ObsValue value="{}"/></Obs>{}</Series>'
+    docs = [(1, "<D>" + series.format(1, "") + series.format(2, "<open>") + series.format(3, "") + "</D>"), (2, "<D>" + series.format(4, "") + "</D>")]
+    found = sorted((r["id"], r["series"], r["value"], r["dims"]["A"]) for r in X.sdmx_xml(spark.createDataFrame(docs, "id int, text string")).collect())
+    assert found == [(1, 0, 1.0, "1"), (1, 2, 3.0, "1"), (2, 0, 4.0, "1")]

@@ -40,15 +40,26 @@ def _without_prefixes(xml: Column) -> Column:
 
 
 def sdmx_xml(documents: DataFrame, content: str = "text") -> DataFrame:
-    """(…, series, dims map, period, value) of each numeric observation of generic SDMX-ML; other columns are kept."""
+    """(…, series, dims map, period, value) of each numeric observation of generic SDMX-ML; other columns are kept.
+
+    The series of a document are parsed together, and one by one only where that does not give as many: a broken one then leaves the others.
+    """
     rest = [c for c in documents.columns if c != content]
     body = F.regexp_extract_all(_without_prefixes(F.col(content)), F.lit(r"(?s)(<Series[\s>].*?</Series>)"), F.lit(1))
-    series = documents.select(*rest, F.posexplode(body).alias("series", "_xml")).withColumn("_s", F.from_xml("_xml", _SERIES, {"valueTag": "_text"}))
+    options = {"valueTag": "_text"}
+
+    def parsed(bodies: Column) -> Column:
+        whole = F.from_xml(F.concat(F.lit("<All>"), F.array_join(bodies, ""), F.lit("</All>")), f"struct<Series:array<{_SERIES}>>", options)["Series"]
+        return bound(whole, lambda found: F.when(F.size(found) == F.size(bodies), found).otherwise(F.transform(bodies, lambda one: F.from_xml(one, _SERIES, options))))
+
+    def first_values(both: Column) -> Column:
+        known = F.filter(both, lambda v: v["_id"].isNotNull() & v["_value"].isNotNull())
+        return bound(known, lambda k: F.filter(k, lambda v, i: (i == 0) | ~F.exists(F.slice(k, 1, i), lambda u: u["_id"] == v["_id"])))
+
+    series = documents.select(*rest, F.posexplode_outer(bound(body, parsed)).alias("series", "_s"))
     both = F.concat(F.coalesce("_s.SeriesKey.Value", F.array()), F.coalesce("_s.Attributes.Value", F.array()))
-    both = F.filter(both, lambda v: v["_id"].isNotNull() & v["_value"].isNotNull())
-    first = F.filter(both, lambda v, i: ~F.exists(F.slice(both, 1, F.greatest(i, F.lit(0))), lambda u: u["_id"] == v["_id"]))
-    dims = F.map_from_entries(F.transform(first, lambda v: F.struct(v["_id"], v["_value"])))
-    rows = series.select(*rest, "series", dims.alias("dims"), F.explode("_s.Obs").alias("_o"))
+    dims = F.map_from_entries(F.transform(first_values(both), lambda v: F.struct(v["_id"], v["_value"])))
+    rows = series.select(*rest, "series", dims.alias("dims"), F.col("_s.Obs").alias("_obs")).select(*rest, "series", "dims", F.explode_outer("_obs").alias("_o"))
     return rows.select(*rest, "series", "dims", F.col("_o.ObsDimension._value").alias("period"), F.col("_o.ObsValue._value").try_cast("double").alias("value")).where(
         "period is not null and value is not null"
     )
