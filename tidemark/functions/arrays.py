@@ -57,7 +57,7 @@ def median(values: Column) -> Column:
         high = (F.floor(n / 2) + 1).cast("int")
         return (F.try_element_at(ordered, low) + F.try_element_at(ordered, high)) / 2
 
-    return bound(F.array_sort(known(values)), middle)
+    return bound(F.sort_array(known(values)), middle)
 
 
 def diffs(values: Column) -> Column:

@@ -53,27 +53,34 @@ def smaller(settings: dict[str, Setting], share: float) -> dict[str, Setting]:
 
 
 def flow_series(monthly: DataFrame, flows: list[str], years: list[int], end) -> DataFrame:
-    """(indicator, entity, parent, name, weight, years, annual, rates, rest_rates, months) of each entity and flow.
+    """(indicator, entity, parent, name, weight, years, annual, rates, rest_rates, months, rolling) of each entity and flow.
 
-    Arrays of ``years`` hold the complete ``years`` that the entity has, ``months`` all its months up to ``end``, in order;
+    Arrays of ``years`` hold the complete ``years`` that the entity has, ``months`` all its months up to ``end``, in order, and ``rolling``
+    their sums over twelve. All flows are grouped at once, and only sums of years and whole series become rows of their own;
     ``dense`` tells whether none is missing from the first month of all facts. A rate is null where there is no weight.
     """
     rows = monthly.where(F.col("period") <= F.lit(end).cast("date"))
     months = rows.agg((F.months_between(F.max("period"), F.min("period")) + 1).cast("int")).first()[0]
-    long = rows.unpivot(["entity", "parent", "name", "period", "weight"], flows, "indicator", "value")
     dated = F.when(F.col("weight").isNotNull(), F.col("period"))
-    yearly = long.where(F.year("period").isin(years)).groupBy("indicator", "entity", "parent", "name", F.year("period").alias("year")).agg(
-        F.sum("value").alias("flow"), F.min_by("weight", dated).alias("weight_start"), F.max_by("weight", dated).alias("weight_end")
+    wide = rows.where(F.year("period").isin(years)).groupBy("entity", "parent", "name", F.year("period").alias("year")).agg(
+        *(F.sum(c).alias(c) for c in flows), F.min_by("weight", dated).alias("weight_start"), F.max_by("weight", dated).alias("weight_end")
     )
+    yearly = wide.unpivot(["entity", "parent", "name", "year", "weight_start", "weight_end"], flows, "indicator", "flow")
     parent = yearly.groupBy("indicator", "parent", "year").agg(F.sum("flow").alias("all_flow"), F.sum("weight_start").alias("all_weight"))
     rate = F.try_divide(F.col("flow") * 1000.0, "weight_start").alias("rate")
     rest = F.try_divide((F.col("all_flow") - F.col("flow")) * 1000.0, F.col("all_weight") - F.col("weight_start")).alias("rest_rate")
     yearly = yearly.join(parent, ["indicator", "parent", "year"])
-    by_year = F.array_sort(F.collect_list(F.struct("year", F.col("flow").cast("double").alias("flow"), rate, rest)))
+    by_year = F.sort_array(F.collect_list(F.struct("year", F.col("flow").cast("double").alias("flow"), rate, rest)))
     newest = F.max(F.struct("year", "parent", "name", F.col("weight_end").alias("weight")))
     annual = yearly.groupBy("indicator", "entity").agg(by_year.alias("y"), newest.alias("n"))
-    by_month = F.array_sort(F.collect_list(F.struct("period", F.col("value").cast("double").alias("value"))))
-    monthly_rows = long.where("value is not null").groupBy("indicator", "entity").agg(by_month.alias("m"))
+    grouped = rows.groupBy("entity").agg(F.collect_list(F.struct("period", *(F.col(c).cast("double").alias(c) for c in flows))).alias("all"))
+
+    def by_month(flow: str) -> Column:
+        known = F.filter("all", lambda m: m[flow].isNotNull())
+        return F.sort_array(F.transform(known, lambda m: F.struct(m["period"].alias("period"), m[flow].alias("value"))))
+
+    each = F.array(*(F.struct(F.lit(c).alias("indicator"), by_month(c).alias("m")) for c in flows))
+    monthly_rows = grouped.select("entity", F.inline_outer(each)).where(F.size("m") > 0)
     return annual.join(monthly_rows, ["indicator", "entity"]).select(
         "indicator",
         "entity",
@@ -85,6 +92,7 @@ def flow_series(monthly: DataFrame, flows: list[str], years: list[int], end) ->
         F.col("y.rate").alias("rates"),
         F.col("y.rest_rate").alias("rest_rates"),
         F.col("m.value").alias("months"),
+        S.rolling_sums(F.col("m.value")).alias("rolling"),
         (F.size("m") == months).alias("dense"),
     )
 
@@ -107,7 +115,7 @@ def detections(series: DataFrame, years: list[int], settings: dict[str, Setting]
         own = {k: s for k, s in settings.items() if s.flow == flow}
         rows = whole.where(F.col("indicator").isin(list(own)))
         med = A.median(F.slice("annual", 1, 5))
-        rolled = rows.where("dense").withColumns({"rolling": S.rolling_sums(F.col("months")), "scope": D.scope(med, F.col("weight"), flow)})
+        rolled = rows.where("dense").withColumn("scope", D.scope(med, F.col("weight"), flow))
         rolled = rolled.withColumn("eligible", (med >= _count(own, "rolling")) & (F.col("scope") != "LOCALE"))
         parts = {2: D.record(rolled, flow), 3: D.trend_change(rolled, True, flow), 4: D.trend_change(rolled, False, flow), 5: D.anomaly(rolled, flow)}
         if turning := [k for k, s in own.items() if s.inversion is not None]:
@@ -158,7 +166,7 @@ def payload(events: DataFrame, series: DataFrame, year: int, period: str) -> Dat
     rows = rows.withColumns(
         {
             "annual": F.transform("annual", lambda v: v.cast("long")),
-            "rolling12": F.transform(S.rolling_sums(F.col("months")), lambda v: F.rint(v).cast("long")),
+            "rolling12": F.transform("rolling", lambda v: F.rint(v).cast("long")),
             "benchmark_local": rounded("rates"),
             "benchmark_rest": rounded("rest_rates"),
             "label": F.lower("indicator"),
