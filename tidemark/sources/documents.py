@@ -21,13 +21,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.sources.delimited import cells_of, csv_cells  # noqa: F401
+from tidemark.sources.delimited import BATCH_SIZE, cells_of, cells_size, csv_cells  # noqa: F401
 
 MOST_BYTES = 80 << 20
 LEAST_BYTES = 16
 CELLS = "array<array<string>>"
-#: Rows and bytes after which a decoder hands on what it has.
-BATCH_ROWS, BATCH_SIZE = 2000, 8 << 20
+#: Rows after which a decoder hands on what it has, and BATCH_SIZE bytes likewise.
+BATCH_ROWS = 2000
 
 
 class Bounds(NamedTuple):
@@ -250,6 +250,14 @@ def unzipped(content: bytes, wanted: str, depth: int = 2) -> Iterator[tuple[str,
                     yield f"{member}/{name}", data
 
 
+def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """The rows of batches one by one, so that no batch is held as Python objects too."""
+    for batch in batches:
+        columns = batch.columns
+        for i in range(batch.num_rows):
+            yield tuple(column[i].as_py() for column in columns)
+
+
 def _batched(rows: Iterator[tuple], schema: pa.Schema, size: Callable[[tuple], int]) -> Iterator[pa.RecordBatch]:
     """Rows as record batches that end at BATCH_ROWS rows or BATCH_SIZE bytes, whichever comes first."""
     kept, held = [], 0
@@ -268,13 +276,12 @@ def _member_rows(wanted: str, depth: int):
     schema = pa.schema([("path", pa.string()), ("content", pa.binary()), ("error", pa.string()), ("archive", pa.string()), ("place", pa.int32())])
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for batch in batches:
-            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
-                try:
-                    for place, (member, data) in enumerate(unzipped(content or b"", wanted, depth)):
-                        yield f"{path}/{member}", data, None, path, place
-                except (zipfile.BadZipFile, RuntimeError, NotImplementedError) as e:
-                    yield path, None, type(e).__name__, path, None
+        for path, content in _documents(batches):
+            try:
+                for place, (member, data) in enumerate(unzipped(content or b"", wanted, depth)):
+                    yield f"{path}/{member}", data, None, path, place
+            except (zipfile.BadZipFile, RuntimeError, NotImplementedError) as e:
+                yield path, None, type(e).__name__, path, None
 
     return lambda batches: _batched(members(batches), schema, lambda row: len(row[1] or b""))
 
@@ -307,14 +314,13 @@ def _sheet_rows(sheet: str, bounds: Bounds, depth: int):
                 return
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for batch in batches:
-            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
-                try:
-                    yield from named(path, content or b"")
-                except (zipfile.BadZipFile, RuntimeError, NotImplementedError):
-                    pass
+        for path, content in _documents(batches):
+            try:
+                yield from named(path, content or b"")
+            except (zipfile.BadZipFile, RuntimeError, NotImplementedError):
+                pass
 
-    return lambda batches: _batched(rows(batches), schema, lambda row: sum(len(c) for line in row[3] for c in line))
+    return lambda batches: _batched(rows(batches), schema, lambda row: cells_size(row[3]))
 
 
 def books_with_sheet(documents: DataFrame, sheet: str, bounds: Bounds = Bounds(), depth: int = 2) -> DataFrame:
@@ -351,11 +357,10 @@ def _decoder(bounds: Bounds):
             yield path, f"{kind}:0", "", None, "unsupported_format", 0, None
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for batch in batches:
-            for document in zip(*(column.to_pylist() for column in batch.columns)):
-                yield from tables(*document)
+        for document in _documents(batches):
+            yield from tables(*document)
 
-    return lambda batches: _batched(rows(batches), schema, lambda row: sum(map(len, (c for line in row[3] or () for c in line))) + len(row[6] or ""))
+    return lambda batches: _batched(rows(batches), schema, lambda row: cells_size(row[3]) + len(row[6] or ""))
 
 
 def document_tables(documents: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
